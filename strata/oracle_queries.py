@@ -56,3 +56,199 @@ FROM bronze GROUP BY _batch_id ORDER BY _batch_id DESC LIMIT 10"""),
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+# ---------------------------------------------------------------- everything else
+from strata.oracle import (  # noqa: E402
+    AS_OF, cs, cu, digits, in_list, khash, lit, pdate, plong, rhash, _RULES, _entity_cte,
+)
+from strata.functions.constants import VALID_UFS  # noqa: E402
+from strata.plans.gold import DIM_INSURER, DIM_MUNICIPALITY, DIM_PLAN, DIM_PROFILE, PERIOD_COLUMNS  # noqa: E402
+from strata.plans.silver import COUNT_COLUMNS, MOVEMENT, MOVEMENT_KEY, PLAN, RULE_NAMES  # noqa: E402
+from strata.queries import (  # noqa: E402
+    CLEAN_STRING_COLUMNS, CLEAN_UPPER_COLUMNS, DIGIT_COLUMNS, LEDGER_LAST_BATCH, MERGE_SOURCE_BATCH,
+    MERGE_TARGET_LAST_BATCH, PERIOD_RANGE,
+)
+from strata.sources.fixture import BUSINESS_COLUMNS  # noqa: E402
+
+TS = {"_ingested_at", "_bronze_ingested_at", "_rejected_at", "_gold_ingested_at"}
+CLEANED_COLUMNS = BUSINESS_COLUMNS + ["_source_path", "_bronze_record_hash", "_bronze_ingested_at",
+                                      "_source_system", "_batch_id", "_ingested_at", "_layer"]
+BRONZE_OUT = BUSINESS_COLUMNS + ["_source_path", "_source_system", "_batch_id", "_ingested_at", "_layer",
+                                 "_record_hash"]
+SILVER_ENTITY_COLUMNS = {
+    "s_insurer": ["cd_operadora", "nm_razao_social", "nr_cnpj", "modalidade_operadora"],
+    "s_municipality": ["cd_municipio", "nm_municipio", "sg_uf"],
+    "s_plan": PLAN.columns[:7],
+}
+META = ["_source_system", "_batch_id", "_ingested_at", "_layer", "_record_hash"]
+GOLD_META = ["_record_hash", "_batch_id", "_gold_ingested_at", "_layer"]
+
+
+def sel(columns: list[str], prefix: str = "") -> str:
+    return ", ".join(f"CAST({prefix}{c} AS VARCHAR) AS {c}" if c in TS else f"{prefix}{c}" for c in columns)
+
+
+def outputs(fn, columns: list[str], source: str = "bronze") -> str:
+    return with_ctes(f"SELECT {', '.join(columns)}, {', '.join(f'{fn(c)} AS {c}_out' for c in columns)} FROM {source}")
+
+
+def _dim_cols(spec) -> list[str]:
+    return [spec.sk] + spec.columns + GOLD_META
+
+
+MOVEMENT_OUT = MOVEMENT.columns + ["_record_hash"]
+REJECTED_OUT = (MOVEMENT_KEY + ["_source_path", "_bronze_record_hash", "_bronze_ingested_at", "_source_system",
+                                "_batch_id", "_ingested_at", "_layer", "_rejection_reason", "_rejected_at",
+                                "_record_hash"])
+FACT_OUT = PERIOD_COLUMNS + ["sk_operadora", "sk_municipio", "sk_plano", "sk_perfil_beneficiario"] + COUNT_COLUMNS + GOLD_META
+
+_PLAN_COLS = PLAN.columns  # keys + attributes + silver meta
+_MERGE_CTES = f"""
+m_target AS (SELECT *, true AS __t FROM ({_entity_cte('x', PLAN, f"(SELECT * FROM valid WHERE _batch_id <= '{MERGE_TARGET_LAST_BATCH}')").split(' AS (', 1)[1].rsplit(')', 1)[0]})),
+m_source0 AS ({_entity_cte('x', PLAN, f"(SELECT * FROM valid WHERE _batch_id = '{MERGE_SOURCE_BATCH}')").split(' AS (', 1)[1].rsplit(')', 1)[0]}),
+m_source1 AS (
+    SELECT * REPLACE (CASE WHEN TRY_CAST(cd_plano AS BIGINT) % 5 = 0 THEN 'ODONTOLOGICO' ELSE cobertura_assist_plan END
+                      AS cobertura_assist_plan)
+    FROM m_source0
+),
+m_source AS (SELECT * REPLACE ({rhash(PLAN.hash_columns)} AS _record_hash), true AS __s FROM m_source1),
+m_joined AS (
+    SELECT * FROM m_target t FULL OUTER JOIN m_source s
+      ON t.cd_operadora IS NOT DISTINCT FROM s.cd_operadora AND t.cd_plano IS NOT DISTINCT FROM s.cd_plano
+)"""
+
+
+def _merge_select(insert_only: bool) -> str:
+    take_source = "(t.__t IS NULL OR (s.__s IS NOT NULL AND coalesce(t._record_hash <> s._record_hash, false)))"
+    out = []
+    for c in _PLAN_COLS + ["_record_hash"]:
+        if c in PLAN.keys or insert_only:
+            expr = f"CASE WHEN t.__t IS NOT NULL THEN t.{c} ELSE s.{c} END"
+        else:
+            expr = f"CASE WHEN {take_source} THEN s.{c} ELSE t.{c} END"
+        out.append(f"CAST({expr} AS VARCHAR) AS {c}" if c in TS else f"{expr} AS {c}")
+    return f"SELECT {', '.join(out)} FROM m_joined t"
+
+
+def _merge_sql(insert_only: bool) -> str:
+    sql = with_ctes(_merge_select(insert_only), ctes=__import__("strata.oracle", fromlist=["ALL_CTES"]).ALL_CTES + "," + _MERGE_CTES)
+    # the FULL OUTER JOIN result exposes both sides under aliases t and s
+    return sql.replace("FROM m_joined t", "FROM m_target t FULL OUTER JOIN m_source s ON t.cd_operadora IS NOT DISTINCT FROM s.cd_operadora AND t.cd_plano IS NOT DISTINCT FROM s.cd_plano")
+
+
+_REPLACE = f"""
+SELECT {sel(MOVEMENT_OUT)} FROM s_movement
+WHERE id_cmpt_movel NOT IN (SELECT id_cmpt_movel FROM r_months)
+UNION ALL
+SELECT {sel(MOVEMENT_OUT)} FROM (
+    SELECT * REPLACE ({rhash(MOVEMENT.hash_columns)} AS _record_hash) FROM (
+        SELECT * REPLACE (qt_beneficiario_ativo + 1 AS qt_beneficiario_ativo)
+        FROM s_movement WHERE id_cmpt_movel IN (SELECT id_cmpt_movel FROM r_months)))"""
+
+_DIR_LINKS = "(SELECT regexp_extract(_source_path, '^(.*/)', 1) AS link FROM bronze)"
+
+
+def _period_of(x: str) -> str:
+    last = f"regexp_extract(regexp_replace({x}, '/+$', ''), '([^/]*)$', 1)"
+    return f"CASE WHEN regexp_full_match({last}, '[0-9]{{6}}') THEN {last} END"
+
+
+_PERIODS = f"(SELECT DISTINCT {_period_of('link')} AS period FROM {_DIR_LINKS} WHERE {_period_of('link')} IS NOT NULL)"
+_HREFS = """(SELECT page_id, unnest(regexp_extract_all(
+        regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', ' ', 'g'),
+        '(?is)<a\\s(?:[^>]*\\s)?href\\s*=\\s*"([^"]*)"', 1)) AS href FROM pages)"""
+_PAGE_FILES = f"""(SELECT DISTINCT page_id, regexp_extract(href, '([^/]*)$', 1) AS file_name FROM {_HREFS}
+    WHERE href <> '' AND NOT ends_with(href, '/') AND regexp_extract(href, '([^/]*)$', 1) <> '')"""
+_ARCHIVE_NAME = "source || '-' || CAST(CAST(floor(doc_id / 64) AS BIGINT) AS VARCHAR) || '.zip'"
+
+ORACLE.update({
+    "clean_string": outputs(cs, CLEAN_STRING_COLUMNS),
+    "clean_upper": outputs(cu, CLEAN_UPPER_COLUMNS),
+    "only_digits": outputs(digits, DIGIT_COLUMNS),
+    "parse_long": outputs(plong, COUNT_COLUMNS),
+    "parse_date": outputs(pdate, ["dt_carga"]),
+    "domain_nullout": with_ctes(
+        f"SELECT sg_uf, CASE WHEN {cu('sg_uf')} IN ({in_list(VALID_UFS)}) THEN {cu('sg_uf')} END AS sg_uf_out FROM bronze"),
+    "record_hash": with_ctes("SELECT _source_path, _batch_id, _record_hash FROM bronze"),
+    "surrogate_key": with_ctes(
+        "SELECT cd_operadora, cd_municipio, cd_plano, "
+        + ", ".join(f"{khash(s.keys, s.namespace)} AS {s.sk}" for s in (DIM_INSURER, DIM_MUNICIPALITY, DIM_PLAN, DIM_PROFILE))
+        + " FROM valid"),
+    "normalized_columns": with_ctes(f"SELECT {', '.join(BUSINESS_COLUMNS)} FROM raw_movement"),
+    "all_string_cast": with_ctes(
+        f"SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in MOVEMENT_OUT)} FROM s_movement"),
+    "bronze_metadata": with_ctes(f"SELECT {sel(BRONZE_OUT)} FROM bronze"),
+    "silver_metadata": with_ctes(
+        f"SELECT {sel(['_source_path', '_source_system', '_batch_id', '_ingested_at', '_layer'])} FROM cleaned"),
+    "gold_metadata": with_ctes(f"SELECT {sel(GOLD_META)} FROM fact"),
+    "period_parts": with_ctes(f"SELECT {', '.join(PERIOD_COLUMNS)} FROM fact"),
+    "clean_movement": with_ctes(f"SELECT {sel(CLEANED_COLUMNS)} FROM cleaned"),
+    "null_condition": with_ctes(
+        f"SELECT {', '.join(MOVEMENT_KEY)}, ({' OR '.join(f'{k} IS NULL' for k in MOVEMENT_KEY)}) AS missing_key FROM cleaned"),
+    "rejection_reason": with_ctes(
+        f"SELECT {', '.join(MOVEMENT_KEY)}, NULLIF(concat_ws('; ', "
+        + ", ".join(f"CASE WHEN {k} IS NULL THEN {lit(k + ' ausente')} END" for k in MOVEMENT_KEY)
+        + "), '') AS missing_reason FROM cleaned"),
+    "rule_counts": with_ctes(
+        "SELECT count(*) AS rows, "
+        f"count(*) FILTER (WHERE {' OR '.join(f'{k} IS NULL' for k in MOVEMENT_KEY)}) AS missing_key, "
+        + ", ".join(f"count(*) FILTER (WHERE {cond}) AS {name}" for (cond, _), name in zip(_RULES, RULE_NAMES))
+        + ", count(*) FILTER (WHERE _rejection_reason IS NOT NULL) AS rejected FROM classified"),
+    "rejected_rows": with_ctes(
+        f"SELECT {sel(CLEANED_COLUMNS + ['_rejection_reason'])}, '{AS_OF}' AS _rejected_at FROM classified "
+        "WHERE _rejection_reason IS NOT NULL"),
+    "valid_rows": with_ctes(f"SELECT {sel(CLEANED_COLUMNS)} FROM valid"),
+    "reject_reason_counts": with_ctes(
+        "SELECT reason, count(*) AS rows FROM (SELECT unnest(string_split(_rejection_reason, '; ')) AS reason "
+        "FROM classified WHERE _rejection_reason IS NOT NULL) GROUP BY reason"),
+    "new_files_only": with_ctes(
+        f"SELECT {', '.join(BUSINESS_COLUMNS)}, _source_path, _batch_id, _record_hash FROM bronze "
+        f"WHERE _source_path NOT IN (SELECT _source_path FROM bronze WHERE _batch_id <= '{LEDGER_LAST_BATCH}' "
+        "AND _source_path IS NOT NULL)"),
+    "load_counters": with_ctes(
+        "SELECT count(DISTINCT _source_path) AS files_written, count(*) AS rows_written FROM bronze "
+        f"WHERE _source_path NOT IN (SELECT _source_path FROM bronze WHERE _batch_id <= '{LEDGER_LAST_BATCH}' "
+        "AND _source_path IS NOT NULL)"),
+    "latest_period": with_ctes(f"SELECT {sel(FACT_OUT)} FROM latest"),
+    "first_not_null": with_ctes(
+        "SELECT cd_operadora, "
+        + ", ".join(f"arg_min({c}, _bronze_record_hash) FILTER (WHERE {c} IS NOT NULL) AS {c}"
+                    for c in ("nm_razao_social", "nr_cnpj", "modalidade_operadora"))
+        + " FROM cleaned GROUP BY cd_operadora"),
+    "latest_batch": with_ctes("SELECT max(_batch_id) AS _batch_id FROM bronze WHERE _batch_id IS NOT NULL"),
+    "dedupe_latest": with_ctes(
+        f"SELECT {sel(CLEANED_COLUMNS)} FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(MOVEMENT_KEY)} "
+        "ORDER BY dt_carga DESC NULLS LAST, _bronze_ingested_at DESC NULLS LAST, _source_path DESC NULLS LAST, "
+        "_bronze_record_hash DESC NULLS LAST) AS rn FROM cleaned) WHERE rn = 1"),
+    "silver_insurer": with_ctes(f"SELECT {sel(SILVER_ENTITY_COLUMNS['s_insurer'] + META)} FROM s_insurer"),
+    "silver_municipality": with_ctes(f"SELECT {sel(SILVER_ENTITY_COLUMNS['s_municipality'] + META)} FROM s_municipality"),
+    "silver_plan": with_ctes(f"SELECT {sel(SILVER_ENTITY_COLUMNS['s_plan'] + META)} FROM s_plan"),
+    "silver_movement": with_ctes(f"SELECT {sel(MOVEMENT_OUT)} FROM s_movement"),
+    "silver_rejected": with_ctes(f"SELECT {sel(REJECTED_OUT)} FROM rejected"),
+    "dim_insurer": with_ctes(f"SELECT {sel(_dim_cols(DIM_INSURER))} FROM d_insurer"),
+    "dim_municipality": with_ctes(f"SELECT {sel(_dim_cols(DIM_MUNICIPALITY))} FROM d_municipality"),
+    "dim_plan": with_ctes(f"SELECT {sel(_dim_cols(DIM_PLAN))} FROM d_plan"),
+    "dim_profile": with_ctes(f"SELECT {sel(_dim_cols(DIM_PROFILE))} FROM d_profile"),
+    "fact_movement": with_ctes(f"SELECT {sel(FACT_OUT)} FROM fact"),
+    "scd1_merge": _merge_sql(False),
+    "scd1_merge_insert_only": _merge_sql(True),
+    "partition_replace": with_ctes(_REPLACE, ctes=__import__("strata.oracle", fromlist=["ALL_CTES"]).ALL_CTES
+                                   + ", r_months AS (SELECT DISTINCT id_cmpt_movel FROM s_movement "
+                                   "ORDER BY id_cmpt_movel DESC LIMIT 2)"),
+    "page_file_links": f"SELECT * FROM {_PAGE_FILES}",
+    "periods_in_range": with_ctes(
+        f"SELECT period FROM {_PERIODS} WHERE period >= '{PERIOD_RANGE[0]}' AND period <= '{PERIOD_RANGE[1]}'"),
+    "latest_source_period": with_ctes(f"SELECT max(period) AS period FROM {_PERIODS} HAVING max(period) IS NOT NULL"),
+    "unpublished_periods": with_ctes(
+        f"SELECT period FROM {_PERIODS} WHERE period NOT IN (SELECT id_cmpt_movel FROM s_movement "
+        f"WHERE _batch_id <= '{LEDGER_LAST_BATCH}')"),
+    "allowed_files": with_ctes(
+        f"SELECT DISTINCT file_name FROM (SELECT file_name FROM {_PAGE_FILES} UNION ALL "
+        f"SELECT {_ARCHIVE_NAME} FROM documents UNION ALL "
+        "SELECT regexp_extract(_source_path, '([^/]*)$', 1) FROM bronze) "
+        "WHERE ends_with(lower(file_name), '.zip') AND NOT contains(upper(file_name), 'XX')"),
+    "archive_members": f"""SELECT {_ARCHIVE_NAME} AS archive, CAST(doc_id AS VARCHAR) || '.csv' AS member,
+        CAST(strlen(text) AS BIGINT) AS n_bytes, CAST(length(text) AS BIGINT) AS n_chars FROM documents""",
+    "csv_scan": with_ctes(f"SELECT {', '.join(BUSINESS_COLUMNS)} FROM raw_movement"),
+})

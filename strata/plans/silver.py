@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.cleaning import clean_string, clean_upper, in_domain, only_digits, parse_date, parse_long
 from strata.functions.constants import VALID_UFS
-from strata.functions.hashing import add_record_hash
+from strata.functions.hashing import add_record_hash, record_hash
 from strata.operators.dedupe import deduplicate_latest
 from strata.operators.lineage import add_silver_metadata
 from strata.operators.quality import Rule, classify, rejected_part, require_columns, valid_part
@@ -133,6 +133,21 @@ def movement_rules() -> list[Rule]:
     return rules
 
 
+RULE_NAMES = [
+    "month_format",
+    "month_value",
+    "insurer_code",
+    "municipality_code",
+    "state",
+    "sex",
+    "tax_id",
+    "negative_active",
+    "negative_joined",
+    "negative_cancelled",
+    "load_date",
+]
+
+
 def classify_movement(cleaned: DataFrame) -> DataFrame:
     """Adds ``_rejection_reason`` (NULL for a valid row)."""
     return classify(cleaned, MOVEMENT_KEY, movement_rules())

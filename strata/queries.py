@@ -18,7 +18,7 @@ from pyspark.sql.types import TimestampNTZType, TimestampType
 from strata.operators.staging import stage
 from strata.plans import gold, reports, silver
 from strata.plans.bronze import bronze_from_frame
-from strata.sources.fixture import BUSINESS_COLUMNS, raw_movement
+from strata.sources.fixture import BUSINESS_COLUMNS, raw_movement, spread, table
 
 AS_OF = "2026-01-01 00:00:00"
 
@@ -170,3 +170,355 @@ def _top_municipalities(L: Layers) -> DataFrame:
 @register("batch_audit")
 def _batch_audit(L: Layers) -> DataFrame:
     return reports.batch_audit(L.bronze)
+
+
+# ---------------------------------------------------------------- scalar functions
+from strata.functions.cleaning import clean_string, clean_upper, in_domain, only_digits, parse_date, parse_long  # noqa: E402
+from strata.functions.constants import VALID_UFS  # noqa: E402
+from strata.functions.hashing import hash_key  # noqa: E402
+from strata.functions.names import cast_all_to_string, normalize_columns  # noqa: E402
+from strata.operators import dedupe as dd  # noqa: E402
+from strata.operators import quality  # noqa: E402
+from strata.operators.incremental import load_counters, new_rows_only  # noqa: E402
+from strata.operators.merge import merge_frames, replace_frames  # noqa: E402
+from strata.sources import archives, index_pages  # noqa: E402
+from strata.sources.csv import read_csv_normalized, write_csv  # noqa: E402
+from strata.session import scratch_path  # noqa: E402
+
+CLEAN_STRING_COLUMNS = ["id_cmpt_movel", "cd_operadora", "cd_municipio", "cd_plano", "de_faixa_etaria",
+                        "modalidade_operadora", "tipo_vinculo", "cobertura_assist_plan"]
+CLEAN_UPPER_COLUMNS = ["nm_razao_social", "modalidade_operadora", "sg_uf", "tp_sexo", "tipo_vinculo",
+                       "cobertura_assist_plan"]
+DIGIT_COLUMNS = ["id_cmpt_movel", "nr_cnpj", "cd_operadora"]
+LEDGER_LAST_BATCH = "b1999"
+MERGE_TARGET_LAST_BATCH = "b1997"
+MERGE_SOURCE_BATCH = "b1998"
+PERIOD_RANGE = ("199601", "200012")
+
+# Headers as a publisher might spell them; normalisation maps them back.
+DISPLAY_HEADERS = {c: c.upper() for c in BUSINESS_COLUMNS} | {
+    "nm_razao_social": "NM_RAZÃO_SOCIAL",
+    "de_faixa_etaria": "DE FAIXA ETÁRIA",
+    "de_faixa_etaria_reaj": "De-Faixa-Etária-Reaj",
+    "de_contratacao_plano": "DE_CONTRATAÇÃO_PLANO",
+    "de_segmentacao_plano": "de segmentação plano",
+    "de_abrg_geografica_plano": "DE_ABRG_GEOGRÁFICA__PLANO ",
+}
+
+
+def _outputs(df: DataFrame, fn, columns: list[str]) -> DataFrame:
+    return df.select(*[c for c in columns], *[fn(c).alias(f"{c}_out") for c in columns])
+
+
+@register("clean_string")
+def _q_clean_string(L: Layers) -> DataFrame:
+    return _outputs(L.bronze, clean_string, CLEAN_STRING_COLUMNS)
+
+
+@register("clean_upper")
+def _q_clean_upper(L: Layers) -> DataFrame:
+    return _outputs(L.bronze, clean_upper, CLEAN_UPPER_COLUMNS)
+
+
+@register("only_digits")
+def _q_only_digits(L: Layers) -> DataFrame:
+    return _outputs(L.bronze, only_digits, DIGIT_COLUMNS)
+
+
+@register("parse_long")
+def _q_parse_long(L: Layers) -> DataFrame:
+    return _outputs(L.bronze, parse_long, silver.COUNT_COLUMNS)
+
+
+@register("parse_date")
+def _q_parse_date(L: Layers) -> DataFrame:
+    return _outputs(L.bronze, parse_date, ["dt_carga"])
+
+
+@register("domain_nullout")
+def _q_domain(L: Layers) -> DataFrame:
+    return L.bronze.select("sg_uf", in_domain(clean_upper("sg_uf"), VALID_UFS).alias("sg_uf_out"))
+
+
+@register("record_hash")
+def _q_record_hash(L: Layers) -> DataFrame:
+    return L.bronze.select("_source_path", "_batch_id", "_record_hash")
+
+
+@register("surrogate_key")
+def _q_surrogate_key(L: Layers) -> DataFrame:
+    specs = (gold.DIM_INSURER, gold.DIM_MUNICIPALITY, gold.DIM_PLAN, gold.DIM_PROFILE)
+    return L.valid.select(
+        "cd_operadora", "cd_municipio", "cd_plano",
+        *[hash_key(s.keys, s.namespace).alias(s.sk) for s in specs],
+    )
+
+
+# ---------------------------------------------------------------- projections
+@register("normalized_columns")
+def _q_normalized(L: Layers) -> DataFrame:
+    shown = L.raw.select(*[F.col(c).alias(DISPLAY_HEADERS[c]) for c in BUSINESS_COLUMNS])
+    return normalize_columns(shown)
+
+
+@register("all_string_cast")
+def _q_all_string(L: Layers) -> DataFrame:
+    return cast_all_to_string(L.s_movement)
+
+
+@register("bronze_metadata")
+def _q_bronze_meta(L: Layers) -> DataFrame:
+    return L.bronze
+
+
+@register("silver_metadata")
+def _q_silver_meta(L: Layers) -> DataFrame:
+    return L.cleaned.select("_source_path", "_source_system", "_batch_id", "_ingested_at", "_layer")
+
+
+@register("gold_metadata")
+def _q_gold_meta(L: Layers) -> DataFrame:
+    return L.fact.select("_record_hash", "_batch_id", "_gold_ingested_at", "_layer")
+
+
+@register("period_parts")
+def _q_period_parts(L: Layers) -> DataFrame:
+    return gold.period_parts(L.s_movement).select(*gold.PERIOD_COLUMNS)
+
+
+@register("clean_movement")
+def _q_clean_movement(L: Layers) -> DataFrame:
+    return L.cleaned
+
+
+# ---------------------------------------------------------------- quality
+@register("null_condition")
+def _q_null_condition(L: Layers) -> DataFrame:
+    return L.cleaned.select(*silver.MOVEMENT_KEY, quality.any_null(silver.MOVEMENT_KEY).alias("missing_key"))
+
+
+@register("rejection_reason")
+def _q_rejection_reason(L: Layers) -> DataFrame:
+    return L.cleaned.select(*silver.MOVEMENT_KEY, quality.missing_reason(silver.MOVEMENT_KEY).alias("missing_reason"))
+
+
+@register("rule_counts")
+def _q_rule_counts(L: Layers) -> DataFrame:
+    rules = silver.movement_rules()
+    return L.classified.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(quality.any_null(silver.MOVEMENT_KEY)).alias("missing_key"),
+        *[F.count_if(r.fails).alias(name) for name, r in zip(silver.RULE_NAMES, rules)],
+        F.count_if(F.col(quality.REASON_COLUMN).isNotNull()).alias("rejected"),
+    )
+
+
+@register("rejected_rows")
+def _q_rejected_rows(L: Layers) -> DataFrame:
+    return quality.rejected_part(L.classified, as_of=AS_OF)
+
+
+@register("valid_rows")
+def _q_valid_rows(L: Layers) -> DataFrame:
+    return L.valid
+
+
+@register("reject_reason_counts")
+def _q_reason_counts(L: Layers) -> DataFrame:
+    reasons = L.classified.where(F.col(quality.REASON_COLUMN).isNotNull()).select(
+        F.explode(F.split(quality.REASON_COLUMN, "; ")).alias("reason")
+    )
+    return reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ---------------------------------------------------------------- joins / aggregates
+def _new_files(L: Layers) -> DataFrame:
+    ledger = L.bronze.where(F.col("_batch_id") <= LEDGER_LAST_BATCH)
+    return new_rows_only(L.bronze, ledger)
+
+
+@register("new_files_only")
+def _q_new_files(L: Layers) -> DataFrame:
+    return _new_files(L).select(*BUSINESS_COLUMNS, "_source_path", "_batch_id", "_record_hash")
+
+
+@register("load_counters")
+def _q_load_counters(L: Layers) -> DataFrame:
+    return load_counters(_new_files(L))
+
+
+@register("latest_period")
+def _q_latest_period(L: Layers) -> DataFrame:
+    return reports.latest_period(L.fact)
+
+
+@register("first_not_null")
+def _q_first_not_null(L: Layers) -> DataFrame:
+    return L.cleaned.groupBy("cd_operadora").agg(
+        *[dd.first_not_null(c, "_bronze_record_hash") for c in ("nm_razao_social", "nr_cnpj", "modalidade_operadora")]
+    )
+
+
+@register("latest_batch")
+def _q_latest_batch(L: Layers) -> DataFrame:
+    return dd.latest_value(L.bronze, "_batch_id")
+
+
+@register("dedupe_latest")
+def _q_dedupe(L: Layers) -> DataFrame:
+    return dd.deduplicate_latest(L.cleaned, silver.MOVEMENT_KEY, silver.DEDUPE_ORDER)
+
+
+# ---------------------------------------------------------------- silver / gold entities
+@register("silver_insurer")
+def _q_s_insurer(L: Layers) -> DataFrame:
+    return L.s_insurer
+
+
+@register("silver_municipality")
+def _q_s_municipality(L: Layers) -> DataFrame:
+    return L.s_municipality
+
+
+@register("silver_plan")
+def _q_s_plan(L: Layers) -> DataFrame:
+    return L.s_plan
+
+
+@register("silver_movement")
+def _q_s_movement(L: Layers) -> DataFrame:
+    return L.s_movement
+
+
+@register("silver_rejected")
+def _q_s_rejected(L: Layers) -> DataFrame:
+    return L.s_rejected
+
+
+@register("dim_insurer")
+def _q_d_insurer(L: Layers) -> DataFrame:
+    return L.d_insurer
+
+
+@register("dim_municipality")
+def _q_d_municipality(L: Layers) -> DataFrame:
+    return L.d_municipality
+
+
+@register("dim_plan")
+def _q_d_plan(L: Layers) -> DataFrame:
+    return L.d_plan
+
+
+@register("dim_profile")
+def _q_d_profile(L: Layers) -> DataFrame:
+    return L.d_profile
+
+
+@register("fact_movement")
+def _q_fact(L: Layers) -> DataFrame:
+    return L.fact
+
+
+# ---------------------------------------------------------------- table maintenance
+def _merge_inputs(L: Layers) -> tuple[DataFrame, DataFrame]:
+    target = silver.silver_plan(L.valid.where(F.col("_batch_id") <= MERGE_TARGET_LAST_BATCH))
+    source = silver.silver_plan(L.valid.where(F.col("_batch_id") == MERGE_SOURCE_BATCH))
+    every_fifth = (F.col("cd_plano").try_cast("long") % 5) == 0
+    changed = source.withColumn(
+        "cobertura_assist_plan",
+        F.when(every_fifth, F.lit("ODONTOLOGICO")).otherwise(F.col("cobertura_assist_plan")),
+    )
+    return target, changed.withColumn("_record_hash", silver.record_hash(silver.PLAN.hash_columns))
+
+
+@register("scd1_merge")
+def _q_merge(L: Layers) -> DataFrame:
+    target, source = _merge_inputs(L)
+    return merge_frames(target, source, silver.PLAN.keys)
+
+
+@register("scd1_merge_insert_only")
+def _q_merge_insert(L: Layers) -> DataFrame:
+    target, source = _merge_inputs(L)
+    non_keys = [c for c in target.columns if c not in silver.PLAN.keys]
+    return merge_frames(target, source, silver.PLAN.keys, non_update=non_keys)
+
+
+@register("partition_replace")
+def _q_replace(L: Layers) -> DataFrame:
+    target = L.s_movement
+    months = target.select("id_cmpt_movel").distinct().orderBy(F.col("id_cmpt_movel").desc()).limit(2)
+    source = (
+        target.join(F.broadcast(months), "id_cmpt_movel")  # at most two rows, by the limit
+        .withColumn("qt_beneficiario_ativo", F.col("qt_beneficiario_ativo") + 1)
+        .select(*target.columns)
+    )
+    source = source.withColumn("_record_hash", silver.record_hash(silver.MOVEMENT.hash_columns))
+    return replace_frames(target, source, ["id_cmpt_movel"])
+
+
+# ---------------------------------------------------------------- ingestion over tables
+def _directory_links(L: Layers) -> DataFrame:
+    return L.bronze.select(F.regexp_extract("_source_path", r"^(.*/)", 1).alias("link"))
+
+
+def _pages(L: Layers) -> DataFrame:
+    return spread(table(L.spark, L.sf_dir, "pages"))
+
+
+@register("page_file_links")
+def _q_page_links(L: Layers) -> DataFrame:
+    return index_pages.page_file_links(_pages(L))
+
+
+@register("periods_in_range")
+def _q_periods(L: Layers) -> DataFrame:
+    return index_pages.periods_in_range(_directory_links(L), "link", *PERIOD_RANGE)
+
+
+@register("latest_source_period")
+def _q_latest_source_period(L: Layers) -> DataFrame:
+    return index_pages.latest_period(index_pages.periods_in_range(_directory_links(L), "link"))
+
+
+@register("unpublished_periods")
+def _q_unpublished(L: Layers) -> DataFrame:
+    available = index_pages.periods_in_range(_directory_links(L), "link")
+    published = L.s_movement.where(F.col("_batch_id") <= LEDGER_LAST_BATCH).select(
+        F.col("id_cmpt_movel").alias("period")
+    )
+    return index_pages.unpublished(available, published)
+
+
+def _documents(L: Layers) -> DataFrame:
+    return spread(table(L.spark, L.sf_dir, "documents"))
+
+
+@register("allowed_files")
+def _q_allowed(L: Layers) -> DataFrame:
+    names = (
+        index_pages.page_file_links(_pages(L)).select("file_name")
+        .unionByName(archives.document_archives(_documents(L)).select(F.col("archive").alias("file_name")))
+        .unionByName(L.bronze.select(F.regexp_extract("_source_path", r"([^/]*)$", 1).alias("file_name")))
+    )
+    return names.where(index_pages.file_allowed(F.col("file_name"), [".zip"], ["XX"])).distinct()
+
+
+@register("archive_members")
+def _q_archives(L: Layers) -> DataFrame:
+    folder = scratch_path(L.spark, "archives")
+    archives.write_archives(archives.document_archives(_documents(L)), folder, "archive", "member", "text").collect()
+    return archives.archive_members(L.spark, folder)
+
+
+@register("csv_scan")
+def _q_csv_scan(L: Layers) -> DataFrame:
+    folder = scratch_path(L.spark, "raw-csv")
+    shown = L.raw.select(
+        *[F.col(c).alias(DISPLAY_HEADERS[c]) for c in BUSINESS_COLUMNS],
+        "_batch_id",
+        F.regexp_extract("_source_path", r"^raw/(?:reload/)?([0-9]{6})/", 1).alias("period"),
+    )
+    write_csv(shown, folder, partition_by=["_batch_id", "period"])
+    return read_csv_normalized(L.spark, folder).select(*BUSINESS_COLUMNS)

@@ -1,0 +1,115 @@
+"""ZIP archive expansion as a distributed job.
+
+``binaryFile`` reads each archive as one row (path + bytes); archives are
+spread over tasks and each task opens its archives with Python's ``zipfile``
+inside ``mapInPandas`` (Arrow batches), emitting one row per member.  An
+archive is the unit of work, so one archive's members are handled by one
+task; member names are validated before anything is emitted.
+"""
+
+from __future__ import annotations
+
+import io
+import posixpath
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+MEMBER_SCHEMA = "archive string, member string, n_bytes long, n_chars long"
+
+
+def unsafe_member(name: str) -> bool:
+    """Absolute paths and any '..' part would escape the extraction folder."""
+    parts = name.replace("\\", "/").split("/")
+    return name.startswith("/") or name.startswith("\\") or (len(name) > 1 and name[1] == ":") or ".." in parts
+
+
+def normalized_member(name: str) -> str:
+    """Lower-case a '.CSV'-style extension; other names are unchanged."""
+    root, ext = posixpath.splitext(name)
+    return root + ".csv" if ext.lower() == ".csv" and ext != ".csv" else name
+
+
+def expand_archive(archive: str, content: bytes, encoding: str = "utf-8") -> list[tuple[str, str, int, int]]:
+    """(archive, member, bytes, characters) for every file member; raises on unsafe or clashing names."""
+    with zipfile.ZipFile(io.BytesIO(content)) as zf:
+        infos = [i for i in zf.infolist() if not i.is_dir()]
+        for info in infos:
+            if unsafe_member(info.filename):
+                raise ValueError(f"unsafe member path in {archive}: {info.filename}")
+        names = {i.filename for i in infos}
+        rows = []
+        for info in infos:
+            member = normalized_member(info.filename)
+            if member != info.filename and member in names:
+                raise ValueError(f"duplicate CSV member after normalisation in {archive}: {member}")
+            data = zf.read(info)
+            rows.append((archive, member, len(data), len(data.decode(encoding, errors="replace"))))
+        return rows
+
+
+def _expand_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        rows = []
+        for path, content in zip(pdf["path"], pdf["content"]):
+            rows.extend(expand_archive(posixpath.basename(path), bytes(content)))
+        yield pd.DataFrame(rows, columns=["archive", "member", "n_bytes", "n_chars"])
+
+
+def archive_members(spark: SparkSession, folder: str, glob: str = "*.zip") -> DataFrame:
+    """One row per member of every archive under ``folder``."""
+    archives = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", "true")
+        .load(folder)
+        .select("path", "content")
+    )
+    return archives.mapInPandas(_expand_batches, MEMBER_SCHEMA)
+
+
+def _open_output(uri: str):
+    from pyarrow import fs
+
+    filesystem, path = fs.FileSystem.from_uri(uri)
+    filesystem.create_dir(posixpath.dirname(path), recursive=True)
+    return filesystem.open_output_stream(path)
+
+
+def write_archives(
+    docs: DataFrame,
+    folder: str,
+    archive_column: str,
+    member_column: str,
+    text_column: str,
+) -> DataFrame:
+    """Write one ZIP per distinct ``archive_column`` value (members = text
+    rows) with ``applyInPandas``; returns (archive, members) per archive.
+
+    Grouping values must bound the group size (e.g. source + id range).
+    """
+    def write_group(pdf: pd.DataFrame) -> pd.DataFrame:
+        name = str(pdf[archive_column].iloc[0])
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as zf:
+            for member, text in zip(pdf[member_column], pdf[text_column]):
+                zf.writestr(str(member), "" if text is None else str(text))
+        with _open_output(f"{folder.rstrip('/')}/{name}") as out:
+            out.write(buffer.getvalue())
+        return pd.DataFrame({"archive": [name], "members": [len(pdf)]})
+
+    return docs.groupBy(archive_column).applyInPandas(write_group, "archive string, members long")
+
+
+def document_archives(documents: DataFrame, bucket_size: int = 64) -> DataFrame:
+    """Documents as archive rows: '<source>-<doc_id div bucket>.zip' holding '<doc_id>.CSV'."""
+    return documents.select(
+        F.concat(F.col("source"), F.lit("-"), F.floor(F.col("doc_id") / bucket_size).cast("string"), F.lit(".zip")).alias(
+            "archive"
+        ),
+        F.concat(F.col("doc_id").cast("string"), F.lit(".CSV")).alias("member"),
+        F.col("text"),
+    )

@@ -77,17 +77,18 @@ def spread(df: DataFrame) -> DataFrame:
 
 def raw_movement(spark: SparkSession, sf_dir: str, with_reload: bool = True) -> DataFrame:
     """All-string raw rows plus load context, one per lineitem (+ reloads)."""
+    # Whichever side the planner streams must not be a single split.
     li = spread(
         table(spark, sf_dir, "lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_returnflag", "l_linestatus", "l_shipdate",
         )
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"))
+    customer = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"))
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
+    supplier = spread(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"))
+    part = spread(table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size"))
 
     buyers = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
         F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")
