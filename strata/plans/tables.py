@@ -77,10 +77,15 @@ def create_table(df: DataFrame, name: str, partition_by: list[str] | None = None
 
 def append(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
     """Create the table from the first write; afterwards append by column name."""
-    if not table_exists(df.sparkSession, name):
+    spark = df.sparkSession
+    if not table_exists(spark, name):
         create_table(df, name, partition_by)
         return
-    df.write.mode("append").saveAsTable(name)
+    writer = df.write.mode("append")
+    existing = partition_columns(spark, name)
+    if existing:
+        writer = writer.partitionBy(*existing)
+    writer.saveAsTable(name)
 
 
 def _swap(spark: SparkSession, content: DataFrame, name: str) -> None:

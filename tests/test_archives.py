@@ -1,0 +1,51 @@
+import io
+import os
+import tempfile
+import zipfile
+
+import pytest
+
+from strata.sources import archives
+
+
+def make_zip(path, members):
+    with zipfile.ZipFile(path, "w") as zf:
+        for name, text in members.items():
+            zf.writestr(name, text)
+
+
+def test_expand_normalizes_csv_extension():
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        zf.writestr("dir/data.CSV", "a;b\n1;2\n")
+        zf.writestr("notes.txt", "é")
+    rows = archives.expand_archive("x.zip", buf.getvalue())
+    assert sorted(rows) == [("x.zip", "dir/data.csv", 8, 8), ("x.zip", "notes.txt", 2, 1)]
+
+
+def test_unsafe_member_fails_the_archive():
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        zf.writestr("ok.csv", "1")
+        zf.writestr("../unsafe.csv", "2")
+    with pytest.raises(ValueError, match="unsafe"):
+        archives.expand_archive("x.zip", buf.getvalue())
+    assert archives.unsafe_member("/abs.csv") and archives.unsafe_member("a/../b")
+    assert not archives.unsafe_member("a..b.csv")
+
+
+def test_normalisation_collision_raises():
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        zf.writestr("d.CSV", "1")
+        zf.writestr("d.csv", "2")
+    with pytest.raises(ValueError, match="duplicate"):
+        archives.expand_archive("x.zip", buf.getvalue())
+
+
+def test_archive_members_job(spark):
+    folder = tempfile.mkdtemp(prefix="zips-")
+    make_zip(os.path.join(folder, "a.zip"), {"1.CSV": "abc", "2.csv": "de"})
+    make_zip(os.path.join(folder, "b.zip"), {"3.CSV": "x"})
+    got = sorted(tuple(r) for r in archives.archive_members(spark, folder).collect())
+    assert got == [("a.zip", "1.csv", 3, 3), ("a.zip", "2.csv", 2, 2), ("b.zip", "3.csv", 1, 1)]
