@@ -12,11 +12,29 @@ from strata.operators.lineage import add_bronze_metadata
 DEFAULT_SOURCE_SYSTEM = "ANS"
 
 
-def bronze_from_files(raw_csv: DataFrame, batch_id: str | Column, source_system: str = DEFAULT_SOURCE_SYSTEM, as_of=None) -> DataFrame:
-    """CSV scan -> normalised names -> strings -> lineage (path from ``_metadata``) -> hash."""
-    strings = cast_all_to_string(normalize_columns(raw_csv))
+def bronze_from_files(
+    raw_csv: DataFrame,
+    batch_id: str | Column,
+    source_system: str = DEFAULT_SOURCE_SYSTEM,
+    as_of=None,
+    path_column: str | None = None,
+) -> DataFrame:
+    """CSV scan -> normalised names -> strings -> lineage -> hash.
+
+    The source path comes from the scan's ``_metadata.file_path`` unless
+    ``path_column`` names a column that already holds it (streaming batches).
+    """
+    business = [c for c in raw_csv.columns if c != path_column]
+    strings = cast_all_to_string(normalize_columns(raw_csv.select(*[F.col(f"`{c}`") for c in business])))
     payload = list(strings.columns)
-    stamped = add_bronze_metadata(strings, source_system, batch_id, as_of=as_of)
+    source_path = None
+    if path_column:
+        renamed = dict(zip(business, payload))
+        strings = raw_csv.select(
+            *[F.col(f"`{c}`").cast("string").alias(renamed[c]) for c in business], F.col(path_column).alias("_source_path")
+        )
+        source_path = F.col("_source_path")
+    stamped = add_bronze_metadata(strings, source_system, batch_id, source_path=source_path, as_of=as_of)
     return add_record_hash(stamped, payload)
 
 
