@@ -15,12 +15,16 @@ from pyspark.sql import DataFrame
 from strata.session import scratch_path
 
 
-def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` once under ``spark.checkpoint.dir`` and return a scan of it."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+def stage_path(df: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
+    """Write ``df`` once under ``spark.checkpoint.dir``; return the folder."""
+    path = scratch_path(df.sparkSession, name)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.parquet(path)
+    return path
+
+
+def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once under ``spark.checkpoint.dir`` and return a scan of it."""
+    return df.sparkSession.read.parquet(stage_path(df, name, partition_by))

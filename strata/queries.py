@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from strata.operators.staging import stage
+from strata.operators.staging import stage_path
 from strata.plans import gold, reports, silver
 from strata.plans.bronze import bronze_from_frame
 from strata.sources.fixture import BUSINESS_COLUMNS, raw_movement, spread, table
@@ -35,6 +35,25 @@ def stable(df: DataFrame) -> DataFrame:
     )
 
 
+_STAGED: dict[tuple, str] = {}
+FIXTURE_TABLES = ("lineitem", "orders", "customer", "nation", "supplier", "part")
+
+
+def _snapshot_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """Identity of the inputs: application + every input file's path, size and
+    modification time, listed through the Hadoop file system (any scheme)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    files = []
+    for name in FIXTURE_TABLES:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        listing = path.getFileSystem(conf).listFiles(path, True)
+        while listing.hasNext():
+            st = listing.next()
+            files.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return (spark.sparkContext.applicationId, tuple(sorted(files)))
+
+
 class Layers:
     """Lazily built plans of every layer over one data directory."""
 
@@ -56,9 +75,18 @@ class Layers:
 
     @cached_property
     def classified(self) -> DataFrame:
-        # Written once: every silver output reads it, and the optimizer may
-        # not inline the cleaning projection into the rule filters.
-        return stage(silver.classify_movement(self.cleaned), "classified")
+        # Written once per input snapshot: every silver output reads it, and
+        # the optimizer may not inline the cleaning projection into the rule
+        # filters.
+        key = _snapshot_key(self.spark, self.sf_dir)
+        if key not in _STAGED:
+            _STAGED[key] = stage_path(silver.classify_movement(self.cleaned), "classified")
+        return self.spark.read.parquet(_STAGED[key])
+
+    @cached_property
+    def cleaned_rows(self) -> DataFrame:
+        """The cleaned rows, read back from the staged classification."""
+        return self.classified.drop("_rejection_reason")
 
     @cached_property
     def valid(self) -> DataFrame:
@@ -273,7 +301,7 @@ def _q_bronze_meta(L: Layers) -> DataFrame:
 
 @register("silver_metadata")
 def _q_silver_meta(L: Layers) -> DataFrame:
-    return L.cleaned.select("_source_path", "_source_system", "_batch_id", "_ingested_at", "_layer")
+    return L.cleaned_rows.select("_source_path", "_source_system", "_batch_id", "_ingested_at", "_layer")
 
 
 @register("gold_metadata")
@@ -288,18 +316,18 @@ def _q_period_parts(L: Layers) -> DataFrame:
 
 @register("clean_movement")
 def _q_clean_movement(L: Layers) -> DataFrame:
-    return L.cleaned
+    return L.cleaned_rows
 
 
 # ---------------------------------------------------------------- quality
 @register("null_condition")
 def _q_null_condition(L: Layers) -> DataFrame:
-    return L.cleaned.select(*silver.MOVEMENT_KEY, quality.any_null(silver.MOVEMENT_KEY).alias("missing_key"))
+    return L.cleaned_rows.select(*silver.MOVEMENT_KEY, quality.any_null(silver.MOVEMENT_KEY).alias("missing_key"))
 
 
 @register("rejection_reason")
 def _q_rejection_reason(L: Layers) -> DataFrame:
-    return L.cleaned.select(*silver.MOVEMENT_KEY, quality.missing_reason(silver.MOVEMENT_KEY).alias("missing_reason"))
+    return L.cleaned_rows.select(*silver.MOVEMENT_KEY, quality.missing_reason(silver.MOVEMENT_KEY).alias("missing_reason"))
 
 
 @register("rule_counts")
@@ -354,7 +382,7 @@ def _q_latest_period(L: Layers) -> DataFrame:
 
 @register("first_not_null")
 def _q_first_not_null(L: Layers) -> DataFrame:
-    return L.cleaned.groupBy("cd_operadora").agg(
+    return L.cleaned_rows.groupBy("cd_operadora").agg(
         *[dd.first_not_null(c, "_bronze_record_hash") for c in ("nm_razao_social", "nr_cnpj", "modalidade_operadora")]
     )
 
@@ -366,7 +394,7 @@ def _q_latest_batch(L: Layers) -> DataFrame:
 
 @register("dedupe_latest")
 def _q_dedupe(L: Layers) -> DataFrame:
-    return dd.deduplicate_latest(L.cleaned, silver.MOVEMENT_KEY, silver.DEDUPE_ORDER)
+    return dd.deduplicate_latest(L.cleaned_rows, silver.MOVEMENT_KEY, silver.DEDUPE_ORDER)
 
 
 # ---------------------------------------------------------------- silver / gold entities
