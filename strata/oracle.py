@@ -200,14 +200,17 @@ def _reason_sql() -> str:
 _DEDUPE_ORDER = "dt_carga DESC NULLS LAST, _bronze_ingested_at DESC NULLS LAST, _source_path DESC NULLS LAST, _bronze_record_hash DESC NULLS LAST"
 
 
-def _entity_cte(name: str, spec, source: str = "valid") -> str:
+def entity_body(spec, source: str = "valid") -> str:
+    """Latest row per key of ``source`` (rows with a full key), entity columns + record hash."""
     not_null = " AND ".join(f"{k} IS NOT NULL" for k in spec.keys)
-    return f"""{name} AS (
-    SELECT {cols(spec.columns)}, {rhash(spec.hash_columns)} AS _record_hash
+    return f"""SELECT {cols(spec.columns)}, {rhash(spec.hash_columns)} AS _record_hash
     FROM (SELECT *, row_number() OVER (PARTITION BY {cols(spec.keys)} ORDER BY {_DEDUPE_ORDER}) AS rn
           FROM {source} WHERE {not_null})
-    WHERE rn = 1
-)"""
+    WHERE rn = 1"""
+
+
+def _entity_cte(name: str, spec, source: str = "valid") -> str:
+    return f"{name} AS (\n    {entity_body(spec, source)}\n)"
 
 
 SILVER_CTES = f"""

@@ -60,7 +60,7 @@ def oracle_sql() -> dict[str, str]:
 
 # ---------------------------------------------------------------- everything else
 from strata.oracle import (  # noqa: E402
-    AS_OF, cs, cu, digits, in_list, khash, lit, pdate, plong, rhash, _RULES, _entity_cte,
+    _RULES, ALL_CTES, AS_OF, cs, cu, digits, entity_body, in_list, khash, lit, pdate, plong, rhash,
 )
 from strata.functions.constants import VALID_UFS  # noqa: E402
 from strata.plans.gold import DIM_INSURER, DIM_MUNICIPALITY, DIM_PLAN, DIM_PROFILE, PERIOD_COLUMNS  # noqa: E402
@@ -103,38 +103,33 @@ REJECTED_OUT = (MOVEMENT_KEY + ["_source_path", "_bronze_record_hash", "_bronze_
                                 "_record_hash"])
 FACT_OUT = PERIOD_COLUMNS + ["sk_operadora", "sk_municipio", "sk_plano", "sk_perfil_beneficiario"] + COUNT_COLUMNS + GOLD_META
 
-_PLAN_COLS = PLAN.columns  # keys + attributes + silver meta
+_MERGE_JOIN = """m_target t FULL OUTER JOIN m_source s
+    ON t.cd_operadora IS NOT DISTINCT FROM s.cd_operadora AND t.cd_plano IS NOT DISTINCT FROM s.cd_plano"""
 _MERGE_CTES = f"""
-m_target AS (SELECT *, true AS __t FROM ({_entity_cte('x', PLAN, f"(SELECT * FROM valid WHERE _batch_id <= '{MERGE_TARGET_LAST_BATCH}')").split(' AS (', 1)[1].rsplit(')', 1)[0]})),
-m_source0 AS ({_entity_cte('x', PLAN, f"(SELECT * FROM valid WHERE _batch_id = '{MERGE_SOURCE_BATCH}')").split(' AS (', 1)[1].rsplit(')', 1)[0]}),
+m_target AS (
+    SELECT *, true AS __t
+    FROM ({entity_body(PLAN, f"(SELECT * FROM valid WHERE _batch_id <= '{MERGE_TARGET_LAST_BATCH}')")})
+),
+m_source0 AS ({entity_body(PLAN, f"(SELECT * FROM valid WHERE _batch_id = '{MERGE_SOURCE_BATCH}')")}),
 m_source1 AS (
     SELECT * REPLACE (CASE WHEN TRY_CAST(cd_plano AS BIGINT) % 5 = 0 THEN 'ODONTOLOGICO' ELSE cobertura_assist_plan END
                       AS cobertura_assist_plan)
     FROM m_source0
 ),
-m_source AS (SELECT * REPLACE ({rhash(PLAN.hash_columns)} AS _record_hash), true AS __s FROM m_source1),
-m_joined AS (
-    SELECT * FROM m_target t FULL OUTER JOIN m_source s
-      ON t.cd_operadora IS NOT DISTINCT FROM s.cd_operadora AND t.cd_plano IS NOT DISTINCT FROM s.cd_plano
-)"""
+m_source AS (SELECT * REPLACE ({rhash(PLAN.hash_columns)} AS _record_hash), true AS __s FROM m_source1)"""
 
 
-def _merge_select(insert_only: bool) -> str:
+def _merge_sql(insert_only: bool) -> str:
+    """Insert new keys; update matched keys whose hash differs (unless insert-only); keep the rest."""
     take_source = "(t.__t IS NULL OR (s.__s IS NOT NULL AND coalesce(t._record_hash <> s._record_hash, false)))"
     out = []
-    for c in _PLAN_COLS + ["_record_hash"]:
+    for c in PLAN.columns + ["_record_hash"]:
         if c in PLAN.keys or insert_only:
             expr = f"CASE WHEN t.__t IS NOT NULL THEN t.{c} ELSE s.{c} END"
         else:
             expr = f"CASE WHEN {take_source} THEN s.{c} ELSE t.{c} END"
         out.append(f"CAST({expr} AS VARCHAR) AS {c}" if c in TS else f"{expr} AS {c}")
-    return f"SELECT {', '.join(out)} FROM m_joined t"
-
-
-def _merge_sql(insert_only: bool) -> str:
-    sql = with_ctes(_merge_select(insert_only), ctes=__import__("strata.oracle", fromlist=["ALL_CTES"]).ALL_CTES + "," + _MERGE_CTES)
-    # the FULL OUTER JOIN result exposes both sides under aliases t and s
-    return sql.replace("FROM m_joined t", "FROM m_target t FULL OUTER JOIN m_source s ON t.cd_operadora IS NOT DISTINCT FROM s.cd_operadora AND t.cd_plano IS NOT DISTINCT FROM s.cd_plano")
+    return with_ctes(f"SELECT {', '.join(out)} FROM {_MERGE_JOIN}", ctes=ALL_CTES + "," + _MERGE_CTES)
 
 
 _REPLACE = f"""
@@ -233,8 +228,7 @@ ORACLE.update({
     "fact_movement": with_ctes(f"SELECT {sel(FACT_OUT)} FROM fact"),
     "scd1_merge": _merge_sql(False),
     "scd1_merge_insert_only": _merge_sql(True),
-    "partition_replace": with_ctes(_REPLACE, ctes=__import__("strata.oracle", fromlist=["ALL_CTES"]).ALL_CTES
-                                   + ", r_months AS (SELECT DISTINCT id_cmpt_movel FROM s_movement "
+    "partition_replace": with_ctes(_REPLACE, ctes=ALL_CTES + ", r_months AS (SELECT DISTINCT id_cmpt_movel FROM s_movement "
                                    "ORDER BY id_cmpt_movel DESC LIMIT 2)"),
     "page_file_links": f"SELECT * FROM {_PAGE_FILES}",
     "periods_in_range": with_ctes(
