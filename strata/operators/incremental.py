@@ -37,3 +37,9 @@ def load_counters(new_rows: DataFrame, path_column: str = "_source_path") -> Dat
         F.countDistinct(path_column).alias("files_written"),
         F.count(F.lit(1)).alias("rows_written"),
     )
+
+
+def batch_slice(df: DataFrame, batch_id: str, column: str = "_batch_id") -> DataFrame:
+    """Rows of one load batch; on a table partitioned by the batch this is a
+    partition filter, so only that batch's files are read."""
+    return df.where(F.col(column) == batch_id)

@@ -67,7 +67,7 @@ from strata.plans.gold import DIM_INSURER, DIM_MUNICIPALITY, DIM_PLAN, DIM_PROFI
 from strata.plans.silver import COUNT_COLUMNS, MOVEMENT, MOVEMENT_KEY, PLAN, RULE_NAMES  # noqa: E402
 from strata.queries import (  # noqa: E402
     CLEAN_STRING_COLUMNS, CLEAN_UPPER_COLUMNS, DIGIT_COLUMNS, LEDGER_LAST_BATCH, MERGE_SOURCE_BATCH,
-    MERGE_TARGET_LAST_BATCH, PERIOD_RANGE,
+    MERGE_TARGET_LAST_BATCH, PERIOD_RANGE, SLICE_BATCH,
 )
 from strata.sources.fixture import BUSINESS_COLUMNS  # noqa: E402
 
@@ -174,6 +174,7 @@ ORACLE.update({
     "all_string_cast": with_ctes(
         f"SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in MOVEMENT_OUT)} FROM s_movement"),
     "bronze_metadata": with_ctes(f"SELECT {sel(BRONZE_OUT)} FROM bronze"),
+    "batch_slice": with_ctes(f"SELECT {sel(BRONZE_OUT)} FROM bronze WHERE _batch_id = '{SLICE_BATCH}'"),
     "silver_metadata": with_ctes(
         f"SELECT {sel(['_source_path', '_source_system', '_batch_id', '_ingested_at', '_layer'])} FROM cleaned"),
     "gold_metadata": with_ctes(f"SELECT {sel(GOLD_META)} FROM fact"),

@@ -176,3 +176,10 @@ def replace_table(
             *[F.col(c).cast(source.schema[c].dataType) for c in partition_by]
         )
     _swap(spark, replace_frames(spark.table(name), source, partition_by, explicit), name)
+
+
+def inspect_layer(spark: SparkSession, database: str, table: str | None = None, n: int = 10):
+    """Post-load check: the tables of a namespace and, optionally, ``n`` sample rows of one."""
+    names = [t.name for t in spark.catalog.listTables(database)]
+    sample = spark.table(f"{database}.{table}").limit(n) if table else None
+    return names, sample

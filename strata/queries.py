@@ -207,7 +207,7 @@ from strata.functions.hashing import hash_key  # noqa: E402
 from strata.functions.names import cast_all_to_string, normalize_columns  # noqa: E402
 from strata.operators import dedupe as dd  # noqa: E402
 from strata.operators import quality  # noqa: E402
-from strata.operators.incremental import load_counters, new_rows_only  # noqa: E402
+from strata.operators.incremental import batch_slice, load_counters, new_rows_only  # noqa: E402
 from strata.operators.merge import merge_frames, replace_frames  # noqa: E402
 from strata.sources import archives, index_pages  # noqa: E402
 from strata.sources.csv import read_csv_normalized, write_csv  # noqa: E402
@@ -365,6 +365,14 @@ def _new_files(L: Layers) -> DataFrame:
     return new_rows_only(L.bronze, ledger)
 
 
+SLICE_BATCH = "b1998"
+
+
+@register("batch_slice")
+def _q_batch_slice(L: Layers) -> DataFrame:
+    return batch_slice(L.bronze, SLICE_BATCH)
+
+
 @register("new_files_only")
 def _q_new_files(L: Layers) -> DataFrame:
     return _new_files(L).select(*BUSINESS_COLUMNS, "_source_path", "_batch_id", "_record_hash")

@@ -51,3 +51,11 @@ def test_replace_table_rewrites_only_touched_partitions(spark):
     # an empty source still clears the partitions named explicitly
     tables.replace_table(spark.createDataFrame([], "x int, m string"), t, ["m"], values=[{"m": "m1"}])
     assert content(spark, t) == [(3, "m2")]
+
+
+def test_inspect_layer(spark):
+    db = name("insp")
+    tables.append(spark.createDataFrame([(i,) for i in range(20)], "x int"), f"{db}.t1")
+    names, sample = tables.inspect_layer(spark, db, "t1", n=10)
+    assert names == ["t1"]
+    assert sample.count() == 10
