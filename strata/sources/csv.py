@@ -41,3 +41,55 @@ def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, s
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)
+
+
+def _open_uri(uri: str):
+    from pyarrow import fs
+
+    if uri.startswith("file:/") and not uri.startswith("file:///"):
+        uri = "file:///" + uri[len("file:/"):].lstrip("/")
+    filesystem, path = fs.FileSystem.from_uri(uri)
+    return filesystem.open_input_stream(path)
+
+
+def _header_lines(batches):
+    import pandas as pd
+
+    for pdf in batches:
+        heads = []
+        for uri in pdf["path"]:
+            with _open_uri(uri) as stream:
+                first = stream.read(1 << 16).split(b"\n", 1)[0]
+            heads.append(first.decode("utf-8", "replace").rstrip("\r"))
+        yield pd.DataFrame({"path": pdf["path"], "header": heads})
+
+
+def file_headers(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
+    """(path, header line) of every file: a distributed job reading only each file's first bytes."""
+    paths = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", "true")
+        .load(folder)
+        .select("path")
+    )
+    return paths.mapInPandas(_header_lines, "path string, header string")
+
+
+def read_csv_by_header(spark: SparkSession, folder: str, sep: str = ";", glob: str = "*.csv") -> DataFrame:
+    """Files whose columns come in different orders, matched by name, not position.
+
+    Files are grouped by their header line; each group is read with its own
+    header and the groups are unioned by normalised column name (missing
+    columns are NULL).  Only the file list per distinct header reaches the
+    driver, like the file index of any scan.
+    """
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    groups = file_headers(spark, folder, glob).groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    frames = [read_csv_normalized(spark, list(g["paths"]), sep) for g in groups.orderBy("header").collect()]
+    if not frames:
+        raise ValueError(f"no {glob} files under {folder}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
