@@ -28,7 +28,7 @@ from strata.operators.quality import ensure_not_empty
 from strata.operators.staging import stage
 from strata.plans import gold, silver, tables
 from strata.plans.bronze import DEFAULT_SOURCE_SYSTEM, bronze_from_files
-from strata.sources.csv import read_csv_raw
+from strata.sources.csv import read_files_by_header
 
 
 def new_batch_id() -> str:
@@ -80,8 +80,10 @@ def load_bronze(
     paths = [r[0] for r in candidates.collect()]
     if not paths:
         return {"batch_id": batch_id, "files": 0, "rows": 0}
-    raw = read_csv_raw(spark, paths)
-    bronze = bronze_from_files(raw, batch_id, source_system)
+    # Files are grouped by header line and matched by column name, so a
+    # publisher reordering columns cannot shift values between columns.
+    raw = read_files_by_header(spark, spark.createDataFrame([(p,) for p in paths], "path string"))
+    bronze = bronze_from_files(raw, batch_id, source_system, path_column="__file_path")
     tables.append(bronze, names.bronze, partition_by=["_batch_id"])
     written = spark.table(names.bronze).where(F.col("_batch_id") == batch_id)
     counts = written.agg(F.countDistinct("_source_path").alias("files"), F.count(F.lit(1)).alias("rows")).first()

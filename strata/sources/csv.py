@@ -76,6 +76,24 @@ def file_headers(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataF
     return paths.mapInPandas(_header_lines, "path string, header string")
 
 
+def read_files_by_header(spark: SparkSession, paths: DataFrame, sep: str = ";", path_column: str = "__file_path") -> DataFrame:
+    """Like ``read_csv_by_header`` for a frame of file paths (column ``path``);
+    each row also carries its file in ``path_column``."""
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    headers = paths.select("path").mapInPandas(_header_lines, "path string, header string")
+    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    frames = [
+        read_csv_normalized(spark, list(g["paths"]), sep).withColumn(path_column, F.col("_metadata.file_path"))
+        for g in groups.orderBy("header").collect()
+    ]
+    if not frames:
+        raise ValueError("no files to read")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def read_csv_by_header(spark: SparkSession, folder: str, sep: str = ";", glob: str = "*.csv") -> DataFrame:
     """Files whose columns come in different orders, matched by name, not position.
 
