@@ -4,6 +4,7 @@ scratch location every job that cuts lineage or stages files must use."""
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -53,3 +54,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder path under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package, once per application, where it is not installed there."""
+    context = spark.sparkContext
+    if any(name.rpartition("/")[2].startswith("strata-package-") for name in context.listFiles):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    base = os.path.join(tempfile.mkdtemp(prefix="strata-"), f"strata-package-{uuid.uuid4().hex[:8]}")
+    context.addPyFile(shutil.make_archive(base, "zip", root, "strata"))
