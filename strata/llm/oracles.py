@@ -55,7 +55,7 @@ FROM checked c JOIN levels l USING (conv_id, turn) LEFT JOIN answers a USING (co
 OP2 = f"""
 WITH bodies AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 digests AS (
-  SELECT page_id, strlen(body)::BIGINT AS payload_bytes, array_to_string(list_transform(generate_series(0, 31), i ->
+  SELECT page_id, strlen(body)::BIGINT AS payload_bytes, array_to_string(list_transform(generate_series(0, 31), lambda i:
     substr('{B32}', 1 + ((('0x' || substr(sha1(body), 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT, 1)), '') AS payload_digest
   FROM bodies
 ), kept AS (SELECT payload_digest, max(page_id) AS last FROM digests GROUP BY ALL)

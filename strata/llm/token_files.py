@@ -21,8 +21,11 @@ each is encoded; an empty table gives no files.  Other columns are ignored.
 
 from __future__ import annotations
 
+import functools
+import itertools
+import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,37 +39,184 @@ from strata.operators.staging import stage
 # Fixed value of the format: the magic that ends an Arrow IPC file.
 ENDING = "ARROW1"
 
-#: Distinct words that a task keeps encoded; beyond it the store starts anew.
-KEPT_WORDS = 400_000
+#: Distinct words in each of the two generations that a Python worker keeps encoded.
+KEPT_WORDS = 300_000
+
+#: Bytes of text that are cut into words at once; a longer text goes in pieces that end at blanks.
+CUT_AT_ONCE = 4 << 20
+
+#: Words encoded in one call.
+CALL_WORDS = 2_000
+
+#: Punctuation that ends a run of ASCII letters for the tokenizer, whatever follows.
+TAIL = b".,;:!?$*&%#|"
 
 SPAN_SCHEMA = "file_no long, file_tokens long, place long, doc_id long, in_file long, n_tokens long, ids_crc32 long"
 
 
 class WordEncoder:
-    """Encodes texts with a tokenizer, each distinct word once.
+    """Encodes texts with a tokenizer, each distinct word of many texts once.
 
-    Texts are cut at blanks and line feeds.  That is exact for tokenizers that
-    drop white space and merge within words only, such as the word-level one
-    this module is used with; a test holds it against whole-text encoding.
+    Texts are cut at blanks and line feeds, and ASCII letters are cut from the
+    punctuation behind them.  That is exact for tokenizers that lower their
+    input, drop white space and merge within runs of letters only, such as the
+    one this module is used with; a test holds it against whole texts.
     """
 
     def __init__(self, tokenizer_path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark deals out the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> np.ndarray:
-        words = text.replace("\n", " ").split(" ")
-        new = [w for w in set(words) if w not in self.known]
-        if new:
-            if len(self.known) > KEPT_WORDS:
-                self.known.clear()
-                new = list(set(words))
-            for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, self.dtype).tobytes()
-        return np.frombuffer(b"".join(map(self.known.__getitem__, words)), self.dtype)
+        size = self.tokenizer.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.closes = np.zeros(size, bool)  # ids that end a run of letters
+        for token, i in self.tokenizer.get_vocab().items():
+            self.closes[i] = bool(suffix) and token.endswith(suffix)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content.encode().lower() for token in added]
+        self.known: dict[bytes, bytes] = {}
+        self.last: dict[bytes, bytes] = {}
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """The ids of each text, in order."""
+        held: list[bytes] = []
+        size = 0
+        for text in texts:
+            raw = text.encode().lower()  # A-Z only
+            whole = any(token in raw for token in self.added)
+            if whole or len(raw) > CUT_AT_ONCE:
+                yield from self._encoded(held)
+                held, size = [], 0
+            if whole:  # strings that the tokenizer looks for before it cuts
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
+                continue
+            if len(raw) > CUT_AT_ONCE:
+                yield np.concatenate([ids for piece in _pieces(raw) for ids in self._encoded([piece])])
+                continue
+            if held and size + len(raw) > CUT_AT_ONCE:
+                yield from self._encoded(held)
+                held, size = [], 0
+            held.append(raw)
+            size += len(raw) + 1
+        yield from self._encoded(held)
+
+    def _encoded(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        if not texts:
+            return
+        data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+        first = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+        starts, lengths = _cut(data)
+        if not len(starts):
+            yield from (np.zeros(0, self.dtype) for _ in texts)
+            return
+        one, same = _distinct(data, starts, lengths)
+        raw = data.tobytes()
+        words = [raw[i:j] for i, j in zip(starts[one].tolist(), (starts + lengths)[one].tolist())]
+        found = self._ids(words)
+        counts = np.array([len(x) for x in found]) // self.dtype.itemsize
+        bank = np.frombuffer(b"".join(found), self.dtype)
+        ids, before = _gather(bank, np.cumsum(counts) - counts, counts, same)
+        for i, j in itertools.pairwise(before[np.searchsorted(starts, first)].tolist()):
+            yield ids[i:j]
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        if len(self.known) > KEPT_WORDS:
+            self.known, self.last = {}, self.known
+        known, last = self.known, self.last
+        new = []
+        for word in words:
+            if word not in known:
+                if word in last:
+                    known[word] = last[word]
+                else:
+                    new.append(word)
+        text = {word: word.decode() for word in new}
+        letters = [w for w in new if text[w].isalpha()]
+        for i in range(0, len(letters), CALL_WORDS):
+            self._runs(letters[i : i + CALL_WORDS], text)
+        self._each([w for w in new if w not in known], text)
+        return [known[word] for word in words]
+
+    def _runs(self, words: list[bytes], text: dict[bytes, str]) -> None:
+        """Runs of letters in one call, if each ends in just one closing id."""
+        joined = " ".join(text[w] for w in words)
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.dtype)
+        stops = (np.flatnonzero(self.closes[ids]) + 1) * self.dtype.itemsize
+        if len(stops) == len(words) and stops[-1] == ids.nbytes:
+            raw, stops = ids.tobytes(), stops.tolist()
+            self.known.update(zip(words, map(raw.__getitem__, map(slice, [0, *stops], stops))))
+
+    def _each(self, words: list[bytes], text: dict[bytes, str]) -> None:
+        for i in range(0, len(words), CALL_WORDS):
+            part = words[i : i + CALL_WORDS]
+            found = self.tokenizer.encode_batch_fast([text[w] for w in part], add_special_tokens=False)
+            self.known.update((w, np.array(x.ids, self.dtype).tobytes()) for w, x in zip(part, found))
+
+
+def _pieces(raw: bytes) -> Iterator[bytes]:
+    start = 0
+    while start < len(raw):
+        stop = raw.find(b" ", start + CUT_AT_ONCE)
+        stop = len(raw) if stop < 0 else stop
+        yield raw[start:stop]
+        start = stop
+
+
+def _cut(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and how long they are."""
+    kind = np.zeros(256, np.uint8)
+    kind[[32, 10]] = 1
+    kind[list(TAIL)] = 2
+    kind[97:123] = 3
+    kinds = kind[data]
+    blank = kinds == 1
+    begins = ~blank
+    begins[1:] &= blank[:-1] | ((kinds[1:] == 2) & (kinds[:-1] == 3))
+    starts = np.flatnonzero(begins)
+    ends = np.flatnonzero(blank)
+    # a word ends at the next blank, or where the next word starts
+    stop = ends[np.searchsorted(ends, starts)]
+    stop[:-1] = np.minimum(stop[:-1], starts[1:])
+    return starts, stop - starts
+
+
+def _distinct(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One occurrence of each distinct word, and per word which it is.
+
+    Words are told apart by a polynomial hash; every word is then compared
+    with its representative, and a collision falls back to comparing all.
+    """
+    before = np.cumsum(lengths) - lengths
+    place = np.arange(before[-1] + lengths[-1]) - np.repeat(before, lengths)
+    letters = data[place + np.repeat(starts, lengths)]
+    powers = np.full(int(lengths.max()), 0x9E3779B97F4A7C15, np.uint64)
+    powers[0] = 1
+    powers = np.cumprod(powers)
+    hashes = np.add.reduceat((letters.astype(np.uint64) + np.uint64(1)) * powers[place], before)
+    _, one, same = np.unique(hashes, return_index=True, return_inverse=True)
+    twins = starts[one][same]
+    if np.array_equal(lengths[one][same], lengths) and np.array_equal(data[place + np.repeat(twins, lengths)], letters):
+        return one, same
+    raw = data.tobytes()
+    seen: dict[bytes, int] = {}
+    same = np.array([seen.setdefault(raw[i : i + n], len(seen)) for i, n in zip(starts.tolist(), lengths.tolist())])
+    return np.unique(same, return_index=True)[1], same
+
+
+def _gather(bank: np.ndarray, first: np.ndarray, counts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bank's runs named by ``which`` one after another, and where each starts (and the end)."""
+    sizes = counts[which]
+    before = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.arange(before[-1]) + np.repeat(first[which] - before[:-1], sizes)
+    return bank[at], before
+
+
+@functools.cache
+def encoder(tokenizer_path: str) -> WordEncoder:
+    """One per Python worker: Spark uses a worker for many tasks, and its words come again."""
+    return WordEncoder(tokenizer_path)
 
 
 def write_token_files(
@@ -95,13 +245,12 @@ def write_token_files(
     ordered = rows.repartitionByRange(*by).sortWithinPartitions(*by, "text")
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = WordEncoder(tokenizer_path)
-        end = np.array([end_id], encoder.dtype)
+        words = encoder(tokenizer_path)
+        end = np.array([end_id], words.dtype)
         task, number = TaskContext.get().partitionId(), 0
         parts, ids, sizes, held = [], [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                tokens = encoder.encode(text)
+            for doc_id, tokens in zip(batch["doc_id"], words.encode_all(batch["text"])):
                 parts += [tokens, end]
                 ids.append(doc_id)
                 sizes.append(len(tokens) + 1)
