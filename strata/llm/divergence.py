@@ -6,8 +6,9 @@ divergence in bits, 0 to 1).  The references are the summed histograms of all
 documents of the language.  Documents too short to have a stable histogram are
 not judged by it, only by the base rules.
 
-Everything is DataFrame expressions in one pass over the documents, and one
-pass before it that sums the references: no text is shuffled.
+Everything is DataFrame expressions.  One pass over the texts makes the counts
+and histograms, which are staged; the references are their sums by language,
+and the distances need the staged histograms only.  No text is shuffled.
 
 Defined results: a null or empty text has no words, fails the base rules and
 is not kept; a null language is a language of its own; repeated rows each get
@@ -20,6 +21,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from strata.operators.staging import stage
+
 # White space and symbols of the base rules.
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -33,7 +36,7 @@ COMMON_WORDS = (
 ).split()
 
 # Character classes as Java and RE2 write them; the rest is the last class.
-CLASSES = (r"\p{Ll}", r"\p{Lu}", r"\p{N}", r".,;:!?'\"()\-")
+CLASSES = (r"\p{Ll}", r"\p{Lu}", r"\p{N}", r".,;:!?'\"()-")
 
 #: Languages beyond which the references are refused: they pass through the driver.
 MAX_LANGUAGES = 10_000
@@ -86,22 +89,42 @@ def repeated_word_count(words: Column) -> Column:
 
 
 def class_counts(text: Column) -> Column:
-    """Characters of each class and of none, blanks left out."""
-    blankless = F.translate(text, BLANKS, "")
+    """Characters of each class and of none, blanks left out.
 
-    def counts(t: Column) -> Column:
-        found = [F.length(F.regexp_replace(t, f"[^{c}]+", "")) for c in CLASSES]
-        return F.array(*found, F.length(t) - sum(found[1:], found[0])).cast("array<long>")
+    Each class is cut out of what the ones before it left, so that all but
+    the first look at short rests only.
+    """
 
-    return let(blankless, counts)
+    def counted(rest: Column, classes: tuple[str, ...], found: list[Column]) -> Column:
+        if not classes:
+            return F.array(*found, F.length(rest)).cast("array<long>")
+        less = F.regexp_replace(rest, f"[{classes[0]}]+", "")
+        return let(less, lambda r: counted(r, classes[1:], [*found, F.length(rest) - F.length(r)]))
 
+    return let(F.translate(text, BLANKS, ""), lambda t: counted(t, CLASSES, []))
 
-def word_codes(text: Column) -> Column:
-    """Per run of letters its place among the common words, or their number for any other."""
-    runs = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
+
+def word_counts(text: Column) -> Column:
+    """``code, n`` per common word of the text, by place in the list; all other runs of letters share the last code."""
     table = F.array(*map(F.lit, COMMON_WORDS))
     code = lambda w: F.when(w.isin(COMMON_WORDS), F.array_position(table, w).cast("int") - 1)
-    return F.transform(runs, lambda w: F.coalesce(code(w), F.lit(len(COMMON_WORDS))))
+
+    def counted(s: Column) -> Column:
+        """Runs of equal sorted codes."""
+        last = F.size(s) - 1
+        places = F.filter(F.sequence(F.lit(0), last), lambda k: (k == 0) | (s[k] != s[F.greatest(k - 1, F.lit(0))]))
+
+        def run(starts: Column) -> Column:
+            stop = lambda j: F.when(j == F.size(starts) - 1, last + 1).otherwise(
+                starts[F.least(j + 1, F.size(starts) - 1)]
+            )
+            return F.transform(starts, lambda at, j: F.struct(s[at].alias("code"), (stop(j) - at).alias("n")))
+
+        return F.when(F.size(s) > 0, let(places, run)).otherwise(F.array().cast("array<struct<code:int,n:int>>"))
+
+    runs = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
+    codes = F.transform(runs, lambda w: F.coalesce(code(w), F.lit(len(COMMON_WORDS))))
+    return let(F.sort_array(codes), counted)
 
 
 def _half(p: Column, q: Column) -> Column:
@@ -119,53 +142,71 @@ def class_distance(counts: Column, reference: Column) -> Column:
     return let(total, lambda n: F.when(n > 0, distance(n)))
 
 
-def word_distance(codes: Column, reference: Column) -> Column:
-    """By runs of equal sorted codes; common words that are absent add half their share."""
+def word_distance(counts: Column, reference: Column) -> Column:
+    """Common words that the text lacks add half of their share each."""
+    total = F.aggregate(counts, F.lit(0), lambda a, x: a + x["n"])
 
-    def distance(s: Column) -> Column:
-        last = F.size(s) - 1
-        places = F.filter(F.sequence(F.lit(0), last), lambda k: (k == 0) | (s[k] != s[F.greatest(k - 1, F.lit(0))]))
+    def distance(n: Column) -> Column:
+        def term(x: Column) -> Column:
+            return let(
+                F.struct((x["n"] / n).alias("p"), reference[x["code"]].alias("q")),
+                lambda y: (_half(y["p"], y["q"]) + _half(y["q"], y["p"]) - y["q"]) / 2,
+            )
 
-        def summed(starts: Column) -> Column:
-            def term(at: Column, j: Column) -> Column:
-                stop = F.when(j == F.size(starts) - 1, last + 1).otherwise(starts[F.least(j + 1, F.size(starts) - 1)])
-                return let(
-                    F.struct(((stop - at) / (last + 1)).alias("p"), reference[s[at]].alias("q")),
-                    lambda x: (_half(x["p"], x["q"]) + _half(x["q"], x["p"]) - x["q"]) / 2,
-                )
+        return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(F.transform(counts, term), F.lit(0.5), lambda a, x: a + x)))
 
-            total = F.aggregate(F.transform(starts, term), F.lit(0.5), lambda a, x: a + x)
-            return F.sqrt(F.greatest(F.lit(0.0), total))
+    return let(total, lambda n: F.when(n > 0, distance(n)))
 
-        return let(places, summed)
 
-    return F.when(F.size(codes) > 0, let(F.sort_array(codes), distance))
+def measure_documents(docs: DataFrame) -> DataFrame:
+    """Per document of ``docs(doc_id, text, lang)`` the base counts and both histograms."""
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("lang").cast("string").alias("lang"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    )
+    text = F.col("text")
+    counted = let(
+        words_of(text),
+        lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_word_count(w).alias("n_repeat_words")),
+    )
+    return rows.select(
+        "doc_id",
+        "lang",
+        counted.alias("counted"),
+        F.length(F.translate(text, BLANKS, "")).cast("long").alias("word_chars"),
+        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        repeated_line_count(text).alias("n_dup_lines"),
+        class_counts(text).alias("classes"),
+        word_counts(text).alias("words"),
+    ).select("doc_id", "lang", "counted.*", "word_chars", "n_symbols", "n_dup_lines", "classes", "words")
 
 
-def language_references(docs: DataFrame) -> DataFrame:
-    """``lang, class_shares, word_shares`` from all of ``docs(text, lang)``."""
-    rows = docs.select(F.col("lang").cast("string").alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    classes = rows.select("lang", class_counts(F.col("text")).alias("c")).groupBy("lang").agg(
-        *[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(len(CLASSES) + 1)]
-    )
+def language_references(measured: DataFrame) -> DataFrame:
+    """``lang, class_shares, word_shares``: the histograms of all measured documents, summed."""
+    n = len(CLASSES) + 1
+    classes = measured.groupBy("lang").agg(F.array(*[F.sum(F.col("classes")[i]) for i in range(n)]).alias("classes"))
     words = (
-        rows.select("lang", F.explode(word_codes(F.col("text"))).alias("code"))
-        .groupBy("lang", "code")
-        .count()
+        measured.select("lang", F.explode("words").alias("word"))
+        .groupBy("lang", "word.code")
+        .agg(F.sum("word.n").alias("n"))
         .groupBy("lang")
-        .agg(F.map_from_entries(F.collect_list(F.struct("code", "count"))).alias("found"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("code", "n"))).alias("found"))
     )
-    total = sum([F.col(f"c{i}") for i in range(1, len(CLASSES) + 1)], F.col("c0"))
-    size = F.aggregate(F.map_values("found"), F.lit(0).cast("long"), lambda a, x: a + x)
+    summed = lambda array: F.aggregate(array, F.lit(0).cast("long"), lambda a, x: a + x)
+    share = lambda x, total: F.when(total > 0, x / total).otherwise(0.0)
     return (
         classes.alias("c")
         .join(words.alias("w"), F.col("c.lang").eqNullSafe(F.col("w.lang")), "left")
         .select(
             "c.lang",
-            F.array(*[F.when(total > 0, F.col(f"c{i}") / total).otherwise(0.0) for i in range(len(CLASSES) + 1)]).alias("class_shares"),
-            F.transform(
-                F.sequence(F.lit(0), F.lit(len(COMMON_WORDS))),
-                lambda i: F.coalesce(F.element_at("found", i) / size, F.lit(0.0)),
+            let(summed(F.col("classes")), lambda t: F.transform("classes", lambda x: share(x, t))).alias("class_shares"),
+            let(
+                summed(F.map_values("found")),
+                lambda t: F.transform(
+                    F.sequence(F.lit(0), F.lit(len(COMMON_WORDS))),
+                    lambda i: F.coalesce(share(F.element_at("found", i), t), F.lit(0.0)),
+                ),
             ).alias("word_shares"),
         )
     )
@@ -182,51 +223,37 @@ def judge_documents(
     """Per document the base counts, both distances and ``kept``.
 
     A distance is judged only from ``min_chars`` characters or ``min_words``
-    letter runs on; ``references`` replaces those of ``docs`` itself.
+    letter runs on; ``references`` replaces those of ``docs`` itself.  The
+    measures are staged once, so texts are read once.
     """
-    known = (language_references(docs) if references is None else references).limit(MAX_LANGUAGES + 1).collect()
+    measured = stage(measure_documents(docs), "measures")
+    known = (language_references(measured) if references is None else references).limit(MAX_LANGUAGES + 1).collect()
     if len(known) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     shares = docs.sparkSession.createDataFrame(
         known, "lang string, class_shares array<double>, word_shares array<double>"
     )
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("lang").cast("string").alias("lang"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    )
-    text = F.col("d.text")
-    counted = let(
-        words_of(text),
-        lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_word_count(w).alias("n_repeat_words")),
-    )
-    measured = rows.alias("d").join(
+    judged = measured.alias("d").join(
         F.broadcast(shares.alias("r")), F.col("d.lang").eqNullSafe(F.col("r.lang")), "left"
     ).select(
-        "d.doc_id",
-        counted.alias("counted"),
-        F.length(F.translate(text, BLANKS, "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        repeated_line_count(text).alias("n_dup_lines"),
-        let(class_counts(text), lambda c: class_distance(c, F.col("r.class_shares"))).alias("class_distance"),
-        let(
-            word_codes(text),
-            lambda c: F.struct(F.size(c).alias("n"), word_distance(c, F.col("r.word_shares")).alias("distance")),
-        ).alias("word"),
+        "d.*",
+        class_distance(F.col("d.classes"), F.col("r.class_shares")).alias("class_distance"),
+        word_distance(F.col("d.words"), F.col("r.word_shares")).alias("word_distance"),
+        F.aggregate("d.words", F.lit(0), lambda a, x: a + x["n"]).alias("n_runs"),
     )
-    failed = (F.col("counted.n_words") < 50) | (100 * F.col("counted.n_repeat_words") > 50 * F.col("counted.n_words"))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     strange = ((F.col("word_chars") >= min_chars) & (F.col("class_distance") > max_class_distance)) | (
-        (F.col("word.n") >= min_words) & (F.col("word.distance") > max_word_distance)
+        (F.col("n_runs") >= min_words) & (F.col("word_distance") > max_word_distance)
     )
-    return measured.select(
+    return judged.select(
         "doc_id",
-        "counted.n_words",
+        "n_words",
         "word_chars",
         "n_symbols",
         "n_dup_lines",
-        "counted.n_repeat_words",
+        "n_repeat_words",
         failed.alias("base_failed"),
         "class_distance",
-        F.col("word.distance").alias("word_distance"),
+        "word_distance",
         (~failed & ~F.coalesce(strange, F.lit(False))).alias("kept"),
     )

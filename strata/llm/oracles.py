@@ -91,5 +91,64 @@ FROM ruled
 """
 
 
+# common words that the histograms know; every other run of letters is ''
+OP4 = r"""
+WITH common AS (SELECT unnest(string_split(
+  'the of and to in a is that it for as with on be are at this by or was from an have not you '
+  || 'der die das und ist den von zu mit sich des auf für im dem nicht ein eine als auch es '
+  || 'le la les de des du un une et en que qui dans pour par sur avec est au pas plus ce il '
+  || 'el los las y del se por con no su una para es al lo como más pero sus', ' ')) AS word),
+d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text FROM documents),
+listed AS (SELECT rid, list_filter(string_split_regex(text, '[ \x09-\x0D]+'), lambda x: x <> '') AS ws FROM d),
+tokens AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM listed),
+windows AS (
+  SELECT rid, i, [word, lead(word) OVER p, lead(word, 2) OVER p] AS three, lead(word, 2) OVER p IS NOT NULL AS whole
+  FROM tokens WINDOW p AS (PARTITION BY rid ORDER BY i)
+), twice AS (
+  SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, three) AS c FROM windows WHERE whole) WHERE c >= 2
+), covered AS (
+  SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS j FROM twice) GROUP BY rid
+), lines AS (
+  SELECT rid, count(*) - count(DISTINCT line) AS n
+  FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^ \x09-\x0D]') GROUP BY rid
+), base AS (
+  SELECT rid, doc_id, lang, len(ws)::BIGINT AS n_words,
+    length(regexp_replace(text, '[ \x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+    coalesce(l.n, 0)::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+    length(regexp_replace(text, '[^\p{Ll}]+', '', 'g')) AS c0, length(regexp_replace(text, '[^\p{Lu}]+', '', 'g')) AS c1,
+    length(regexp_replace(text, '[^\p{N}]+', '', 'g')) AS c2, length(regexp_replace(text, '[^.,;:!?''"()-]+', '', 'g')) AS c3
+  FROM d JOIN listed USING (rid) LEFT JOIN covered c USING (rid) LEFT JOIN lines l USING (rid)
+), classes AS (
+  SELECT rid, lang, unnest([0, 1, 2, 3, 4]) AS k, unnest([c0, c1, c2, c3, word_chars - c0 - c1 - c2 - c3])::DOUBLE AS n FROM base
+), class_shares AS (
+  SELECT lang, k, sum(n) / nullif(sum(sum(n)) OVER (PARTITION BY lang), 0) AS q FROM classes GROUP BY lang, k
+), class_terms AS (
+  SELECT rid, n / nullif(sum(n) OVER (PARTITION BY rid), 0) AS p, q
+  FROM classes c JOIN class_shares s ON s.k = c.k AND s.lang IS NOT DISTINCT FROM c.lang
+), class_far AS (
+  SELECT rid, sqrt(greatest(0, sum(
+    (CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2))) AS far
+  FROM class_terms WHERE p IS NOT NULL GROUP BY rid
+), runs AS (
+  SELECT rid, lang, coalesce(c.word, '') AS word, count(*)::DOUBLE AS n
+  FROM (SELECT rid, lang, unnest(string_split_regex(lower(text), '[^\p{L}]+')) AS run FROM d) r
+  LEFT JOIN (SELECT DISTINCT word FROM common) c ON c.word = r.run WHERE run <> '' GROUP BY rid, lang, c.word
+), word_shares AS (
+  SELECT lang, word, sum(n) / sum(sum(n)) OVER (PARTITION BY lang) AS q FROM runs GROUP BY lang, word
+), word_terms AS (
+  SELECT rid, n, n / sum(n) OVER (PARTITION BY rid) AS p, q
+  FROM runs r JOIN word_shares s ON s.word = r.word AND s.lang IS NOT DISTINCT FROM r.lang
+), word_far AS (
+  SELECT rid, sum(n) AS n_runs, sqrt(greatest(0, 0.5 + sum((p * log2(2 * p / (p + q)) + q * log2(2 * q / (p + q)) - q) / 2))) AS far
+  FROM word_terms GROUP BY rid
+), failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(word_chars >= 200 AND c.far > 0.28, false)
+         AND NOT coalesce(n_runs >= 150 AND w.far > 0.30, false) AS kept
+FROM failed LEFT JOIN class_far c USING (rid) LEFT JOIN word_far w USING (rid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_tool_calls": OP1, "op2_warc_dictionary": OP2, "op7_url_digests": OP7}
+    return {"op1_tool_calls": OP1, "op2_warc_dictionary": OP2, "op4_divergence": OP4, "op7_url_digests": OP7}

@@ -34,23 +34,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from strata.llm.blobs import read_blobs, write_blobs
+from strata.llm.words import cut_words, distinct_words
 from strata.operators.staging import stage
 
 # Fixed value of the format: the magic that ends an Arrow IPC file.
 ENDING = "ARROW1"
 
 #: Distinct words in each of the two generations that a Python worker keeps encoded.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 200_000
 
 #: Bytes of text that are cut into words at once; a longer text goes in pieces that end at blanks.
-CUT_AT_ONCE = 4 << 20
+CUT_AT_ONCE = 2 << 20
 
 #: Words encoded in one call.
 CALL_WORDS = 2_000
 
-#: Punctuation that ends a run of ASCII letters for the tokenizer, whatever follows.
-TAIL = b".,;:!?$*&%#|"
-
 SPAN_SCHEMA = "file_no long, file_tokens long, place long, doc_id long, in_file long, n_tokens long, ids_crc32 long"
 
 
@@ -107,11 +105,11 @@ class WordEncoder:
             return
         data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         first = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
-        starts, lengths = _cut(data)
+        starts, lengths = cut_words(data)
         if not len(starts):
             yield from (np.zeros(0, self.dtype) for _ in texts)
             return
-        one, same = _distinct(data, starts, lengths)
+        one, same = distinct_words(data, starts, lengths)
         raw = data.tobytes()
         words = [raw[i:j] for i, j in zip(starts[one].tolist(), (starts + lengths)[one].tolist())]
         found = self._ids(words)
@@ -164,47 +162,6 @@ def _pieces(raw: bytes) -> Iterator[bytes]:
         start = stop
 
 
-def _cut(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where words start and how long they are."""
-    kind = np.zeros(256, np.uint8)
-    kind[[32, 10]] = 1
-    kind[list(TAIL)] = 2
-    kind[97:123] = 3
-    kinds = kind[data]
-    blank = kinds == 1
-    begins = ~blank
-    begins[1:] &= blank[:-1] | ((kinds[1:] == 2) & (kinds[:-1] == 3))
-    starts = np.flatnonzero(begins)
-    ends = np.flatnonzero(blank)
-    # a word ends at the next blank, or where the next word starts
-    stop = ends[np.searchsorted(ends, starts)]
-    stop[:-1] = np.minimum(stop[:-1], starts[1:])
-    return starts, stop - starts
-
-
-def _distinct(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One occurrence of each distinct word, and per word which it is.
-
-    Words are told apart by a polynomial hash; every word is then compared
-    with its representative, and a collision falls back to comparing all.
-    """
-    before = np.cumsum(lengths) - lengths
-    place = np.arange(before[-1] + lengths[-1]) - np.repeat(before, lengths)
-    letters = data[place + np.repeat(starts, lengths)]
-    powers = np.full(int(lengths.max()), 0x9E3779B97F4A7C15, np.uint64)
-    powers[0] = 1
-    powers = np.cumprod(powers)
-    hashes = np.add.reduceat((letters.astype(np.uint64) + np.uint64(1)) * powers[place], before)
-    _, one, same = np.unique(hashes, return_index=True, return_inverse=True)
-    twins = starts[one][same]
-    if np.array_equal(lengths[one][same], lengths) and np.array_equal(data[place + np.repeat(twins, lengths)], letters):
-        return one, same
-    raw = data.tobytes()
-    seen: dict[bytes, int] = {}
-    same = np.array([seen.setdefault(raw[i : i + n], len(seen)) for i, n in zip(starts.tolist(), lengths.tolist())])
-    return np.unique(same, return_index=True)[1], same
-
-
 def _gather(bank: np.ndarray, first: np.ndarray, counts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The bank's runs named by ``which`` one after another, and where each starts (and the end)."""
     sizes = counts[which]
