@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import divergence, oracles, pfair, token_files, tool_calls, toxicity, url_digests, warc_dictionary
+from strata.llm import decontamination, divergence, oracles, pfair, token_files, tool_calls, toxicity, url_digests, warc_dictionary
 from strata.session import scratch_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,10 @@ def op2_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge_documents(_table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
@@ -91,7 +95,16 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_tool_calls, op2_warc_dictionary, op4_divergence, op5_token_files, op7_url_digests, op8_pfair_mixture, op9_toxicity]
+    found = [
+        op1_tool_calls,
+        op2_warc_dictionary,
+        op3_decontamination,
+        op4_divergence,
+        op5_token_files,
+        op7_url_digests,
+        op8_pfair_mixture,
+        op9_toxicity,
+    ]
     return {q.__name__: _shipped(q) for q in found}
 
 
