@@ -8,7 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import decontamination, divergence, oracles, pfair, token_files, tool_calls, toxicity, url_digests, warc_dictionary
+from strata.llm import decontamination, divergence, oracles, pfair, secret_forest, token_files, tool_calls, toxicity, url_digests, warc_dictionary
+from strata.operators.staging import stage
 from strata.session import scratch_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +95,16 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.7)
 
 
+def op10_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings are labelled by review rules; the forest judges all candidates, also those they leave open."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.col("source").alias("path"))
+    candidates = stage(secret_forest.review_by_rule(secret_forest.describe_candidates(docs)), "described")
+    findings = candidates.where("label is not null")
+    judged = secret_forest.remove_false_findings(candidates, findings)
+    columns = ["doc_id", "place", "length", "changes", "entropy", "dictionary_share", "label", "score", "is_secret"]
+    return judged.select(*columns, F.sha2("candidate", 256).alias("digest"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_tool_calls,
@@ -104,6 +115,7 @@ def queries() -> dict[str, Query]:
         op7_url_digests,
         op8_pfair_mixture,
         op9_toxicity,
+        op10_secret_forest,
     ]
     return {q.__name__: _shipped(q) for q in found}
 
