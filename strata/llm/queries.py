@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import decontamination, divergence, oracles, pfair, secret_forest, token_files, tool_calls, toxicity, url_digests, warc_dictionary
+from strata.llm import decontamination, divergence, ngram_groups, oracles, pfair, secret_forest, token_files, tool_calls, toxicity, url_digests, warc_dictionary
 from strata.operators.staging import stage
 from strata.session import scratch_path, ship_package
 
@@ -74,6 +74,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_spans(spark, path)
 
 
+def op6_ngram_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_groups.near_duplicates(_table(spark, sf_dir, "documents"), percent=75, width=5).drop("set_key")
+
+
 def op7_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list: every URL with a path whose page repeats the body of a page with a smaller id."""
     pages = _table(spark, sf_dir, "pages")
@@ -112,6 +116,7 @@ def queries() -> dict[str, Query]:
         op3_decontamination,
         op4_divergence,
         op5_token_files,
+        op6_ngram_groups,
         op7_url_digests,
         op8_pfair_mixture,
         op9_toxicity,

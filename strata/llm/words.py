@@ -8,11 +8,11 @@ import numpy as np
 TAIL = b".,;:!?$*&%#|"
 
 
-def cut_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where words start and how long they are."""
+def cut_words(data: np.ndarray, blanks: bytes = b" \n", tail: bytes = TAIL) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and how long they are; the data ends in a blank."""
     kind = np.zeros(256, np.uint8)
-    kind[[32, 10]] = 1
-    kind[list(TAIL)] = 2
+    kind[list(blanks)] = 1
+    kind[list(tail)] = 2
     kind[97:123] = 3
     kinds = kind[data]
     blank = kinds == 1
@@ -26,23 +26,46 @@ def cut_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, stop - starts
 
 
-def distinct_words(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One occurrence of each distinct word, and per word which it is.
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit values that spreads every bit."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-    Words are told apart by a polynomial hash; every word is then compared
-    with its representative, and a collision falls back to comparing all.
-    """
+
+def _laid_out(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per word where its bytes begin when words are laid side by side; per byte its place in the word and in the data."""
     before = np.cumsum(lengths) - lengths
     total = int(before[-1] + lengths[-1])
-    index = np.int32 if len(data) < 1 << 31 else np.int64  # half the memory wherever it will do
+    index = np.int32 if int(starts[-1] + lengths[-1]) < 1 << 31 else np.int64  # half the memory wherever it will do
     place = np.arange(total, dtype=index) - np.repeat(before.astype(index), lengths)
-    letters = data[place + np.repeat(starts.astype(index), lengths)]
-    powers = np.full(int(lengths.max()), 0x9E3779B97F4A7C15, np.uint64)
+    return before, place, place + np.repeat(starts.astype(index), lengths)
+
+
+def _polynomials(letters: np.ndarray, place: np.ndarray, before: np.ndarray, longest: int) -> np.ndarray:
+    powers = np.full(longest, 0x9E3779B97F4A7C15, np.uint64)
     powers[0] = 1
     powers = np.cumprod(powers)
-    hashes = np.add.reduceat((letters.astype(np.uint64) + np.uint64(1)) * powers[place], before)
+    return np.add.reduceat((letters.astype(np.uint64) + np.uint64(1)) * powers[place], before)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word."""
+    before, place, at = _laid_out(starts, lengths)
+    return mix(_polynomials(data[at], place, before, int(lengths.max())) + lengths.astype(np.uint64))
+
+
+def distinct_words(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One occurrence of each distinct word, and per word which it is.
+
+    Words are told apart by a polynomial hash; every word is then compared
+    with its representative, and a collision falls back to comparing all.
+    """
+    before, place, at = _laid_out(starts, lengths)
+    letters = data[at]
+    hashes = _polynomials(letters, place, before, int(lengths.max()))
     _, one, same = np.unique(hashes, return_index=True, return_inverse=True)
-    twins = starts[one][same].astype(index)
+    twins = starts[one][same].astype(place.dtype)
     if np.array_equal(lengths[one][same], lengths) and np.array_equal(data[place + np.repeat(twins, lengths)], letters):
         return one, same
     raw = data.tobytes()
