@@ -43,7 +43,7 @@ AT_ONCE = 4 << 20
 MOST_BLOCKS = 64
 BLOCK_ITEMS = 4
 
-RESULT = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
+RESULT = "doc_id long, text_hash long, item_id long, score double, question_overlap double, answer_overlap double"
 
 
 def core_of(word: str) -> str:
@@ -279,6 +279,8 @@ def find_items(
 ) -> DataFrame:
     """``doc_id, item_id, score, question_overlap, answer_overlap`` per document row and item found.
 
+    ``text_hash`` tells rows of one id apart.
+
     The index goes to the tasks in sets of about ``index_items`` parts; more
     items make more passes over the documents, not a larger index.
     """
@@ -287,7 +289,7 @@ def find_items(
     sets = max(1, -(-parts.count() // index_items))
     rows = docs.select(
         F.col("doc_id").cast("string").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    )
+    ).withColumn("text_hash", F.xxhash64("text"))
     found = spark.createDataFrame([], RESULT)
     for number in range(sets):
         mine = parts.where(F.pmod("item", F.lit(sets)) == number).orderBy("item", "part").collect()
@@ -306,7 +308,8 @@ def _searcher(shared, half: int, threshold: float, min_question: float, min_answ
         finder = Finder(shared.value, half, threshold, min_question, min_answer)
         names = [field.split()[0] for field in RESULT.split(", ")]
         for batch in batches:
-            rows = [(doc, *hit) for doc, hits in zip(batch["doc_id"], finder.find(list(batch["text"]))) for hit in hits]
+            found = zip(batch["doc_id"], batch["text_hash"], finder.find(list(batch["text"])))
+            rows = [(doc, text_hash, *hit) for doc, text_hash, hits in found for hit in hits]
             frame = pd.DataFrame(rows, columns=names)
             ids = {c: pd.array([None if x is None else int(x) for x in frame[c]], "Int64") for c in ("doc_id", "item_id")}
             yield frame.assign(**ids)

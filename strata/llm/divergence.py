@@ -172,6 +172,7 @@ def measure_documents(docs: DataFrame) -> DataFrame:
     )
     return rows.select(
         "doc_id",
+        F.xxhash64("text").alias("text_hash"),
         "lang",
         counted.alias("counted"),
         F.length(F.translate(text, BLANKS, "")).cast("long").alias("word_chars"),
@@ -179,7 +180,7 @@ def measure_documents(docs: DataFrame) -> DataFrame:
         repeated_line_count(text).alias("n_dup_lines"),
         class_counts(text).alias("classes"),
         word_counts(text).alias("words"),
-    ).select("doc_id", "lang", "counted.*", "word_chars", "n_symbols", "n_dup_lines", "classes", "words")
+    ).select("doc_id", "text_hash", "lang", "counted.*", "word_chars", "n_symbols", "n_dup_lines", "classes", "words")
 
 
 def language_references(measured: DataFrame) -> DataFrame:
@@ -220,7 +221,7 @@ def judge_documents(
     min_chars: int = 200,
     min_words: int = 150,
 ) -> DataFrame:
-    """Per document the base counts, both distances and ``kept``.
+    """Per document the base counts, both distances and ``kept``; ``text_hash`` tells rows of one id apart.
 
     A distance is judged only from ``min_chars`` characters or ``min_words``
     letter runs on; ``references`` replaces those of ``docs`` itself.  The
@@ -247,6 +248,7 @@ def judge_documents(
     )
     return judged.select(
         "doc_id",
+        "text_hash",
         "n_words",
         "word_chars",
         "n_symbols",

@@ -193,7 +193,7 @@ def _unpacked(column: pd.Series, dtype) -> np.ndarray:
 
 # --- steps --------------------------------------------------------------------------------------
 
-SKETCH = "doc_id string, n long, set_key string, bins array<long>, bucket int, tokens binary, counts binary"
+SKETCH = "doc_id string, text_hash long, n long, set_key string, bins array<long>, bucket int, tokens binary, counts binary"
 
 
 def sketch_documents(docs: DataFrame, similarity: Similarity, width: int, buckets: int) -> DataFrame:
@@ -204,27 +204,30 @@ def sketch_documents(docs: DataFrame, similarity: Similarity, width: int, bucket
     leave it.
     """
 
+    names = [field.split()[0] for field in SKETCH.split(", ")]
+
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows, first = [], []
-            for doc_id, tokens in zip(batch["doc_id"], shingle_sets(batch["text"], width)):
+            for doc_id, text_hash, tokens in zip(batch["doc_id"], batch["text_hash"], shingle_sets(batch["text"], width)):
                 n = len(tokens)
                 bins: list = [None] * BINS
                 found, at = np.unique(tokens & np.uint64(BINS - 1), return_index=True)
                 for b, i in zip(found.tolist(), at.tolist()):
                     bins[b] = int(tokens[i].view(np.int64))
-                rows.append((doc_id, n, set_key(tokens), bins, None, None, None))
+                rows.append((doc_id, text_hash, n, set_key(tokens), bins, None, None, None))
                 first.append(tokens[: similarity.prefix(n) + n // 16 + 4])
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "set_key", "bins", "bucket", "tokens", "counts"]).astype({"bucket": "Int32"})
+            yield pd.DataFrame(rows, columns=names).astype({"bucket": "Int32"})
             if first and len(joined := np.concatenate(first)):
                 tokens, counts = np.unique(joined, return_counts=True)
                 packed = [
-                    (None, 0, None, None, number, *parts)
+                    (None, 0, 0, None, None, number, *parts)
                     for number, parts in _packed(buckets, tokens, counts.astype(np.uint32))
                 ]
-                yield pd.DataFrame(packed, columns=["doc_id", "n", "set_key", "bins", "bucket", "tokens", "counts"])
+                yield pd.DataFrame(packed, columns=names)
 
-    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(sketch, SKETCH)
+    texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return texts.mapInPandas(sketch, SKETCH)
 
 
 def frequent_tokens(counted: DataFrame) -> np.ndarray:
@@ -433,7 +436,11 @@ def proposed_pairs(nodes: DataFrame, similarity: Similarity) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
-    """``doc_id, n_shingles, component_id, set_key`` for every row of ``docs(doc_id, text)``."""
+    """``doc_id, n_shingles, component_id`` for every row of ``docs(doc_id, text)``.
+
+    ``text_hash`` tells rows of one id apart, ``component`` components whose
+    smallest ids are equal; it is null for empty sets.
+    """
     spark = docs.sparkSession
     similarity = Similarity(percent)
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -469,13 +476,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataF
     merged = connected_components(between).select(F.col("node").alias("component"), F.col("component").alias("final"))
     final = groups.join(merged, "component", "left").select("set_key", "rep", F.coalesce("final", "component").alias("final"))
     names = final.groupBy("final").agg(F.min("rep").alias("component_id"))
-    named = final.join(names, "final").select("set_key", "component_id")
-    listed = described.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("n").alias("n_shingles"), "set_key")
+    named = final.join(names, "final").select("set_key", "component_id", F.col("final").alias("component"))
+    listed = described.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("n").alias("n_shingles"), "set_key", "text_hash")
     return listed.join(named, "set_key", "left").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        "set_key",
+        "text_hash",
+        "component",
     )
 
 

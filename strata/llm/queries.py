@@ -60,11 +60,12 @@ def op2_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = decontamination.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
 
 
 def op4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return divergence.judge_documents(_table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+    return divergence.judge_documents(_table(spark, sf_dir, "documents")).drop("text_hash", "class_distance", "word_distance")
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +76,8 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_ngram_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_groups.near_duplicates(_table(spark, sf_dir, "documents"), percent=75, width=5).drop("set_key")
+    found = ngram_groups.near_duplicates(_table(spark, sf_dir, "documents"), percent=75, width=5)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op7_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
