@@ -231,12 +231,19 @@ def learn_lexicon(labelled: DataFrame, min_documents: int = 3, min_odds: float =
 
 
 def score_documents(
-    docs: DataFrame, labels: DataFrame, threshold: float = 0.7, max_terms: int = 5000, regularisation: float = 1e-4
+    docs: DataFrame,
+    labels: DataFrame,
+    threshold: float = 0.7,
+    max_terms: int = 5000,
+    max_labelled: int = 200_000,
+    regularisation: float = 1e-4,
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs(doc_id, text)``.
 
     Labels (``doc_id, toxic``) are used only of documents that are not held
-    out.  The lexicon, ``max_terms`` words at most, travels with the tasks.
+    out, and of more than ``max_labelled`` those with the smallest hashes: a
+    sample of that bound, which is broadcast so that no text is shuffled.  The
+    lexicon, ``max_terms`` words at most, travels with the tasks.
     """
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
@@ -247,6 +254,8 @@ def score_documents(
     ).withColumn("held_out", held_out(F.col("doc_id")))
     marked = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     marked = marked.agg((F.max("toxic") > 0).cast("int").alias("toxic")).where(~held_out(F.col("doc_id")))
+    sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    marked = F.broadcast(stage(sample, "toxicity-labels"))
     terms = learn_lexicon(rows.where("not held_out").join(marked, "doc_id"), max_terms=max_terms)
     if not terms:
         return rows.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
