@@ -4,19 +4,22 @@ A document's set is its distinct ``width``-word shingles, as 64-bit hashes; two
 documents link when the Jaccard similarity of their sets reaches the
 threshold.  The steps, each a Spark job over all documents:
 
-1. Sets that are equal become one node.  Nodes that agree on most bins of a
-   one-permutation sketch with the smallest such node are compared with it
-   exactly.  What links is already one component, without pairs inside it.
+1. Sets that are equal become one node.  Nodes that agree on enough bins of a
+   one-permutation sketch with the node among them whose bins are shared most
+   are compared with it exactly.  What links is already one component, without pairs inside it.
 2. Components are cut into groups of about ``GROUP`` similar nodes; a node that
    linked with nothing is a group alone.  The token-group matrix has one cell
    for each token of a group's union that lies in the prefix of a member.  By
-   prefix filtering, nodes that link share such a token.  Tokens are ordered
-   with those of many documents last, so that passages shared by many
-   documents rarely are in a prefix.
+   prefix filtering, nodes that link share such a token, and it lies in the
+   shorter index prefix of the smaller set.  Tokens are ordered with those of
+   many documents last, so that passages shared by many documents rarely are
+   in a prefix.
 3. Columns of the matrix meet per token.  Groups of one component are not
-   paired.  For two groups, the number of shared tokens and the tokens that
-   lie beyond the prefixes bound the overlap of any two members; groups that
-   cannot reach the threshold are never opened.
+   paired; in a long column, cells outside the index prefixes are not paired
+   with each other, only counted.  For two groups, the number of shared
+   tokens, the counted ones and the tokens that lie beyond the prefixes bound
+   the overlap of any two members; groups that cannot reach the threshold are
+   never opened.
 4. Opened groups: each member of the smaller is compared with the other
    group's token union, and only if that bound allows with its members.
 5. Components of the links, and each document's smallest reachable id.
@@ -64,6 +67,9 @@ BROADCAST_NODES = 500_000
 #: Queries of a group that meet in one task.
 QUERIES = 512
 
+#: Cells of a long column.
+LONG_COLUMN = 64
+
 #: Pairs that a task holds before it sums them up.
 HELD_PAIRS = 4_000_000
 
@@ -159,6 +165,14 @@ class Similarity:
     def prefix(self, size: int) -> int:
         return size - self.needed(size) + 1 if size else 0
 
+    def index_prefix(self, size: int) -> int:
+        """Where the smaller set of a link has a token that the larger has in its prefix."""
+        return size - -(-2 * self.percent * size // (100 + self.percent)) + 1 if size else 0
+
+    def counted(self, size: int) -> int:
+        """How many tokens are counted at first: the prefix, and some into which it moves."""
+        return min(size, self.prefix(size) + size // 16 + 4)
+
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
     """Shared values of two sorted arrays without repeats."""
@@ -216,7 +230,7 @@ def sketch_documents(docs: DataFrame, similarity: Similarity, width: int, bucket
                 for b, i in zip(found.tolist(), at.tolist()):
                     bins[b] = int(tokens[i].view(np.int64))
                 rows.append((doc_id, text_hash, n, set_key(tokens), bins, None, None, None))
-                first.append(tokens[: similarity.prefix(n) + n // 16 + 4])
+                first.append(tokens[: similarity.counted(n)])
             yield pd.DataFrame(rows, columns=names).astype({"bucket": "Int32"})
             if first and len(joined := np.concatenate(first)):
                 tokens, counts = np.unique(joined, return_counts=True)
@@ -247,22 +261,51 @@ def frequent_tokens(counted: DataFrame) -> np.ndarray:
     return np.sort(top["token"].to_numpy(np.int64).view(np.uint64))
 
 
+def _is_in(tokens: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which tokens are in a sorted array."""
+    if not len(some):
+        return np.zeros(len(tokens), bool)
+    at = np.searchsorted(some, tokens)
+    at[at == len(some)] = 0
+    return some[at] == tokens
+
+
+def count_further(docs: DataFrame, frequent, similarity: Similarity, width: int, buckets: int) -> DataFrame:
+    """Packed counts of the tokens beyond the counted part, of documents whose prefix reaches there.
+
+    Such documents consist of frequent tokens for the most part: copies that
+    differ in some words, or boilerplate.  What they share beyond the counted
+    part would else pass for rare.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            further = []
+            for tokens in shingle_sets(batch["text"], width):
+                part = tokens[: similarity.counted(len(tokens))]
+                if np.count_nonzero(~_is_in(part, frequent.value)) < similarity.prefix(len(tokens)):
+                    further.append(tokens[len(part) :])
+            if further and len(joined := np.concatenate(further)):
+                tokens, counts = np.unique(joined, return_counts=True)
+                rows = [(number, *parts) for number, parts in _packed(buckets, tokens, counts.astype(np.uint32))]
+                yield pd.DataFrame(rows, columns=["bucket", "tokens", "counts"])
+
+    return docs.select("text").mapInPandas(count, "bucket int, tokens binary, counts binary")
+
+
 def prefixes(sets: list[np.ndarray], frequent: np.ndarray, similarity: Similarity) -> list[np.ndarray]:
     """The first tokens of each set, frequent ones last, else by hash."""
     if not len(frequent):
         return [s[: similarity.prefix(len(s))] for s in sets]
     looked = [s[: similarity.prefix(len(s)) * 3 // 2 + 8] for s in sets]
-    joined = np.concatenate(looked) if looked else np.zeros(0, np.uint64)
-    at = np.searchsorted(frequent, joined)
-    at[at == len(frequent)] = 0
-    rare = frequent[at] != joined
+    rare = ~_is_in(np.concatenate(looked) if looked else np.zeros(0, np.uint64), frequent)
     found, low = [], 0
     for tokens, part in zip(sets, looked):
         length, mask = similarity.prefix(len(tokens)), rare[low : low + len(part)]
         low += len(part)
         chosen = part[mask][:length]
         if len(chosen) < length:
-            often = np.isin(tokens, frequent, assume_unique=True)
+            often = _is_in(tokens, frequent)
             chosen = np.concatenate([tokens[~often], tokens[often]])[:length]
         found.append(chosen)
     return found
@@ -280,37 +323,55 @@ def matrix_columns(texts: DataFrame, frequent, similarity: Similarity, width: in
                     groups.append(group)
             chosen = prefixes(sets, frequent.value, similarity)
             if chosen:
-                owner = np.repeat(np.array(groups, np.int64), [len(c) for c in chosen])
-                rows = [(number, *parts) for number, parts in _packed(buckets, np.concatenate(chosen), owner)]
-                yield pd.DataFrame(rows, columns=["bucket", "tokens", "groups"])
+                # a cell's lowest bit tells whether it lies in the index prefix
+                owner = np.repeat(np.array(groups, np.int64) << 1, [len(c) for c in chosen])
+                inside = [np.arange(len(c)) < similarity.index_prefix(len(s)) for c, s in zip(chosen, sets)]
+                cells = owner | np.concatenate(inside)
+                rows = [(number, *parts) for number, parts in _packed(buckets, np.concatenate(chosen), cells)]
+                yield pd.DataFrame(rows, columns=["bucket", "tokens", "cells"])
 
-    return texts.select("set_key", "grp", "text").mapInPandas(emit, "bucket int, tokens binary, groups binary")
+    return texts.select("set_key", "grp", "text").mapInPandas(emit, "bucket int, tokens binary, cells binary")
 
 
 def shared_tokens(columns: DataFrame) -> DataFrame:
-    """``a, b, shared`` for groups of different components that share cells, per range of tokens."""
+    """``a, b, shared`` for groups of different components that share cells, per range of tokens.
+
+    Rows with a null ``b`` count the cells of ``a`` in long columns that were
+    not paired with others of their kind.
+    """
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
-        a, b, n = group_pairs(_unpacked(group["tokens"], np.uint64), _unpacked(group["groups"], np.int64))
-        return pd.DataFrame({"a": a, "b": b, "shared": n})
+        cells = _unpacked(group["cells"], np.int64)
+        pairs, unpaired = group_pairs(_unpacked(group["tokens"], np.uint64), cells >> 1, cells & 1 == 1)
+        found = pd.DataFrame(dict(zip(("a", "b", "shared"), pairs))).astype({"b": "Int64"})
+        alone, n = np.unique(unpaired, return_counts=True)
+        return pd.concat([found, pd.DataFrame({"a": alone, "b": pd.array([None] * len(alone), "Int64"), "shared": n})])
 
     met = columns.groupBy("bucket").applyInPandas(meet, "a long, b long, shared long")
     return met.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
 
 
-def group_pairs(tokens: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of groups of different components with the tokens they share."""
-    order = np.lexsort((groups, tokens))
-    tokens, groups = tokens[order], groups[order]
+def group_pairs(tokens: np.ndarray, groups: np.ndarray, index: np.ndarray) -> tuple[tuple, np.ndarray]:
+    """Pairs of groups of different components with the tokens they share, and groups of unpaired cells.
+
+    In columns of more than ``LONG_COLUMN`` cells, those outside the index
+    prefixes are paired with those inside only.
+    """
+    order = np.lexsort((~index, groups, tokens))
+    tokens, groups, index = tokens[order], groups[order], index[order]
     new = np.ones(len(tokens), bool)
     new[1:] = (tokens[1:] != tokens[:-1]) | (groups[1:] != groups[:-1])
-    tokens, groups = tokens[new], groups[new]
-    run_ends = _run_ends(tokens)
+    tokens, groups, index = tokens[new], groups[new], index[new]
+    column_ends = _run_ends(tokens)
+    column_starts = len(tokens) - _run_ends(tokens[::-1])[::-1]
+    long = column_ends - column_starts > LONG_COLUMN
     component = groups >> CHUNK_BITS
     edges = np.ones(len(tokens), bool)
     edges[1:] = (tokens[1:] != tokens[:-1]) | (component[1:] != component[:-1])
-    own_ends = np.append(np.flatnonzero(edges)[1:], len(tokens))[np.cumsum(edges) - 1] if len(tokens) else run_ends
-    counts = run_ends - own_ends  # with whom each cell pairs: those after its component's
+    own_ends = _run_ends(np.cumsum(edges))
+    # short columns: with the cells after the component's own; long ones: inside cells with the whole column
+    starts = np.where(long, column_starts, own_ends)
+    counts = np.where(long & ~index, 0, column_ends - starts)
     kept: list[tuple] = []
     held, rows = 0, np.flatnonzero(counts)
     sums = np.cumsum(counts[rows])
@@ -320,15 +381,19 @@ def group_pairs(tokens: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.
         part = rows[low:high]
         left = np.repeat(part, counts[part])
         begin = np.cumsum(counts[part]) - counts[part]
-        right = np.arange(len(left)) - np.repeat(begin, counts[part]) + own_ends[left]
-        kept.append(_summed(groups[left], groups[right], np.ones(len(left), np.int64)))
+        right = np.arange(len(left)) - np.repeat(begin, counts[part]) + starts[left]
+        # in long columns two inside cells meet twice, and a component meets itself
+        once = ~long[left] | (component[left] != component[right]) & (~index[right] | (left < right))
+        left, right = groups[left[once]], groups[right[once]]
+        kept.append(_summed(np.minimum(left, right), np.maximum(left, right), np.ones(len(left), np.int64)))
         held += len(kept[-1][0])
         if held > HELD_PAIRS:
             kept = [_summed(*map(np.concatenate, zip(*kept)))]
             held = len(kept[0][0])
         low = high
     empty = np.zeros(0, np.int64)
-    return _summed(*map(np.concatenate, zip(*kept))) if kept else (empty, empty, empty)
+    pairs = _summed(*map(np.concatenate, zip(*kept))) if kept else (empty, empty, empty)
+    return pairs, groups[long & ~index]
 
 
 def _run_ends(values: np.ndarray) -> np.ndarray:
@@ -426,12 +491,20 @@ def distinct_sets(sketched: DataFrame) -> DataFrame:
 
 
 def proposed_pairs(nodes: DataFrame, similarity: Similarity) -> DataFrame:
-    """``query, grp``: nodes and the smallest node that agrees with them on most bins."""
+    """``query, grp``: nodes and, of those that share bins with them, the one whose bins are shared most.
+
+    Of copies that differ in some words, that is the one nearest to all others.
+    """
     bins = nodes.select("node", "n", F.posexplode("bins").alias("bin", "least")).where("least is not null")
-    first = bins.groupBy("bin", "least").agg(F.min(F.struct("node", "n")).alias("first"), F.count("*").alias("agree"))
-    met = bins.join(first.where("agree > 1"), ["bin", "least"]).where("node <> first.node")
+    shared = bins.groupBy("bin", "least").agg(F.count("*").alias("copies")).where("copies > 1")
+    met = bins.join(shared, ["bin", "least"])
+    central = met.groupBy("node").agg(F.sum("copies").alias("copies")).select("node", F.col("copies").alias("weight"))
+    weighed = met.join(central, "node")
+    order = F.struct("weight", (-F.col("node")).alias("place"))
+    first = weighed.groupBy("bin", "least").agg(F.max_by(F.struct("node", "n"), order).alias("first"))
+    asked = weighed.join(first, ["bin", "least"]).where("node <> first.node")
     sizes = F.least("n", "first.n") * 100 >= F.greatest("n", "first.n") * similarity.percent
-    counted = met.where(sizes).groupBy("node", F.col("first.node").alias("grp"), "n").agg(F.count("*").alias("bins"))
+    counted = asked.where(sizes).groupBy("node", F.col("first.node").alias("grp"), "n").agg(F.count("*").alias("bins"))
     return counted.where((F.col("bins") >= AGREED) | (F.col("n") < 4 * BINS)).select(F.col("node").alias("query"), "grp")
 
 
@@ -457,10 +530,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataF
     first = connected_components(corpus.open(proposed, leaders))
     groups = stage(token_groups(nodes, first), "groups")
 
-    frequent = spark.sparkContext.broadcast(frequent_tokens(sketched.where("bucket is not null")))
+    often = frequent_tokens(sketched.where("bucket is not null"))
+    if len(often):
+        more = frequent_tokens(count_further(rows, spark.sparkContext.broadcast(often), similarity, width, buckets))
+        often = np.union1d(often, more)
+    frequent = spark.sparkContext.broadcast(often)
     known = groups.select("rep", "set_key", "grp").hint("shuffle_hash")
     texts = rows.alias("d").join(known.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.rep"))).select("g.set_key", "g.grp", "d.text")
-    shared = shared_tokens(matrix_columns(texts, frequent, similarity, width, buckets))
+    shared = stage(shared_tokens(matrix_columns(texts, frequent, similarity, width, buckets)), "shared-tokens")
     opened = stage(qualifying_groups(shared, groups, similarity), "opened")
     members = groups.select("grp", "node")
     queries = opened.join(members.select(F.col("grp").alias("a"), F.col("node").alias("query")), "a")
@@ -506,18 +583,22 @@ def token_groups(nodes: DataFrame, components: DataFrame) -> DataFrame:
 def qualifying_groups(shared: DataFrame, groups: DataFrame, similarity: Similarity) -> DataFrame:
     """``a, b`` of the pairs whose overlap bound allows a link; ``a`` has fewer members.
 
-    Two members share at most the tokens that their groups' prefixes share and
-    the tokens of one of them beyond its prefix.
+    Two members share at most the tokens that their groups' prefixes share,
+    those of unpaired cells of both, and the tokens of one of them beyond its
+    prefix.
     """
     sizes = groups.groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("nodes"))
+    unpaired = shared.where("b is null").select(F.col("a").alias("grp"), F.col("shared").alias("unpaired"))
+    sizes = sizes.join(unpaired, "grp", "left").fillna(0, ["unpaired"])
     side = lambda name: sizes.select(
-        F.col("grp").alias(name), F.struct("low", "high", "nodes").alias(f"{name}_size")
+        F.col("grp").alias(name), F.struct("low", "high", "nodes", "unpaired").alias(f"{name}_size")
     )
     p = similarity.percent
     beyond = F.ceil(F.greatest("a_size.high", "b_size.high") * p / 100) - 1
     least = F.col("a_size.low") + F.col("b_size.low")
     fits = (F.col("a_size.low") * p <= F.col("b_size.high") * 100) & (F.col("b_size.low") * p <= F.col("a_size.high") * 100)
-    may = (F.col("shared") + beyond) * (100 + p) >= least * p
-    met = shared.join(side("a"), "a").join(side("b"), "b").where(fits & may)
+    most = F.col("shared") + F.least("a_size.unpaired", "b_size.unpaired") + beyond
+    may = most * (100 + p) >= least * p
+    met = shared.where("b is not null").join(side("a"), "a").join(side("b"), "b").where(fits & may)
     swap = F.col("a_size.nodes") > F.col("b_size.nodes")
     return met.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"))

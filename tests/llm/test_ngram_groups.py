@@ -91,6 +91,7 @@ def test_components_equal_brute_force(spark, seed, monkeypatch):
         monkeypatch.setattr(ngram_groups, "FREQUENT_FROM", 3)
         monkeypatch.setattr(ngram_groups, "BROADCAST_NODES", 0)
         monkeypatch.setattr(ngram_groups, "HELD_PAIRS", 10)
+        monkeypatch.setattr(ngram_groups, "LONG_COLUMN", 2)
     rows = corpus(seed) + SPECIAL
     docs = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, node int")
     got = [(r.doc_id, r.n_shingles, r.component_id) for r in near_duplicates(docs).collect()]
@@ -127,22 +128,40 @@ def test_prefixes_of_links_meet_and_bound_the_overlap(a, b, frequent, percent):
     met = len(np.intersect1d(pa, pb))
     if similarity.links(shared, len(a), len(b)):
         assert met >= 1
+        small, large = sorted((pa, pb), key=lambda x: len(a) if x is pa else len(b))
+        size = min(len(a), len(b))
+        assert len(np.intersect1d(small[: similarity.index_prefix(size)], large)) >= 1
     beyond = max(len(a) - len(pa), len(b) - len(pb))
     assert shared <= met + beyond
 
 
-@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 3), st.integers(0, 2)), max_size=40))
-def test_pairs_of_groups(cells):
-    tokens = np.array([t for t, _, _ in cells], np.uint64)
-    groups = np.array([c << ngram_groups.CHUNK_BITS | k for _, c, k in cells], np.int64)
-    want = {}
-    held = set(zip(tokens.tolist(), groups.tolist()))
-    for t, g in held:
-        for u, h in held:
-            if t == u and g < h and g >> ngram_groups.CHUNK_BITS != h >> ngram_groups.CHUNK_BITS:
-                want[g, h] = want.get((g, h), 0) + 1
-    a, b, n = group_pairs(tokens, groups)
+@given(
+    st.lists(st.tuples(st.integers(0, 5), st.integers(0, 3), st.integers(0, 2), st.booleans()), max_size=40),
+    st.sampled_from([0, 2, 4, 99]),
+    st.sampled_from([1, 5, 1000]),
+)
+def test_pairs_of_groups(cells, longest, held_pairs):
+    tokens = np.array([c[0] for c in cells], np.uint64)
+    groups = np.array([c << ngram_groups.CHUNK_BITS | k for _, c, k, _ in cells], np.int64)
+    columns = {}
+    for (t, _, _, inside), g in zip(cells, groups.tolist()):
+        column = columns.setdefault(t, {})
+        column[g] = column.get(g, False) or inside
+    want, unpaired = {}, []
+    for column in columns.values():
+        long = len(column) > longest
+        unpaired += [g for g, inside in column.items() if long and not inside]
+        for g in column:
+            for h in column:
+                if g < h and g >> ngram_groups.CHUNK_BITS != h >> ngram_groups.CHUNK_BITS:
+                    if not long or column[g] or column[h]:
+                        want[g, h] = want.get((g, h), 0) + 1
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(ngram_groups, "LONG_COLUMN", longest)
+        patched.setattr(ngram_groups, "HELD_PAIRS", held_pairs)
+        (a, b, n), alone = group_pairs(tokens, groups, np.array([c[3] for c in cells], bool))
     assert dict(zip(zip(a.tolist(), b.tolist()), n.tolist())) == want
+    assert sorted(alone.tolist()) == sorted(unpaired)
 
 
 @pytest.mark.parametrize("seed", range(3))
