@@ -1,8 +1,6 @@
 """Table maintenance as pure DataFrame functions: SCD1 merge and partition replace.
 
-Both return the new content of the target; ``strata.plans.tables`` persists
-it (``MERGE INTO`` when the catalog supports row-level operations, a swap or
-dynamic partition overwrite on plain Parquet tables).
+Both return the new content of the target; ``strata.plans.tables`` persists it.
 """
 
 from __future__ import annotations
@@ -12,23 +10,29 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest set of distinct partition values that is collected and broadcast
-# by ``replace_frames``; beyond it the anti-join is left to the planner.
-MAX_BROADCAST_PARTITION_VALUES = 100_000
-
 
 def _null_safe_match(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def assert_unique_keys(df: DataFrame, keys: list[str], what: str = "source") -> None:
-    """Raise when a key occurs twice (a merge source must match each target row once).
+def unique_by(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with one row per key; reading a key that occurs twice fails the query.
 
-    One aggregation with partial pre-aggregation; reads at most one offending key.
+    The check is part of the plan: rows are combined per key before the
+    shuffle that the merge join needs anyway, and no job runs beforehand.
     """
-    dup = df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
-    if dup:
-        raise ValueError(f"{what} has duplicate keys {keys}: {dup[0].asDict()}")
+    rest = [c for c in df.columns if c not in keys]
+    row = F.first(F.struct(*rest)) if rest else F.lit(None)
+    one = df.groupBy(*keys).agg(row.alias("row"), F.count("*").alias("n"))
+    twice = F.concat(F.lit(f"source has duplicate keys {keys}: "), F.to_json(F.struct(*keys)))
+    # the check guards a key column, so that no column pruning can remove it
+    checked = F.when(F.col("n") > 1, F.raise_error(twice).cast(df.schema[keys[0]].dataType)).otherwise(F.col(keys[0]))
+    return one.select(
+        [
+            checked.alias(c) if c == keys[0] else F.col(c) if c in keys else F.col(f"row.{c}").alias(c)
+            for c in df.columns
+        ]
+    )
 
 
 def merge_frames(
@@ -37,7 +41,6 @@ def merge_frames(
     keys: list[str],
     compare_hash: str | None = "_record_hash",
     non_update: list[str] | None = None,
-    check_unique: bool = True,
 ) -> DataFrame:
     """SCD type-1 merge: insert new keys, overwrite changed rows, keep the rest.
 
@@ -53,11 +56,9 @@ def merge_frames(
     missing = sorted(set(keys) - set(source.columns))
     if missing:
         raise ValueError(f"key columns missing in source: {missing}")
-    if check_unique:
-        assert_unique_keys(source, keys)
     columns = target.columns
     t = target.withColumn("__t", F.lit(True)).alias("t")
-    s = source.select(*columns).withColumn("__s", F.lit(True)).alias("s")
+    s = unique_by(source.select(*columns), keys).withColumn("__s", F.lit(True)).alias("s")
     joined = t.join(s, _null_safe_match(t, s, keys), "full_outer")
 
     t_present = F.col("t.__t").isNotNull()
@@ -89,11 +90,8 @@ def replace_frames(
     """Drop every target row whose partition values occur in ``source`` (or in
     the optional explicit ``values``), then append ``source``.
 
-    The distinct partition values are counted first: when at most
-    ``MAX_BROADCAST_PARTITION_VALUES`` they are broadcast (a proven bound),
-    so the target is filtered map-side without being shuffled on a
-    low-cardinality column.  Above the bound the anti-join is left to
-    AQE, whose skew handling splits a hot partition value.
+    The anti-join's other side is the distinct values; AQE broadcasts it by
+    its measured size, or splits a hot value's rows.
     """
     missing = sorted(set(partition_columns) - set(source.columns))
     if missing:
@@ -101,11 +99,7 @@ def replace_frames(
     keys = source.select(*partition_columns)
     if values is not None:
         keys = keys.unionByName(values.select(*partition_columns))
-    keys = keys.distinct()
-    n = keys.limit(MAX_BROADCAST_PARTITION_VALUES + 1).count()
-    if n <= MAX_BROADCAST_PARTITION_VALUES:
-        keys = F.broadcast(keys)
     t = target.alias("t")
-    k = keys.alias("k")
+    k = keys.distinct().alias("k")
     kept = t.join(k, _null_safe_match(t, k, partition_columns), "left_anti")
     return kept.unionByName(source.select(*target.columns))

@@ -10,6 +10,8 @@ is never evaluated per rule.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,37 +35,28 @@ def require_columns(df: DataFrame, expected: list[str]) -> None:
 
 
 def any_null(columns: list[str]) -> Column:
-    """True when any of ``columns`` is NULL; false for an empty list."""
-    condition = F.lit(False)
-    for i, c in enumerate(columns):
-        condition = F.col(c).isNull() if i == 0 else condition | F.col(c).isNull()
-    return condition
+    """Whether one of ``columns`` is NULL; false for an empty list."""
+    return reduce(or_, (F.isnull(c) for c in columns), F.lit(False))
 
 
-def missing_reason(columns: list[str]) -> Column:
-    """'<col> ausente' for each NULL column, joined; NULL when none is missing."""
-    joined = F.concat_ws(
-        REASON_SEPARATOR,
-        *[F.when(F.col(c).isNull(), F.lit(c + MISSING_SUFFIX)) for c in columns],
-    )
-    return F.when(joined != "", joined)
+def _joined(reasons: list[Column]) -> Column:
+    """The reasons that apply, in order; NULL when none does."""
+    text = F.array_join(F.array(*reasons).cast("array<string>"), REASON_SEPARATOR)  # skips nulls
+    return F.nullif(text, F.lit(""))
+
 
+def _absent(columns: list[str]) -> list[Column]:
+    return [F.when(F.isnull(c), c + MISSING_SUFFIX) for c in columns]
 
-def failure_condition(required: list[str], rules: list[Rule]) -> Column:
-    condition = any_null(required)
-    for rule in rules:
-        condition = condition | rule.fails
-    return condition
+
+def missing_reason(columns: list[str]) -> Column:
+    """'<col> ausente' for each NULL column, joined; NULL when none is missing."""
+    return _joined(_absent(columns))
 
 
 def rejection_reason(required: list[str], rules: list[Rule]) -> Column:
     """All reasons of a row joined by '; ', or NULL for a valid row."""
-    joined = F.concat_ws(
-        REASON_SEPARATOR,
-        missing_reason(required),
-        *[F.when(rule.fails, F.lit(rule.reason)) for rule in rules],
-    )
-    return F.when(joined != "", joined)
+    return _joined(_absent(required) + [F.when(rule.fails, rule.reason) for rule in rules])
 
 
 def classify(df: DataFrame, required: list[str], rules: list[Rule]) -> DataFrame:

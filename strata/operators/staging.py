@@ -18,7 +18,8 @@ from strata.session import scratch_path
 def stage_path(df: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
     """Write ``df`` once under ``spark.checkpoint.dir``; return the folder."""
     path = scratch_path(df.sparkSession, name)
-    writer = df.write.mode("errorifexists")
+    rows = df.hint("rebalance", *partition_by) if partition_by else df  # few files per folder
+    writer = rows.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -27,4 +28,7 @@ def stage_path(df: DataFrame, name: str, partition_by: list[str] | None = None)
 
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once under ``spark.checkpoint.dir`` and return a scan of it."""
-    return df.sparkSession.read.parquet(stage_path(df, name, partition_by))
+    reader = df.sparkSession.read
+    if partition_by:
+        reader = reader.schema(df.schema)  # else the partition values' types are guessed
+    return reader.parquet(stage_path(df, name, partition_by))

@@ -21,7 +21,7 @@ from strata.plans.silver import (
     REJECTED_COLUMNS,
     REJECTED_HASH,
 )
-from strata.sources.fixture import BUSINESS_COLUMNS, STATE_STRIP
+from strata.sources.fixture import BUSINESS_COLUMNS, STATES
 
 AS_OF = "2026-01-01 00:00:00"
 
@@ -113,7 +113,7 @@ raw_movement AS (
         CASE WHEN {_K} % 97 = 0 THEN '123' ELSE lpad(CAST(l_suppkey AS VARCHAR), 8, '0') || '/0001-00' END AS nr_cnpj,
         CASE WHEN l_suppkey % 3 = 0 THEN 'cooperativa' WHEN l_suppkey % 3 = 1 THEN 'seguradora' ELSE 'NULL' END
             AS modalidade_operadora,
-        CASE WHEN {_K} % 89 = 0 THEN 'zz' ELSE lower(substr({lit(STATE_STRIP)}, c_nationkey * 2 + 1, 2)) END AS sg_uf,
+        CASE WHEN {_K} % 89 = 0 THEN 'zz' ELSE lower([{in_list(STATES)}][c_nationkey + 1]) END AS sg_uf,
         CASE WHEN {_K} % 83 = 0 THEN '12' ELSE CAST(100000 + c_nationkey AS VARCHAR) END AS cd_municipio,
         lower(n_name) AS nm_municipio,
         CASE WHEN {_K} % 79 = 0 THEN 'x' WHEN l_returnflag = 'A' THEN 'f' WHEN l_returnflag = 'N' THEN 'M'

@@ -66,8 +66,7 @@ from strata.functions.constants import VALID_UFS  # noqa: E402
 from strata.plans.gold import DIM_INSURER, DIM_MUNICIPALITY, DIM_PLAN, DIM_PROFILE, PERIOD_COLUMNS  # noqa: E402
 from strata.plans.silver import COUNT_COLUMNS, MOVEMENT, MOVEMENT_KEY, PLAN, RULE_NAMES  # noqa: E402
 from strata.queries import (  # noqa: E402
-    CLEAN_STRING_COLUMNS, CLEAN_UPPER_COLUMNS, DIGIT_COLUMNS, LEDGER_LAST_BATCH, MERGE_SOURCE_BATCH,
-    MERGE_TARGET_LAST_BATCH, PERIOD_RANGE, SLICE_BATCH,
+    CLEAN_STRING_COLUMNS, CLEAN_UPPER_COLUMNS, DIGIT_COLUMNS, LEDGER_LAST_BATCH, PERIOD_RANGE, SLICE_BATCH,
 )
 from strata.sources.fixture import BUSINESS_COLUMNS  # noqa: E402
 
@@ -108,9 +107,9 @@ _MERGE_JOIN = """m_target t FULL OUTER JOIN m_source s
 _MERGE_CTES = f"""
 m_target AS (
     SELECT *, true AS __t
-    FROM ({entity_body(PLAN, f"(SELECT * FROM valid WHERE _batch_id <= '{MERGE_TARGET_LAST_BATCH}')")})
+    FROM ({entity_body(PLAN, f"(SELECT * FROM valid WHERE _batch_id < (SELECT max(_batch_id) FROM valid))")})
 ),
-m_source0 AS ({entity_body(PLAN, f"(SELECT * FROM valid WHERE _batch_id = '{MERGE_SOURCE_BATCH}')")}),
+m_source0 AS ({entity_body(PLAN, f"(SELECT * FROM valid WHERE _batch_id = (SELECT max(_batch_id) FROM valid))")}),
 m_source1 AS (
     SELECT * REPLACE (CASE WHEN TRY_CAST(cd_plano AS BIGINT) % 5 = 0 THEN 'ODONTOLOGICO' ELSE cobertura_assist_plan END
                       AS cobertura_assist_plan)
@@ -150,12 +149,17 @@ def _period_of(x: str) -> str:
 
 
 _PERIODS = f"(SELECT DISTINCT {_period_of('link')} AS period FROM {_DIR_LINKS} WHERE {_period_of('link')} IS NOT NULL)"
-_HREFS = """(SELECT page_id, unnest(regexp_extract_all(
-        regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', ' ', 'g'),
-        '(?is)<a\\s(?:[^>]*\\s)?href\\s*=\\s*"([^"]*)"', 1)) AS href FROM pages)"""
+# the last href of each tag, in any of its spellings, with the references that the pages use
+_HREFS = """(SELECT page_id, replace(replace(replace(replace(replace(raw, '&quot;', '"'), '&#39;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS href
+    FROM (SELECT page_id, concat_ws('',
+            nullif(regexp_extract(tag, '(?is)^<a\\s.*\\bhref\\s*=\\s*"([^"]*)"', 1), ''),
+            nullif(regexp_extract(tag, '(?is)^<a\\s.*\\bhref\\s*=\\s*''([^'']*)''', 1), ''),
+            nullif(regexp_extract(tag, '(?is)^<a\\s.*\\bhref\\s*=\\s*([^\\s"''>]+)', 1), '')) AS raw
+          FROM (SELECT page_id, unnest(regexp_extract_all(
+                  regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', ' ', 'g'),
+                  '(?is)<a\\s(?:[^>"'']|"[^"]*"|''[^'']*'')*>')) AS tag FROM pages)))"""
 _PAGE_FILES = f"""(SELECT DISTINCT page_id, regexp_extract(href, '([^/]*)$', 1) AS file_name FROM {_HREFS}
     WHERE href <> '' AND NOT ends_with(href, '/') AND regexp_extract(href, '([^/]*)$', 1) <> '')"""
-_ARCHIVE_NAME = "source || '-' || CAST(CAST(floor(doc_id / 64) AS BIGINT) AS VARCHAR) || '.zip'"
 
 ORACLE.update({
     "clean_string": outputs(cs, CLEAN_STRING_COLUMNS),
@@ -200,12 +204,10 @@ ORACLE.update({
         "FROM classified WHERE _rejection_reason IS NOT NULL) GROUP BY reason"),
     "new_files_only": with_ctes(
         f"SELECT {', '.join(BUSINESS_COLUMNS)}, _source_path, _batch_id, _record_hash FROM bronze "
-        f"WHERE _source_path NOT IN (SELECT _source_path FROM bronze WHERE _batch_id <= '{LEDGER_LAST_BATCH}' "
-        "AND _source_path IS NOT NULL)"),
+        f"ANTI JOIN (SELECT DISTINCT _source_path FROM bronze WHERE _batch_id <= '{LEDGER_LAST_BATCH}') USING (_source_path)"),
     "load_counters": with_ctes(
         "SELECT count(DISTINCT _source_path) AS files_written, count(*) AS rows_written FROM bronze "
-        f"WHERE _source_path NOT IN (SELECT _source_path FROM bronze WHERE _batch_id <= '{LEDGER_LAST_BATCH}' "
-        "AND _source_path IS NOT NULL)"),
+        f"ANTI JOIN (SELECT DISTINCT _source_path FROM bronze WHERE _batch_id <= '{LEDGER_LAST_BATCH}') USING (_source_path)"),
     "latest_period": with_ctes(f"SELECT {sel(FACT_OUT)} FROM latest"),
     "first_not_null": with_ctes(
         "SELECT cd_operadora, "
@@ -240,10 +242,7 @@ ORACLE.update({
         f"WHERE _batch_id <= '{LEDGER_LAST_BATCH}')"),
     "allowed_files": with_ctes(
         f"SELECT DISTINCT file_name FROM (SELECT file_name FROM {_PAGE_FILES} UNION ALL "
-        f"SELECT {_ARCHIVE_NAME} FROM documents UNION ALL "
         "SELECT regexp_extract(_source_path, '([^/]*)$', 1) FROM bronze) "
-        "WHERE ends_with(lower(file_name), '.zip') AND NOT contains(upper(file_name), 'XX')"),
-    "archive_members": f"""SELECT {_ARCHIVE_NAME} AS archive, CAST(doc_id AS VARCHAR) || '.csv' AS member,
-        CAST(strlen(text) AS BIGINT) AS n_bytes, CAST(length(text) AS BIGINT) AS n_chars FROM documents""",
+        "WHERE ends_with(lower(file_name), '.csv') AND NOT contains(upper(file_name), 'PART-3')"),
     "csv_scan": with_ctes(f"SELECT {', '.join(BUSINESS_COLUMNS)} FROM raw_movement"),
 })

@@ -6,36 +6,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.hashing import add_record_hash
-from strata.functions.names import cast_all_to_string, normalize_columns
 from strata.operators.lineage import add_bronze_metadata
 
 DEFAULT_SOURCE_SYSTEM = "ANS"
 
 
 def bronze_from_files(
-    raw_csv: DataFrame,
+    raw: DataFrame,
     batch_id: str | Column,
+    columns: list[str],
     source_system: str = DEFAULT_SOURCE_SYSTEM,
     as_of=None,
-    path_column: str | None = None,
+    extra_columns: str = "error",
 ) -> DataFrame:
-    """CSV scan -> normalised names -> strings -> lineage -> hash.
+    """The contract's ``columns`` as strings, lineage, and a hash of the columns in that order.
 
-    The source path comes from the scan's ``_metadata.file_path`` unless
-    ``path_column`` names a column that already holds it (streaming batches).
+    ``raw`` comes from ``read_csv``.  A row thus has one hash, whatever the
+    order of columns in its file or the other files of its load.  Contract
+    columns that no file has are an error; further columns are one too,
+    unless ``extra_columns`` is ``"drop"``.
     """
-    business = [c for c in raw_csv.columns if c != path_column]
-    strings = cast_all_to_string(normalize_columns(raw_csv.select(*[F.col(f"`{c}`") for c in business])))
-    payload = list(strings.columns)
-    source_path = None
-    if path_column:
-        renamed = dict(zip(business, payload))
-        strings = raw_csv.select(
-            *[F.col(f"`{c}`").cast("string").alias(renamed[c]) for c in business], F.col(path_column).alias("_source_path")
-        )
-        source_path = F.col("_source_path")
-    stamped = add_bronze_metadata(strings, source_system, batch_id, source_path=source_path, as_of=as_of)
-    return add_record_hash(stamped, payload)
+    have = set(raw.columns) - {"_source_path"}
+    if missing := sorted(set(columns) - have):
+        raise ValueError(f"raw files lack the columns {missing}")
+    if (more := sorted(have - set(columns))) and extra_columns != "drop":
+        raise ValueError(f"raw files have columns outside the contract: {more}")
+    strings = raw.select(*[F.col(c).cast("string").alias(c) for c in columns], "_source_path")
+    stamped = add_bronze_metadata(
+        strings, source_system, batch_id, source_path=F.col("_source_path"), as_of=as_of
+    )
+    return add_record_hash(stamped, columns)
 
 
 def bronze_from_frame(

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.hashing import add_hash_key, add_record_hash, hash_key
-from strata.operators.dedupe import deduplicate_latest
+from strata.operators.dedupe import latest_per_key
 from strata.operators.lineage import add_gold_metadata
 from strata.plans.silver import COUNT_COLUMNS, PLAN_ATTRIBUTES
 
@@ -62,7 +62,7 @@ def build_dimension(silver_entity: DataFrame, spec: DimensionSpec, batch_id=None
     keyed = silver_entity
     for k in spec.keys:
         keyed = keyed.where(F.col(k).isNotNull())
-    one_per_key = deduplicate_latest(keyed, spec.keys, ["_batch_id", "_record_hash"])
+    one_per_key = latest_per_key(keyed, spec.keys, ["_batch_id", "_record_hash"])
     return _finish(one_per_key.select(*spec.columns, "_batch_id"), spec, batch_id, as_of)
 
 

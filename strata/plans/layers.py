@@ -3,14 +3,15 @@
 Table layout chosen for the queries that follow:
 * bronze is partitioned by ``_batch_id``: a silver run reads one batch by
   partition pruning;
-* silver movement and the fact are partitioned by ``id_cmpt_movel``:
-  snapshot replacement rewrites only the touched months (dynamic partition
-  overwrite, one commit) and latest-month reports prune to one folder;
+* silver movement and the fact are partitioned by ``id_cmpt_movel``: snapshot
+  replacement rewrites only the touched months (dynamic partition overwrite,
+  one commit) and latest-month reports prune to one folder;
 * the reject table is partitioned by ``_batch_id`` and replaced per batch.
 
-Incremental bronze loads prune at the *file* level: only paths missing from
-the bronze ledger are handed to the CSV reader, so old files are never
-parsed again.
+Two small ledgers keep loads from looking through tables: the file ledger has
+a row per loaded file, the month ledger a row per silver batch and month.  A
+bronze batch counts only when its files are in the ledger; a batch left by a
+failed load is cleared by the next one.
 """
 
 from __future__ import annotations
@@ -23,12 +24,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import latest_batch_id
-from strata.operators.incremental import loaded_paths
-from strata.operators.quality import ensure_not_empty
+from strata.operators.quality import ensure_not_empty, require_columns
 from strata.operators.staging import stage
 from strata.plans import gold, silver, tables
 from strata.plans.bronze import DEFAULT_SOURCE_SYSTEM, bronze_from_files
-from strata.sources.csv import read_files_by_header
+from strata.plans.tables import PARQUET, Storage
+from strata.sources.csv import list_files, read_csv
+
+#: New files that one pass of a load reads; a load makes as many passes as it needs.
+FILES_AT_ONCE = 10_000
 
 
 def new_batch_id() -> str:
@@ -39,11 +43,13 @@ def new_batch_id() -> str:
 @dataclass(frozen=True)
 class Names:
     bronze: str = "bronze.beneficiarios"
+    files: str = "bronze.arquivos_carregados"
     insurer: str = "silver.operadora"
     municipality: str = "silver.municipio"
     plan: str = "silver.plano"
     movement: str = "silver.beneficiario_movimento"
     rejected: str = "silver.beneficiario_rejeitado"
+    months: str = "silver.meses_do_lote"
     dim_insurer: str = "gold.dim_operadora"
     dim_municipality: str = "gold.dim_municipio"
     dim_plan: str = "gold.dim_plano"
@@ -51,15 +57,15 @@ class Names:
     fact: str = "gold.fato_beneficiario_movimento"
 
 
-def list_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
-    """Paths of the files under ``folder`` (no file content is read)."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .load(folder)
-        .select(F.col("path").alias("_source_path"))
-    )
+def _clear_unfinished(spark: SparkSession, names: Names, storage: Storage) -> None:
+    """Drop bronze batches that no file of the ledger belongs to."""
+    if not tables.table_exists(spark, names.bronze):
+        return
+    found = spark.table(names.bronze).select("_batch_id").distinct()
+    if tables.table_exists(spark, names.files):
+        found = found.join(spark.table(names.files).select("_batch_id"), "_batch_id", "left_anti")
+    for (batch,) in found.collect():  # the batches of failed loads
+        tables.clear_partition(spark, names.bronze, {"_batch_id": batch}, storage)
 
 
 def load_bronze(
@@ -69,66 +75,103 @@ def load_bronze(
     batch_id: str | None = None,
     source_system: str = DEFAULT_SOURCE_SYSTEM,
     force: bool = False,
+    storage: Storage = PARQUET,
+    columns: list[str] = silver.RAW_COLUMNS,
+    extra_columns: str = "error",
 ) -> dict:
     """Append the rows of raw files not loaded before; returns the run counters."""
     batch_id = batch_id or new_batch_id()
-    candidates = list_files(spark, raw_folder)
-    if not force and tables.table_exists(spark, names.bronze):
-        candidates = candidates.join(loaded_paths(spark.table(names.bronze)), "_source_path", "left_anti")
-    # File paths are catalog-sized metadata (one row per file), like the file
-    # index Spark itself keeps on the driver.
-    paths = [r[0] for r in candidates.collect()]
-    if not paths:
-        return {"batch_id": batch_id, "files": 0, "rows": 0}
-    # Files are grouped by header line and matched by column name, so a
-    # publisher reordering columns cannot shift values between columns.
-    raw = read_files_by_header(spark, spark.createDataFrame([(p,) for p in paths], "path string"))
-    bronze = bronze_from_files(raw, batch_id, source_system, path_column="__file_path")
-    tables.append(bronze, names.bronze, partition_by=["_batch_id"])
-    written = spark.table(names.bronze).where(F.col("_batch_id") == batch_id)
-    counts = written.agg(F.countDistinct("_source_path").alias("files"), F.count(F.lit(1)).alias("rows")).first()
-    return {"batch_id": batch_id, "files": counts["files"], "rows": counts["rows"]}
-
-
-def load_silver(spark: SparkSession, names: Names = Names(), batch_id: str | None = None, full_snapshot: bool = True) -> str:
+    _clear_unfinished(spark, names, storage)
+    counters = {"batch_id": batch_id, "files": 0, "rows": 0}
+    new = list_files(spark, raw_folder)
+    if not force and tables.table_exists(spark, names.files):
+        new = new.join(spark.table(names.files).select("_source_path"), "_source_path", "left_anti")
+    new = stage(new.select("path", "_source_path"), "new-files")
+    total, done = new.count(), 0
+    ordered = new.orderBy("_source_path")
+    while done < total:
+        paths = [r["path"] for r in ordered.select("path").offset(done).limit(FILES_AT_ONCE).collect()]
+        raw = read_csv(spark, paths)
+        bronze = bronze_from_files(raw, batch_id, columns, source_system, extra_columns=extra_columns)
+        tables.append(bronze, names.bronze, ["_batch_id"], storage)
+        done += len(paths)
+    if total:
+        tables.append(new.select("_source_path", F.lit(batch_id).alias("_batch_id")), names.files, None, storage)
+        written = spark.table(names.bronze).where(F.col("_batch_id") == batch_id)
+        counts = written.agg(F.countDistinct("_source_path").alias("files"), F.count("*").alias("rows")).first()
+        counters |= counts.asDict()
+    return counters
+
+
+def load_silver(
+    spark: SparkSession,
+    names: Names = Names(),
+    batch_id: str | None = None,
+    full_snapshot: bool = True,
+    storage: Storage = PARQUET,
+) -> str:
     """Clean, validate and persist one bronze batch into the five silver tables."""
-    bronze = spark.table(names.bronze)
-    batch_id = batch_id or latest_batch_id(bronze)
-    sliced = bronze.where(F.col("_batch_id") == batch_id)
+    batch_id = batch_id or latest_batch_id(spark.table(names.files))
+    sliced = spark.table(names.bronze).where(F.col("_batch_id") == batch_id)
     ensure_not_empty(sliced, f"bronze batch {batch_id}")
     classified = stage(silver.classify_movement(silver.clean_movement(sliced, batch_id=batch_id)), "silver-classified")
     valid = silver.valid_movement(classified)
-    tables.merge_table(silver.silver_insurer(valid), names.insurer, silver.INSURER.keys)
-    tables.merge_table(silver.silver_municipality(valid), names.municipality, silver.MUNICIPALITY.keys)
-    tables.merge_table(silver.silver_plan(valid), names.plan, silver.PLAN.keys)
+    for rows, name, spec in (
+        (silver.silver_insurer(valid), names.insurer, silver.INSURER),
+        (silver.silver_municipality(valid), names.municipality, silver.MUNICIPALITY),
+        (silver.silver_plan(valid), names.plan, silver.PLAN),
+    ):
+        tables.merge_table(rows, name, spec.keys, storage=storage)
     movement = silver.silver_movement(valid)
     if full_snapshot:
-        tables.replace_table(movement, names.movement, ["id_cmpt_movel"])
+        tables.replace_table(movement, names.movement, ["id_cmpt_movel"], storage=storage)
     else:
-        tables.merge_table(movement, names.movement, silver.MOVEMENT_KEY, partition_by=["id_cmpt_movel"])
-    tables.replace_table(
-        silver.silver_rejected(classified), names.rejected, ["_batch_id"], values=[{"_batch_id": batch_id}]
-    )
+        tables.merge_table(movement, names.movement, silver.MOVEMENT_KEY, partition_by=["id_cmpt_movel"], storage=storage)
+    batch = [{"_batch_id": batch_id}]
+    rejected = silver.silver_rejected(classified)
+    tables.replace_table(rejected, names.rejected, ["_batch_id"], values=batch, storage=storage)
+    months = valid.select(F.lit(batch_id).alias("_batch_id"), "id_cmpt_movel").distinct()
+    tables.replace_table(months, names.months, ["_batch_id"], values=batch, storage=storage)
     return batch_id
 
 
-def load_gold(spark: SparkSession, names: Names = Names(), batch_id: str | None = None, full_snapshot: bool = True) -> str:
-    """Dimensions from all current silver rows; the fact from the batch's movement."""
+def load_gold(
+    spark: SparkSession,
+    names: Names = Names(),
+    batch_id: str | None = None,
+    full_snapshot: bool = True,
+    storage: Storage = PARQUET,
+) -> str:
+    """Dimensions from silver, profiles and the fact from the batch's movement.
+
+    The month ledger names the batch's months, so that only their partitions
+    of the movement are read.
+    """
+    months = spark.table(names.months)
+    batch_id = batch_id or latest_batch_id(months)
+    mine = months.where(F.col("_batch_id") == batch_id).select("id_cmpt_movel")
     movement = spark.table(names.movement)
-    batch_id = batch_id or latest_batch_id(movement)
-    batch_movement = movement.where(F.col("_batch_id") == batch_id)
-    ensure_not_empty(batch_movement, f"silver batch {batch_id}")
-    dims = [
-        (gold.dim_insurer(spark.table(names.insurer)), names.dim_insurer, gold.DIM_INSURER.sk),
-        (gold.dim_municipality(spark.table(names.municipality)), names.dim_municipality, gold.DIM_MUNICIPALITY.sk),
-        (gold.dim_plan(spark.table(names.plan)), names.dim_plan, gold.DIM_PLAN.sk),
-        (gold.dim_profile(movement), names.dim_profile, gold.DIM_PROFILE.sk),
+    inputs = [
+        (spark.table(names.insurer), silver.INSURER),
+        (spark.table(names.municipality), silver.MUNICIPALITY),
+        (spark.table(names.plan), silver.PLAN),
+        (movement, silver.MOVEMENT),
     ]
-    for frame, name, sk in dims:
-        tables.merge_table(frame, name, [sk])
+    for frame, spec in inputs:
+        require_columns(frame, [*spec.columns, "_record_hash"])
+    # the months are a batch's few partition values: pruned by them, then filtered
+    batch_movement = movement.join(F.broadcast(mine), "id_cmpt_movel", "left_semi").where(F.col("_batch_id") == batch_id)
+    ensure_not_empty(batch_movement, f"silver batch {batch_id}")
+    for frame, name, spec in (
+        (gold.dim_insurer(inputs[0][0]), names.dim_insurer, gold.DIM_INSURER),
+        (gold.dim_municipality(inputs[1][0]), names.dim_municipality, gold.DIM_MUNICIPALITY),
+        (gold.dim_plan(inputs[2][0]), names.dim_plan, gold.DIM_PLAN),
+        (gold.dim_profile(batch_movement), names.dim_profile, gold.DIM_PROFILE),
+    ):
+        tables.merge_table(frame, name, [spec.sk], storage=storage)
     fact = gold.fact_movement(batch_movement)
     if full_snapshot:
-        tables.replace_table(fact, names.fact, ["id_cmpt_movel"])
+        tables.replace_table(fact, names.fact, ["id_cmpt_movel"], storage=storage)
     else:
-        tables.merge_table(fact, names.fact, gold.FACT_KEY, partition_by=["id_cmpt_movel"])
+        tables.merge_table(fact, names.fact, gold.FACT_KEY, partition_by=["id_cmpt_movel"], storage=storage)
     return batch_id

@@ -1,10 +1,9 @@
 """Silver layer: clean, validate, quarantine and deduplicate bronze movement rows
 into four entities (insurer, municipality, plan, movement) and a reject table.
 
-Everything is one declarative plan per output.  When all five outputs are
-produced in one run, ``SilverRun`` stages the classified rows once (Parquet
-in the shared checkpoint folder) so the bronze scan and the cleaning
-projection are not repeated per output.
+Everything is one declarative plan per output.  ``load_silver`` stages the
+classified rows once, so that the bronze scan and the cleaning projection are
+not repeated for each of the five outputs.
 """
 
 from __future__ import annotations
@@ -17,10 +16,11 @@ from pyspark.sql import functions as F
 from strata.functions.cleaning import clean_string, clean_upper, in_domain, only_digits, parse_date, parse_long
 from strata.functions.constants import VALID_UFS
 from strata.functions.hashing import add_record_hash, record_hash
-from strata.operators.dedupe import deduplicate_latest
+from strata.operators.dedupe import latest_per_key
 from strata.operators.lineage import add_silver_metadata
 from strata.operators.quality import Rule, classify, rejected_part, require_columns, valid_part
 
+# --- fixed values: the columns of the data contract --------------------------
 BRONZE_COLUMNS = [
     "_record_hash",
     "_batch_id",
@@ -65,6 +65,10 @@ MOVEMENT_KEY = [
 DEDUPE_ORDER = ["dt_carga", "_bronze_ingested_at", "_source_path", "_bronze_record_hash"]
 
 COUNT_COLUMNS = ["qt_beneficiario_ativo", "qt_beneficiario_aderido", "qt_beneficiario_cancelado"]
+# --- end of fixed values ----------------------------------------------------
+
+#: The columns of a raw file, in the order in which the record hash reads them.
+RAW_COLUMNS = [c for c in BRONZE_COLUMNS if not c.startswith("_")]
 
 # --- fixed values: rejection reasons recorded in _rejection_reason ----------
 REASON_MONTH_FORMAT = "id_cmpt_movel fora do formato YYYYMM"
@@ -206,7 +210,7 @@ def build_entity(valid: DataFrame, spec: EntitySpec) -> DataFrame:
     keyed = valid
     for k in spec.keys:
         keyed = keyed.where(F.col(k).isNotNull())
-    latest = deduplicate_latest(keyed, spec.keys, DEDUPE_ORDER)
+    latest = latest_per_key(keyed, spec.keys, DEDUPE_ORDER)
     return add_record_hash(latest.select(*spec.columns), spec.hash_columns)
 
 
@@ -224,7 +228,7 @@ def silver_plan(valid: DataFrame) -> DataFrame:
 
 def silver_movement(valid: DataFrame) -> DataFrame:
     # Every key column is already non-null in a valid row (a NULL key rejects it).
-    latest = deduplicate_latest(valid, MOVEMENT.keys, DEDUPE_ORDER)
+    latest = latest_per_key(valid, MOVEMENT.keys, DEDUPE_ORDER)
     return add_record_hash(latest.select(*MOVEMENT.columns), MOVEMENT.hash_columns)
 
 

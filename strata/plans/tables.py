@@ -1,39 +1,43 @@
 """Persisting layers as catalog tables: create/append, SCD1 merge, partition replace.
 
-With a catalog that supports row-level operations (e.g. an Iceberg catalog),
-merges are issued as ``MERGE INTO``.  On the built-in session catalog with
-Parquet tables, the new content is computed with the pure functions of
-``strata.operators.merge`` and persisted so that a table is never
-overwritten while it is being read:
-
-* replace: the table is physically partitioned by the replaced columns and
-  one ``insertInto(overwrite=True)`` under dynamic partition overwrite
-  rewrites only the touched partitions, in one commit;
-* merge: the merged content is written to ``<table>__next`` and swapped in by
-  rename.
-
-Sources are materialised (``checkpoint`` in the shared checkpoint folder)
-before the target changes, so a source that reads the target cannot see a
-half-written table.
+``Storage`` names the table format.  In a catalog with row-level operations
+(``row_level=True``, e.g. an Iceberg catalog) tables are written with
+``writeTo`` and merged with ``mergeInto``.  In the session catalog's Parquet
+tables
+
+* a replace is one ``insertInto(overwrite=True)`` under dynamic partition
+  overwrite: touched partitions change in one commit, others keep their files;
+* a merge into a partitioned table whose partition columns are key columns is
+  such a replace of the partitions that the source has;
+* any other merge writes the new content to ``<table>__next`` and swaps it in
+  by renames.  The old content stays as ``<table>__prev`` until the new one is
+  in place; a swap that was cut short is completed or undone by the next write.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.merge import assert_unique_keys, merge_frames, replace_frames
-from strata.session import checkpoint_root
+from strata.operators.merge import merge_frames, unique_by
 
 DYNAMIC_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
-def quote(identifier: str) -> str:
-    return "`" + identifier.replace("`", "``") + "`"
+@dataclass(frozen=True)
+class Storage:
+    """How tables are stored; ``location`` is the folder of new namespaces."""
+
+    format: str = "parquet"
+    row_level: bool = False
+    location: str | None = None
 
 
-def quote_name(name: str) -> str:
-    return ".".join(quote(p) for p in name.split("."))
+PARQUET = Storage()
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -41,60 +45,112 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def ensure_namespace(spark: SparkSession, database: str, location: str | None = None) -> None:
-    """Create the database (at ``location`` if given) and check that it is visible."""
-    where = "" if location is None else " LOCATION '" + location.replace("'", "''") + "'"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(database)}{where}")
-    if not spark.catalog.databaseExists(database):
-        raise RuntimeError(f"namespace {database} was not created or is not visible")
+def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
+    """Create ``db`` or ``catalog.db`` (at ``location`` if given) and check that it is visible."""
+    at = "" if location is None else " LOCATION :location"
+    given = {"name": namespace} | ({} if location is None else {"location": location})
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS IDENTIFIER(:name){at}", args=given)
+    assert_namespace(spark, namespace)
 
 
-def ensure_table_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
-    """For 'db.table' or 'catalog.db.table' make sure the database exists."""
-    parts = name.split(".")
-    if len(parts) >= 2:
-        ensure_namespace(spark, parts[-2], location)
+def assert_namespace(spark: SparkSession, namespace: str) -> None:
+    if not spark.catalog.databaseExists(namespace):
+        raise RuntimeError(f"namespace {namespace} was not created or is not visible")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Eager reliable checkpoint in the shared checkpoint folder (cuts lineage)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def ensure_table_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """For 'db.table' or 'catalog.db.table' make sure that the namespace exists in its catalog."""
+    namespace, _, _ = name.rpartition(".")
+    if namespace:
+        ensure_namespace(spark, namespace, location)
 
 
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
-    cols = spark.catalog.listColumns(name)
-    return [c.name for c in cols if c.isPartition]
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
 
+def _gathered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+    """Rows of a partition meet before the write, so that it gets few files; AQE splits a hot one."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
 
-def create_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
-    ensure_table_namespace(df.sparkSession, name)
-    writer = df.write.format("parquet").mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+
+def create_table(df: DataFrame, name: str, partition_by: list[str] | None = None, storage: Storage = PARQUET) -> None:
+    ensure_table_namespace(df.sparkSession, name, storage.location)
+    rows = _gathered(df, partition_by)
+    if storage.row_level:
+        writer = rows.writeTo(name).using(storage.format)
+        (writer.partitionedBy(*map(F.col, partition_by)) if partition_by else writer).create()
+        return
+    writer = rows.write.format(storage.format).mode("errorifexists")
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
 
 
-def append(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
+def append(df: DataFrame, name: str, partition_by: list[str] | None = None, storage: Storage = PARQUET) -> None:
     """Create the table from the first write; afterwards append by column name."""
     spark = df.sparkSession
+    recover(spark, name)
     if not table_exists(spark, name):
-        create_table(df, name, partition_by)
-        return
-    writer = df.write.mode("append")
-    existing = partition_columns(spark, name)
-    if existing:
-        writer = writer.partitionBy(*existing)
-    writer.saveAsTable(name)
+        create_table(df, name, partition_by, storage)
+    elif storage.row_level:
+        _gathered(df, partition_by).writeTo(name).append()
+    else:
+        existing = partition_columns(spark, name)
+        writer = _gathered(df, existing).write.format(storage.format).mode("append")
+        (writer.partitionBy(*existing) if existing else writer).saveAsTable(name)
+
+
+def _drop(spark: SparkSession, name: str) -> None:
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
 
 
-def _swap(spark: SparkSession, content: DataFrame, name: str) -> None:
-    staging = name + "__next"
+def _rename(spark: SparkSession, name: str, to: str) -> None:
+    spark.sql(f"ALTER TABLE IDENTIFIER(:name) RENAME TO {to}", args={"name": name})
+
+
+def recover(spark: SparkSession, name: str) -> None:
+    """Undo or complete a swap that was cut short.
+
+    The table is gone only between the swap's two renames; ``__next`` is then
+    complete, and its rename is repeated.  Where the table is there, leftovers
+    of a swap are dropped: ``__prev`` is older, and ``__next`` may be unfinished.
+    """
+    here, previous, upcoming = (table_exists(spark, name + end) for end in ("", "__prev", "__next"))
+    if not here and previous:
+        _rename(spark, f"{name}__next" if upcoming else f"{name}__prev", name)
+        previous = upcoming
+    elif here and upcoming:
+        _drop(spark, f"{name}__next")
+    if previous:
+        _drop(spark, f"{name}__prev")
+
+
+def _swap(spark: SparkSession, content: DataFrame, name: str, storage: Storage) -> None:
+    create_table(content, f"{name}__next", partition_columns(spark, name) or None, storage)
+    _rename(spark, name, f"{name}__prev")
+    _rename(spark, f"{name}__next", name)
+    _drop(spark, f"{name}__prev")
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    previous = spark.conf.get(DYNAMIC_OVERWRITE)
+    spark.conf.set(DYNAMIC_OVERWRITE, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(DYNAMIC_OVERWRITE, previous)
+
+
+def _overwrite_partitions(rows: DataFrame, name: str, storage: Storage) -> None:
+    """Replace the partitions that ``rows`` has, in one commit."""
+    spark = rows.sparkSession
     parts = partition_columns(spark, name)
-    spark.sql(f"DROP TABLE IF EXISTS {quote_name(staging)}")
-    create_table(content, staging, parts or None)
-    spark.sql(f"DROP TABLE {quote_name(name)}")
-    spark.sql(f"ALTER TABLE {quote_name(staging)} RENAME TO {quote_name(name)}")
+    ordered = _gathered(rows.select(*spark.table(name).columns), parts)
+    if storage.row_level:
+        ordered.writeTo(name).overwritePartitions()
+        return
+    with _dynamic_overwrite(spark):
+        ordered.write.insertInto(name, overwrite=True)
 
 
 def merge_table(
@@ -104,39 +160,43 @@ def merge_table(
     compare_hash: str | None = "_record_hash",
     non_update: list[str] | None = None,
     partition_by: list[str] | None = None,
-    use_sql_merge: bool = False,
+    storage: Storage = PARQUET,
 ) -> None:
     """SCD1 upsert of ``source`` into table ``name`` (created on first use)."""
     spark = source.sparkSession
-    missing = sorted(set(keys) - set(source.columns))
-    if missing:
+    if missing := sorted(set(keys) - set(source.columns)):
         raise ValueError(f"key columns missing in source: {missing}")
+    recover(spark, name)
     if not table_exists(spark, name):
-        create_table(source, name, partition_by)
+        create_table(unique_by(source, keys), name, partition_by, storage)
         return
-    source = materialize(source)
-    if use_sql_merge:
-        _sql_merge(source, name, keys, compare_hash, non_update or [])
+    if storage.row_level:
+        merge_into(source, name, keys, compare_hash, non_update or [])
         return
-    assert_unique_keys(source, keys)
-    merged = merge_frames(spark.table(name), source, keys, compare_hash, non_update, check_unique=False)
-    _swap(spark, merged, name)
-
-
-def _sql_merge(source: DataFrame, name: str, keys, compare_hash, non_update) -> None:
-    spark = source.sparkSession
-    view = "__merge_source_" + name.replace(".", "_")
-    source.createOrReplaceTempView(view)
-    on = " AND ".join(f"t.{quote(k)} <=> s.{quote(k)}" for k in keys)
-    columns = source.columns
-    updatable = [c for c in columns if c not in keys and c not in non_update]
-    insert = f"WHEN NOT MATCHED THEN INSERT ({', '.join(map(quote, columns))}) VALUES ({', '.join('s.' + quote(c) for c in columns)})"
-    update = ""
+    parts = partition_columns(spark, name)
+    target = spark.table(name)
+    if parts and set(parts) <= set(keys):
+        # a row's key holds its partition: others cannot match and are not read
+        touched = source.select(*parts).distinct()
+        same = [target[c].eqNullSafe(touched[c]) for c in parts]
+        target = target.join(touched, same, "left_semi")
+        _overwrite_partitions(merge_frames(target, source, keys, compare_hash, non_update), name, storage)
+    else:
+        _swap(spark, merge_frames(target, source, keys, compare_hash, non_update), name, storage)
+
+
+def merge_into(source: DataFrame, name: str, keys: list[str], compare_hash: str | None, non_update: list[str]) -> None:
+    """The upsert as the catalog's own row-level merge."""
+    new = source.alias("new")
+    matched = F.lit(True)
+    for k in keys:
+        matched = matched & F.expr(f"{name}.`{k}` <=> new.`{k}`")
+    updatable = [c for c in source.columns if c not in keys and c not in non_update]
+    merge = new.mergeInto(name, matched)
     if updatable:
-        cond = f"t.{quote(compare_hash)} <> s.{quote(compare_hash)}" if compare_hash in columns else "true"
-        sets = ", ".join(f"t.{quote(c)} = s.{quote(c)}" for c in updatable)
-        update = f"WHEN MATCHED AND {cond} THEN UPDATE SET {sets}"
-    spark.sql(f"MERGE INTO {name} t USING {view} s ON {on} {update} {insert}")
+        changed = F.expr(f"{name}.`{compare_hash}` <> new.`{compare_hash}`") if compare_hash in updatable else F.lit(True)
+        merge = merge.whenMatched(changed).update({c: F.col(f"new.{c}") for c in updatable})
+    merge.whenNotMatched().insertAll().merge()
 
 
 def replace_table(
@@ -144,38 +204,42 @@ def replace_table(
     name: str,
     partition_by: list[str],
     values: list[dict] | None = None,
+    storage: Storage = PARQUET,
 ) -> None:
-    """Replace every partition of ``name`` whose values occur in ``source``.
+    """Replace every partition of ``name`` whose values occur in ``source``, in one commit.
 
     ``values`` lists partitions to clear even when ``source`` has no row for
-    them (e.g. a re-run that now rejects nothing).
+    them (e.g. a re-run that now rejects nothing); those that ``source`` lacks
+    are dropped after the commit.  A table that is not partitioned by just
+    these columns is refused.
     """
     spark = source.sparkSession
-    missing = sorted(set(partition_by) - set(source.columns))
-    if missing:
+    if missing := sorted(set(partition_by) - set(source.columns)):
         raise ValueError(f"partition columns missing in source: {missing}")
     if not table_exists(spark, name):
-        create_table(source, name, partition_by)
+        create_table(source, name, partition_by, storage)
         return
-    source = materialize(source)
-    if partition_columns(spark, name) == list(partition_by):
-        for spec in values or []:
-            clause = ", ".join(f"{quote(k)} = '{str(v)}'" for k, v in spec.items())
-            spark.sql(f"ALTER TABLE {quote_name(name)} DROP IF EXISTS PARTITION ({clause})")
-        ordered = source.select(*spark.table(name).columns)
-        previous = spark.conf.get(DYNAMIC_OVERWRITE)
-        spark.conf.set(DYNAMIC_OVERWRITE, "dynamic")
-        try:
-            ordered.write.insertInto(name, overwrite=True)
-        finally:
-            spark.conf.set(DYNAMIC_OVERWRITE, previous)
+    if not storage.row_level and partition_columns(spark, name) != list(partition_by):
+        raise ValueError(f"{name} is partitioned by {partition_columns(spark, name)}, not by {partition_by}")
+    _overwrite_partitions(source, name, storage)
+    for spec in values or []:
+        same = [F.col(k).eqNullSafe(F.lit(v)) for k, v in spec.items()]
+        filled = source
+        for condition in same:
+            filled = filled.where(condition)
+        if filled.isEmpty():
+            clear_partition(spark, name, spec, storage)
+
+
+def clear_partition(spark: SparkSession, name: str, spec: dict, storage: Storage) -> None:
+    given = {f"v{i}": v for i, v in enumerate(spec.values())}
+    if storage.row_level:
+        where = " AND ".join(f"`{k}` <=> :v{i}" for i, k in enumerate(spec))
+        spark.sql(f"DELETE FROM IDENTIFIER(:name) WHERE {where}", args={"name": name} | given)
         return
-    explicit = None
-    if values:
-        explicit = spark.createDataFrame(values).select(
-            *[F.col(c).cast(source.schema[c].dataType) for c in partition_by]
-        )
-    _swap(spark, replace_frames(spark.table(name), source, partition_by, explicit), name)
+    literal = {k: "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'" for k, v in spec.items()}
+    clause = ", ".join(f"`{k}` = {v}" for k, v in literal.items())
+    spark.sql(f"ALTER TABLE IDENTIFIER(:name) DROP IF EXISTS PARTITION ({clause})", args={"name": name})
 
 
 def inspect_layer(spark: SparkSession, database: str, table: str | None = None, n: int = 10):

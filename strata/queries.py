@@ -9,16 +9,16 @@ are returned as text so that they compare equal across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from strata.operators.staging import stage_path
+from strata.operators.staging import stage
 from strata.plans import gold, reports, silver
 from strata.plans.bronze import bronze_from_frame
-from strata.sources.fixture import BUSINESS_COLUMNS, raw_movement, spread, table
+from strata.sources.fixture import BUSINESS_COLUMNS, raw_movement, table
 
 AS_OF = "2026-01-01 00:00:00"
 
@@ -35,23 +35,16 @@ def stable(df: DataFrame) -> DataFrame:
     )
 
 
-_STAGED: dict[tuple, str] = {}
+_STAGED: dict[tuple, DataFrame] = {}
 FIXTURE_TABLES = ("lineitem", "orders", "customer", "nation", "supplier", "part")
 
 
 def _snapshot_key(spark: SparkSession, sf_dir: str) -> tuple:
-    """Identity of the inputs: application + every input file's path, size and
-    modification time, listed through the Hadoop file system (any scheme)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    files = []
-    for name in FIXTURE_TABLES:
-        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        listing = path.getFileSystem(conf).listFiles(path, True)
-        while listing.hasNext():
-            st = listing.next()
-            files.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
-    return (spark.sparkContext.applicationId, tuple(sorted(files)))
+    """Identity of the inputs: application, and a seal of all files' paths, sizes and times (one job)."""
+    columns = ["_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"]
+    files = [table(spark, sf_dir, name).select(*columns).distinct() for name in FIXTURE_TABLES]
+    seal = reduce(DataFrame.unionByName, files).agg(F.count("*"), F.bit_xor(F.xxhash64("*")))
+    return (spark.sparkContext.applicationId, sf_dir, *seal.first())
 
 
 class Layers:
@@ -61,13 +54,25 @@ class Layers:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    @cached_property
+    def _key(self) -> tuple:
+        return _snapshot_key(self.spark, self.sf_dir)
+
+    def staged(self, name: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
+        """A layer that is written once per input snapshot, as a persisted layer would be."""
+        key = (name, *self._key)
+        if key not in _STAGED:
+            _STAGED[key] = stage(build(), name, partition_by)
+        return _STAGED[key]
+
     @cached_property
     def raw(self) -> DataFrame:
         return raw_movement(self.spark, self.sf_dir)
 
     @cached_property
     def bronze(self) -> DataFrame:
-        return bronze_from_frame(self.raw, BUSINESS_COLUMNS)
+        """The bronze table, partitioned by load batch."""
+        return self.staged("bronze", lambda: bronze_from_frame(self.raw, BUSINESS_COLUMNS), ["_batch_id"])
 
     @cached_property
     def cleaned(self) -> DataFrame:
@@ -75,13 +80,9 @@ class Layers:
 
     @cached_property
     def classified(self) -> DataFrame:
-        # Written once per input snapshot: every silver output reads it, and
-        # the optimizer may not inline the cleaning projection into the rule
-        # filters.
-        key = _snapshot_key(self.spark, self.sf_dir)
-        if key not in _STAGED:
-            _STAGED[key] = stage_path(silver.classify_movement(self.cleaned), "classified")
-        return self.spark.read.parquet(_STAGED[key])
+        # every silver output reads it, and the optimizer may not inline the
+        # cleaning projection into the rule filters
+        return self.staged("classified", lambda: silver.classify_movement(self.cleaned))
 
     @cached_property
     def cleaned_rows(self) -> DataFrame:
@@ -132,6 +133,20 @@ class Layers:
     def fact(self) -> DataFrame:
         return gold.fact_movement(self.s_movement, as_of=AS_OF)
 
+    @cached_property
+    def fact_table(self) -> DataFrame:
+        """The persisted fact, partitioned by month: what reports read."""
+        return self.staged("fact", lambda: self.fact, ["id_cmpt_movel"])
+
+    def dim_table(self, name: str) -> DataFrame:
+        """A persisted dimension: ``insurer``, ``municipality``, ``plan`` or ``profile``."""
+        return self.staged(f"dim-{name}", lambda: getattr(self, f"d_{name}"))
+
+    @cached_property
+    def movement_table(self) -> DataFrame:
+        """The persisted silver movement, partitioned by month."""
+        return self.staged("movement", lambda: self.s_movement, ["id_cmpt_movel"])
+
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, QueryFn] = {}
@@ -152,47 +167,47 @@ def queries() -> dict[str, QueryFn]:
 # ---------------------------------------------------------------- reports
 @register("active_by_state")
 def _active_by_state(L: Layers) -> DataFrame:
-    return reports.active_by_state(L.fact, L.d_municipality)
+    return reports.active_by_state(L.fact_table, L.dim_table("municipality"))
 
 
 @register("available_periods")
 def _available_periods(L: Layers) -> DataFrame:
-    return reports.available_periods(L.fact)
+    return reports.available_periods(L.fact_table)
 
 
 @register("latest_summary")
 def _latest_summary(L: Layers) -> DataFrame:
-    return reports.latest_summary(L.fact)
+    return reports.latest_summary(L.fact_table)
 
 
 @register("top_insurers")
 def _top_insurers(L: Layers) -> DataFrame:
-    return reports.top_insurers(L.fact, L.d_insurer)
+    return reports.top_insurers(L.fact_table, L.dim_table("insurer"))
 
 
 @register("profile_sex_age")
 def _profile_sex_age(L: Layers) -> DataFrame:
-    return reports.profile_sex_age(L.fact, L.d_profile)
+    return reports.profile_sex_age(L.fact_table, L.dim_table("profile"))
 
 
 @register("by_relationship")
 def _by_relationship(L: Layers) -> DataFrame:
-    return reports.by_relationship(L.fact, L.d_profile)
+    return reports.by_relationship(L.fact_table, L.dim_table("profile"))
 
 
 @register("monthly_evolution")
 def _monthly_evolution(L: Layers) -> DataFrame:
-    return reports.monthly_evolution(L.fact)
+    return reports.monthly_evolution(L.fact_table)
 
 
 @register("plan_distribution")
 def _plan_distribution(L: Layers) -> DataFrame:
-    return reports.plan_distribution(L.fact, L.d_plan)
+    return reports.plan_distribution(L.fact_table, L.dim_table("plan"))
 
 
 @register("top_municipalities")
 def _top_municipalities(L: Layers) -> DataFrame:
-    return reports.top_municipalities(L.fact, L.d_municipality)
+    return reports.top_municipalities(L.fact_table, L.dim_table("municipality"))
 
 
 @register("batch_audit")
@@ -209,8 +224,8 @@ from strata.operators import dedupe as dd  # noqa: E402
 from strata.operators import quality  # noqa: E402
 from strata.operators.incremental import batch_slice, load_counters, new_rows_only  # noqa: E402
 from strata.operators.merge import merge_frames, replace_frames  # noqa: E402
-from strata.sources import archives, index_pages  # noqa: E402
-from strata.sources.csv import read_csv_normalized, write_csv  # noqa: E402
+from strata.sources import index_pages  # noqa: E402
+from strata.sources.csv import read_csv, write_csv  # noqa: E402
 from strata.session import scratch_path  # noqa: E402
 
 CLEAN_STRING_COLUMNS = ["id_cmpt_movel", "cd_operadora", "cd_municipio", "cd_plano", "de_faixa_etaria",
@@ -219,8 +234,6 @@ CLEAN_UPPER_COLUMNS = ["nm_razao_social", "modalidade_operadora", "sg_uf", "tp_s
                        "cobertura_assist_plan"]
 DIGIT_COLUMNS = ["id_cmpt_movel", "nr_cnpj", "cd_operadora"]
 LEDGER_LAST_BATCH = "b1999"
-MERGE_TARGET_LAST_BATCH = "b1997"
-MERGE_SOURCE_BATCH = "b1998"
 PERIOD_RANGE = ("199601", "200012")
 
 # Headers as a publisher might spell them; normalisation maps them back.
@@ -385,7 +398,7 @@ def _q_load_counters(L: Layers) -> DataFrame:
 
 @register("latest_period")
 def _q_latest_period(L: Layers) -> DataFrame:
-    return reports.latest_period(L.fact)
+    return reports.latest_period(L.fact_table)
 
 
 @register("first_not_null")
@@ -402,7 +415,7 @@ def _q_latest_batch(L: Layers) -> DataFrame:
 
 @register("dedupe_latest")
 def _q_dedupe(L: Layers) -> DataFrame:
-    return dd.deduplicate_latest(L.cleaned_rows, silver.MOVEMENT_KEY, silver.DEDUPE_ORDER)
+    return dd.latest_per_key(L.cleaned_rows, silver.MOVEMENT_KEY, silver.DEDUPE_ORDER)
 
 
 # ---------------------------------------------------------------- silver / gold entities
@@ -458,8 +471,10 @@ def _q_fact(L: Layers) -> DataFrame:
 
 # ---------------------------------------------------------------- table maintenance
 def _merge_inputs(L: Layers) -> tuple[DataFrame, DataFrame]:
-    target = silver.silver_plan(L.valid.where(F.col("_batch_id") <= MERGE_TARGET_LAST_BATCH))
-    source = silver.silver_plan(L.valid.where(F.col("_batch_id") == MERGE_SOURCE_BATCH))
+    """All batches before the latest, and the latest."""
+    latest = L.valid.select(F.max("_batch_id")).scalar()
+    target = silver.silver_plan(L.valid.where(F.col("_batch_id") < latest))
+    source = silver.silver_plan(L.valid.where(F.col("_batch_id") == latest))
     every_fifth = (F.col("cd_plano").try_cast("long") % 5) == 0
     changed = source.withColumn(
         "cobertura_assist_plan",
@@ -483,7 +498,7 @@ def _q_merge_insert(L: Layers) -> DataFrame:
 
 @register("partition_replace")
 def _q_replace(L: Layers) -> DataFrame:
-    target = L.s_movement
+    target = L.movement_table
     months = target.select("id_cmpt_movel").distinct().orderBy(F.col("id_cmpt_movel").desc()).limit(2)
     source = (
         target.join(F.broadcast(months), "id_cmpt_movel")  # at most two rows, by the limit
@@ -500,7 +515,7 @@ def _directory_links(L: Layers) -> DataFrame:
 
 
 def _pages(L: Layers) -> DataFrame:
-    return spread(table(L.spark, L.sf_dir, "pages"))
+    return table(L.spark, L.sf_dir, "pages")
 
 
 @register("page_file_links")
@@ -527,25 +542,14 @@ def _q_unpublished(L: Layers) -> DataFrame:
     return index_pages.unpublished(available, published)
 
 
-def _documents(L: Layers) -> DataFrame:
-    return spread(table(L.spark, L.sf_dir, "documents"))
-
-
 @register("allowed_files")
 def _q_allowed(L: Layers) -> DataFrame:
     names = (
-        index_pages.page_file_links(_pages(L)).select("file_name")
-        .unionByName(archives.document_archives(_documents(L)).select(F.col("archive").alias("file_name")))
+        index_pages.page_file_links(_pages(L))
+        .select("file_name")
         .unionByName(L.bronze.select(F.regexp_extract("_source_path", r"([^/]*)$", 1).alias("file_name")))
     )
-    return names.where(index_pages.file_allowed(F.col("file_name"), [".zip"], ["XX"])).distinct()
-
-
-@register("archive_members")
-def _q_archives(L: Layers) -> DataFrame:
-    folder = scratch_path(L.spark, "archives")
-    archives.write_archives(archives.document_archives(_documents(L)), folder, "archive", "member", "text").collect()
-    return archives.archive_members(L.spark, folder)
+    return names.where(index_pages.file_allowed(F.col("file_name"), [".CSV"], ["Part-3"])).distinct()
 
 
 @register("csv_scan")
@@ -557,4 +561,4 @@ def _q_csv_scan(L: Layers) -> DataFrame:
         F.regexp_extract("_source_path", r"^raw/(?:reload/)?([0-9]{6})/", 1).alias("period"),
     )
     write_csv(shown, folder, partition_by=["_batch_id", "period"])
-    return read_csv_normalized(L.spark, folder).select(*BUSINESS_COLUMNS)
+    return read_csv(L.spark, folder).select(*BUSINESS_COLUMNS)

@@ -4,11 +4,12 @@ scratch location every job that cuts lineage or stages files must use."""
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -38,12 +39,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster this is set by the deployment and is read, never replaced.
-    Only when it is unset (tests, a laptop) a fresh local folder is created
-    and registered, so ``DataFrame.checkpoint`` works everywhere.
+    It is set by the deployment and is read, never replaced.  Where it is
+    unset, a local master (tests, a laptop) gets a fresh local folder; any
+    other master is refused, because executors would each write to their own
+    disk.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, configured)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -51,6 +55,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def run_sql(spark: SparkSession, statement: str, limit: int | None = None, **values) -> DataFrame:
+    """A statement with named parameters (``:name``), its result cut to ``limit`` rows if given."""
+    result = spark.sql(statement, args=values) if values else spark.sql(statement)
+    return result if limit is None else result.limit(limit)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder path under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

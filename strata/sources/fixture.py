@@ -52,8 +52,8 @@ BUSINESS_COLUMNS = [
 # Load context of each simulated delivery: file path, load batch, load time.
 LOAD_COLUMNS = ["_source_path", "_batch_id", "_ingested_at"]
 
-# Two-letter codes laid end to end; nation n gets the pair at offset 2n.
-STATE_STRIP = "".join(VALID_UFS[:25])
+# Nation n gets the n-th code.
+STATES = VALID_UFS[:25]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,31 +64,22 @@ def _every(k: Column, n: int) -> Column:
     return (k % n) == 0
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the cluster has cores.
-
-    A small file with one row group is read by a single task, and every
-    narrow stage above it inherits that.  A large input has far more splits
-    than cores, so at scale this adds no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def raw_movement(spark: SparkSession, sf_dir: str, with_reload: bool = True) -> DataFrame:
     """All-string raw rows plus load context, one per lineitem (+ reloads)."""
-    # Whichever side the planner streams must not be a single split.
-    li = spread(
-        table(spark, sf_dir, "lineitem").select(
+    # dealt by the key of the largest join, which needs this exchange anyway
+    li = (
+        table(spark, sf_dir, "lineitem")
+        .select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_returnflag", "l_linestatus", "l_shipdate",
         )
+        .repartition("l_orderkey")
     )
-    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"))
-    customer = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    supplier = spread(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"))
-    part = spread(table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size"))
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
 
     buyers = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
         F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")
@@ -135,7 +126,7 @@ def raw_movement(spark: SparkSession, sf_dir: str, with_reload: bool = True) ->
         .otherwise(F.lit("NULL"))
         .alias("modalidade_operadora"),
         F.when(_every(k, 89), F.lit("zz"))
-        .otherwise(F.lower(F.substring(F.lit(STATE_STRIP), F.col("n_nationkey") * 2 + 1, 2)))
+        .otherwise(F.lower(F.get(F.array(*map(F.lit, STATES)), F.col("n_nationkey"))))
         .alias("sg_uf"),
         F.when(_every(k, 83), F.lit("12"))
         .otherwise((F.col("n_nationkey") + 100000).cast("string"))

@@ -17,48 +17,69 @@ from pyspark.sql import functions as F
 
 # Markup that can contain text looking like tags without being tags.
 _NOT_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-# Opening <a ...> tags and the href value in one of its three spellings.
-_A_TAG = r"(?is)<a\s[^>]*>"
-_HREF = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+# Opening <a ...> tags; a quoted attribute value may hold '>'.
+_A_TAG = r"""(?is)<a\s(?:[^>"']|"[^"]*"|'[^']*')*>"""
+# One attribute: its name and its value in one of three spellings, or none.
+_ATTRIBUTE = r"""(?is)([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?"""
+_REFERENCE = r"&(#[xX][0-9a-fA-F]+|#[0-9]+|amp|lt|gt|quot|apos|nbsp);?"
+_ESCAPE = r"%[0-9a-fA-F]{2}"
 PERIOD_PATTERN = r"^[0-9]{6}$"
+# The named character references that URLs use.
+NAMED_REFERENCES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0"}
 
 
-def html_entities(c: Column) -> Column:
-    """Decode the character references that occur in URLs."""
-    out = c
-    for entity, char in (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+def _replaced(text: Column, pattern: str, decode) -> Column:
+    """``text`` with every match of ``pattern`` replaced by ``decode(match)``."""
+    between = F.split(text, pattern, -1)
+    found = F.regexp_extract_all(text, F.lit(pattern), 0)
+    pieces = F.zip_with(between, F.transform(found, decode), lambda t, m: F.concat(t, F.coalesce(m, F.lit(""))))
+    return F.when(text.rlike(pattern), F.array_join(pieces, "")).otherwise(text)
+
+
+def html_entities(text: Column) -> Column:
+    """Decode numeric character references and the named ones of URLs."""
+
+    def decode(match: Column) -> Column:
+        body = F.regexp_extract(match, _REFERENCE, 1)
+        code = F.when(body.rlike("^#[xX]"), F.conv(F.substring(body, 3, 8), 16, 10)).when(
+            body.startswith("#"), F.substring(body, 2, 8)
+        )
+        # through UTF-32: char() knows only one byte
+        character = F.decode(F.unhex(F.lpad(F.hex(code.try_cast("long")), 8, "0")), "UTF-32")
+        named = F.create_map(*[F.lit(x) for pair in NAMED_REFERENCES.items() for x in pair])
+        return F.coalesce(F.element_at(named, body), character, match)
+
+    return _replaced(text, _REFERENCE, decode)
 
 
 def href_values(html: Column) -> Column:
-    """Array of raw href values of every <a> tag, in document order."""
+    """Array of the non-empty href values of all <a> tags, in document order; a tag's last href counts."""
     tags = F.regexp_extract_all(F.regexp_replace(html, _NOT_MARKUP, " "), F.lit(_A_TAG), 0)
-    return F.transform(
-        F.filter(tags, lambda t: t.rlike(_HREF)),
-        lambda t: html_entities(
-            F.coalesce(
-                F.nullif(F.regexp_extract(t, _HREF, 1), F.lit("")),
-                F.nullif(F.regexp_extract(t, _HREF, 2), F.lit("")),
-                F.regexp_extract(t, _HREF, 3),
-            )
-        ),
-    )
+
+    def href(tag: Column) -> Column:
+        attributes = F.regexp_extract_all(F.substring(tag, 3, 1 << 30), F.lit(_ATTRIBUTE), 0)
+        own = F.filter(attributes, lambda a: F.lower(F.regexp_extract(a, _ATTRIBUTE, 1)) == "href")
+        last = F.try_element_at(own, F.lit(-1))
+        value = F.concat(*[F.regexp_extract(last, _ATTRIBUTE, i) for i in (2, 3, 4)])
+        return html_entities(value)
+
+    return F.filter(F.transform(tags, href), lambda v: v != "")
+
+
+def percent_decoded(text: Column) -> Column:
+    """Percent escapes decoded as UTF-8; an invalid escape stays as it is, ``+`` too."""
+    lone = F.regexp_replace(text, r"%(?![0-9a-fA-F]{2})", "%25")
+    return F.coalesce(F.try_url_decode(F.replace(lone, F.lit("+"), F.lit("%2B"))), text)
 
 
 def url_path(link: Column) -> Column:
-    """Percent-decoded path part of a link: no scheme/host, query, fragment or ;params.
-
-    ``+`` is kept literally (as in URL path decoding) and an invalid escape
-    leaves the link undecoded.
-    """
-    escaped_plus = F.replace(link, F.lit("+"), F.lit("%2B"))
-    decoded = F.coalesce(F.try_url_decode(escaped_plus), link)
-    no_fragment = F.regexp_replace(decoded, r"#.*$", "")
-    no_query = F.regexp_replace(no_fragment, r"\?.*$", "")
-    no_host = F.regexp_replace(no_query, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*", "")
-    no_scheme = F.regexp_replace(no_host, r"^[A-Za-z][A-Za-z0-9+.-]*:", "")
-    return F.regexp_replace(no_scheme, r";[^/]*$", "")
+    """Percent-decoded path of a link: no scheme, host, query, fragment or ;params."""
+    decoded = percent_decoded(link)
+    no_fragment = F.regexp_replace(decoded, r"(?s)#.*$", "")
+    no_query = F.regexp_replace(no_fragment, r"(?s)\?.*$", "")
+    no_scheme = F.regexp_replace(no_query, r"^[A-Za-z][A-Za-z0-9+.-]*:", "")
+    no_host = F.regexp_replace(no_scheme, r"^//[^/]*", "")
+    return F.regexp_replace(no_host, r";[^/]*$", "")
 
 
 def file_name(link: Column) -> Column:

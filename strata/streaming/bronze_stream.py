@@ -1,16 +1,13 @@
 """Incremental bronze ingestion as a Structured Streaming file source.
 
-The batch loader (``strata.plans.layers.load_bronze``) keeps its own ledger
-of loaded paths.  The streaming form lets Spark keep it: the file source
-records every file it has processed in the query's checkpoint, so each
-trigger reads only new files, exactly once, and a restarted query resumes
-where it stopped (the checkpoint lives in the shared checkpoint folder, so
-the loss of the driver or an executor does not lose it).
-
-``Trigger.AvailableNow`` processes everything present and stops, which is
-how a scheduled (e.g. monthly) load runs; a processing-time trigger keeps
-the same query running continuously.  Each micro-batch is appended with
-``foreachBatch``, where it gets its own batch id and lineage columns.
+The file source records the files of every epoch in the query's checkpoint.
+An epoch is one bronze batch, named by the query and the epoch's number, and
+writing it replaces its partition: an epoch that is repeated after a failure
+leaves the rows of one run.
+
+A streaming file source needs its columns beforehand.  Files whose header
+differs from the given one are refused by the reader (``enforceSchema`` off),
+never read by position; load such files with ``load_bronze``.
 """
 
 from __future__ import annotations
@@ -23,27 +20,18 @@ from pyspark.sql.types import StringType, StructField, StructType
 from strata.functions.names import normalize_column_name
 from strata.plans import tables
 from strata.plans.bronze import DEFAULT_SOURCE_SYSTEM, bronze_from_files
-from strata.plans.layers import new_batch_id
 from strata.session import checkpoint_root
 
 
 def raw_stream(spark: SparkSession, folder: str, header: list[str], sep: str = ";") -> DataFrame:
-    """Streaming scan of ``;`` CSV files (recursive), every column a string.
-
-    A streaming file source needs its schema up front; the raw header is
-    given as published and normalised like the batch reader does.
-    """
-    schema = StructType([StructField(h, StringType()) for h in header])
-    return (
-        spark.readStream.schema(schema)
-        .option("header", "true")
-        .option("sep", sep)
-        .option("mode", "PERMISSIVE")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
+    """Streaming scan of CSV files with this header (recursive), every column a string, and ``_source_path``."""
+    files = (
+        spark.readStream.schema(StructType([StructField(h, StringType()) for h in header]))
+        .options(header="true", sep=sep, mode="PERMISSIVE", enforceSchema="false", recursiveFileLookup="true", pathGlobFilter="*.csv")
         .csv(folder)
-        .withColumn("__file_path", F.col("_metadata.file_path"))
     )
+    names = [F.col(f"`{h}`").alias(normalize_column_name(h)) for h in header]
+    return files.select(*names, F.col("_metadata.file_path").alias("_source_path"))
 
 
 def start_bronze_stream(
@@ -56,16 +44,14 @@ def start_bronze_stream(
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start the ingestion; each micro-batch becomes one bronze load batch."""
-    checkpoint = checkpoint or f"{checkpoint_root(spark)}/streams/{normalize_column_name(table)}"
+    stream = normalize_column_name(table)
+    checkpoint = checkpoint or f"{checkpoint_root(spark)}/streams/{stream}"
+    columns = [normalize_column_name(h) for h in header]
 
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        if batch.isEmpty():
-            return
-        bronze = bronze_from_files(batch, new_batch_id(), source_system, path_column="__file_path")
-        tables.append(bronze, table, partition_by=["_batch_id"])
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        bronze = bronze_from_files(batch, f"stream_{stream}_{epoch:012d}", columns, source_system)
+        tables.replace_table(bronze, table, ["_batch_id"])
 
-    writer = raw_stream(spark, folder, header).writeStream.foreachBatch(write_batch).option(
-        "checkpointLocation", checkpoint
-    )
+    writer = raw_stream(spark, folder, header).writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -54,3 +54,27 @@ def test_unpublished_skips_existing(spark):
     latest = ip.latest_period(periods)
     assert ip.unpublished(latest, published).count() == 0
     assert [r.period for r in ip.unpublished(periods, published).collect()] == ["202601"]
+
+
+CASES = [
+    ('<a href="//cdn.example.com">x</a>', None),
+    ('<a href="//cdn.example.com/f.zip">x</a>', "f.zip"),
+    ('<a href="a&#x2e;zip">x</a>', "a.zip"),
+    ('<a href="b&#46;zip&amp;amp;x">x</a>', "b.zip&amp"),
+    ('<a href="p%ZZ%20q.zip">x</a>', "p%ZZ q.zip"),
+    ('<a href="a+b%2Bc.zip">x</a>', "a+b+c.zip"),
+    ('<a title="a>b" href="gt.zip">x</a>', "gt.zip"),
+    ("<a title='it\"s>' HREF = 'sq.zip' >x</a>", "sq.zip"),
+    ("<a href=bare.zip class=c>x</a>", "bare.zip"),
+    ('<a href="first.zip" href="last.zip">x</a>', "last.zip"),
+    ('<a data-href="no.zip">x</a>', None),
+    ('<a href="">x</a><a>y</a><abbr href="no.zip">z</abbr>', None),
+    ('<a href="&#233;%C3%A9.zip">x</a>', "éé.zip"),
+    (None, None),
+]
+
+
+def test_link_spellings(spark):
+    pages = spark.createDataFrame([(i, html) for i, (html, _) in enumerate(CASES)], "page_id long, html string")
+    got = {r.page_id: r.file_name for r in ip.page_file_links(pages).collect()}
+    assert got == {i: name for i, (_, name) in enumerate(CASES) if name is not None}

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators.dedupe import deduplicate_latest, first_not_null, latest_batch_id
+from strata.operators.dedupe import latest_per_key, first_not_null, latest_batch_id
 from strata.operators.quality import any_null, ensure_not_empty, missing_reason, require_columns
 from strata.plans import silver
 from strata.queries import Layers
@@ -53,12 +53,12 @@ def test_dedupe_keeps_latest_and_unique_keys(spark):
     df = spark.createDataFrame(
         [("k", 1, "a"), ("k", 3, "b"), ("k", None, "c"), ("j", None, "d")], "k string, o int, v string"
     )
-    out = {r["k"]: r["v"] for r in deduplicate_latest(df, ["k"], ["o"]).collect()}
+    out = {r["k"]: r["v"] for r in latest_per_key(df, ["k"], ["o"]).collect()}
     assert out == {"k": "b", "j": "d"}
     with pytest.raises(ValueError, match="key columns"):
-        deduplicate_latest(df, ["nope"], ["o"])
+        latest_per_key(df, ["nope"], ["o"])
     with pytest.raises(ValueError, match="order columns"):
-        deduplicate_latest(df, ["k"], ["nope"])
+        latest_per_key(df, ["k"], ["nope"])
 
 
 def test_silver_keys_unique_and_reload_wins(spark):

@@ -2,6 +2,8 @@ import os
 import tempfile
 import uuid
 
+import pytest
+
 from strata.streaming.bronze_stream import start_bronze_stream
 
 HEADER = ["ID_CMPT_MOVEL", "CD_OPERADORA", "QT_BENEFICIARIO_ATIVO"]
@@ -34,3 +36,20 @@ def test_stream_loads_each_file_once(spark):
     assert bronze.count() == 3
     assert bronze.select("_source_path").distinct().count() == 2
     assert bronze.select("_batch_id").distinct().count() == 2
+
+
+def test_a_repeated_epoch_leaves_its_rows_once_and_other_headers_are_refused(spark, tmp_path):
+    root, ckpt = str(tmp_path / "raw"), str(tmp_path / "ckpt")
+    table = f"s_{uuid.uuid4().hex[:6]}.bronze"
+    write(root, "a.csv", [("202401", "1", "5"), ("202401", "2", "7")])
+    start_bronze_stream(spark, root, HEADER, table, checkpoint=ckpt).awaitTermination(120)
+    for commit in (tmp_path / "ckpt" / "commits").iterdir():  # as if the driver had died before it
+        commit.unlink()
+    start_bronze_stream(spark, root, HEADER, table, checkpoint=ckpt).awaitTermination(120)
+    assert spark.table(table).count() == 2
+    with open(os.path.join(root, "b.csv"), "w") as f:
+        f.write("CD_OPERADORA;ID_CMPT_MOVEL;QT_BENEFICIARIO_ATIVO\n9;202402;1\n")
+    query = start_bronze_stream(spark, root, HEADER, table, checkpoint=ckpt)
+    with pytest.raises(Exception):
+        query.awaitTermination(120)
+    assert spark.table(table).count() == 2

@@ -1,8 +1,10 @@
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.plans import tables
+from strata.session import run_sql
 
 
 def name(prefix):
@@ -59,3 +61,128 @@ def test_inspect_layer(spark):
     names, sample = tables.inspect_layer(spark, db, "t1", n=10)
     assert names == ["t1"]
     assert sample.count() == 10
+
+
+BASE = [("a", "1", "h1"), ("b", "2", "h2")]
+NEW = [("a", "9", "h9"), ("c", "3", "h3")]
+AFTER = [("a", "9", "h9"), ("b", "2", "h2"), ("c", "3", "h3")]
+ROW = "k string, v string, _record_hash string"
+
+
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", range(4))
+def test_a_swap_that_fails_at_any_step_loses_nothing(spark, monkeypatch, step):
+    t = f"{name('ns')}.swap"
+    tables.merge_table(spark.createDataFrame(BASE, ROW), t, ["k"])
+    source = spark.createDataFrame(NEW, ROW)
+    calls = []
+
+    def failing(real):
+        def call(*args, **kwargs):
+            calls.append(real.__name__)
+            if len(calls) > step:
+                raise Crash
+            return real(*args, **kwargs)
+
+        return call
+
+    with monkeypatch.context() as patched:
+        for function in ("create_table", "_rename", "_drop"):
+            patched.setattr(tables, function, failing(getattr(tables, function)))
+        with pytest.raises(Crash):
+            tables.merge_table(source, t, ["k"])
+    tables.recover(spark, t)
+    assert content(spark, t) in (sorted(BASE), AFTER)
+    tables.merge_table(source, t, ["k"])
+    assert content(spark, t) == AFTER
+    namespace, _, table = t.partition(".")
+    assert [x.name for x in spark.catalog.listTables(namespace)] == [table]
+
+
+def test_merge_rewrites_only_the_partitions_of_the_source(spark):
+    t = f"{name('ns')}.part"
+    schema = "m string, k string, v string, _record_hash string"
+    rows = [("m1", "a", "1", "h1"), ("m2", "a", "1", "h1"), (None, "n", "1", "h1")]
+    tables.merge_table(spark.createDataFrame(rows, schema), t, ["m", "k"], partition_by=["m"])
+    before = sorted(spark.table(t).where("m = 'm2'").inputFiles())
+    source = [("m1", "a", "2", "h2"), ("m1", "b", "2", "h2"), ("m3", "c", "3", "h3")]
+    tables.merge_table(spark.createDataFrame(source, schema), t, ["m", "k"], partition_by=["m"])
+    got = sorted(tuple(r) for r in spark.table(t).select("m", "k", "v").where("m is not null").collect())
+    assert got == [("m1", "a", "2"), ("m1", "b", "2"), ("m2", "a", "1"), ("m3", "c", "3")]
+    assert spark.table(t).where("m is null").count() == 1
+    assert sorted(spark.table(t).where("m = 'm2'").inputFiles()) == before
+
+
+def test_replace_refuses_other_partitioning_and_odd_values(spark):
+    t = f"{name('ns')}.odd"
+    rows = spark.createDataFrame([(1, "it's"), (2, "b\\\\c")], "x int, m string")
+    tables.replace_table(rows, t, ["m"])
+    with pytest.raises(ValueError, match="partitioned by"):
+        tables.replace_table(rows, t, ["x"])
+    tables.replace_table(rows.where("x > 9"), t, ["m"], values=[{"m": "it's"}])
+    assert [r.x for r in spark.table(t).collect()] == [2]
+
+
+def test_duplicate_source_keys_leave_the_table_as_it_is(spark):
+    t = f"{name('ns')}.dup"
+    tables.merge_table(spark.createDataFrame(BASE, ROW), t, ["k"])
+    with pytest.raises(Exception, match="duplicate keys"):
+        tables.merge_table(spark.createDataFrame(NEW + NEW[:1], ROW), t, ["k"])
+    tables.recover(spark, t)
+    assert content(spark, t) == sorted(BASE)
+
+
+def test_few_files_per_partition(spark):
+    t = f"{name('ns')}.files"
+    rows = spark.range(0, 4000, 1, 16).selectExpr("id", "cast(id % 12 as string) as m")
+    tables.replace_table(rows, t, ["m"])
+    assert len(spark.table(t).inputFiles()) == 12
+
+
+def test_names_and_locations(spark, tmp_path):
+    db = name("loc")
+    tables.create_table(spark.createDataFrame(BASE, ROW), f"spark_catalog.{db}.t", storage=tables.Storage(location=f"file://{tmp_path}/{db}"))
+    assert spark.catalog.databaseExists(f"spark_catalog.{db}")
+    assert content(spark, f"spark_catalog.{db}.t") == sorted(BASE)
+    assert f"{tmp_path}/{db}" in spark.table(f"{db}.t").inputFiles()[0]
+    with pytest.raises(Exception):
+        tables.ensure_namespace(spark, f"no_such_catalog.{db}")
+    assert [r.k for r in run_sql(spark, f"SELECT k FROM {db}.t WHERE v > :least ORDER BY k", limit=1, least="0").collect()] == ["a"]
+
+
+class Recorder:
+    """Stands in for the row-level writers, whose catalogs do not ship with Spark."""
+
+    def __init__(self):
+        self.calls = []
+
+    def __getattr__(self, method):
+        def call(*args):
+            self.calls.append((method, *map(str, args)))
+            return self
+
+        return call
+
+
+def test_row_level_storage_writes_and_merges_by_the_catalog(spark, monkeypatch):
+    t = f"{name('ns')}.rows"
+    tables.append(spark.createDataFrame(BASE, ROW), t)
+    seen = Recorder()
+    frame = type(spark.range(1))
+    monkeypatch.setattr(frame, "writeTo", lambda self, table: seen.writeTo(table))
+    monkeypatch.setattr(frame, "mergeInto", lambda self, table, on: seen.mergeInto(table, on))
+    storage = tables.Storage(format="iceberg", row_level=True)
+    tables.create_table(spark.createDataFrame(NEW, ROW), f"{t}_2", ["k"], storage)
+    tables.append(spark.createDataFrame(NEW, ROW), t, None, storage)
+    tables.merge_table(spark.createDataFrame(NEW, ROW), t, ["k"], storage=storage)
+    tables.replace_table(spark.createDataFrame(NEW, ROW), t, ["k"], storage=storage)
+    methods = [c[0] for c in seen.calls]
+    assert methods == [
+        "writeTo", "using", "partitionedBy", "create", "writeTo", "append",
+        "mergeInto", "whenMatched", "update", "whenNotMatched", "insertAll", "merge", "writeTo", "overwritePartitions",
+    ]
+    assert seen.calls[1] == ("using", "iceberg") and seen.calls[6][1] == t
+    assert "_record_hash" in seen.calls[7][1] and "'v'" in seen.calls[8][1] and "'k'" not in seen.calls[8][1]
