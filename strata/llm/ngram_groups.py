@@ -50,7 +50,7 @@ from strata.operators.staging import stage
 BLANKS = b" \t\n\x0b\x0c\r"
 
 #: Bytes of text that are shingled at once; a longer text goes in pieces.
-AT_ONCE = 2 << 20
+AT_ONCE = 1 << 20
 
 #: Bins of the sketch that proposes first comparisons, and how many must agree.
 BINS, AGREED = 8, 3
@@ -62,7 +62,7 @@ GROUP = 64
 FREQUENT_FROM, MOST_FREQUENT = 16, 500_000
 
 #: Nodes that are asked for by broadcast; more are fetched by a shuffled join.
-BROADCAST_NODES = 500_000
+BROADCAST_NODES = 200_000
 
 #: Queries of a group that meet in one task.
 QUERIES = 512
@@ -257,8 +257,8 @@ def frequent_tokens(counted: DataFrame) -> np.ndarray:
         return pd.DataFrame({"token": tokens[often].view(np.int64), "n": counts[often].astype(np.int64)})
 
     often = counted.groupBy("bucket").applyInPandas(summed, "token long, n long")
-    top = often.orderBy(F.desc("n"), "token").limit(MOST_FREQUENT).select("token").toPandas()
-    return np.sort(top["token"].to_numpy(np.int64).view(np.uint64))
+    top = often.orderBy(F.desc("n"), "token").limit(MOST_FREQUENT).select("token").toArrow()
+    return np.sort(top["token"].to_numpy().astype(np.int64).view(np.uint64))
 
 
 def _is_in(tokens: np.ndarray, some: np.ndarray) -> np.ndarray:

@@ -41,10 +41,10 @@ from strata.operators.staging import stage
 ENDING = "ARROW1"
 
 #: Distinct words in each of the two generations that a Python worker keeps encoded.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 
 #: Bytes of text that are cut into words at once; a longer text goes in pieces that end at blanks.
-CUT_AT_ONCE = 2 << 20
+CUT_AT_ONCE = 1 << 20
 
 #: Words encoded in one call.
 CALL_WORDS = 2_000
@@ -183,7 +183,7 @@ def write_token_files(
     end_id: int = 1,
     length: int = 2048,
     batch_rows: int = 256,
-    file_tokens: int = 4 << 20,
+    file_tokens: int = 2 << 20,
     order: list[str] | None = None,
 ) -> None:
     """Write ``docs(doc_id, text)`` as files of about ``file_tokens`` ids each.

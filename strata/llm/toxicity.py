@@ -40,7 +40,7 @@ FUZZY_FROM = 5
 WINDOW = 6
 
 #: Bytes of text that are looked through at once; a longer text goes alone.
-AT_ONCE = 4 << 20
+AT_ONCE = 2 << 20
 
 #: States of the automaton that a task keeps; beyond them it starts anew.
 KEPT_STATES = 100_000
