@@ -4,11 +4,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from strata.oracle_queries import oracle_sql
+from strata.queries import queries
 from tests.conftest import SF_SMALL
 from tools.compare import TABLES, digest
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = queries()
+ORACLE = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +25,10 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_entry_has_at_least_these():
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns and df.count() >= 0
