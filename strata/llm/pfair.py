@@ -98,7 +98,7 @@ def mix_sources(
     temperature: float = 0.5,
     block_rows: int = 64,
     period: int = 1000,
-    bucket_rows: int = 50_000,
+    bucket_rows: int = 2_000,
     seed: int = 7,
 ) -> DataFrame:
     """``docs(doc_id, source)`` with ``block, slot, release_slot, deadline_slot, place``.
