@@ -65,7 +65,7 @@ def best_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Colum
     for text in ordered:
         rule_host, _, rest = text.partition("/")
         inside = (host == rule_host) | host.endswith(f".{rule_host}")
-        fits.append(F.when((host != "") & inside & path.startswith(f"/{rest}" if rest else ""), F.lit(text)))
+        fits.append(F.when((host != "") & inside & path.startswith(f"/{rest}"), F.lit(text)))
     return F.coalesce(*fits, F.lit(None).cast("string"))
 
 
