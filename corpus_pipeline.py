@@ -75,6 +75,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, in the order of the mixture."""
+    ship_package(spark)
     placed = mix_sources(docs, temperature=0.5)
     return placed.repartitionByRange("place").sortWithinPartitions("place").select(docs.columns)
 

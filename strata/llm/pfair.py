@@ -1,16 +1,20 @@
 """Interleaving sources to target weights by Pfair scheduling.
 
 Each source's documents are put in a fixed random order and cut into blocks.
-Block ``k`` (from 0) of a source of weight ``w`` is released at ``floor(k/w)``
-and due at ``ceil((k+1)/w)``; one block runs per slot, the released block with
-the earliest deadline first.  As the weights sum to one, no deadline is ever
-missed, and after any slot each source is less than one block from its weight.
-
-Weights are rounded to multiples of ``1/period``.  Such a schedule repeats
-after ``period`` slots, so one period is computed on the driver and every
-block finds its slot by arithmetic, in parallel.  No row is dropped or
-repeated: when a source ends, the next period starts a phase in which the
-others share by their weights.  There are at most as many phases as sources.
+In the ideal (fluid) mixture all sources run at once, each at its weight's
+share of the sources that have not ended.  A source of weight ``w`` and ``B``
+blocks has had ``min(w v, B)`` blocks at the inner time ``v``, so slot time is
+``t(v) = sum(min(w v, B))`` over all sources.  Block ``k`` (from 0) is released
+at ``floor(t(k/w))`` and due at ``ceil(t((k+1)/w))``; one block runs per slot,
+the released block with the earliest deadline first.  As the fluid fills every
+slot, no deadline is ever missed, and after any slot each source is less than
+one block from the fluid, also across the ends of sources.
+
+Weights are taken as exact ratios, not rounded; times are whole-number
+arithmetic.  The schedule is one pass over the blocks in one task, which keeps
+one block per source and returns rows as it goes: neither the driver nor that
+task holds the schedule, and the number of sources is not bounded.  No row is
+dropped or repeated.
 
 Defined results: a null source is a source of its own, named by null; rows
 repeated in full keep an arbitrary order among themselves; an empty table
@@ -21,36 +25,71 @@ column that clashes with an added one is replaced by it.
 from __future__ import annotations
 
 import heapq
+import math
+from bisect import bisect_left
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import accumulate, islice
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from strata.operators.staging import stage
 
-#: Sources beyond which the mixture is refused: the phases pass through the driver.
-MAX_SOURCES = 1_000
+SCHEDULE = "source string, block long, slot long, release_slot long, deadline_slot long"
 
 
-def period_schedule(shares: dict) -> list:
-    """Which source runs in each slot of a period of ``sum(shares.values())`` slots."""
-    period = sum(shares.values())
-    names = list(shares)
-    waiting = [(0, -(-period // shares[s]), i, 0) for i, s in enumerate(names)]  # release, deadline, source, block
+def scheduled_blocks(blocks: dict, weights: dict) -> Iterator[tuple]:
+    """(source, block, slot, release, deadline) of all blocks, in the order of slots.
+
+    ``blocks`` counts each source's blocks; ``weights`` are positive numbers.
+    """
+    names = sorted(blocks, key=lambda s: (s is not None, str(s)))
+    exact = [Fraction(weights[s]) for s in names]
+    scale = math.lcm(*(x.denominator for x in exact))
+    w, n = [int(x * scale) for x in exact], [blocks[s] for s in names]
+    ending = sorted(range(len(names)), key=lambda i: (Fraction(n[i], w[i]), i))
+    ends = [Fraction(n[i], w[i]) for i in ending]
+    # before the end of ending[j]: blocks of the sources that have ended, and the weights that are left
+    ended = list(accumulate((n[i] for i in ending), initial=0))
+    left = list(accumulate((w[i] for i in ending), lambda a, x: a - x, initial=sum(w)))
+
+    def time(i: int, k: int, j: int) -> tuple[int, int, int]:
+        """Slot time at which source ``i`` has had ``k`` blocks, rounded down and up; the end before which that is."""
+        if n[ending[j]] * w[i] < k * w[ending[j]]:
+            j = bisect_left(ends, Fraction(k, w[i]), j)
+        whole, rest = divmod(k * left[j], w[i])
+        return ended[j] + whole, ended[j] + whole + (rest > 0), j
+
+    def entry(i: int, k: int, release: int, j: int) -> tuple:
+        down, up, j = time(i, k + 1, j)
+        return release, up, i, k, down, j  # the next block is released at ``down``
+
+    waiting = [entry(i, 0, 0, 0) for i in range(len(names)) if n[i]]
     heapq.heapify(waiting)
-    ready, slots = [], []
-    for slot in range(period):
+    ready: list = []
+    for slot in range(sum(n)):
         while waiting and waiting[0][0] <= slot:
-            _, due, i, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (due, i, k))
-        due, i, k = heapq.heappop(ready)
+            release, due, i, k, after, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (due, i, k, release, after, j))
+        due, i, k, release, after, j = heapq.heappop(ready)
         if due <= slot:
             raise AssertionError("a deadline was missed")
-        slots.append(names[i])
-        if (k := k + 1) < (share := shares[names[i]]):
-            heapq.heappush(waiting, (k * period // share, -(-(k + 1) * period // share), i, k))
-    return slots
+        yield names[i], k, slot, release, due
+        if k + 1 < n[i]:
+            heapq.heappush(waiting, entry(i, k + 1, after, j))
+
+
+def period_schedule(shares: dict) -> list:
+    """Which source runs in each slot of a period of ``sum(shares.values())`` slots."""
+    return [source for source, *_ in scheduled_blocks(shares, shares)]
 
 
 def shares_of(weights: dict, period: int) -> dict:
-    """Whole shares of ``period`` by largest remainder, one at least for each source."""
+    """Whole shares of ``period`` by largest remainder, one at least for each source.
+
+    Rounded, for schedules that repeat; ``mix_sources`` takes the weights themselves.
+    """
     total = sum(weights.values())
     spare = period - len(weights)
     exact = {s: w / total * spare for s, w in weights.items()}
@@ -65,7 +104,8 @@ def phases_of(blocks: dict, weights: dict, period: int) -> list[tuple]:
     """(source, first block, its share, first slot, period, offsets) per phase and source.
 
     ``blocks`` counts each source's blocks.  A phase lasts whole periods, up to
-    the one in which its first source ends.
+    the one in which its first source ends.  Shares are rounded to the period,
+    so ``mix_sources`` does not use it.
     """
     left, done, at, rows = dict(blocks), dict.fromkeys(blocks, 0), 0, []
     while left:
@@ -87,11 +127,6 @@ def phases_of(blocks: dict, weights: dict, period: int) -> list[tuple]:
     return rows
 
 
-def temperature_weights(counts: dict, temperature: float) -> dict:
-    """Weights in proportion to each source's documents to the power ``temperature``."""
-    return {s: n**temperature for s, n in counts.items()}
-
-
 def mix_sources(
     docs: DataFrame,
     weights: dict | None = None,
@@ -105,23 +140,36 @@ def mix_sources(
 
     ``weights`` maps every source to its target; without it they follow from
     the counts of all documents and ``temperature``.  ``place`` orders rows:
-    by slot, then within the block.  A source's documents are numbered in
-    buckets of about ``bucket_rows``, so that no source meets in one task.
+    by slot, then within the block.  ``period`` slots are scheduled at a time.
+    A source's documents are numbered in buckets of about ``bucket_rows``, so
+    that no source meets in one task.
     """
     spark = docs.sparkSession
     added = ["block", "slot", "release_slot", "deadline_slot", "place"]
     rows = docs.drop(*added, "mix_hash", "mix_bucket", "mix_number")
-    counts = {r["source"]: r["count"] for r in rows.groupBy("source").count().limit(MAX_SOURCES + 1).collect()}
-    if len(counts) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; group them first")
-    targets = weights if weights is not None else temperature_weights(counts, temperature)
-    if missing := [s for s in counts if not targets.get(s, 0) > 0]:
-        raise ValueError(f"no positive weight for {sorted(map(str, missing))[:5]}")
-
-    buckets = {s: max(1, -(-n // bucket_rows)) for s, n in counts.items()}
-    sources = spark.createDataFrame(
-        [(s, n, buckets[s]) for s, n in counts.items()], "source string, n long, buckets long"
+    counts = rows.groupBy(F.col("source").cast("string").alias("source")).agg(F.count("*").alias("n"))
+    if weights is None:
+        weighed = counts.withColumn("weight", F.pow("n", F.lit(float(temperature))))
+    else:
+        targets = spark.createDataFrame(
+            [(s, float(w)) for s, w in weights.items() if w > 0], "source string, weight double"
+        )
+        weighed = (
+            counts.alias("c")
+            .join(F.broadcast(targets.alias("t")), same_key("c", "t", ["source"]), "left")
+            .select("c.*", "t.weight")
+        )
+    sources = stage(
+        weighed.withColumn("buckets", F.ceil(F.col("n") / bucket_rows)).withColumn("blocks", F.ceil(F.col("n") / block_rows)),
+        "mixture-sources",
     )
+    if missing := [r["source"] for r in sources.where("weight is null").limit(5).collect()]:
+        raise ValueError(f"no positive weight for {sorted(map(str, missing))}")
+    schedule = stage(
+        sources.select("source", "weight", "blocks").repartition(1).mapInPandas(_scheduler(period), SCHEDULE),
+        "mixture-schedule",
+    )
+
     hashed = rows.withColumn("mix_hash", F.xxhash64(F.lit(seed), F.col("doc_id")))
     same = F.col("d.source").eqNullSafe(F.col("s.source"))
     # the hash's range cut into equal parts keeps buckets in hash order
@@ -140,36 +188,29 @@ def mix_sources(
         .select("d.*", (F.col("f.first") + F.col("d.mix_number")).alias("number"))
         .withColumn("block", F.floor(F.col("number") / block_rows))
     )
-    blocks = {s: -(-n // block_rows) for s, n in counts.items()}
-    phases = spark.createDataFrame(
-        phases_of(blocks, targets, period),
-        "source string, first long, share long, first_slot long, slots long, offsets array<long>",
-    )
-    # a source's phases follow one another: the last that starts at or before a block holds it
-    next_first = F.lead("first", 1, 1 << 62).over(Window.partitionBy("source").orderBy("first"))
-    phases = phases.withColumn("stop", next_first)
-    within = (
-        F.col("n.source").eqNullSafe(F.col("p.source"))
-        & (F.col("n.block") >= F.col("p.first"))
-        & (F.col("n.block") < F.col("p.stop"))
-    )
-    turn = F.col("n.block") - F.col("p.first")
-    start = F.col("p.first_slot")
-    placed = numbered.alias("n").join(F.broadcast(phases.alias("p")), within).select(
+    placed = numbered.alias("n").join(schedule.alias("p"), same_key("n", "p", ["source", "block"])).select(
         *[F.col(f"n.`{c}`") for c in rows.columns],
-        F.col("n.block"),
-        (
-            start
-            + F.floor(turn / F.col("p.share")) * F.col("p.slots")
-            + F.element_at("p.offsets", (F.pmod(turn, F.col("p.share")) + 1).cast("int"))
-        ).alias("slot"),
-        (start + F.floor(turn * F.col("p.slots") / F.col("p.share"))).alias("release_slot"),
-        (start + F.ceil((turn + 1) * F.col("p.slots") / F.col("p.share"))).alias("deadline_slot"),
+        *[F.col(f"p.{c}") for c in ("block", "slot", "release_slot", "deadline_slot")],
         F.pmod(F.col("n.number"), F.lit(block_rows)).alias("in_block"),
     )
     return placed.withColumn("place", F.col("slot") * block_rows + F.col("in_block")).drop("in_block")
 
 
+def _scheduler(at_once: int):
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        blocks: dict = {}
+        weights: dict = {}
+        for batch in batches:
+            for source, weight, n in zip(batch["source"], batch["weight"], batch["blocks"]):
+                blocks[source], weights[source] = int(n), float(weight)
+        names = [field.split()[0] for field in SCHEDULE.split(", ")]
+        found = scheduled_blocks(blocks, weights)
+        while part := list(islice(found, at_once)):
+            yield pd.DataFrame(part, columns=names)
+
+    return write
+
+
 def same_key(left: str, right: str, names: list[str]):
     """Null-safe equality of columns of two aliases."""
     match = F.lit(True)

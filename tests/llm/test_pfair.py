@@ -3,7 +3,7 @@ from fractions import Fraction
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from strata.llm.pfair import mix_sources, period_schedule, phases_of, shares_of
+from strata.llm.pfair import mix_sources, period_schedule, phases_of, scheduled_blocks, shares_of
 
 
 @settings(max_examples=100, deadline=None)
@@ -68,3 +68,42 @@ def test_refusals_and_empty(spark):
         mix_sources(docs, {"a": 1.0})
     assert mix_sources(docs.where("doc_id > 10000")).count() == 0
     assert mix_sources(docs).count() == len(ROWS)
+
+
+def fluid(blocks, weights, slot):
+    """Blocks that each source has had by ``slot`` when all run at once by their exact weights."""
+    left, had, at = dict(blocks), dict.fromkeys(blocks, Fraction(0)), Fraction(0)
+    while left:
+        total = sum(Fraction(weights[s]) for s in left)
+        step = min((n - had[s]) / Fraction(weights[s]) for s, n in left.items()) * total
+        run = min(step, slot - at)
+        for s in left:
+            had[s] += Fraction(weights[s]) / total * run
+        at += run
+        if run < step:
+            break
+        left = {s: n for s, n in left.items() if had[s] < n}
+    return had
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(0, 30), st.tuples(st.integers(1, 25), st.floats(1e-3, 1e3)), min_size=1, max_size=7))
+def test_every_slot_is_within_one_block_of_the_given_weights(sources):
+    blocks, weights = {s: n for s, (n, _) in sources.items()}, {s: w for s, (_, w) in sources.items()}
+    done = dict.fromkeys(blocks, 0)
+    for at, (s, k, slot, release, due) in enumerate(scheduled_blocks(blocks, weights)):
+        assert slot == at and k == done[s] and release <= slot < due
+        done[s] += 1
+        assert all(abs(x - done[s]) < 1 for s, x in fluid(blocks, weights, slot + 1).items())
+    assert done == blocks
+
+
+def test_a_hot_source_among_many_keeps_its_weight():
+    counts = {0: 1_000_000} | dict.fromkeys(range(1, 1201), 1_500)
+    blocks, weights = {s: -(-n // 64) for s, n in counts.items()}, {s: n**0.5 for s, n in counts.items()}
+    share, done = Fraction(weights[0]) / sum(map(Fraction, weights.values())), 0
+    for s, _, slot, *_ in scheduled_blocks(blocks, weights):
+        done += s == 0
+        if slot < 20_000:  # before any source ends
+            assert abs(share * (slot + 1) - done) < 1
+    assert done == blocks[0]
