@@ -107,3 +107,10 @@ def test_a_hot_source_among_many_keeps_its_weight():
         if slot < 20_000:  # before any source ends
             assert abs(share * (slot + 1) - done) < 1
     assert done == blocks[0]
+
+
+def test_more_sources_than_a_period(spark):
+    docs = spark.range(2400).selectExpr("id as doc_id", "concat('host', id % 1200) as source")
+    mixed = mix_sources(docs, block_rows=1).collect()
+    assert sorted(r.slot for r in mixed) == list(range(2400))
+    assert all(r.release_slot <= r.slot < r.deadline_slot for r in mixed)
