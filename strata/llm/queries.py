@@ -107,7 +107,7 @@ def op10_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     candidates = stage(secret_forest.review_by_rule(secret_forest.describe_candidates(docs)), "described")
     findings = candidates.where("label is not null")
     judged = secret_forest.remove_false_findings(candidates, findings)
-    columns = ["doc_id", "place", "length", "changes", "entropy", "dictionary_share", "label", "score", "is_secret"]
+    columns = ["doc_id", "place", "run", "length", "changes", "entropy", "dictionary_share", "label", "score", "is_secret"]
     return judged.select(*columns, F.sha2("candidate", 256).alias("digest"))
 
 

@@ -1,7 +1,8 @@
 """Secret findings and a random forest that removes the false ones.
 
-Candidates are long words with a digit, without the marks around them.  Each
-has features of its shape (length, changes between character classes, share
+Candidates are all long runs with a digit inside words, without the marks
+around them; a run before or after one in the same word is its neighbour, so
+compact JSON, CSV and code are read like spaced text.  Each has features of its shape (length, changes between character classes, share
 of digits, entropy), of its words (share of its letters inside dictionary
 words), of its path and of its neighbours.  The dictionary is the corpus's
 own: letter runs that occur often in all documents.  A forest is fitted on
@@ -28,7 +29,10 @@ from strata.operators.staging import stage
 # Words that announce a secret, and words of paths that hold examples.
 SECRET_WORDS = r"(?i)(token|secret|passw|pwd|api.?key|apikey|auth|credential|private|bearer|access.?key)"
 EXAMPLE_WORDS = r"(?i)(test|example|sample|mock|fixture|demo|doc)"
-CANDIDATE = r"[A-Za-z0-9+/_=\-]{12,}"
+RUN = r"A-Za-z0-9+/_=\-"
+CANDIDATE = f"[{RUN}]{{12,}}"
+PIECES = f"[{RUN}]+|[^{RUN}]+"
+OPENING = r"[\"'`(\[{\\]+$"
 
 FEATURES = (
     "length",
@@ -48,7 +52,12 @@ FEATURES = (
 
 
 def find_candidates(docs: DataFrame) -> DataFrame:
-    """``doc_id, path, place, candidate`` and two words before and one after, from ``docs(doc_id, text, path)``."""
+    """``doc_id, path, place, run, candidate``, two neighbours before and one after, from ``docs(doc_id, text, path)``.
+
+    ``run`` numbers the candidates of a word.  Neighbours are the runs beside
+    it in its word, else the words beside that; ``word`` is the candidate with
+    the marks around it, never the whole word, which may be a file's length.
+    """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"),
@@ -62,21 +71,32 @@ def find_candidates(docs: DataFrame) -> DataFrame:
 
     def beside(words: Column) -> Column:
         near = lambda i: F.coalesce(F.get(words, i), F.lit(""))
-        return F.transform(
-            found(words),
-            lambda i: F.struct(
-                i.alias("place"),
-                words[i].alias("word"),
-                near(i - 2).alias("before2"),
-                near(i - 1).alias("before1"),
-                near(i + 1).alias("after1"),
-            ),
-        )
+
+        def of_word(i: Column) -> Column:
+            def of_pieces(p: Column) -> Column:  # runs and marks by turns
+                piece = lambda k: F.coalesce(F.get(p, k), F.lit(""))
+                is_one = lambda k: p[k].rlike("[0-9]") & p[k].rlike(f"^{CANDIDATE}")
+                return F.transform(
+                    F.filter(F.sequence(F.lit(0), F.size(p) - 1), is_one),
+                    lambda k, number: F.struct(
+                        i.alias("place"),
+                        number.alias("run"),
+                        p[k].alias("candidate"),
+                        F.concat(piece(k - 1), p[k], piece(k + 1)).alias("word"),
+                        F.when(k >= 4, piece(k - 4)).when(k >= 2, near(i - 1)).otherwise(near(i - 2)).alias("before2"),
+                        F.when(k >= 2, F.concat(piece(k - 2), F.regexp_replace(piece(k - 1), OPENING, "")))
+                        .otherwise(near(i - 1))
+                        .alias("before1"),
+                        F.when(k + 2 < F.size(p), piece(k + 2)).otherwise(near(i + 1)).alias("after1"),
+                    ),
+                )
+
+            return let(F.regexp_extract_all(words[i], F.lit(PIECES), F.lit(0)), of_pieces)
+
+        return F.flatten(F.transform(found(words), of_word))
 
     listed = rows.select("doc_id", "path", F.explode(let(words_of(F.col("text")), beside)).alias("found"))
-    return listed.select("doc_id", "path", "found.*").withColumn(
-        "candidate", F.regexp_extract("word", f"({CANDIDATE})", 1)
-    ).where(F.col("candidate").rlike("[0-9]"))
+    return listed.select("doc_id", "path", "found.*")
 
 
 def dictionary_of(docs: DataFrame, runs: DataFrame, min_count: int) -> DataFrame:
@@ -122,15 +142,15 @@ def describe_candidates(docs: DataFrame, min_count: int = 20) -> DataFrame:
         "is_number": F.col("candidate").rlike("^[0-9]+$"),
         "entropy": _entropy(F.col("candidate")),
         "dictionary_share": F.coalesce("covered", F.lit(0)) / length,
-        "announced": before.rlike(SECRET_WORDS) | F.split("word", r"[=:]")[0].rlike(SECRET_WORDS),
-        "assigned": before.rlike(r"[=:]\s*$") | F.col("word").rlike(r"^[A-Za-z_.]+[=:]"),
+        "announced": before.rlike(SECRET_WORDS) | F.split("candidate", "=")[0].rlike(SECRET_WORDS),
+        "assigned": before.rlike(r"[=:]\s*$") | F.col("candidate").rlike("^[A-Za-z_]+="),
         "quoted": F.col("word").rlike(r"[\"'`]"),
         "number_beside": F.col("before1").rlike("[0-9]") | F.col("after1").rlike("[0-9]"),
         "example_path": F.col("path").rlike(EXAMPLE_WORDS),
     }
     described = found.join(covered, "id", "left")
     return described.select(
-        "doc_id", "path", "place", "candidate", "word", "before2", "before1", "after1",
+        "doc_id", "path", "place", "run", "candidate", "word", "before2", "before1", "after1",
         *[F.col(c) if isinstance(c, str) else c.cast("double").alias(name) for name, c in features.items()],
     )
 
@@ -148,7 +168,7 @@ def remove_false_findings(
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    order = [F.xxhash64(F.lit(seed), F.col("candidate"), F.col("doc_id"), F.col("place")).asc()]
+    order = [F.xxhash64(F.lit(seed), F.col("candidate"), F.col("doc_id"), F.col("place"), F.col("run")).asc()]
     kinds = [findings.where(F.col("label") == label).orderBy(*order).limit(max_findings) for label in (0, 1)]
     train = stage(kinds[0].unionByName(kinds[1]).select(*FEATURES, F.col("label").cast("double").alias("label")), "findings")
     counts = {row["label"]: row["count"] for row in train.groupBy("label").count().collect()}

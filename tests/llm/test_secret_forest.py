@@ -53,3 +53,25 @@ def test_without_labels_nothing_is_removed_and_empty(spark):
     judged = remove_false_findings(candidates, candidates.where("label = 1")).collect()
     assert {(r.score, r.is_secret) for r in judged} == {(1.0, True)}
     assert describe_candidates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_every_run_of_a_word_is_a_candidate(spark):
+    key, other = "wJalrXUtnFEMI7K7MDENGbPxRfiCY", "0123456789abcdef0123"
+    texts = [
+        f'{{"aws_secret_access_key":"{key}","page":"{other}"}}',
+        f"id,some_long_column_name,{key},{other}",
+        f"https://example.com/some/long/path/here?page=1&api_key={key}",
+        f'var configuration_of_it={{pwd:["{key}"]}};f("{other}")',
+        f'go "{{\\"a_long_token_name\\":\\"{key}\\"}}" on',
+    ]
+    table = spark.createDataFrame([(i, t, "p", "x", "y") for i, t in enumerate(texts)], SCHEMA)
+    got = {}
+    for r in describe_candidates(table).collect():
+        got.setdefault(r.doc_id, {})[r.run] = r
+    assert {i: [runs[k].candidate for k in sorted(runs)] for i, runs in got.items()} == {
+        0: [key, other], 1: [key, other], 2: [f"api_key={key}"], 3: [key, other], 4: [key],
+    }
+    assert got[0][0].before1 == 'aws_secret_access_key":' and got[0][0].after1 == "page"
+    assert [(got[i][0].announced, got[i][0].assigned) for i in (0, 2, 3, 4)] == [(1, 1)] * 4
+    assert (got[0][1].announced, got[0][1].assigned) == (0, 1)
+    assert review_by_rule(describe_candidates(table)).where("label = 1").count() == 4
