@@ -5,12 +5,13 @@ around them; a run before or after one in the same word is its neighbour, so
 compact JSON, CSV and code are read like spaced text.  Each has features of its shape (length, changes between character classes, share
 of digits, entropy), of its words (share of its letters inside dictionary
 words), of its path and of its neighbours.  The dictionary is the corpus's
-own: letter runs that occur often in all documents.  A forest is fitted on
-labelled findings and scores every candidate.
+own: letter runs outside candidates that a fixed share of the distinct texts
+has, so that neither copies of a text nor a secret in many texts make words.
+A forest is fitted on labelled findings and scores every candidate.
 
 All of it is DataFrame expressions, joins and Spark's own forest.  The texts
-are read twice, once for candidates and once for the dictionary; texts are not
-shuffled, and only letter runs that candidates have are counted in full.
+are read three times: for candidates, for their hashes, which tell copies, and
+for the dictionary.  Only letter runs that candidates have are kept.
 
 Defined results: null and empty texts have no candidates; a null path has no
 path words; a null id is returned as null; repeated rows each have their
@@ -99,11 +100,28 @@ def find_candidates(docs: DataFrame) -> DataFrame:
     return listed.select("doc_id", "path", "found.*")
 
 
-def dictionary_of(docs: DataFrame, runs: DataFrame, min_count: int) -> DataFrame:
-    """The values of ``runs(run)`` that occur ``min_count`` times or more as words of the documents."""
-    words = docs.select(F.explode(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+")).alias("run"))
-    counted = words.where("length(run) between 3 and 20").groupBy("run").count().where(F.col("count") >= min_count)
-    return counted.join(runs.select("run").distinct(), "run", "left_semi").select("run")
+def dictionary_of(docs: DataFrame, runs: DataFrame, min_count: int | None, min_share: float) -> DataFrame:
+    """The values of ``runs(run)`` that are words of the documents, candidates left out.
+
+    A word stands in ``min_share`` of the distinct texts, and in two at least;
+    where ``min_count`` is given, it occurs so many times instead.
+    """
+    texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).where("text <> ''")
+    outside = F.regexp_replace("text", f"(?<![{RUN}])(?=[{RUN}]*?[0-9]){CANDIDATE}", " ")
+    cut = F.split(F.lower(outside), r"[^\p{L}]+")
+    if min_count is not None:
+        words, least = texts.select(F.explode(cut).alias("run"), F.lit(1.0).alias("part")), float(min_count)
+    else:
+        hashed = texts.withColumn("text_hash", F.xxhash64("text"))
+        sizes = stage(hashed.groupBy("text_hash").count(), "text-copies")
+        least = max(2.0, min_share * sizes.count())
+        # a text's copies share the one time that it counts
+        parts = sizes.where("count > 1").select("text_hash", (1 / F.col("count")).alias("part"))
+        counted_once = hashed.join(parts, "text_hash", "left").withColumn("part", F.coalesce("part", F.lit(1.0)))
+        words = counted_once.select(F.explode(F.array_distinct(cut)).alias("run"), "part")
+    counted = words.where("length(run) between 3 and 20").groupBy("run").agg(F.sum("part").alias("n"))
+    known = counted.where(F.col("n") >= least - 1e-6)
+    return known.join(runs.select("run").distinct(), "run", "left_semi").select("run")
 
 
 def _entropy(text: Column) -> Column:
@@ -121,13 +139,16 @@ def _entropy(text: Column) -> Column:
     return let(F.split(text, ""), bits)
 
 
-def describe_candidates(docs: DataFrame, min_count: int = 20) -> DataFrame:
-    """All candidates of ``docs(doc_id, text, path)`` with ``FEATURES`` as doubles."""
+def describe_candidates(docs: DataFrame, min_count: int | None = None, min_share: float = 0.001) -> DataFrame:
+    """All candidates of ``docs(doc_id, text, path)`` with ``FEATURES`` as doubles.
+
+    ``min_share`` and ``min_count`` as in ``dictionary_of``.
+    """
     found = stage(find_candidates(docs).withColumn("id", F.monotonically_increasing_id()), "candidates")
     runs = found.select(
         "id", F.explode(F.regexp_extract_all(F.lower("candidate"), F.lit(r"(\p{L}{3,20})"))).alias("run")
     )
-    known = dictionary_of(docs, runs, min_count)
+    known = dictionary_of(docs, runs, min_count, min_share)
     covered = runs.join(known, "run", "left_semi").groupBy("id").agg(F.sum(F.length("run")).alias("covered"))
     length = F.length("candidate")
     count = lambda pattern: length - F.length(F.regexp_replace("candidate", pattern, ""))

@@ -75,3 +75,25 @@ def test_every_run_of_a_word_is_a_candidate(spark):
     assert [(got[i][0].announced, got[i][0].assigned) for i in (0, 2, 3, 4)] == [(1, 1)] * 4
     assert (got[0][1].announced, got[0][1].assigned) == (0, 1)
     assert review_by_rule(describe_candidates(table)).where("label = 1").count() == 4
+
+
+def test_copies_and_secrets_make_no_words(spark):
+    secret = "qzWvutsrPonm4kjhgfdsXcvb"
+    texts = [f"page {i} of words and Authorization: Bearer {secret} here" for i in range(30)]
+    texts += ["one text with wvutsrponm and kjhgfdsxcvb alone"] * 30  # copies
+    texts += [f"the publisher {i} told it" for i in range(3)] + ["it was publisher1234567"]
+    tables = [
+        spark.createDataFrame([(i, t, "p", "x", "y") for i, t in enumerate(some)], SCHEMA) for some in (texts, texts * 20)
+    ]
+    for table in tables:
+        got = {r.candidate: r for r in review_by_rule(describe_candidates(table)).collect()}
+        assert got[secret].dictionary_share == 0 and got[secret].label is None
+        assert got["publisher1234567"].dictionary_share == 9 / 16
+
+
+def test_minimum_grows_with_the_texts(spark):
+    rows = [(i, f"text number{i} has chance" if i < 3 else f"text {i} has", "p", "x", "y") for i in range(400)]
+    rows += [(500, "a chance123456789", "p", "x", "y")]
+    table = spark.createDataFrame(rows, SCHEMA)
+    shares = {m: describe_candidates(table, min_share=m).where("doc_id = 500").first().dictionary_share for m in (0.005, 0.01)}
+    assert shares == {0.005: 6 / 15, 0.01: 0}
