@@ -5,6 +5,9 @@ passage of every document is a query.  Scores are relative: an item's BM25
 weights are divided by their sum, so that a passage with all of its words
 scores 1, and one threshold serves all items.
 
+Words of items and documents alike are runs of letters and digits in lower
+case; every other character separates them.
+
 Passages are two adjacent halves of ``half`` words, so they overlap by half;
 items longer than a half are indexed in parts of a half each, and any part
 that stands in a document lies inside one passage.  Passages are first bound
@@ -22,7 +25,7 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
-import math
+import re
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -43,9 +46,20 @@ AT_ONCE = 2 << 20
 MOST_BLOCKS = 64
 BLOCK_ITEMS = 4
 
+#: What separates words: all but letters and digits; the same for ASCII bytes, which are lower-cased as well.
+SEPARATORS = re.compile(r"[\W_]+")
+ASCII_WORDS = bytes(ord(chr(c).lower()) if chr(c).isalnum() else 32 for c in range(128)) + bytes(range(128, 256))
+
 RESULT = "doc_id long, text_hash long, item_id long, score double, question_overlap double, answer_overlap double"
 
 
+def words_only(text: str) -> bytes:
+    """The text's words in lower case with blanks between them."""
+    if text.isascii():
+        return text.encode().translate(ASCII_WORDS)
+    return SEPARATORS.sub(" ", text).lower().encode()
+
+
 def core_of(word: str) -> str:
     """The word in lower case without marks at its ends."""
     low = word.lower()
@@ -150,7 +164,7 @@ class Finder:
         """Per text its items: id, score and overlaps."""
         held, size = [], 0
         for text in texts:
-            raw = text.encode().lower()  # A-Z only; core_of lowers the rest
+            raw = words_only(text)
             if held and size + len(raw) > AT_ONCE:
                 yield from self._find(held)
                 held, size = [], 0
@@ -159,26 +173,16 @@ class Finder:
         if held:
             yield from self._find(held)
 
-    def _terms(self, words: list[bytes]) -> np.ndarray:
-        """Numbers of words whose A-Z are lower-cased: -1 unknown to the index, -2 marks only."""
-        numbers = self.numbers
-        return np.array([numbers.get(w, -1) if w.isalnum() else self._term(w) for w in words], np.int64)
-
-    def _term(self, word: bytes) -> int:
-        core = core_of(word.decode())
-        return self.index.vocabulary.get(core, -1) if core else -2
-
     def _find(self, texts: list[bytes]) -> Iterator[list[tuple]]:
         raw = b"\n".join(texts) + b"\n"
-        starts, lengths = cut_words(np.frombuffer(raw, np.uint8))
+        starts, lengths = cut_words(np.frombuffer(raw, np.uint8), tail=b"")
         found: dict[int, dict] = {}
         if len(starts):
             one, same = distinct_words(np.frombuffer(raw, np.uint8), starts, lengths)
             words = [raw[i : i + n] for i, n in zip(starts[one].tolist(), lengths[one].tolist())]
-            terms = self._terms(words)[same]
-            real = terms != -2
-            edge = np.searchsorted(starts[real], np.cumsum([0, *(len(t) + 1 for t in texts)]))
-            terms = terms[real]
+            # -1: unknown to the index
+            terms = np.array([self.numbers.get(w, -1) for w in words], np.int64)[same]
+            edge = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in texts)]))
             for doc, low, high in self._passages(terms, edge):
                 first, last = int(edge[doc]), int(edge[doc + 1])
                 for part, score in self.index.search({t for t in terms[low:high].tolist() if t >= 0}, self.threshold):
@@ -238,7 +242,7 @@ def index_parts(items: DataFrame, half: int) -> DataFrame:
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            words = [[c for w in t.split() if (c := core_of(w))] for t in batch["text"]]
+            words = [words_only(t).decode().split() for t in batch["text"]]
             yield batch[["item_id", "item"]].assign(words=words)
 
     rows = items.select(

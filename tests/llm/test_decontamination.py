@@ -102,3 +102,21 @@ def test_repeated_and_null_ids_and_empty_tables(spark):
     assert sorted(got, key=str) == [(1, None, 1.0, 1.0), (1, None, 1.0, 1.0), (None, None, 1.0, 1.0)]
     assert find_items(docs, items.where("item_id > 9")).count() == 0
     assert find_items(docs.where("doc_id > 9"), items).count() == 0
+
+
+BLANKS = [" ", "\t", "\n", "\r\n", "\x0b", "\x0c", "\x1f", "\x85", "\xa0", "\u2003", "\u2028", "\u3000"]
+
+
+def test_exact_copies_are_found_whatever_separates_their_words(spark):
+    texts = [
+        "Which treaty ended the long war between both northern kingdoms in the year of 1721",
+        "import numpy as np; x = np.array([1, 2, 3]); print(x.sum(axis=0), x.mean(), os.path.join(a_b, 'c.txt'))",
+        "The U.S. court (e.g. at www.example.org/a?b=c) wrote: state-of-the-art, Müller's naïve «façade» 3.14%",
+        "ΟΔΟΣ.α ist İzmir—Straße/Ärger und noch mehr Wörter",
+    ]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    docs = [(10 * k + i, f"words before it{b}{b.join(t.split(' '))}{b}and after") for i, t in enumerate(texts) for k, b in enumerate(BLANKS)]
+    docs += [(900 + i, f'x = "({t})"') for i, t in enumerate(texts)]
+    got = find_items(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == sorted((d, d % 10) for d, _ in docs)
+    assert all(r.question_overlap == r.answer_overlap == 1 and r.score > 0.999 for r in got)
