@@ -2,13 +2,14 @@
 
 1. The lexicon is learned from labelled documents: the words whose share of
    toxic documents is far above that of the others, by a smoothed odds ratio.
+   Words are runs of letters and digits, here and in the texts that are scored.
 2. A Levenshtein automaton (words within ``MAX_EDITS`` edits) is intersected
    with the trie of the lexicon.  Its states are sets of trie places with the
    edits spent so far; they are made as texts ask for them and kept, so that
    a word costs one step per letter, and most words end in the dead state
    after a few letters.
 3. Every hit is weighed by the window of words around it: inside quotation
-   marks or beside a reporting word it counts as quoted, not as abuse, and a
+   marks (an apostrophe between two letters is none) or beside a reporting word it counts as quoted, not as abuse, and a
    word of address beside it makes it weigh more.
 4. A logistic regression over the sums of a document's hits, fitted on the
    same labelled documents, gives the score.
@@ -23,6 +24,7 @@ repeated rows each get their row; without labels of both kinds every score is
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,9 +54,51 @@ REPORTING = frozenset(
 )
 ADDRESS = frozenset("you your youre u du dich dir ihr euch tu te toi vous usted ustedes".split())
 
+# What separates words: quotation marks, apostrophes, blanks and others, as bytes; letters and digits are kept.
+QUOTE, APOSTROPHE, BLANK, OTHER = b"\"\x02 \x01"
+SEPARATORS = bytes((QUOTE, APOSTROPHE, BLANK, OTHER, 10))
+FAR_SEPARATOR = re.compile(r"[^\w\x00-\x7f]")
+ASCII_KINDS = bytes(
+    c if c > 127 or chr(c).isalnum() else QUOTE if c == 34 else APOSTROPHE if c == 39 else BLANK if chr(c).isspace() else OTHER
+    for c in range(256)
+)
+
 FEATURES = ("abuse", "n_exact", "n_fuzzy", "n_quoted", "strongest")
 
 
+def near_separator(found: re.Match) -> str:
+    """An ASCII character of the same kind."""
+    mark = found[0]
+    return "'" if mark in "‘’" else '"' if mark in QUOTES else " " if mark.isspace() else "-"
+
+
+def kinds_of(text: str) -> bytes:
+    """The text in lower case with one byte of its kind for every separator."""
+    low = text.lower()
+    return (low if low.isascii() else FAR_SEPARATOR.sub(near_separator, low)).encode().translate(ASCII_KINDS)
+
+
+def quotation_marks(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per word whether quotation marks open before it and close after it, in its own text; texts end at ``stops``.
+
+    Marks that touch a word across no blank are its own; those that stand alone count for both neighbours.
+    """
+    ends = starts + lengths
+    following = np.append(starts[1:], len(data))
+    before = np.concatenate([[0], ends[:-1]])
+    marks = (data == QUOTE) | (data == APOSTROPHE)
+    marks[ends[(following - ends == 1) & (data[ends] == APOSTROPHE)]] = False  # as in don't
+    summed = np.concatenate([[0], np.cumsum(marks)])
+    blanks = np.flatnonzero((data == BLANK) | (data == 10))
+    text = np.searchsorted(stops, starts, "right")
+    # of the gap behind a word all but what touches the next word; of the gap before it all but what touches the last one
+    last = blanks[np.maximum(np.searchsorted(blanks, following) - 1, 0)]
+    close = np.minimum(np.where(last >= ends, last, following), stops[text])
+    first = blanks[np.searchsorted(blanks, before)]
+    open_ = np.maximum(np.where(first < starts, first, before), np.concatenate([[0], stops])[text])
+    return summed[starts] > summed[open_], summed[close] > summed[ends]
+
+
 class FuzzyTrie:
     """The product of a lexicon trie and the Levenshtein automaton, made lazily."""
 
@@ -142,7 +186,7 @@ class Scorer:
     def features(self, texts: list[str]) -> Iterator[tuple]:
         held, size = [], 0
         for text in texts:
-            raw = text.lower().encode()
+            raw = kinds_of(text)
             if held and size + len(raw) > AT_ONCE:
                 yield from self._features(held)
                 held, size = [], 0
@@ -155,39 +199,37 @@ class Scorer:
         raw = b"\n".join(texts) + b"\n"
         data = np.frombuffer(raw, np.uint8)
         stops = np.cumsum([len(t) + 1 for t in texts])
-        starts, lengths = cut_words(data)
+        starts, lengths = cut_words(data, SEPARATORS, b"")
         hits: dict[int, list[tuple]] = {}
         if len(starts):
             one, same = distinct_words(data, starts, lengths)
             seen = [self._seen(raw[i : i + n]) for i, n in zip(starts[one].tolist(), lengths[one].tolist())]
             edge = np.searchsorted(starts, np.concatenate([[0], stops]))
+            opens, closes = quotation_marks(data, starts, lengths, stops)
             hit = np.array([s[0] is not None for s in seen])[same]
             for i in np.flatnonzero(hit).tolist():
                 doc = int(np.searchsorted(edge, i, "right")) - 1
                 low, high = max(edge[doc], i - WINDOW), min(edge[doc + 1], i + WINDOW + 1)
-                before, after = [[seen[k] for k in part.tolist()] for part in (same[low : i + 1], same[i:high])]
-                quoted = any(s[2] for s in before) and any(s[3] for s in after) or any(s[4] for s in before + after)
-                addressed = any(s[5] for s in before + after)
+                around = [seen[k] for k in same[low:high].tolist()]
+                quoted = bool(opens[low : i + 1].any() and closes[i:high].any()) or any(s[2] for s in around)
+                addressed = any(s[3] for s in around)
                 hits.setdefault(doc, []).append((*seen[same[i]][0:2], quoted, addressed))
         for doc in range(len(texts)):
             yield self._summed(hits.get(doc, ()))
 
     def _seen(self, word: bytes) -> tuple:
-        """Weight, edits, opens or closes a quotation, reports, addresses."""
+        """Weight, edits, reports, addresses."""
         found = self.known.get(word)
         if found is None:
             if len(self.known) > KEPT_STATES:
                 self.known = {}
             text = word.decode()
-            core = text.strip("".join(c for c in {*text} if not c.isalnum()))
-            match = self.trie.match(core) if core else None
+            match = self.trie.match(text)
             found = self.known[word] = (
                 None if match is None else self.trie.terms[match[0]],
                 0 if match is None else match[1],
-                text[0] in QUOTES,
-                any(c in QUOTES for c in text[len(text.rstrip(QUOTES + ".,;:!?")) :]),
-                core in REPORTING,
-                core in ADDRESS,
+                text in REPORTING,
+                text in ADDRESS,
             )
         return found
 

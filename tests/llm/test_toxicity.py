@@ -100,3 +100,20 @@ def test_lexicon_prefers_words_of_toxic_documents(spark):
     rows = [("bad thing", 1)] * 20 + [("good thing", 0)] * 200
     found = learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
     assert set(found) == {"bad"}
+
+
+def test_every_separator_that_is_learned_is_scored():
+    scorer = Scorer({"moron": 4.0, "idiot": 3.0})
+    marks = [chr(c) for c in [*range(1, 0x250), *range(0x2000, 0x2070), 0x3000, 0x3001, 0xFEFF, 0x1F600] if not chr(c).isalnum()]
+    found = list(scorer.features([f"a{m}moron{m}b idiot" for m in marks]))
+    plain = next(scorer.features(["a moron b idiot"]))
+    for mark, got in zip(marks, found):
+        assert got == plain or mark in "\"“”„‟«»‹›" and got[3] > 0, repr(mark)
+    assert len({f for f in scorer.features(["so-idiot", "idiot/moron", "(idiot)", "idiot_moron", "idiot's"])}) == 2
+
+
+def test_marks_of_quotation_beside_other_marks():
+    scorer = Scorer({"idiot": 3.0})
+    quoted = ['a "idiot" b', "a 'idiot' b", 'a " idiot " b', 'a ("idiot") b', "a «idiot», b", 'a "an idiot." b', 'a,"idiot",b', "“idiot”"]
+    plain = ["a idiot b", "don't idiot can't", 'idiot "b" c', 'a "b" idiot', "a' idiot", "", '"', 'idiot "', "it’s idiot isn’t"]
+    assert [f[3] > 0 for f in scorer.features(quoted + plain)] == [True] * len(quoted) + [False] * len(plain)
