@@ -150,5 +150,99 @@ FROM failed LEFT JOIN class_far c USING (rid) LEFT JOIN word_far w USING (rid)
 """
 
 
+# CRC-32 by half bytes, the lower half of a byte first; the list has what each half byte does to the register
+HALVES = """[0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+   3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]"""
+
+
+def crc32_of(text: str) -> str:
+    """The unsigned CRC-32 of a string's UTF-8 bytes, as an expression."""
+    halves = f"list_transform(range(2 * strlen({text})), lambda i: ('0x' || substr(hex({text}), (xor(i, 1) + 1)::INT, 1))::BIGINT)"
+    step = f"xor(c >> 4, ({HALVES}::BIGINT[])[(xor(c, x) & 15) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {halves}), lambda c, x: {step}), 4294967295)"
+
+
+OP11 = rf"""
+WITH texts AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark
+), cut AS (
+  SELECT side, id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts
+), runs AS (
+  SELECT side, id, unnest(list_concat(list_concat(w,
+    list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])),
+    list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f
+  FROM cut
+), counted AS (
+  SELECT side, id, f, count(*) AS n FROM runs GROUP BY ALL
+), buckets AS (
+  SELECT f, {crc32_of("f")} % 10000 AS bucket FROM (SELECT DISTINCT f FROM counted)
+), sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 'b'), 0)::DOUBLE AS t
+  FROM counted JOIN buckets USING (f) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain FROM sums
+), weights AS (
+  SELECT id, sum(n) AS n_features, sum(n * gain) AS weight
+  FROM counted JOIN buckets USING (f) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id
+), scored AS (
+  SELECT id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0)::BIGINT
+      + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM cut LEFT JOIN weights USING (id) WHERE side = 'd'
+), ranked AS (
+  SELECT id, row_number() OVER (ORDER BY score DESC, id) AS r, count(*) OVER () AS n FROM scored WHERE n_words >= 20
+)
+SELECT id AS doc_id, n_features, weight, score, r AS rank FROM scored LEFT JOIN (SELECT * FROM ranked WHERE r <= 5 * n // 100) USING (id)
+"""
+
+_LEAF = " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", "{text}"))
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# trees level by level: the runs of 16, and what stands left and right of a node in its run
+OP12 = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, sha256({_LEAF.format(text="text")}) AS leaf,
+    CASE WHEN {crc32_of("doc_id::VARCHAR")} % 5 = 0 THEN sha256({_LEAF.format(text=_LOWERED)}) END AS now,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place, count(*) OVER (PARTITION BY source) AS n
+  FROM documents
+), nodes AS (
+  SELECT 0 AS level, source, place, n, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT level + 1, source, place // 16, (any_value(n) + 15) // 16, sha256(string_agg(digest, '' ORDER BY place))
+  FROM nodes WHERE n > 1 GROUP BY level, source, place // 16
+), subroots AS (
+  SELECT source, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM nodes WHERE n = 1
+), upper AS (
+  SELECT 0 AS level, place, n, digest FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 16, (any_value(n) + 15) // 16, sha256(string_agg(digest, '' ORDER BY place))
+  FROM upper WHERE n > 1 GROUP BY level, place // 16
+), runs AS (
+  SELECT level, source, place // 16 AS run, list(digest ORDER BY place) AS ds FROM nodes WHERE n > 1 GROUP BY ALL
+), upper_runs AS (
+  SELECT level, place // 16 AS run, list(digest ORDER BY place) AS ds FROM upper WHERE n > 1 GROUP BY ALL
+), steps AS (
+  SELECT l.doc_id, r.level AS level, r.ds, l.place // (16 ** r.level)::BIGINT % 16 AS pos
+  FROM leaves l JOIN runs r ON r.source IS NOT DISTINCT FROM l.source AND r.run = l.place // (16 ** (r.level + 1))::BIGINT
+  UNION ALL
+  SELECT l.doc_id, 1000 + r.level, r.ds, s.place // (16 ** r.level)::BIGINT % 16
+  FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source
+  JOIN upper_runs r ON r.run = s.place // (16 ** (r.level + 1))::BIGINT
+), paths AS (
+  SELECT doc_id, list(array_to_string(ds[1:pos], '') || '|' || array_to_string(ds[pos + 2:], '') ORDER BY level) AS path FROM steps GROUP BY doc_id
+), folded AS (
+  SELECT l.*, coalesce(path, []) AS path, s.digest AS subroot, (SELECT digest FROM upper WHERE n = 1) AS root
+  FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source LEFT JOIN paths USING (doc_id)
+), done AS (
+  SELECT *, list_reduce(list_prepend(coalesce(now, leaf), path), lambda d, p: sha256(split_part(p, '|', 1) || d || split_part(p, '|', 2))) AS folded_root
+  FROM folded
+)
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(path, ''), '|', '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM done
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_tool_calls": OP1, "op2_warc_dictionary": OP2, "op4_divergence": OP4, "op7_url_digests": OP7}
+    return {"op1_tool_calls": OP1, "op2_warc_dictionary": OP2, "op4_divergence": OP4, "op7_url_digests": OP7, "op11_resampling": OP11, "op12_merkle_manifest": OP12}

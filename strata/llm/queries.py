@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import functools
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import decontamination, divergence, ngram_groups, oracles, pfair, secret_forest, token_files, tool_calls, toxicity, url_digests, warc_dictionary
+from strata.llm import decontamination, divergence, merkle_manifest, ngram_groups, oracles, pfair, prefix_trie, resampling, secret_forest, token_files, tool_calls, toxicity, url_digests, warc_dictionary
 from strata.operators.staging import stage
 from strata.session import scratch_path, ship_package
 
@@ -17,6 +18,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 #: (verdict, host/path) of the URL query.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
+#: What a leaf of the manifest is made of, in order.
+MANIFEST_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+
 TOOL_SCHEMAS = {
     "reply": {
         "type": "object",
@@ -111,6 +115,26 @@ def op10_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*columns, F.sha2("candidate", 256).alias("digest"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=5, min_words=20, seed="42")
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the documents whose id's crc32 five divides, the version with A-Z of the text in lower case is held against the root."""
+    docs = _table(spark, sf_dir, "documents")
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    return merkle_manifest.audit(docs, MANIFEST_COLUMNS, {"text": lowered}, tampered).drop("copied")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    encoded = prefix_trie.encode_documents(_table(spark, sf_dir, "documents"), vocabulary)
+    decoded = prefix_trie.decode_documents(encoded, vocabulary)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_tool_calls,
@@ -123,6 +147,9 @@ def queries() -> dict[str, Query]:
         op8_pfair_mixture,
         op9_toxicity,
         op10_secret_forest,
+        op11_resampling,
+        op12_merkle_manifest,
+        op13_prefix_trie,
     ]
     return {q.__name__: _shipped(q) for q in found}
 

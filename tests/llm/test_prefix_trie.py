@@ -1,0 +1,138 @@
+import hashlib
+import json
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from strata.llm import prefix_trie
+from strata.llm.prefix_trie import Merges, TrieEncoder, decode_documents, encode_documents, encoder
+from strata.llm.queries import queries
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+LIBRARY = Tokenizer.from_file(VOCABULARY)
+
+
+def whole(text):
+    return LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def ids_of(packed):
+    return np.frombuffer(packed, "<u4").tolist()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from(list("abeinrstÄé'.,!s tTİΣß\n\t\x85\xa0́4٣漢字<|>🙂K")), max_size=60), max_size=6))
+def test_texts_encode_as_the_library_does(texts):
+    assert [ids_of(x) for x in encoder(VOCABULARY).encode(texts)] == [whole(t) for t in texts]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(max_size=60), max_size=4))
+def test_any_text_encodes_and_decodes_as_the_library_does(texts):
+    texts = [t.encode("utf-8", "replace").decode() for t in texts]
+    words = encoder(VOCABULARY)
+    for text, packed in zip(texts, words.encode(texts), strict=True):
+        assert ids_of(packed) == whole(text)
+        assert words.decode(packed).decode() == LIBRARY.decode(whole(text), skip_special_tokens=False)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("abc", min_size=1, max_size=12), max_size=8), st.randoms(use_true_random=False))
+def test_random_merges_equal_merging_by_rank(words, random):
+    """Vocabularies with overlapping merges and ties, against merging the first pair of least rank again and again."""
+    letters = ["a", "b", "c"]
+    vocab = {t: i for i, t in enumerate([*letters, *(x + "</w>" for x in letters)])}
+    merges = []
+    for _ in range(random.randrange(12)):
+        a, b = random.choice([t for t in vocab if not t.endswith("</w>")]), random.choice(list(vocab))
+        if a + b not in vocab:
+            merges.append([a, b])
+            vocab[a + b] = len(vocab)
+    spec = {"model": {"type": "BPE", "vocab": vocab, "merges": merges, "end_of_word_suffix": "</w>"}, "added_tokens": []}
+    walker = TrieEncoder.__new__(TrieEncoder)
+    walker.merges = Merges(spec)
+    tokens = {**walker.merges.inner, **walker.merges.final}
+    walker.begins = {t[:i] for t in tokens for i in range(len(t) + 1)}
+    walker.states, walker.packed = {}, [i.to_bytes(4, "little") for i in range(len(vocab))]
+    walker._plant()
+
+    def plain(word):
+        parts = [*word[:-1], word[-1] + "</w>"]
+        rank = {tuple(m): r for r, m in enumerate(merges)}
+        while pairs := [(rank[p], i) for i, p in enumerate(zip(parts, parts[1:])) if p in rank]:
+            _, i = min(pairs)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return [vocab[p] for p in parts]
+
+    distinct = sorted(set(words))
+    assert [ids_of(x) for x in walker.walk(distinct)] == [plain(w) for w in distinct]
+
+
+def test_special_tokens_and_windows(monkeypatch):
+    monkeypatch.setattr(prefix_trie, "CUT_AT_ONCE", 50)
+    monkeypatch.setattr(prefix_trie, "KEPT_WORDS", 3)
+    monkeypatch.setattr(prefix_trie, "KEPT_NODES", 5)
+    monkeypatch.setattr(prefix_trie, "KEPT_PAIRS", 5)
+    words = TrieEncoder(VOCABULARY)
+    texts = ["<|endoftext|> a<|startoftext|>b", "<|EndOfText|>", "", "word, " * 40, "x" * 300, "it's " * 30, "a", "  "]
+    for _ in range(3):
+        assert [ids_of(x) for x in words.encode(texts)] == [whole(t) for t in texts]
+
+
+def test_a_prefix_is_encoded_once():
+    words = TrieEncoder(VOCABULARY)
+    list(words.encode(["interest interesting interested interests"]))
+    assert words.nodes == len("interested") - 1 + len("ing") - 1  # the last symbol of a word is no node
+
+
+def test_other_models_are_refused():
+    spec = json.loads(LIBRARY.to_str())
+    for change in ({"byte_fallback": True}, {"dropout": 0.1}, {"type": "WordPiece"}):
+        with pytest.raises(ValueError):
+            Merges(spec | {"model": spec["model"] | change})
+    late = {"a": 0, "b": 1, "ab": 2, "abb": 3}
+    with pytest.raises(ValueError, match="after its parts"):
+        Merges({"model": {"type": "BPE", "vocab": late, "merges": [["ab", "b"], ["a", "b"]]}, "added_tokens": []})
+
+
+ROWS = [
+    (5, "five Six seven", "x"),
+    (None, "no id", "x"),
+    (3, None, "x"),
+    (4, "", None),
+    (7, "long text here " * 500, "x"),
+    (8, "same", "x"),
+    (8, "same", "x"),
+    (9, "x" * 5000, "x"),
+]
+
+
+def test_round_trip(spark):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string, ids string")
+    found = decode_documents(encode_documents(docs, VOCABULARY), VOCABULARY).collect()
+    key = str
+    assert sorted(((r.doc_id, ids_of(r.ids), r.n_tokens) for r in found), key=key) == sorted(
+        ((i, whole(t or ""), len(whole(t or ""))) for i, t, _ in ROWS), key=key
+    )
+    for r in found:
+        assert r.decoded == LIBRARY.decode(ids_of(r.ids), skip_special_tokens=False)
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert decode_documents(encode_documents(docs, VOCABULARY), VOCABULARY).count() == 0
+
+
+def test_query_equals_the_library_on_the_given_table(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    found = queries()["op13_prefix_trie"](spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in found) == sorted(texts)
+    for r in found:
+        ids = whole(texts[r.doc_id])
+        decoded = LIBRARY.decode(ids, skip_special_tokens=False)
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
