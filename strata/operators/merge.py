@@ -35,6 +35,29 @@ def unique_by(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def changed_rows(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    compare_hash: str | None = "_record_hash",
+    non_update: list[str] | None = None,
+) -> DataFrame:
+    """The rows of ``source`` that a merge would insert or update with: the change feed of the two.
+
+    Only keys and hashes of ``target`` are read.
+    """
+    updatable = set(target.columns) - set(keys) - set(non_update or [])
+    by_hash = bool(updatable) and compare_hash in target.columns
+    t = target.select(*keys, *([compare_hash] if by_hash else [])).alias("t")
+    s = source.alias("s")
+    same = _null_safe_match(s, t, keys)
+    if by_hash:  # as in the merge, a null hash on either side is no change
+        same = same & F.coalesce(F.col(f"s.{compare_hash}") == F.col(f"t.{compare_hash}"), F.lit(True))
+    elif updatable:
+        return source
+    return s.join(t, same, "left_anti")
+
+
 def merge_frames(
     target: DataFrame,
     source: DataFrame,

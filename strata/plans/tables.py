@@ -8,7 +8,10 @@ tables
 * a replace is one ``insertInto(overwrite=True)`` under dynamic partition
   overwrite: touched partitions change in one commit, others keep their files;
 * a merge into a partitioned table whose partition columns are key columns is
-  such a replace of the partitions that the source has;
+  such a replace of the partitions in which the source changes a row;
+* a table without such columns can be created in ``buckets``: partitions by a
+  hash of the key, which its properties name, so that a merge reads the buckets that the source
+  hits and rewrites those in which it changes a row, in one commit;
 * any other merge writes the new content to ``<table>__next`` and swaps it in
   by renames.  The old content stays as ``<table>__prev`` until the new one is
   in place; a swap that was cut short is completed or undone by the next write.
@@ -16,17 +19,27 @@ tables
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.merge import merge_frames, unique_by
+from strata.operators.merge import changed_rows, merge_frames, unique_by
+from strata.operators.staging import stage
 
 DYNAMIC_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
+#: Partition column of tables in buckets, and the table property with their number and the keys.
+BUCKET = "_bucket"
+BUCKETED_BY = "strata.bucketed-by"
+
 
 @dataclass(frozen=True)
 class Storage:
@@ -85,11 +98,20 @@ def create_table(df: DataFrame, name: str, partition_by: list[str] | None = None
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
 
 
-def append(df: DataFrame, name: str, partition_by: list[str] | None = None, storage: Storage = PARQUET) -> None:
-    """Create the table from the first write; afterwards append by column name."""
+def append(
+    df: DataFrame, name: str, partition_by: list[str] | None = None, storage: Storage = PARQUET, into: dict[str, str] | None = None
+) -> None:
+    """Create the table from the first write; afterwards append by column name.
+
+    ``into`` names the one partition that all rows belong to, e.g. that of a load.  It is
+    then written in its own folder, and loads of other partitions may run at the same time;
+    otherwise Parquet tables take one append at a time, as their writer's folder for unfinished files is the table's.
+    """
     spark = df.sparkSession
     recover(spark, name)
-    if not table_exists(spark, name):
+    if into and not storage.row_level:
+        _append_partition(df, name, into, storage)
+    elif not table_exists(spark, name):
         create_table(df, name, partition_by, storage)
     elif storage.row_level:
         _gathered(df, partition_by).writeTo(name).append()
@@ -99,6 +121,36 @@ def append(df: DataFrame, name: str, partition_by: list[str] | None = None, stor
         (writer.partitionBy(*existing) if existing else writer).saveAsTable(name)
 
 
+def _append_partition(df: DataFrame, name: str, into: dict[str, str], storage: Storage) -> None:
+    ((column, value),) = into.items()
+    spark = df.sparkSession
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", value):
+        raise ValueError(f"a partition's folder cannot be named after {value!r}")
+    if not table_exists(spark, name):
+        try:
+            create_table(spark.createDataFrame([], df.schema), name, [column], storage)  # not df: its metrics belong to the append
+        except AnalysisException:  # another load was first
+            if not table_exists(spark, name):
+                raise
+    if partition_columns(spark, name) != [column]:
+        raise ValueError(f"{name} is partitioned by {partition_columns(spark, name)}, not by {column}")
+    rows = df.select([c for c in spark.table(name).columns if c != column])
+    rows.write.format(storage.format).mode("append").save(f"{location(spark, name)}/{column}={value}")
+    spark.sql(f"ALTER TABLE IDENTIFIER(:name) ADD IF NOT EXISTS PARTITION (`{column}` = '{value}')", args={"name": name})
+    spark.catalog.refreshTable(name)
+
+
+def location(spark: SparkSession, name: str) -> str:
+    """The folder of a table."""
+    described = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", args={"name": name})
+    return described.where("col_name = 'Location'").first()["data_type"]
+
+
+def rows_of(spark: SparkSession, name: str) -> DataFrame:
+    """The table without the column that only its layout needs."""
+    return spark.table(name).drop(BUCKET)
+
+
 def _drop(spark: SparkSession, name: str) -> None:
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
 
@@ -153,6 +205,48 @@ def _overwrite_partitions(rows: DataFrame, name: str, storage: Storage) -> None:
         ordered.write.insertInto(name, overwrite=True)
 
 
+def _bucket(keys: list[str], n: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
+
+
+def _bucketing(spark: SparkSession, name: str, keys: list[str]) -> int:
+    """How many buckets the table is in; merging by other keys than it was created for is refused."""
+    found = {r["key"]: r["value"] for r in spark.sql("SHOW TBLPROPERTIES IDENTIFIER(:name)", args={"name": name}).collect()}
+    if BUCKETED_BY not in found:
+        raise ValueError(f"{name} has buckets, but not the property {BUCKETED_BY}")
+    n, *by = json.loads(found[BUCKETED_BY])
+    if by != list(keys):
+        raise ValueError(f"{name} is in buckets by {by}, not by {keys}")
+    return n
+
+
+def _create_bucketed(source: DataFrame, name: str, keys: list[str], n: int, storage: Storage) -> None:
+    """An empty table in buckets; the merge that follows fills it."""
+    spark = source.sparkSession
+    create_table(spark.createDataFrame([], source.schema).withColumn(BUCKET, _bucket(keys, n)), name, [BUCKET], storage)
+    spark.sql(f"ALTER TABLE IDENTIFIER(:name) SET TBLPROPERTIES ('{BUCKETED_BY}' = '{json.dumps([n, *keys])}')", args={"name": name})
+
+
+def partitions_of(target: DataFrame, parts: list[str], values: list[tuple]) -> DataFrame:
+    """The rows of ``target`` in the partitions with these values, as a filter that prunes partitions.
+
+    Values are literals, and null has a branch of its own: a null-safe comparison would hide the column from pruning.
+    """
+    if len(parts) == 1:
+        known = [v for (v,) in values if v is not None]
+        condition = F.col(parts[0]).isin(known)
+        return target.where(condition if len(known) == len(values) else condition | F.col(parts[0]).isNull())
+    each = [
+        reduce(and_, [F.col(c).isNull() if v is None else F.col(c) == F.lit(v) for c, v in zip(parts, row)]) for row in values
+    ]
+    return target.where(reduce(or_, each, F.lit(False)))
+
+
+def _partition_values(df: DataFrame, parts: list[str]) -> list[tuple]:
+    """The partitions that rows lie in: as many as a load touches."""
+    return [tuple(r) for r in df.select(*parts).distinct().collect()]
+
+
 def merge_table(
     source: DataFrame,
     name: str,
@@ -161,28 +255,46 @@ def merge_table(
     non_update: list[str] | None = None,
     partition_by: list[str] | None = None,
     storage: Storage = PARQUET,
+    buckets: int | None = None,
 ) -> None:
-    """SCD1 upsert of ``source`` into table ``name`` (created on first use)."""
+    """SCD1 upsert of ``source`` into table ``name`` (created on first use, in ``buckets`` if their number is given)."""
     spark = source.sparkSession
     if missing := sorted(set(keys) - set(source.columns)):
         raise ValueError(f"key columns missing in source: {missing}")
     recover(spark, name)
     if not table_exists(spark, name):
-        create_table(unique_by(source, keys), name, partition_by, storage)
-        return
+        if not buckets or storage.row_level:
+            create_table(unique_by(source, keys), name, partition_by, storage)
+            return
+        _create_bucketed(source, name, keys, buckets, storage)
     if storage.row_level:
         merge_into(source, name, keys, compare_hash, non_update or [])
         return
     parts = partition_columns(spark, name)
-    target = spark.table(name)
-    if parts and set(parts) <= set(keys):
+    if parts == [BUCKET]:
+        source = source.withColumn(BUCKET, _bucket(keys, _bucketing(spark, name, keys)))
+        _merge_partitions(source, name, keys, parts, compare_hash, non_update, storage)
+    elif parts and set(parts) <= set(keys):
         # a row's key holds its partition: others cannot match and are not read
-        touched = source.select(*parts).distinct()
-        same = [target[c].eqNullSafe(touched[c]) for c in parts]
-        target = target.join(touched, same, "left_semi")
-        _overwrite_partitions(merge_frames(target, source, keys, compare_hash, non_update), name, storage)
+        _merge_partitions(source, name, keys, parts, compare_hash, non_update, storage)
     else:
-        _swap(spark, merge_frames(target, source, keys, compare_hash, non_update), name, storage)
+        _swap(spark, merge_frames(spark.table(name), source, keys, compare_hash, non_update), name, storage)
+
+
+def _merge_partitions(
+    source: DataFrame, name: str, keys: list[str], parts: list[str], compare_hash: str | None, non_update: list[str] | None, storage: Storage
+) -> None:
+    """Merge by rewriting, in one commit, the partitions in which a row is new or changed.
+
+    Of the partitions that the source hits, keys and hashes are read; of those rewritten, whole rows.
+    """
+    target = source.sparkSession.table(name)
+    staged = stage(unique_by(source.select(*target.columns), keys), "merge-source")
+    hit = partitions_of(target, parts, _partition_values(staged, parts))
+    changes = stage(changed_rows(hit, staged, keys, compare_hash, non_update), "merge-changes")
+    if rewritten := _partition_values(changes, parts):
+        old = partitions_of(target, parts, rewritten)
+        _overwrite_partitions(merge_frames(old, changes, keys, compare_hash, non_update), name, storage)
 
 
 def merge_into(source: DataFrame, name: str, keys: list[str], compare_hash: str | None, non_update: list[str]) -> None:
@@ -209,9 +321,9 @@ def replace_table(
     """Replace every partition of ``name`` whose values occur in ``source``, in one commit.
 
     ``values`` lists partitions to clear even when ``source`` has no row for
-    them (e.g. a re-run that now rejects nothing); those that ``source`` lacks
-    are dropped after the commit.  A table that is not partitioned by just
-    these columns is refused.
+    them (e.g. a re-run that now rejects nothing).  Those that ``source`` lacks
+    are dropped by one catalog change, after the commit if there is something to commit.
+    A table that is not partitioned by just these columns is refused.
     """
     spark = source.sparkSession
     if missing := sorted(set(partition_by) - set(source.columns)):
@@ -221,25 +333,34 @@ def replace_table(
         return
     if not storage.row_level and partition_columns(spark, name) != list(partition_by):
         raise ValueError(f"{name} is partitioned by {partition_columns(spark, name)}, not by {partition_by}")
-    _overwrite_partitions(source, name, storage)
-    for spec in values or []:
-        same = [F.col(k).eqNullSafe(F.lit(v)) for k, v in spec.items()]
-        filled = source
-        for condition in same:
-            filled = filled.where(condition)
-        if filled.isEmpty():
-            clear_partition(spark, name, spec, storage)
+    if not values:
+        _overwrite_partitions(source, name, storage)
+        return
+    staged = stage(source, "replacement")
+    filled = set(_partition_values(staged, partition_by))
+    if filled:
+        _overwrite_partitions(staged, name, storage)
+    if gone := [spec for spec in values if tuple(spec[c] for c in partition_by) not in filled]:
+        clear_partitions(spark, name, gone, storage)
 
 
 def clear_partition(spark: SparkSession, name: str, spec: dict, storage: Storage) -> None:
-    given = {f"v{i}": v for i, v in enumerate(spec.values())}
+    clear_partitions(spark, name, [spec], storage)
+
+
+def clear_partitions(spark: SparkSession, name: str, specs: list[dict], storage: Storage) -> None:
+    """Remove the rows of these partitions; in a Parquet table all of them in one catalog change."""
     if storage.row_level:
-        where = " AND ".join(f"`{k}` <=> :v{i}" for i, k in enumerate(spec))
+        given = {f"v{i}_{j}": v for i, spec in enumerate(specs) for j, v in enumerate(spec.values())}
+        each = [" AND ".join(f"`{k}` <=> :v{i}_{j}" for j, k in enumerate(spec)) for i, spec in enumerate(specs)]
+        where = " OR ".join(f"({condition})" for condition in each)
         spark.sql(f"DELETE FROM IDENTIFIER(:name) WHERE {where}", args={"name": name} | given)
         return
-    literal = {k: "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'" for k, v in spec.items()}
-    clause = ", ".join(f"`{k}` = {v}" for k, v in literal.items())
-    spark.sql(f"ALTER TABLE IDENTIFIER(:name) DROP IF EXISTS PARTITION ({clause})", args={"name": name})
+    clauses = []
+    for spec in specs:
+        literal = {k: "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'" for k, v in spec.items()}
+        clauses.append("PARTITION (" + ", ".join(f"`{k}` = {v}" for k, v in literal.items()) + ")")
+    spark.sql(f"ALTER TABLE IDENTIFIER(:name) DROP IF EXISTS {', '.join(clauses)}", args={"name": name})
 
 
 def inspect_layer(spark: SparkSession, database: str, table: str | None = None, n: int = 10):

@@ -186,3 +186,110 @@ def test_row_level_storage_writes_and_merges_by_the_catalog(spark, monkeypatch):
     ]
     assert seen.calls[1] == ("using", "iceberg") and seen.calls[6][1] == t
     assert "_record_hash" in seen.calls[7][1] and "'v'" in seen.calls[8][1] and "'k'" not in seen.calls[8][1]
+
+
+def bucketed(spark, monkeypatch=None, n=400):
+    t = f"{name('ns')}.bucketed"
+    rows = [(f"k{i}", f"v{i}", f"h{i}") for i in range(n)] + [(None, "null key", "h")]
+    tables.merge_table(spark.createDataFrame(rows, ROW), t, ["k"], buckets=16)
+    return t
+
+
+def files_by_bucket(spark, t):
+    found = {}
+    for f in spark.table(t).inputFiles():
+        found.setdefault(f.split(f"{tables.BUCKET}=")[1].split("/")[0], set()).add(f)
+    return found
+
+
+def test_a_merge_in_buckets_rewrites_those_with_changes_in_one_commit(spark, monkeypatch):
+    t = bucketed(spark)
+    assert sorted(tables.rows_of(spark, t).columns) == sorted(["k", "v", "_record_hash"]) and tables.rows_of(spark, t).count() == 401
+    before = files_by_bucket(spark, t)
+    assert len(before) == 16
+
+    def never(*args, **kwargs):
+        raise AssertionError("the table must not disappear")
+
+    for step in ("_rename", "_drop", "_swap"):
+        monkeypatch.setattr(tables, step, never)
+    same = [(f"k{i}", f"v{i}", f"h{i}") for i in range(50, 100)]  # nothing new in these
+    tables.merge_table(spark.createDataFrame([*same, ("k7", "new", "h-new"), (None, "other", "h-other")], ROW), t, ["k"])
+    after = files_by_bucket(spark, t)
+    changed = {r[0] for r in spark.table(t).where("k = 'k7' or k is null").select(tables.BUCKET).collect()}
+    assert {b for b in before if after[b] != before[b]} == {str(b) for b in changed}
+    got = {r["k"]: (r["v"], r["_record_hash"]) for r in tables.rows_of(spark, t).collect()}
+    assert len(got) == 401 and got["k7"] == ("new", "h-new") and got[None] == ("other", "h-other") and got["k8"] == ("v8", "h8")
+    tables.merge_table(spark.createDataFrame([("k7", "new", "h-new"), *same], ROW), t, ["k"])
+    assert files_by_bucket(spark, t) == after  # a repeated merge writes nothing
+
+
+def test_a_merge_in_buckets_equals_the_pure_merge(spark):
+    from strata.operators.merge import merge_frames
+
+    t = f"{name('ns')}.same"
+    base = spark.createDataFrame([(i, f"v{i}", None if i % 5 == 0 else f"h{i}") for i in range(60)], "k long, v string, _record_hash string")
+    source = spark.createDataFrame([(i, f"n{i}", None if i % 7 == 0 else f"h{i + i % 2}") for i in range(30, 90)], base.schema)
+    tables.merge_table(base, t, ["k"], buckets=8)
+    tables.merge_table(source, t, ["k"], non_update=["v"])
+    wanted = sorted(tuple(r) for r in merge_frames(base, source, ["k"], non_update=["v"]).collect())
+    assert sorted(tuple(r) for r in tables.rows_of(spark, t).collect()) == wanted
+
+
+def test_a_merge_in_buckets_that_fails_leaves_the_table_as_it_was(spark, monkeypatch):
+    t = bucketed(spark)
+    before = files_by_bucket(spark, t)
+    with pytest.raises(Exception, match="duplicate keys"):
+        tables.merge_table(spark.createDataFrame([("k1", "a", "x"), ("k1", "b", "y")], ROW), t, ["k"])
+    with monkeypatch.context() as patched:
+
+        def crash(*args):
+            raise Crash
+
+        patched.setattr(tables, "_overwrite_partitions", crash)
+        with pytest.raises(Crash):
+            tables.merge_table(spark.createDataFrame([("k1", "a", "x")], ROW), t, ["k"])
+    assert files_by_bucket(spark, t) == before
+    tables.merge_table(spark.createDataFrame([("k1", "a", "x")], ROW), t, ["k"])
+    assert tables.rows_of(spark, t).where("k = 'k1'").first()["v"] == "a"
+
+
+def test_buckets_are_by_the_keys_of_the_first_merge(spark):
+    t = bucketed(spark)
+    with pytest.raises(ValueError, match="not by"):
+        tables.merge_table(spark.createDataFrame(NEW, ROW), t, ["v"])
+
+
+@pytest.mark.parametrize("parts, values", [(["m"], [("m1",), (None,)]), (["m"], [("m1",)]), (["m", "n"], [("m1", 1), (None, 2)])])
+def test_a_merge_reads_only_the_partitions_of_its_source(spark, parts, values):
+    t = f"{name('ns')}.pruned"
+    rows = [(m, n, f"{m}{n}") for m in ("m1", "m2", None) for n in (1, 2)]
+    tables.create_table(spark.createDataFrame(rows, "m string, n int, k string"), t, parts)
+    found = tables.partitions_of(spark.table(t), parts, values)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "m1" in filters
+    kept = {r["k"] for r in found.collect()}
+    assert kept == {k for m, n, k in rows if tuple({"m": m, "n": n}[c] for c in parts) in values}
+    assert not [f for f in found.inputFiles() if "m=m2" in f]
+
+
+def test_cleared_partitions_go_in_one_catalog_change(spark, monkeypatch):
+    t = f"{name('ns')}.clear"
+    tables.replace_table(spark.createDataFrame([(i, f"m{i}") for i in range(5)], "x int, m string"), t, ["m"])
+    statements = []
+    session = type(spark)
+    monkeypatch.setattr(session, "sql", lambda self, q, *a, real=session.sql, **k: statements.append(q) or real(self, q, *a, **k))
+    source = spark.createDataFrame([(9, "m1")], "x int, m string")
+    tables.replace_table(source, t, ["m"], values=[{"m": "m1"}, {"m": "m2"}, {"m": "m3"}, {"m": "none"}])
+    assert sum("DROP IF EXISTS" in q for q in statements) == 1
+    assert content(spark, t) == [(0, "m0"), (4, "m4"), (9, "m1")]
+
+
+def test_appends_into_partitions_have_folders_of_their_own(spark):
+    t = f"{name('ns')}.parts"
+    for batch in ("b1", "b2", "b1"):
+        tables.append(spark.createDataFrame([(1,)], "x int").withColumn("b", F.lit(batch)), t, ["b"], into={"b": batch})
+    assert content(spark, t) == [(1, "b1"), (1, "b1"), (1, "b2")]
+    with pytest.raises(ValueError, match="folder"):
+        tables.append(spark.createDataFrame([(1, "../x")], "x int, b string"), t, ["b"], into={"b": "../x"})
