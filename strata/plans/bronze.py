@@ -11,6 +11,13 @@ from strata.operators.lineage import add_bronze_metadata
 DEFAULT_SOURCE_SYSTEM = "ANS"
 
 
+def check_contract(have: set[str], columns: list[str], extra_columns: str = "error") -> None:
+    if missing := sorted(set(columns) - have):
+        raise ValueError(f"raw files lack the columns {missing}")
+    if (more := sorted(have - set(columns))) and extra_columns != "drop":
+        raise ValueError(f"raw files have columns outside the contract: {more}")
+
+
 def bronze_from_files(
     raw: DataFrame,
     batch_id: str | Column,
@@ -26,11 +33,7 @@ def bronze_from_files(
     columns that no file has are an error; further columns are one too,
     unless ``extra_columns`` is ``"drop"``.
     """
-    have = set(raw.columns) - {"_source_path"}
-    if missing := sorted(set(columns) - have):
-        raise ValueError(f"raw files lack the columns {missing}")
-    if (more := sorted(have - set(columns))) and extra_columns != "drop":
-        raise ValueError(f"raw files have columns outside the contract: {more}")
+    check_contract(set(raw.columns) - {"_source_path"}, columns, extra_columns)
     strings = raw.select(*[F.col(c).cast("string").alias(c) for c in columns], "_source_path")
     stamped = add_bronze_metadata(
         strings, source_system, batch_id, source_path=F.col("_source_path"), as_of=as_of

@@ -8,10 +8,15 @@ Table layout chosen for the queries that follow:
   one commit) and latest-month reports prune to one folder;
 * the reject table is partitioned by ``_batch_id`` and replaced per batch.
 
-Two small ledgers keep loads from looking through tables: the file ledger has
+* entities and dimensions are in buckets by their key: a merge reads the
+  buckets it hits and rewrites those in which a row changed.
+
+Small ledgers keep loads from looking through tables: the load ledger says what
+each load has come to, with the counters observed while it wrote; the file ledger has
 a row per loaded file, the month ledger a row per silver batch and month.  A
-bronze batch counts only when its files are in the ledger; a batch left by a
-failed load is cleared by the next one.
+bronze batch counts only when its files are in the ledger.  A batch is cleared
+by the record of its own load alone (``strata.plans.ledger``): a batch of
+another writer, a stream or a load that still runs, is left alone.
 """
 
 from __future__ import annotations
@@ -20,20 +25,29 @@ import datetime as _dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import latest_batch_id
 from strata.operators.quality import ensure_not_empty, require_columns
 from strata.operators.staging import stage
-from strata.plans import gold, silver, tables
-from strata.plans.bronze import DEFAULT_SOURCE_SYSTEM, bronze_from_files
+from strata.plans import gold, ledger, silver, tables
+from strata.plans.bronze import DEFAULT_SOURCE_SYSTEM, bronze_from_files, check_contract
 from strata.plans.tables import PARQUET, Storage
-from strata.sources.csv import list_files, read_csv
+from strata.sources.csv import PATH, folders_to_list, headers_of, layouts, list_files, read_csv
 
 #: New files that one pass of a load reads; a load makes as many passes as it needs.
 FILES_AT_ONCE = 10_000
 
+#: A load that started longer ago and never ended is taken for dead.
+STALE_AFTER = _dt.timedelta(days=1)
+
+#: Column with the text of malformed lines while a load reads them.
+MALFORMED = "_malformed_line"
+
+#: Buckets that entities and dimensions are created with, by how many keys they have.
+FEW_KEYS, MANY_KEYS = 8, 64
+
 
 def new_batch_id() -> str:
     """'YYYYMMDDHHMMSS_<8 hex>': string order is time order."""
@@ -44,6 +58,9 @@ def new_batch_id() -> str:
 class Names:
     bronze: str = "bronze.beneficiarios"
     files: str = "bronze.arquivos_carregados"
+    loads: str = "bronze.cargas"
+    malformed: str = "bronze.linhas_malformadas"
+    closed: str = "bronze.competencias_fechadas"
     insurer: str = "silver.operadora"
     municipality: str = "silver.municipio"
     plan: str = "silver.plano"
@@ -57,17 +74,6 @@ class Names:
     fact: str = "gold.fato_beneficiario_movimento"
 
 
-def _clear_unfinished(spark: SparkSession, names: Names, storage: Storage) -> None:
-    """Drop bronze batches that no file of the ledger belongs to."""
-    if not tables.table_exists(spark, names.bronze):
-        return
-    found = spark.table(names.bronze).select("_batch_id").distinct()
-    if tables.table_exists(spark, names.files):
-        found = found.join(spark.table(names.files).select("_batch_id"), "_batch_id", "left_anti")
-    for (batch,) in found.collect():  # the batches of failed loads
-        tables.clear_partition(spark, names.bronze, {"_batch_id": batch}, storage)
-
-
 def load_bronze(
     spark: SparkSession,
     raw_folder: str,
@@ -78,31 +84,84 @@ def load_bronze(
     storage: Storage = PARQUET,
     columns: list[str] = silver.RAW_COLUMNS,
     extra_columns: str = "error",
+    malformed: str = "keep",
+    closed_periods: str = "skip",
+    stale_after: _dt.timedelta = STALE_AFTER,
 ) -> dict:
-    """Append the rows of raw files not loaded before; returns the run counters."""
+    """Append the rows of raw files not loaded before; returns the run counters.
+
+    Headers of all new files are held against the contract before a row is
+    written.  Lines with more or fewer cells than their header are
+    counted and recorded with their text in ``names.malformed``; with
+    ``malformed="keep"`` their cells are also loaded, as a permissive reader does, with ``"quarantine"`` they are not.
+    Folders of periods closed by ``ledger.close_periods`` are not listed, unless ``closed_periods="list"``.
+    Counters are observed in the write; what was written is not read again.
+    """
+    if malformed not in ("keep", "quarantine"):
+        raise ValueError(f"malformed lines are kept or in quarantine, not {malformed!r}")
     batch_id = batch_id or new_batch_id()
-    _clear_unfinished(spark, names, storage)
-    counters = {"batch_id": batch_id, "files": 0, "rows": 0}
-    new = list_files(spark, raw_folder)
+    ledger.clear_unfinished(spark, names.loads, [names.bronze, names.malformed], storage, stale_after)
+    counters = {"batch_id": batch_id, "files": 0, "rows": 0, "malformed": 0}
+    closed = ledger.closed_periods(spark, names.closed) if closed_periods == "skip" else set()
+    folders = folders_to_list(spark, raw_folder, closed) if closed else [raw_folder]
+    if not folders:
+        return counters
+    new = list_files(spark, folders)
     if not force and tables.table_exists(spark, names.files):
-        new = new.join(spark.table(names.files).select("_source_path"), "_source_path", "left_anti")
-    new = stage(new.select("path", "_source_path"), "new-files")
-    total, done = new.count(), 0
-    ordered = new.orderBy("_source_path")
-    while done < total:
-        paths = [r["path"] for r in ordered.select("path").offset(done).limit(FILES_AT_ONCE).collect()]
-        raw = read_csv(spark, paths)
-        bronze = bronze_from_files(raw, batch_id, columns, source_system, extra_columns=extra_columns)
-        tables.append(bronze, names.bronze, ["_batch_id"], storage)
-        done += len(paths)
-    if total:
-        tables.append(new.select("_source_path", F.lit(batch_id).alias("_batch_id")), names.files, None, storage)
-        written = spark.table(names.bronze).where(F.col("_batch_id") == batch_id)
-        counts = written.agg(F.countDistinct("_source_path").alias("files"), F.count("*").alias("rows")).first()
-        counters |= counts.asDict()
+        new = new.join(spark.table(names.files).select(PATH), PATH, "left_anti")
+    new = stage(new.select("path", PATH), "new-files")
+    total = new.count()
+    if not total:
+        return counters
+    passes = [[r["path"] for r in new.orderBy(PATH).select("path").offset(k).limit(FILES_AT_ONCE).collect()] for k in range(0, total, FILES_AT_ONCE)]
+    headers = [stage(headers_of(spark, paths), "headers") for paths in passes]
+    have = {name for found in headers for own in layouts(spark, found).values() for name in own}
+    check_contract(have, columns, extra_columns)
+    ledger.record(spark, names.loads, batch_id, ledger.STARTED, storage)
+    try:
+        for paths, found in zip(passes, headers):
+            counts = _load_files(spark, paths, found, names, batch_id, source_system, storage, columns, malformed)
+            counters |= {k: counters[k] + counts[k] for k in ("files", "rows", "malformed")}
+        loaded = new.select(PATH, F.lit(batch_id).alias("_batch_id"))
+        tables.append(loaded, names.files, ["_batch_id"], storage, {"_batch_id": batch_id})
+    except Exception:
+        ledger.record(spark, names.loads, batch_id, ledger.FAILED, storage)
+        raise
+    counts = {k: counters[k] for k in ("files", "rows", "malformed")}
+    ledger.record(spark, names.loads, batch_id, ledger.FINISHED, storage, **counts)
     return counters
 
 
+def _load_files(
+    spark: SparkSession, paths: list[str], headers: DataFrame, names: Names, batch_id: str, source_system: str, storage: Storage, columns: list[str], malformed: str
+) -> dict:
+    """Append the rows of ``paths`` to the batch in one scan, counted on their way."""
+    none = {"files": 0, "rows": 0, "malformed": 0}
+    if headers.isEmpty():
+        return none
+    raw = read_csv(spark, paths, malformed=MALFORMED, headers=headers)
+    lacking = [F.lit(None).cast("string").alias(c) for c in columns if c not in raw.columns]  # other passes have them
+    raw = raw.select("*", *lacking)
+    lines, written = Observation(), Observation()
+    counted = raw.observe(lines, F.count(MALFORMED).alias("malformed"))
+    kept = counted if malformed == "keep" else counted.where(F.col(MALFORMED).isNull())
+    # files are as many as a pass has
+    kept = kept.observe(written, F.count(F.lit(1)).alias("rows"), F.size(F.collect_set(F.xxhash64(PATH))).alias("files"))
+    bronze = bronze_from_files(kept.drop(MALFORMED), batch_id, columns, source_system, extra_columns="drop")
+    tables.append(bronze, names.bronze, ["_batch_id"], storage, {"_batch_id": batch_id})
+    counts = none | lines.get | written.get
+    if counts["malformed"]:
+        seen = raw.where(F.col(MALFORMED).isNotNull()).select(PATH, F.col(MALFORMED).alias("linha"), F.lit(batch_id).alias("_batch_id"))
+        tables.append(seen, names.malformed, ["_batch_id"], storage, {"_batch_id": batch_id})
+    return counts
+
+
+def _latest_load(spark: SparkSession, names: Names) -> str:
+    """The batch that was finished last; without load records, the greatest id in the file ledger."""
+    found = ledger.latest_finished(spark, names.loads) if tables.table_exists(spark, names.loads) else None
+    return found or latest_batch_id(spark.table(names.files))
+
+
 def load_silver(
     spark: SparkSession,
     names: Names = Names(),
@@ -111,17 +170,17 @@ def load_silver(
     storage: Storage = PARQUET,
 ) -> str:
     """Clean, validate and persist one bronze batch into the five silver tables."""
-    batch_id = batch_id or latest_batch_id(spark.table(names.files))
+    batch_id = batch_id or _latest_load(spark, names)
     sliced = spark.table(names.bronze).where(F.col("_batch_id") == batch_id)
     ensure_not_empty(sliced, f"bronze batch {batch_id}")
     classified = stage(silver.classify_movement(silver.clean_movement(sliced, batch_id=batch_id)), "silver-classified")
     valid = silver.valid_movement(classified)
-    for rows, name, spec in (
-        (silver.silver_insurer(valid), names.insurer, silver.INSURER),
-        (silver.silver_municipality(valid), names.municipality, silver.MUNICIPALITY),
-        (silver.silver_plan(valid), names.plan, silver.PLAN),
+    for rows, name, spec, buckets in (
+        (silver.silver_insurer(valid), names.insurer, silver.INSURER, FEW_KEYS),
+        (silver.silver_municipality(valid), names.municipality, silver.MUNICIPALITY, FEW_KEYS),
+        (silver.silver_plan(valid), names.plan, silver.PLAN, MANY_KEYS),
     ):
-        tables.merge_table(rows, name, spec.keys, storage=storage)
+        tables.merge_table(rows, name, spec.keys, storage=storage, buckets=buckets)
     movement = silver.silver_movement(valid)
     if full_snapshot:
         tables.replace_table(movement, names.movement, ["id_cmpt_movel"], storage=storage)
@@ -162,13 +221,13 @@ def load_gold(
     # the months are a batch's few partition values: pruned by them, then filtered
     batch_movement = movement.join(F.broadcast(mine), "id_cmpt_movel", "left_semi").where(F.col("_batch_id") == batch_id)
     ensure_not_empty(batch_movement, f"silver batch {batch_id}")
-    for frame, name, spec in (
-        (gold.dim_insurer(inputs[0][0]), names.dim_insurer, gold.DIM_INSURER),
-        (gold.dim_municipality(inputs[1][0]), names.dim_municipality, gold.DIM_MUNICIPALITY),
-        (gold.dim_plan(inputs[2][0]), names.dim_plan, gold.DIM_PLAN),
-        (gold.dim_profile(batch_movement), names.dim_profile, gold.DIM_PROFILE),
+    for frame, name, spec, buckets in (
+        (gold.dim_insurer(inputs[0][0]), names.dim_insurer, gold.DIM_INSURER, FEW_KEYS),
+        (gold.dim_municipality(inputs[1][0]), names.dim_municipality, gold.DIM_MUNICIPALITY, FEW_KEYS),
+        (gold.dim_plan(inputs[2][0]), names.dim_plan, gold.DIM_PLAN, MANY_KEYS),
+        (gold.dim_profile(batch_movement), names.dim_profile, gold.DIM_PROFILE, FEW_KEYS),
     ):
-        tables.merge_table(frame, name, [spec.sk], storage=storage)
+        tables.merge_table(frame, name, [spec.sk], storage=storage, buckets=buckets)
     fact = gold.fact_movement(batch_movement)
     if full_snapshot:
         tables.replace_table(fact, names.fact, ["id_cmpt_movel"], storage=storage)

@@ -5,20 +5,26 @@ A reader that takes the first file's header for all shifts values between
 columns.  Here every line is parsed with its own file's header: the headers
 are the first lines of the files' first splits, found by Spark's text reader,
 and only the distinct ones reach the driver.  Files with one header, the usual
-case, need no join.
+case, need no join.  With more, lines are parsed by their number of cells, and
+each value is taken from the place that the file's header names, so that the
+plan grows with the widths of files and not with their headers.
+
+A line whose cells are not as many as its header's is malformed.  It can be
+asked for, with its text; its values are those of a permissive reader: missing
+cells are NULL, further ones are dropped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.names import normalize_column_name
 
-#: Distinct headers beyond which a load is refused: each is a branch of the plan.
-MAX_HEADERS = 200
-
 PATH = "_source_path"
+CORRUPT = "_corrupt"
 
 
 def _lines(spark: SparkSession, paths: str | list[str], glob: str) -> DataFrame:
@@ -45,6 +51,11 @@ def file_headers(lines: DataFrame) -> DataFrame:
     return first.groupBy(PATH).agg(F.min_by("line", "at").alias("header"))
 
 
+def headers_of(spark: SparkSession, paths: str | list[str], glob: str = "*.csv") -> DataFrame:
+    """``_source_path, header`` of the files under ``paths``; files without a line have no row."""
+    return file_headers(_lines(spark, paths, glob))
+
+
 def _columns(spark: SparkSession, header: str, sep: str) -> list[str]:
     """The normalised column names of a header line."""
     if header.count('"') % 2:
@@ -57,43 +68,86 @@ def _columns(spark: SparkSession, header: str, sep: str) -> list[str]:
     return names
 
 
-def read_csv(spark: SparkSession, paths: str | list[str], sep: str = ";", glob: str = "*.csv") -> DataFrame:
+def layouts(spark: SparkSession, headers: DataFrame, sep: str = ";") -> dict[str, list[str]]:
+    """Column names by header, of the distinct headers in ``headers(header)``."""
+    return {r["header"]: _columns(spark, r["header"], sep) for r in headers.select("header").distinct().orderBy("header").collect()}
+
+
+def _record(width: int, sep: str) -> Column:
+    """The cells of a line of ``width`` cells, and the line itself if it has more or less."""
+    cells = ", ".join(f"c{i} string" for i in range(width))
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return F.from_csv("line", f"{cells}, {CORRUPT} string", options)
+
+
+def read_csv(
+    spark: SparkSession,
+    paths: str | list[str],
+    sep: str = ";",
+    glob: str = "*.csv",
+    malformed: str | None = None,
+    headers: DataFrame | None = None,
+) -> DataFrame:
     """Every file under ``paths``, columns matched by normalised name, all strings, and ``_source_path``.
 
-    A column that a file lacks is NULL there.  Malformed lines give NULL
-    fields.  Lines that repeat their file's header are left out.
+    A column that a file lacks is NULL there.  ``malformed`` names a column for the text of malformed
+    lines, NULL for others.  Lines that repeat their file's header are left out.
+    ``headers`` is what ``headers_of`` gave for these files, if it is known.
     """
     lines = _lines(spark, paths, glob)
-    headers = file_headers(lines)
-    distinct = [r[0] for r in headers.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
-    if not distinct:
+    headers = file_headers(lines) if headers is None else headers
+    columns = layouts(spark, headers, sep)
+    if not columns:
         raise ValueError(f"no {glob} files with a header under {paths}")
-    if len(distinct) > MAX_HEADERS:
-        raise ValueError(f"more than {MAX_HEADERS} different headers")
-    columns = {header: _columns(spark, header, sep) for header in sorted(distinct)}
     names = list(dict.fromkeys(n for own in columns.values() for n in own))
     if len(columns) == 1:
-        own, header = lines.where(F.col("line") != distinct[0]), None
+        ((header, own),) = columns.items()
+        parsed = lines.where(F.col("line") != header).select(PATH, _record(len(own), sep).alias("r"))
+        values = [F.col("r")[f"c{i}"].alias(n) for i, n in enumerate(own)]
+        corrupt = F.col("r")[CORRUPT]
     else:
-        own, header = lines.join(headers, PATH).where("line <> header"), F.col("header")
-    records = {}
-    for i, (text, cells) in enumerate(columns.items()):
-        schema = ", ".join(f"`{n}` string" for n in cells)
-        record = F.from_csv("line", schema, {"sep": sep, "mode": "PERMISSIVE"})
-        records[f"record{i}"] = record if header is None else F.when(header == text, record)
-    parsed = own.select(PATH, *[record.alias(name) for name, record in records.items()])
-    values = [
-        F.coalesce(*[F.col(r)[n] for r, cells in zip(records, columns.values()) if n in cells]).alias(n) for n in names
-    ]
-    return parsed.select(*values, PATH)
-
-
-def list_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
-    """``path`` (as readers take it) and ``_source_path`` of the files under ``folder``; contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder)
-    # readers take paths as patterns: what means something there is escaped
-    literal = F.regexp_replace("path", r"([\\\[\]{}*?])", r"\\$1")
-    return files.select(literal.alias("path"), F.col("_metadata.file_path").alias(PATH))
+        place = {header: {n: i for i, n in enumerate(own)} for header, own in columns.items()}
+        known = [(header, len(own), [place[header].get(n) for n in names]) for header, own in columns.items()]
+        layout = spark.createDataFrame(known, "header string, width int, places array<int>")
+        own = lines.join(headers.join(layout, "header"), PATH).where("line <> header")
+        widths = sorted({width for _, width, _ in known})
+        records = {width: F.when(F.col("width") == width, _record(width, sep)) for width in widths}
+        parsed = own.select(PATH, "places", *(record.alias(f"r{width}") for width, record in records.items()))
+        each = [F.when(F.col(f"r{w}").isNotNull(), F.array(*(F.col(f"r{w}")[f"c{i}"] for i in range(w)))) for w in widths]
+        corrupt = F.coalesce(*(F.col(f"r{w}")[CORRUPT] for w in widths))
+        parsed = parsed.select(PATH, "places", F.coalesce(*each).alias("cells"), corrupt.alias(CORRUPT))
+        # a name that the header lacks has no place: get() of a null place is null
+        values = [F.get("cells", F.get("places", F.lit(k))).alias(n) for k, n in enumerate(names)]
+        corrupt = F.col(CORRUPT)
+    extra = [] if malformed is None else [corrupt.alias(malformed)]
+    return parsed.select(*values, *extra, PATH)
+
+
+def list_files(spark: SparkSession, folders: str | list[str], glob: str = "*.csv") -> DataFrame:
+    """``path`` (as readers take it) and ``_source_path`` of the files under ``folders``; contents are not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folders)
+    return files.select(_literal(F.col("path")).alias("path"), F.col("_metadata.file_path").alias(PATH))
+
+
+#: What means something in the patterns that readers take for paths.
+SPECIAL = r"([\\\[\]{}*?])"
+
+
+def _literal(path: Column) -> Column:
+    return F.regexp_replace(path, SPECIAL, r"\\$1")
+
+
+def folders_to_list(spark: SparkSession, root: str, closed: set[str]) -> list[str]:
+    """The parts of ``root`` that can hold new files: all but the folders of ``closed`` periods.
+
+    One listing of ``root`` itself; what is in closed folders is not looked at.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    kept = [f.getPath() for f in found if not (f.isDirectory() and f.getPath().getName() in closed)]
+    if len(kept) == len(found):
+        return [root]
+    return [re.sub(SPECIAL, r"\\\1", p.toString()) for p in kept if not p.getName().startswith(("_", "."))]
 
 
 def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, sep: str = ";") -> None:

@@ -8,6 +8,10 @@ leaves the rows of one run.
 A streaming file source needs its columns beforehand.  Files whose header
 differs from the given one are refused by the reader (``enforceSchema`` off),
 never read by position; load such files with ``load_bronze``.
+
+Stream and batch loads share the ledgers: an epoch notes its files and its
+load like any other, leaves out files that another batch has brought, and no
+load clears what it did not write.
 """
 
 from __future__ import annotations
@@ -18,8 +22,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.functions.names import normalize_column_name
-from strata.plans import tables
+from strata.plans import ledger, tables
 from strata.plans.bronze import DEFAULT_SOURCE_SYSTEM, bronze_from_files
+from strata.plans.layers import Names
 from strata.session import checkpoint_root
 
 
@@ -42,15 +47,33 @@ def start_bronze_stream(
     checkpoint: str | None = None,
     source_system: str = DEFAULT_SOURCE_SYSTEM,
     available_now: bool = True,
+    names: Names | None = None,
 ) -> StreamingQuery:
-    """Start the ingestion; each micro-batch becomes one bronze load batch."""
+    """Start the ingestion; each micro-batch becomes one bronze load batch.
+
+    The ledgers are those of ``names``, by default the tables named so in the namespace of ``table``.
+    """
+    namespace = table.rpartition(".")[0]
+    default = Names()
+    files, loads = (
+        (names.files, names.loads) if names else (f"{namespace}.{t.rpartition('.')[2]}".lstrip(".") for t in (default.files, default.loads))
+    )
     stream = normalize_column_name(table)
     checkpoint = checkpoint or f"{checkpoint_root(spark)}/streams/{stream}"
     columns = [normalize_column_name(h) for h in header]
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        bronze = bronze_from_files(batch, f"stream_{stream}_{epoch:012d}", columns, source_system)
+        batch_id = f"stream_{stream}_{epoch:012d}"
+        if tables.table_exists(spark, files):
+            others = spark.table(files).where(F.col("_batch_id") != batch_id).select("_source_path")
+            batch = batch.join(others, "_source_path", "left_anti")
+        bronze = bronze_from_files(batch, batch_id, columns, source_system)
         tables.replace_table(bronze, table, ["_batch_id"])
+        # the epoch's partition: an epoch that comes again finds what it wrote before, whichever attempt that was
+        mine = spark.table(table).where(F.col("_batch_id") == batch_id)
+        tables.replace_table(mine.select("_source_path", "_batch_id").distinct(), files, ["_batch_id"])
+        n_files, n_rows = mine.agg(F.countDistinct("_source_path"), F.count(F.lit(1))).first()
+        ledger.record(spark, loads, batch_id, ledger.FINISHED, tables.PARQUET, files=n_files, rows=n_rows, malformed=0)
 
     writer = raw_stream(spark, folder, header).writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
