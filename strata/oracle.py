@@ -1,7 +1,7 @@
 """Independent DuckDB SQL for every registered query (the correctness oracle).
 
-The SQL is written from the semantics, not generated from the Spark plans:
-only column-name lists are shared.  DuckDB differences handled here:
+The SQL is written from the semantics, not generated from the Spark plans,
+and its lists stand in ``strata.oracle_values``: nothing is imported from the code under test.  DuckDB differences handled here:
 ``trim(x, ' ')`` (plain ``trim`` also strips other whitespace),
 ``regexp_replace(..., 'g')``, ``try_strptime`` guarded by a layout regex
 (it is more lenient than Spark), ``sum(bigint)`` cast back to BIGINT, and
@@ -10,18 +10,24 @@ timestamps compared as text.
 
 from __future__ import annotations
 
-from strata.functions.constants import NULL_TOKENS, VALID_UFS
-from strata.plans.gold import DIM_INSURER, DIM_MUNICIPALITY, DIM_PLAN, DIM_PROFILE, FACT_PAYLOAD
-from strata.plans.silver import (
+from strata.oracle_values import (
+    BUSINESS_COLUMNS,
+    DIM_INSURER,
+    DIM_MUNICIPALITY,
+    DIM_PLAN,
+    DIM_PROFILE,
+    FACT_PAYLOAD,
     INSURER,
     MOVEMENT,
     MOVEMENT_KEY,
     MUNICIPALITY,
+    NULL_TOKENS,
     PLAN,
     REJECTED_COLUMNS,
     REJECTED_HASH,
+    STATES,
+    VALID_UFS,
 )
-from strata.sources.fixture import BUSINESS_COLUMNS, STATES
 
 AS_OF = "2026-01-01 00:00:00"
 

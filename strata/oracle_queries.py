@@ -62,13 +62,11 @@ def oracle_sql() -> dict[str, str]:
 from strata.oracle import (  # noqa: E402
     _RULES, ALL_CTES, AS_OF, cs, cu, digits, entity_body, in_list, khash, lit, pdate, plong, rhash,
 )
-from strata.functions.constants import VALID_UFS  # noqa: E402
-from strata.plans.gold import DIM_INSURER, DIM_MUNICIPALITY, DIM_PLAN, DIM_PROFILE, PERIOD_COLUMNS  # noqa: E402
-from strata.plans.silver import COUNT_COLUMNS, MOVEMENT, MOVEMENT_KEY, PLAN, RULE_NAMES  # noqa: E402
-from strata.queries import (  # noqa: E402
-    CLEAN_STRING_COLUMNS, CLEAN_UPPER_COLUMNS, DIGIT_COLUMNS, LEDGER_LAST_BATCH, PERIOD_RANGE, SLICE_BATCH,
+from strata.oracle_values import (  # noqa: E402
+    BUSINESS_COLUMNS, CLEAN_STRING_COLUMNS, CLEAN_UPPER_COLUMNS, COUNT_COLUMNS, DIGIT_COLUMNS, DIM_INSURER, DIM_MUNICIPALITY,
+    DIM_PLAN, DIM_PROFILE, LEDGER_LAST_BATCH, MOVEMENT, MOVEMENT_KEY, PERIOD_COLUMNS, PERIOD_RANGE, PLAN, RULE_NAMES,
+    SLICE_BATCH, VALID_UFS,
 )
-from strata.sources.fixture import BUSINESS_COLUMNS  # noqa: E402
 
 TS = {"_ingested_at", "_bronze_ingested_at", "_rejected_at", "_gold_ingested_at"}
 CLEANED_COLUMNS = BUSINESS_COLUMNS + ["_source_path", "_bronze_record_hash", "_bronze_ingested_at",
@@ -231,6 +229,10 @@ ORACLE.update({
     "fact_movement": with_ctes(f"SELECT {sel(FACT_OUT)} FROM fact"),
     "scd1_merge": _merge_sql(False),
     "scd1_merge_insert_only": _merge_sql(True),
+    "change_feed": with_ctes(
+        f"SELECT {sel(PLAN.columns + ['_record_hash'], 's.')} FROM m_source s WHERE NOT EXISTS (SELECT 1 FROM m_target t "
+        "WHERE t.cd_operadora IS NOT DISTINCT FROM s.cd_operadora AND t.cd_plano IS NOT DISTINCT FROM s.cd_plano "
+        "AND coalesce(t._record_hash = s._record_hash, true))", ctes=ALL_CTES + "," + _MERGE_CTES),
     "partition_replace": with_ctes(_REPLACE, ctes=ALL_CTES + ", r_months AS (SELECT DISTINCT id_cmpt_movel FROM s_movement "
                                    "ORDER BY id_cmpt_movel DESC LIMIT 2)"),
     "page_file_links": f"SELECT * FROM {_PAGE_FILES}",
@@ -245,4 +247,10 @@ ORACLE.update({
         "SELECT regexp_extract(_source_path, '([^/]*)$', 1) FROM bronze) "
         "WHERE ends_with(lower(file_name), '.csv') AND NOT contains(upper(file_name), 'PART-3')"),
     "csv_scan": with_ctes(f"SELECT {', '.join(BUSINESS_COLUMNS)} FROM raw_movement"),
+    "malformed_lines": with_ctes(
+        "SELECT linha, count(*) AS vezes FROM (SELECT CASE right(cd_plano, 1) WHEN '7' THEN concat_ws(';', "
+        + ", ".join(f"coalesce({c}, '')" for c in BUSINESS_COLUMNS)
+        + ", 'x') WHEN '3' THEN concat_ws(';', "
+        + ", ".join(f"coalesce({c}, '')" for c in BUSINESS_COLUMNS[:-1])
+        + ") END AS linha FROM raw_movement) WHERE linha IS NOT NULL GROUP BY linha"),
 })

@@ -223,7 +223,7 @@ from strata.functions.names import cast_all_to_string, normalize_columns  # noqa
 from strata.operators import dedupe as dd  # noqa: E402
 from strata.operators import quality  # noqa: E402
 from strata.operators.incremental import batch_slice, load_counters, new_rows_only  # noqa: E402
-from strata.operators.merge import merge_frames, replace_frames  # noqa: E402
+from strata.operators.merge import changed_rows, merge_frames, replace_frames  # noqa: E402
 from strata.sources import index_pages  # noqa: E402
 from strata.sources.csv import read_csv, write_csv  # noqa: E402
 from strata.session import scratch_path  # noqa: E402
@@ -496,6 +496,13 @@ def _q_merge_insert(L: Layers) -> DataFrame:
     return merge_frames(target, source, silver.PLAN.keys, non_update=non_keys)
 
 
+@register("change_feed")
+def _q_change_feed(L: Layers) -> DataFrame:
+    """The rows that the merge inserts or updates with."""
+    target, source = _merge_inputs(L)
+    return changed_rows(target, source, silver.PLAN.keys)
+
+
 @register("partition_replace")
 def _q_replace(L: Layers) -> DataFrame:
     target = L.movement_table
@@ -562,3 +569,21 @@ def _q_csv_scan(L: Layers) -> DataFrame:
     )
     write_csv(shown, folder, partition_by=["_batch_id", "period"])
     return read_csv(L.spark, folder).select(*BUSINESS_COLUMNS)
+
+
+@register("malformed_lines")
+def _q_malformed(L: Layers) -> DataFrame:
+    """Lines with a cell too many (plans that end in 7) or too few (in 3), written and found again."""
+    cells = [F.coalesce(c, F.lit("")) for c in BUSINESS_COLUMNS]
+    last = F.substring("cd_plano", -1, 1)
+    line = (
+        F.when(last == "7", F.concat_ws(";", *cells, F.lit("x")))
+        .when(last == "3", F.concat_ws(";", *cells[:-1]))
+        .otherwise(F.concat_ws(";", *cells))
+    )
+    folder = scratch_path(L.spark, "raw-lines")
+    # one column of whole lines under the header, as a publisher's file that nothing quotes
+    lines = L.raw.select(line.alias(";".join(BUSINESS_COLUMNS)))
+    lines.write.options(header="true", sep="\u0001", quote="\u0000", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(folder)
+    found = read_csv(L.spark, folder, malformed="linha").where("linha is not null")
+    return found.groupBy("linha").agg(F.count("*").alias("vezes"))
