@@ -41,7 +41,7 @@ from strata.operators.staging import stage
 ENDING = "ARROW1"
 
 #: Distinct words in each of the two generations that a Python worker keeps encoded.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 300_000
 
 #: Bytes of text that are cut into words at once; a longer text goes in pieces that end at blanks.
 CUT_AT_ONCE = 2 << 20
@@ -122,20 +122,23 @@ class WordEncoder:
     def _ids(self, words: list[bytes]) -> list[bytes]:
         if len(self.known) > KEPT_WORDS:
             self.known, self.last = {}, self.known
-        known, last = self.known, self.last
+        known = self.known
+        found = list(map(known.get, words))
+        unknown = [i for i, ids in enumerate(found) if ids is None]
         new = []
-        for word in words:
-            if word not in known:
-                if word in last:
-                    known[word] = last[word]
-                else:
-                    new.append(word)
+        for i in unknown:
+            if words[i] in self.last:
+                known[words[i]] = self.last[words[i]]
+            else:
+                new.append(words[i])
         text = {word: word.decode() for word in new}
         letters = [w for w in new if text[w].isalpha()]
         for i in range(0, len(letters), CALL_WORDS):
             self._runs(letters[i : i + CALL_WORDS], text)
         self._each([w for w in new if w not in known], text)
-        return [known[word] for word in words]
+        for i in unknown:
+            found[i] = known[words[i]]
+        return found
 
     def _runs(self, words: list[bytes], text: dict[bytes, str]) -> None:
         """Runs of letters in one call, if each ends in just one closing id."""
