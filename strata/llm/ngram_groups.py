@@ -14,8 +14,12 @@ threshold.  The steps, each a Spark job over all documents:
    shorter index prefix of the smaller set.  Tokens are ordered with those of
    many documents last, so that passages shared by many documents rarely are
    in a prefix.
-3. Columns of the matrix meet per token.  Groups of one component are not
-   paired; in a long column, cells outside the index prefixes are not paired
+3. Columns of the matrix meet per token.  First they only tell which cells meet another
+   component's at all.  All sets have their tokens below a common cut in the matrix, so that
+   two groups share no more of them than either has met cells there: with the tokens above the cut and the
+   sizes that bounds their links, and groups that cannot link make no pair.
+   So texts that share some passages or chance phrases cost no pairs, however many there are.
+   Then groups are paired, but for those of one component; in a long column, cells outside the index prefixes are not paired
    with each other, only counted.  For two groups, the number of shared
    tokens, the counted ones and the tokens that lie beyond the prefixes bound
    the overlap of any two members; groups that cannot reach the threshold are
@@ -169,6 +173,11 @@ class Similarity:
         """Where the smaller set of a link has a token that the larger has in its prefix."""
         return size - -(-2 * self.percent * size // (100 + self.percent)) + 1 if size else 0
 
+    @property
+    def cut(self) -> np.uint64:
+        """All tokens below are in the matrix, but for frequent ones: about as many as a prefix has."""
+        return np.uint64((100 - self.percent) * (1 << 64) // 100)
+
     def counted(self, size: int) -> int:
         """How many tokens are counted at first: the prefix, and some into which it moves."""
         return min(size, self.prefix(size) + size // 16 + 4)
@@ -294,21 +303,30 @@ def count_further(docs: DataFrame, frequent, similarity: Similarity, width: int,
 
 
 def prefixes(sets: list[np.ndarray], frequent: np.ndarray, similarity: Similarity) -> list[np.ndarray]:
-    """The first tokens of each set, frequent ones last, else by hash."""
-    if not len(frequent):
-        return [s[: similarity.prefix(len(s))] for s in sets]
-    looked = [s[: similarity.prefix(len(s)) * 3 // 2 + 8] for s in sets]
+    return emitted_tokens(sets, frequent, similarity)[0]
+
+
+def emitted_tokens(sets: list[np.ndarray], frequent: np.ndarray, similarity: Similarity) -> tuple[list[np.ndarray], list[int]]:
+    """The first tokens of each set, frequent ones last, else by hash: its prefix, and all below the cut but frequent ones.
+
+    And how many tokens of the set are neither below the cut nor rare.
+    """
+    below = [int(np.searchsorted(s, similarity.cut)) for s in sets]
+    looked = [s[: max(n, similarity.prefix(len(s)) * 3 // 2 + 8)] for s, n in zip(sets, below)]
     rare = ~_is_in(np.concatenate(looked) if looked else np.zeros(0, np.uint64), frequent)
-    found, low = [], 0
-    for tokens, part in zip(sets, looked):
-        length, mask = similarity.prefix(len(tokens)), rare[low : low + len(part)]
+    found, beyond, low = [], [], 0
+    for tokens, part, n in zip(sets, looked, below):
+        mask = rare[low : low + len(part)]
         low += len(part)
+        under = int(np.count_nonzero(mask[:n]))
+        length = max(similarity.prefix(len(tokens)), under)
         chosen = part[mask][:length]
         if len(chosen) < length:
             often = _is_in(tokens, frequent)
             chosen = np.concatenate([tokens[~often], tokens[often]])[:length]
         found.append(chosen)
-    return found
+        beyond.append(len(tokens) - under)
+    return found, beyond
 
 
 def matrix_columns(texts: DataFrame, frequent, similarity: Similarity, width: int, buckets: int) -> DataFrame:
@@ -320,21 +338,95 @@ def matrix_columns(texts: DataFrame, frequent, similarity: Similarity, width: in
             for key, group, tokens in zip(batch["set_key"], batch["grp"], shingle_sets(batch["text"], width)):
                 if set_key(tokens) == key:  # rows may repeat an id with another text
                     sets.append(tokens)
-                    groups.append(group)
-            chosen = prefixes(sets, frequent.value, similarity)
+                    groups.append(group << 2)
+            chosen, beyond = emitted_tokens(sets, frequent.value, similarity)
             if chosen:
-                # a cell's lowest bit tells whether it lies in the index prefix
-                owner = np.repeat(np.array(groups, np.int64) << 1, [len(c) for c in chosen])
+                # a cell's lowest bit tells whether it lies in the index prefix, the next whether its token is a rare one below the cut
+                lengths = [len(c) for c in chosen]
                 inside = [np.arange(len(c)) < similarity.index_prefix(len(s)) for c, s in zip(chosen, sets)]
-                cells = owner | np.concatenate(inside)
-                rows = [(number, *parts) for number, parts in _packed(buckets, np.concatenate(chosen), cells)]
-                yield pd.DataFrame(rows, columns=["bucket", "tokens", "cells"])
+                under = [np.arange(len(c)) < len(s) - n for c, s, n in zip(chosen, sets, beyond)]
+                cells = np.repeat(np.array(groups, np.int64), lengths) | np.concatenate(inside) | np.concatenate(under).astype(np.int64) << 1
+                sizes, rest = (np.repeat(np.array(x, np.uint32), lengths) for x in ([len(s) for s in sets], beyond))
+                rows = [(number, *parts) for number, parts in _packed(buckets, np.concatenate(chosen), cells, sizes, rest)]
+                yield pd.DataFrame(rows, columns=["bucket", *CELLS])
+
+    return texts.select("set_key", "grp", "text").mapInPandas(emit, "bucket int, " + _binaries(CELLS))
+
+
+#: A token's cell of a group, the size of the set that has it, and how many tokens of the set are not rare ones below the cut.
+CELLS = {"tokens": np.uint64, "cells": np.int64, "sizes": np.uint32, "beyond": np.uint32}
+
+#: The same for all members of the group that have the token.
+COLUMNS = {"tokens": np.uint64, "cells": np.int64, "low": np.uint32, "high": np.uint32, "beyond": np.uint32}
+
+
+def _binaries(names: Iterable[str]) -> str:
+    return ", ".join(f"{name} binary" for name in names)
+
+
+def met_cells(columns: DataFrame, owners: int) -> DataFrame:
+    """The cells whose columns have a cell of another component, packed by the group they belong to.
+
+    One cell a token and group, with the smallest and the largest set of the members that have it.
+    """
+
+    def met(group: pd.DataFrame) -> pd.DataFrame:
+        tokens, cells, sizes, beyond = (_unpacked(group[k], t) for k, t in CELLS.items())
+        order = np.lexsort((cells ^ 1, tokens))  # inside cells first
+        tokens, cells, sizes, beyond = tokens[order], cells[order], sizes[order], beyond[order]
+        at = _run_starts(tokens, cells >> 2)
+        low, high, beyond = (f.reduceat(x, at) if len(at) else x for f, x in ((np.minimum, sizes), (np.maximum, sizes), (np.maximum, beyond)))
+        tokens, cells = tokens[at], cells[at]
+        component = cells >> 2 + CHUNK_BITS
+        ends = _run_ends(tokens)
+        starts = len(tokens) - _run_ends(tokens[::-1])[::-1]
+        kept = component[starts] != component[ends - 1]
+        # dealt out by a hash of the group
+        keys = mix((cells[kept] >> 2).view(np.uint64))
+        packed = _packed(owners, keys, *(x[kept] for x in (tokens, cells, low, high, beyond)))
+        return pd.DataFrame([(number, *parts[1:]) for number, parts in packed], columns=["owner", *COLUMNS])
+
+    return columns.groupBy("bucket").applyInPandas(met, "owner int, " + _binaries(COLUMNS))
+
+
+def bound_groups(cells: DataFrame, buckets: int) -> DataFrame:
+    """The cells of each group with what bounds its links, packed by token again.
+
+    ``low, high`` are the sizes of the members that have met cells; a member
+    without any shares no token of its prefix, and so links with nothing outside.
+    Below the cut every set has all its rare tokens in the matrix: ``under`` is how many of them
+    met another component's, and no member shares more of them; ``beyond`` is how many other tokens a member has at most.
+    """
+
+    def bound(group: pd.DataFrame) -> pd.DataFrame:
+        tokens, cells, low, high, beyond = (_unpacked(group[k], t) for k, t in COLUMNS.items())
+        order = np.argsort(cells >> 2, kind="stable")
+        tokens, cells = tokens[order], cells[order]
+        at = _run_starts(cells >> 2)
+        met = np.diff(np.append(at, len(cells)))
+        bounds = [f.reduceat(x[order], at) if len(at) else x for f, x in ((np.minimum, low), (np.maximum, high), (np.maximum, beyond))]
+        bounds.append(np.add.reduceat(cells >> 1 & 1, at).astype(np.uint32) if len(at) else beyond)
+        packed = _packed(buckets, tokens, cells, *(np.repeat(x, met) for x in bounds))
+        return pd.DataFrame([(number, *parts) for number, parts in packed], columns=["bucket", "tokens", "cells", *BOUNDS])
+
+    return cells.groupBy("owner").applyInPandas(bound, "bucket int, " + _binaries(["tokens", "cells", *BOUNDS]))
+
+
+#: What bounds the links of a group.
+BOUNDS = ["low", "high", "beyond", "under"]
+
 
-    return texts.select("set_key", "grp", "text").mapInPandas(emit, "bucket int, tokens binary, cells binary")
+def _run_starts(*values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values of sorted arrays begin."""
+    new = np.zeros(len(values[0]), bool)
+    new[:1] = True
+    for x in values:
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
 
 
-def shared_tokens(columns: DataFrame) -> DataFrame:
-    """``a, b, shared`` for groups of different components that share cells, per range of tokens.
+def shared_tokens(columns: DataFrame, similarity: Similarity) -> DataFrame:
+    """``a, b, shared`` for groups of different components that share cells and may link by their bounds, per range of tokens.
 
     Rows with a null ``b`` count the cells of ``a`` in long columns that were
     not paired with others of their kind.
@@ -342,7 +434,8 @@ def shared_tokens(columns: DataFrame) -> DataFrame:
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         cells = _unpacked(group["cells"], np.int64)
-        pairs, unpaired = group_pairs(_unpacked(group["tokens"], np.uint64), cells >> 1, cells & 1 == 1)
+        bounds = [_unpacked(group[k], np.uint32).astype(np.int64) for k in BOUNDS]
+        pairs, unpaired = group_pairs(_unpacked(group["tokens"], np.uint64), cells >> 2, cells & 1 == 1, similarity, bounds)
         found = pd.DataFrame(dict(zip(("a", "b", "shared"), pairs))).astype({"b": "Int64"})
         alone, n = np.unique(unpaired, return_counts=True)
         return pd.concat([found, pd.DataFrame({"a": alone, "b": pd.array([None] * len(alone), "Int64"), "shared": n})])
@@ -351,17 +444,22 @@ def shared_tokens(columns: DataFrame) -> DataFrame:
     return met.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
 
 
-def group_pairs(tokens: np.ndarray, groups: np.ndarray, index: np.ndarray) -> tuple[tuple, np.ndarray]:
+def group_pairs(
+    tokens: np.ndarray, groups: np.ndarray, index: np.ndarray, similarity: Similarity | None = None, bounds: list[np.ndarray] | None = None
+) -> tuple[tuple, np.ndarray]:
     """Pairs of groups of different components with the tokens they share, and groups of unpaired cells.
 
     In columns of more than ``LONG_COLUMN`` cells, those outside the index
-    prefixes are paired with those inside only.
+    prefixes are paired with those inside only.  With ``bounds`` of each cell's group (``bound_groups``), groups
+    whose sizes are too far apart, or that cannot share as many tokens as a link takes, make no pair.  As a group has
+    the same bounds in all its cells, a pair is made in all its columns or in none.
     """
     order = np.lexsort((~index, groups, tokens))
-    tokens, groups, index = tokens[order], groups[order], index[order]
+    tokens, groups = tokens[order], groups[order]
     new = np.ones(len(tokens), bool)
     new[1:] = (tokens[1:] != tokens[:-1]) | (groups[1:] != groups[:-1])
-    tokens, groups, index = tokens[new], groups[new], index[new]
+    tokens, groups, index = tokens[new], groups[new], index[order][new]
+    small, large, beyond, under = (x[order][new] for x in bounds) if bounds else [None] * 4
     column_ends = _run_ends(tokens)
     column_starts = len(tokens) - _run_ends(tokens[::-1])[::-1]
     long = column_ends - column_starts > LONG_COLUMN
@@ -384,6 +482,11 @@ def group_pairs(tokens: np.ndarray, groups: np.ndarray, index: np.ndarray) -> tu
         right = np.arange(len(left)) - np.repeat(begin, counts[part]) + starts[left]
         # in long columns two inside cells meet twice, and a component meets itself
         once = ~long[left] | (component[left] != component[right]) & (~index[right] | (left < right))
+        if bounds:
+            p = similarity.percent
+            once &= (p * small[left] <= 100 * large[right]) & (p * small[right] <= 100 * large[left])
+            most = np.minimum(under[left], under[right]) + np.minimum(beyond[left], beyond[right])
+            once &= (100 + p) * most >= p * (small[left] + small[right])
         left, right = groups[left[once]], groups[right[once]]
         kept.append(_summed(np.minimum(left, right), np.maximum(left, right), np.ones(len(left), np.int64)))
         held += len(kept[-1][0])
@@ -537,7 +640,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataF
     frequent = spark.sparkContext.broadcast(often)
     known = groups.select("rep", "set_key", "grp").hint("shuffle_hash")
     texts = rows.alias("d").join(known.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.rep"))).select("g.set_key", "g.grp", "d.text")
-    shared = stage(shared_tokens(matrix_columns(texts, frequent, similarity, width, buckets)), "shared-tokens")
+    met = met_cells(matrix_columns(texts, frequent, similarity, width, buckets), buckets)
+    shared = stage(shared_tokens(bound_groups(met, buckets), similarity), "shared-tokens")
     opened = stage(qualifying_groups(shared, groups, similarity), "opened")
     members = groups.select("grp", "node")
     queries = opened.join(members.select(F.col("grp").alias("a"), F.col("node").alias("query")), "a")

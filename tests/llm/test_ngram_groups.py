@@ -6,7 +6,7 @@ from hypothesis import given, settings, strategies as st
 
 from strata.llm import ngram_groups
 from strata.llm.components import connected_components
-from strata.llm.ngram_groups import Similarity, group_pairs, near_duplicates, prefixes, shingle_sets
+from strata.llm.ngram_groups import Similarity, emitted_tokens, group_pairs, near_duplicates, prefixes, shingle_sets
 
 
 def plain_set(text, width=5):
@@ -135,6 +135,31 @@ def test_prefixes_of_links_meet_and_bound_the_overlap(a, b, frequent, percent):
     assert shared <= met + beyond
 
 
+TOKENS = st.sets(st.integers(0, (1 << 64) - 1).map(lambda x: x % 97 * ((1 << 64) // 97)), min_size=1)
+
+
+@settings(max_examples=300, deadline=None)
+@given(TOKENS, TOKENS, st.lists(TOKENS, max_size=3), st.sets(st.integers(0, 96)), st.integers(30, 100))
+def test_met_cells_below_the_cut_bound_the_overlap(a, b, others, frequent, percent):
+    """What two sets share is at most the fewer of their met rare tokens below the cut, and the fewer of their other tokens."""
+    similarity = Similarity(percent)
+    sets = [np.array(sorted(x), np.uint64) for x in (a, b, *others)]
+    f = np.array(sorted(x * ((1 << 64) // 97) for x in frequent), np.uint64)
+    chosen, beyond = emitted_tokens(sets, f, similarity)
+    for tokens, part, rest in zip(sets, chosen, beyond):
+        rare = tokens[(tokens < similarity.cut) & ~np.isin(tokens, f)]
+        assert len(tokens) - rest == len(rare) and np.array_equal(part[: len(rare)], rare)
+        assert len(part) >= similarity.prefix(len(tokens))
+    cells, seen = [], {}
+    for k, part in enumerate(chosen):
+        cells.append(set(part[: len(sets[k]) - beyond[k]].tolist()))
+        for token in part.tolist():
+            seen.setdefault(token, set()).add(k)
+    met = [sum(len(seen[t]) > 1 for t in own) for own in cells]
+    shared = len(np.intersect1d(sets[0], sets[1]))
+    assert shared <= min(met[0], met[1]) + min(beyond[0], beyond[1])
+
+
 @given(
     st.lists(st.tuples(st.integers(0, 5), st.integers(0, 3), st.integers(0, 2), st.booleans()), max_size=40),
     st.sampled_from([0, 2, 4, 99]),
