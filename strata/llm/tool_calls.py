@@ -15,14 +15,16 @@ Defined results
   but are counted in ``n_unknown``; calls on a cycle, or behind one, have null
   ``level`` and ``position``;
 - arguments that are no JSON object, a null or unknown tool, and every broken
-  schema rule are listed in ``errors``, sorted;
-- a null conversation or call id links with nothing, and such rows are dropped
-  from the calls; an empty table gives an empty result; extra columns are ignored.
+  schema rule are listed in ``errors``, sorted; NaN, infinities, numbers beyond
+  doubles and keys that an object repeats are no JSON here, and arguments nested too deep to be read are an
+  error of their own: all of these go into the message as the text they came as;
+- a null conversation or call id links with nothing; calls with one, or with a null turn, are dropped; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import re
 from collections.abc import Iterator
 
@@ -188,22 +190,43 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
 
 
 def _written(row, schemas: dict[str, dict]) -> tuple[str, list[str], str]:
-    errors: list[str] = []
-    arguments = None
-    try:
-        arguments = json.loads(row.arguments or "")
-        if not isinstance(arguments, dict):
-            errors = ["/: not an object"]
-    except ValueError:
-        errors = ["/: not JSON"]
-    if not errors:
-        schema = schemas.get(row.name)
-        errors = ["unknown tool"] if schema is None else sorted(broken_rules(arguments, schema))
-    message = {"id": row.call_id, "name": row.name, "arguments": arguments if arguments is not None else row.arguments}
+    message = {"id": row.call_id, "name": row.name, "arguments": row.arguments}
     if row.n_results:
         message["result"] = row.content
+    try:
+        errors, message["arguments"] = _checked(row, schemas)
+        text = canonical_json(message)
+    except RecursionError:
+        errors, message["arguments"] = ["/: nested too deep"], row.arguments
+        text = canonical_json(message)
     status = "invalid" if errors else "linked" if row.n_results else "unanswered"
-    return status, errors, canonical_json(message)
+    return status, errors, text
+
+
+def _checked(row, schemas: dict[str, dict]) -> tuple[list[str], object]:
+    """What is wrong with a call's arguments, and the arguments: read, or as text where they cannot be."""
+    try:
+        arguments = json.loads(row.arguments or "", parse_constant=_refused, parse_float=_double, object_pairs_hook=_object)
+    except ValueError:
+        return ["/: not JSON"], row.arguments
+    if not isinstance(arguments, dict):
+        return ["/: not an object"], row.arguments if arguments is None else arguments
+    schema = schemas.get(row.name)
+    return ["unknown tool"] if schema is None else sorted(broken_rules(arguments, schema)), arguments
+
+
+def _refused(text: str):
+    raise ValueError(text)
+
+
+def _double(text: str) -> float:
+    value = float(text)
+    return value if math.isfinite(value) else _refused(text)
+
+
+def _object(pairs: list[tuple]) -> dict:
+    found = dict(pairs)
+    return found if len(found) == len(pairs) else _refused("a key is repeated")
 
 
 def orphan_results(calls: DataFrame, results: DataFrame) -> DataFrame:

@@ -75,3 +75,20 @@ def test_rules():
     assert broken_rules({"n": True}, SCHEMA["f"]) == ["/n: not of type integer"]
     assert broken_rules({"n": 1, "l": [1, "x"], "s": "z"}, SCHEMA["f"]) == ["/l/1: not of type number", "/s: not one of the allowed values"]
     assert broken_rules({}, SCHEMA["f"]) == ["/n: missing"]
+
+
+@pytest.mark.parametrize(
+    "arguments, error",
+    [
+        ("[" * 100_000 + "]" * 100_000, "/: nested too deep"),
+        ('{"n":1,"l":' + "[" * 5_000 + "]" * 5_000 + "}", "/: nested too deep"),
+        ('{"n": NaN}', "/: not JSON"), ('{"n": -Infinity}', "/: not JSON"), ('{"n": 1e999}', "/: not JSON"),
+        ('{"n": 1, "n": 2}', "/: not JSON"), ('{"n": ' + "9" * 5_000 + "}", "/: not JSON"), ("{", "/: not JSON"),
+    ],
+)
+def test_arguments_that_cannot_be_read(spark, arguments, error):
+    calls = spark.createDataFrame([(1, 1, "a", "f", arguments, [], "z"), (1, 2, "b", "f", '{"n":3}', [], "z")], CALLS)
+    got = {r.call_id: r for r in link_tool_calls(calls, spark.createDataFrame([], RESULTS), SCHEMA).collect()}
+    assert (got["a"].status, got["a"].errors) == ("invalid", [error])
+    assert json.loads(got["a"].message)["arguments"] == arguments  # the text it came as
+    assert got["b"].status == "unanswered"
