@@ -38,9 +38,6 @@ COMMON_WORDS = (
 # Character classes as Java and RE2 write them; the rest is the last class.
 CLASSES = (r"\p{Ll}", r"\p{Lu}", r"\p{N}", r".,;:!?'\"()-")
 
-#: Languages beyond which the references are refused: they pass through the driver.
-MAX_LANGUAGES = 10_000
-
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, however often the body names it."""
@@ -228,15 +225,9 @@ def judge_documents(
     measures are staged once, so texts are read once.
     """
     measured = stage(measure_documents(docs), "measures")
-    known = (language_references(measured) if references is None else references).limit(MAX_LANGUAGES + 1).collect()
-    if len(known) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    shares = docs.sparkSession.createDataFrame(
-        known, "lang string, class_shares array<double>, word_shares array<double>"
-    )
-    judged = measured.alias("d").join(
-        F.broadcast(shares.alias("r")), F.col("d.lang").eqNullSafe(F.col("r.lang")), "left"
-    ).select(
+    # a row per language, written so that its size is known: small ones are broadcast, others joined by a shuffle
+    shares = stage(language_references(measured) if references is None else references, "references")
+    judged = measured.alias("d").join(shares.alias("r"), F.col("d.lang").eqNullSafe(F.col("r.lang")), "left").select(
         "d.*",
         class_distance(F.col("d.classes"), F.col("r.class_shares")).alias("class_distance"),
         word_distance(F.col("d.words"), F.col("r.word_shares")).alias("word_distance"),
