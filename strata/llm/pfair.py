@@ -80,53 +80,6 @@ def scheduled_blocks(blocks: dict, weights: dict) -> Iterator[tuple]:
             heapq.heappush(waiting, entry(i, k + 1, after, j))
 
 
-def period_schedule(shares: dict) -> list:
-    """Which source runs in each slot of a period of ``sum(shares.values())`` slots."""
-    return [source for source, *_ in scheduled_blocks(shares, shares)]
-
-
-def shares_of(weights: dict, period: int) -> dict:
-    """Whole shares of ``period`` by largest remainder, one at least for each source.
-
-    Rounded, for schedules that repeat; ``mix_sources`` takes the weights themselves.
-    """
-    total = sum(weights.values())
-    spare = period - len(weights)
-    exact = {s: w / total * spare for s, w in weights.items()}
-    shares = {s: 1 + int(x) for s, x in exact.items()}
-    left = period - sum(shares.values())
-    for s in sorted(exact, key=lambda s: (-(exact[s] % 1), str(s)))[:left]:
-        shares[s] += 1
-    return shares
-
-
-def phases_of(blocks: dict, weights: dict, period: int) -> list[tuple]:
-    """(source, first block, its share, first slot, period, offsets) per phase and source.
-
-    ``blocks`` counts each source's blocks.  A phase lasts whole periods, up to
-    the one in which its first source ends.  Shares are rounded to the period,
-    so ``mix_sources`` does not use it.
-    """
-    left, done, at, rows = dict(blocks), dict.fromkeys(blocks, 0), 0, []
-    while left:
-        shares = shares_of({s: weights[s] for s in left}, max(period, len(left)))
-        slots = period_schedule(shares)
-        offsets: dict = {s: [] for s in left}
-        for slot, s in enumerate(slots):
-            offsets[s].append(slot)
-        rounds = min(-(-left[s] // shares[s]) for s in left)
-        for s in left:
-            rows.append((s, done[s], shares[s], at, len(slots), offsets[s]))
-        for s in list(left):
-            run = min(left[s], rounds * shares[s])
-            done[s] += run
-            left[s] -= run
-            if not left[s]:
-                del left[s]
-        at += rounds * len(slots)
-    return rows
-
-
 def mix_sources(
     docs: DataFrame,
     weights: dict | None = None,
