@@ -81,3 +81,35 @@ def test_empty_input(spark, tmp_path, stages):
         function(spark, docs, SF).write.parquet(f"file://{tmp_path}/{k}")
         docs = spark.read.parquet(f"file://{tmp_path}/{k}")
     assert docs.count() == 0
+
+
+CLASHING = ["block", "slot", "release_slot", "deadline_slot", "place", "mix_hash", "mix_bucket", "mix_number", "_hash", "text_hash", "row", "a.b"]
+
+
+def test_columns_of_any_name_come_out_unchanged(spark, tmp_path, stages):
+    names = stages[0].columns
+    rows_in = [(*r, *(f"{c}{i}" for c in CLASHING)) for i, r in enumerate(map(tuple, stages[0].collect()))]
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in stages[0].schema), *(f"`{c}` string" for c in CLASHING)])
+    # rows that repeat an id and text, told apart by their other columns
+    spark.createDataFrame(rows_in, schema).coalesce(1).write.parquet(f"file://{tmp_path}/in")
+    docs = spark.read.parquet(f"file://{tmp_path}/in")
+    for k, (_, function) in enumerate(corpus_pipeline.STAGES[:4]):
+        function(spark, docs, SF).write.parquet(f"file://{tmp_path}/{k}")
+        docs = spark.read.parquet(f"file://{tmp_path}/{k}")
+        assert docs.columns == [*names, *CLASHING]
+        found = rows(docs)
+        assert max(found.values()) == 1 and set(found) <= set(rows_in)
+        assert rows(docs.select(names)) == rows(stages[k + 1])
+
+
+def test_files_are_read_in_the_order_of_their_numbers(spark, tmp_path):
+    """Beyond 99,999 partitions names have six digits, and do not sort as text."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for number, doc_id in (("99999", 1), ("100000", 2), ("100001", 3)):
+        frame = spark.createDataFrame([(doc_id, "word", "en", "s", 4)], schema).coalesce(1)
+        frame.write.parquet(f"file://{tmp_path}/{number}")
+        (part,) = (tmp_path / number).glob("part-*.parquet")
+        (tmp_path / "all").mkdir(exist_ok=True)
+        (tmp_path / "all" / f"part-{number}-x.c000.parquet").write_bytes(part.read_bytes())
+    spans = corpus_pipeline.token_files(spark, spark.read.parquet(f"file://{tmp_path}/all"), SF).collect()
+    assert [r.doc_id for r in sorted(spans, key=lambda r: r.start)] == [1, 2, 3]
