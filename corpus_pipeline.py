@@ -7,7 +7,8 @@ and read again as the next one's input.  The mixture's decision is the order
 of rows in the files it writes, and the token files follow that order.
 
 Rows are told apart by id and text; rows that repeat both share their fate,
-but for near duplicates, where one of them stays.
+but for near duplicates, where one of them stays.  Columns of any name pass
+through unchanged: no stage adds one beside them.
 """
 
 from __future__ import annotations
@@ -62,8 +63,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     twice = stage(repeated, "repeated")
     if twice.isEmpty():
         return left
-    once = _matching(left, twice, "left_semi").withColumn("_hash", F.xxhash64("text"))
-    return _matching(left, twice, "left_anti").unionByName(once.dropDuplicates(["doc_id", "_hash"]).drop("_hash"))
+    # one row of each id and text, whatever its other columns are called
+    row = F.struct(*(F.col(f"`{c}`") for c in left.columns)).alias("row")
+    kept = _matching(left, twice, "left_semi").groupBy("doc_id", F.xxhash64("text")).agg(F.first(row).alias("row"))
+    return _matching(left, twice, "left_anti").unionByName(kept.select("row.*"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,16 +79,19 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, in the order of the mixture."""
     ship_package(spark)
-    placed = mix_sources(docs, temperature=0.5)
-    return placed.repartitionByRange("place").sortWithinPartitions("place").select(docs.columns)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")  # beside the mixture's own columns
+    placed = mix_sources(docs.select("doc_id", "source", row), temperature=0.5)
+    return placed.repartitionByRange("place").sortWithinPartitions("place").select("row.*")
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The files' documents, in the order in which ``docs`` is stored: ``doc_id, start, n_tokens, ids_crc32``."""
     ship_package(spark)
     path = scratch_path(spark, "pipeline-tokens")
-    stored = docs.select("doc_id", "text", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
-    write_token_files(stored, path, public_tokenizers.path("word_bpe_49k.json"), order=["file", "row"])
+    file = F.col("_metadata.file_name")
+    number = F.regexp_extract(file, r"^part-(\d+)", 1).cast("long")  # its digits are padded to five only
+    stored = docs.select("doc_id", "text", number.alias("part"), file.alias("file"), F.col("_metadata.row_index").alias("row"))
+    write_token_files(stored, path, public_tokenizers.path("word_bpe_49k.json"), order=["part", "file", "row"])
     return read_token_spans(spark, path)
 
 
