@@ -12,6 +12,9 @@ are case-insensitive, and character references in the value are decoded.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,11 +24,32 @@ _NOT_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 _A_TAG = r"""(?is)<a\s(?:[^>"']|"[^"]*"|'[^']*')*>"""
 # One attribute: its name and its value in one of three spellings, or none.
 _ATTRIBUTE = r"""(?is)([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?"""
-_REFERENCE = r"&(#[xX][0-9a-fA-F]+|#[0-9]+|amp|lt|gt|quot|apos|nbsp);?"
+# A character reference: by number, or by a name whose end only a list of names can tell.
+_REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 _ESCAPE = r"%[0-9a-fA-F]{2}"
 PERIOD_PATTERN = r"^[0-9]{6}$"
-# The named character references that URLs use.
-NAMED_REFERENCES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0"}
+#: Names that may stand without a semicolon are no longer.
+_LONGEST_BARE = max(len(name) for name in html5 if not name.endswith(";"))
+
+#: References that URLs use, looked up before the full list.
+_FREQUENT = {name: html5[name] for name in ("amp;", "amp", "quot;", "lt;", "gt;", "nbsp;")}
+
+
+def _by_number() -> dict[str, str]:
+    """What HTML reads for the code points that are no characters, by number in decimal.
+
+    Windows' characters for the upper control codes, a replacement for zero, nothing for the others.
+    """
+    nothing = [*range(1, 9), 11, *range(14, 32), 127, *range(0xFDD0, 0xFDF0)]
+    nothing += [plane << 16 | low for plane in range(17) for low in (0xFFFE, 0xFFFF)]
+    windows = {code: bytes([code]).decode("cp1252", "ignore") or chr(code) for code in range(0x80, 0xA0)}
+    found = dict.fromkeys(nothing, "") | windows | {0: "\ufffd"}
+    return {str(code): text for code, text in found.items()}
+
+
+def _map(entries: dict[str, str]) -> Column:
+    """A map literal in one expression; the optimizer reads it once."""
+    return F.from_json(F.lit(json.dumps(entries)), "map<string, string>")
 
 
 def _replaced(text: Column, pattern: str, decode) -> Column:
@@ -37,17 +61,29 @@ def _replaced(text: Column, pattern: str, decode) -> Column:
 
 
 def html_entities(text: Column) -> Column:
-    """Decode numeric character references and the named ones of URLs."""
+    """Decode character references as an HTML parser does.
+
+    A name that is not on the list is read as the longest name of the list
+    that it begins with, of those that need no semicolon: ``&notit;`` is ``¬it;``.
+    """
+    names, frequent, numbers = _map(html5), _map(_FREQUENT), _map(_by_number())
 
     def decode(match: Column) -> Column:
-        body = F.regexp_extract(match, _REFERENCE, 1)
-        code = F.when(body.rlike("^#[xX]"), F.conv(F.substring(body, 3, 8), 16, 10)).when(
-            body.startswith("#"), F.substring(body, 2, 8)
+        body = F.substring(match, 2, 64)
+        digits = F.regexp_replace(F.regexp_replace(match, r"^&#[xX]?0*", ""), ";$", "")
+        code = F.when(F.length(digits) > 8, F.lit(1 << 32)).when(digits == "", F.lit(0)).otherwise(
+            F.when(body.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("long")
         )
         # through UTF-32: char() knows only one byte
-        character = F.decode(F.unhex(F.lpad(F.hex(code.try_cast("long")), 8, "0")), "UTF-32")
-        named = F.create_map(*[F.lit(x) for pair in NAMED_REFERENCES.items() for x in pair])
-        return F.coalesce(F.element_at(named, body), character, match)
+        character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        none = (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+        numeric = F.coalesce(F.element_at(numbers, code.cast("string")), F.when(none, "\ufffd").otherwise(character))
+        begun = [
+            F.concat(F.element_at(names, F.substring(body, 1, n)), F.substring(body, n + 1, 64))
+            for n in range(_LONGEST_BARE, 1, -1)
+        ]
+        named = F.coalesce(F.element_at(frequent, body), F.element_at(names, body), *begun, match)
+        return F.when(body.startswith("#"), numeric).otherwise(named)
 
     return _replaced(text, _REFERENCE, decode)
 

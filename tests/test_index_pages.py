@@ -78,3 +78,19 @@ def test_link_spellings(spark):
     pages = spark.createDataFrame([(i, html) for i, (html, _) in enumerate(CASES)], "page_id long, html string")
     got = {r.page_id: r.file_name for r in ip.page_file_links(pages).collect()}
     assert got == {i: name for i, (_, name) in enumerate(CASES) if name is not None}
+
+
+def test_character_references_are_read_as_an_html_parser_does(spark):
+    import html
+    from html.entities import html5
+
+    texts = ["&notin;", "&not", "&notit;", "&copy2", "&copy=2&amp;b", "&amp;amp;", "a&b&c", "&;", "&", "&&amp;", "&#", "&#x", "&#;", "&# 1;"]
+    texts += [f"x&#{n}y&#x{n:x};" for n in (0, 1, 9, 10, 13, 31, 38, 65, 127, 128, 0x81, 0x9F, 0xA0, 0xD800, 0xDFFF, 0xFDD0, 0xFFFE, 0x1F600, 0x10FFFF, 0x110000)]
+    texts += ["&#00000000000000065;", "&#x000000000000041", "&#99999999999999999999999;", "&#xFFFFFFFFFFFFFFFFFF;", "&unknown;", "&" + "a" * 40 + ";"]
+    texts += [f"p&{name}q" for name in html5] + [f"&{name[:-1]}" for name in html5 if name.endswith(";")]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", ip.html_entities(F.col("t")).alias("d"))
+    got = {r.i: r.d for r in rows.collect()}
+    wrong = [(t, got[i], html.unescape(t)) for i, t in enumerate(texts) if got[i] != html.unescape(t)]
+    assert not wrong
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan  # the lists are read once, not per reference
