@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.dedupe import latest_batch_id
 from strata.operators.quality import ensure_not_empty, require_columns
-from strata.operators.staging import stage
+from strata.operators.staging import in_scratch, stage
 from strata.plans import gold, ledger, silver, tables
 from strata.plans.bronze import DEFAULT_SOURCE_SYSTEM, bronze_from_files, check_contract
 from strata.plans.tables import PARQUET, Storage
@@ -74,6 +74,7 @@ class Names:
     fact: str = "gold.fato_beneficiario_movimento"
 
 
+@in_scratch
 def load_bronze(
     spark: SparkSession,
     raw_folder: str,
@@ -162,6 +163,7 @@ def _latest_load(spark: SparkSession, names: Names) -> str:
     return found or latest_batch_id(spark.table(names.files))
 
 
+@in_scratch
 def load_silver(
     spark: SparkSession,
     names: Names = Names(),
@@ -194,6 +196,7 @@ def load_silver(
     return batch_id
 
 
+@in_scratch
 def load_gold(
     spark: SparkSession,
     names: Names = Names(),

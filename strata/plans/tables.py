@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.merge import changed_rows, merge_frames, unique_by
-from strata.operators.staging import stage
+from strata.operators.staging import scratch, stage
 
 DYNAMIC_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -288,13 +288,15 @@ def _merge_partitions(
 
     Of the partitions that the source hits, keys and hashes are read; of those rewritten, whole rows.
     """
-    target = source.sparkSession.table(name)
-    staged = stage(unique_by(source.select(*target.columns), keys), "merge-source")
-    hit = partitions_of(target, parts, _partition_values(staged, parts))
-    changes = stage(changed_rows(hit, staged, keys, compare_hash, non_update), "merge-changes")
-    if rewritten := _partition_values(changes, parts):
-        old = partitions_of(target, parts, rewritten)
-        _overwrite_partitions(merge_frames(old, changes, keys, compare_hash, non_update), name, storage)
+    spark = source.sparkSession
+    target = spark.table(name)
+    with scratch(spark):
+        staged = stage(unique_by(source.select(*target.columns), keys), "merge-source")
+        hit = partitions_of(target, parts, _partition_values(staged, parts))
+        changes = stage(changed_rows(hit, staged, keys, compare_hash, non_update), "merge-changes")
+        if rewritten := _partition_values(changes, parts):
+            old = partitions_of(target, parts, rewritten)
+            _overwrite_partitions(merge_frames(old, changes, keys, compare_hash, non_update), name, storage)
 
 
 def merge_into(source: DataFrame, name: str, keys: list[str], compare_hash: str | None, non_update: list[str]) -> None:
@@ -336,10 +338,11 @@ def replace_table(
     if not values:
         _overwrite_partitions(source, name, storage)
         return
-    staged = stage(source, "replacement")
-    filled = set(_partition_values(staged, partition_by))
-    if filled:
-        _overwrite_partitions(staged, name, storage)
+    with scratch(spark):
+        staged = stage(source, "replacement")
+        filled = set(_partition_values(staged, partition_by))
+        if filled:
+            _overwrite_partitions(staged, name, storage)
     if gone := [spec for spec in values if tuple(spec[c] for c in partition_by) not in filled]:
         clear_partitions(spark, name, gone, storage)
 

@@ -1,0 +1,69 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.operators import staging
+from strata.operators.staging import scratch, stage, sweep
+from strata.plans import layers
+from strata.session import checkpoint_root
+from tests.test_layers import names, write
+
+
+def namespaces(spark):
+    return [d.name for d in spark.catalog.listDatabases(f"{staging.PREFIX}*")]
+
+
+def folders(spark):
+    path = spark._jvm.org.apache.hadoop.fs.Path(checkpoint_root(spark))
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in found.listStatus(path)} if found.exists(path) else set()
+
+
+def test_staged_results_go_with_their_scratch(spark):
+    before = folders(spark)
+    with scratch(spark) as name:
+        rows = stage(spark.range(10).withColumn("part", F.col("id") % 2), "some-rows", ["part"])
+        with scratch(spark) as inner:
+            assert inner == name  # an inner scratch is the outer one
+            assert stage(rows.where("part = 1"), "odd").count() == 5
+        assert rows.count() == 10 and rows.where("part = 0").agg(F.sum("id")).first()[0] == 20
+        assert folders(spark) - before
+    assert namespaces(spark) == [] and folders(spark) == before
+    outside = stage(spark.range(3), "kept")
+    assert outside.count() == 3 and folders(spark) - before
+
+
+def test_an_error_drops_the_scratch_too(spark):
+    before = folders(spark)
+    with pytest.raises(RuntimeError):
+        with scratch(spark):
+            stage(spark.range(3), "lost")
+            raise RuntimeError
+    assert namespaces(spark) == [] and folders(spark) == before
+
+
+def test_loads_leave_nothing_staged(spark, tmp_path):
+    own, before = names(), folders(spark)
+    write(tmp_path / "raw", "a.csv")
+    for _ in range(2):
+        layers.load_bronze(spark, f"file://{tmp_path}/raw", own)
+        layers.load_silver(spark, own)
+        layers.load_gold(spark, own)
+    assert namespaces(spark) == [] and folders(spark) == before
+    assert spark.table(own.fact).count() == 1
+
+
+def test_what_a_killed_run_left_is_swept(spark, monkeypatch):
+    before = folders(spark)
+    held = scratch(spark)
+    with monkeypatch.context() as patched:
+        patched.setattr(staging, "_now", lambda: datetime.datetime(2026, 1, 1, tzinfo=datetime.timezone.utc))
+        name = held.__enter__()  # and never left
+    stage(spark.range(3), "left")
+    staging._NAMESPACE.set(None)
+    assert namespaces(spark) == [name] and folders(spark) - before
+    with scratch(spark) as young:
+        assert namespaces(spark) == [young]
+        assert sweep(spark) == []  # a run that still works is left alone
+    assert namespaces(spark) == [] and folders(spark) == before
