@@ -6,6 +6,7 @@ Table layout chosen for the queries that follow:
 * silver movement and the fact are partitioned by ``id_cmpt_movel``: snapshot
   replacement rewrites only the touched months (dynamic partition overwrite,
   one commit) and latest-month reports prune to one folder;
+* the fact and the plan dimension are clustered by the plan's key;
 * the reject table is partitioned by ``_batch_id`` and replaced per batch.
 
 * entities and dimensions are in buckets by their key: a merge reads the
@@ -33,7 +34,7 @@ from strata.operators.quality import ensure_not_empty, require_columns
 from strata.operators.staging import in_scratch, stage
 from strata.plans import gold, ledger, silver, tables
 from strata.plans.bronze import DEFAULT_SOURCE_SYSTEM, bronze_from_files, check_contract
-from strata.plans.tables import PARQUET, Storage
+from strata.plans.tables import PARQUET, Clustering, Storage
 from strata.sources.csv import PATH, folders_to_list, headers_of, layouts, list_files, read_csv
 
 #: New files that one pass of a load reads; a load makes as many passes as it needs.
@@ -46,7 +47,10 @@ STALE_AFTER = _dt.timedelta(days=1)
 MALFORMED = "_malformed_line"
 
 #: Buckets that entities and dimensions are created with, by how many keys they have.
-FEW_KEYS, MANY_KEYS = 8, 64
+FEW_KEYS, MANY_KEYS = 8, 32
+
+#: The fact and its largest dimension, plans, are cut alike, so that they join without a shuffle.
+BY_PLAN = Clustering(("sk_plano",), 16)
 
 
 def new_batch_id() -> str:
@@ -224,16 +228,16 @@ def load_gold(
     # the months are a batch's few partition values: pruned by them, then filtered
     batch_movement = movement.join(F.broadcast(mine), "id_cmpt_movel", "left_semi").where(F.col("_batch_id") == batch_id)
     ensure_not_empty(batch_movement, f"silver batch {batch_id}")
-    for frame, name, spec, buckets in (
-        (gold.dim_insurer(inputs[0][0]), names.dim_insurer, gold.DIM_INSURER, FEW_KEYS),
-        (gold.dim_municipality(inputs[1][0]), names.dim_municipality, gold.DIM_MUNICIPALITY, FEW_KEYS),
-        (gold.dim_plan(inputs[2][0]), names.dim_plan, gold.DIM_PLAN, MANY_KEYS),
-        (gold.dim_profile(batch_movement), names.dim_profile, gold.DIM_PROFILE, FEW_KEYS),
+    for frame, name, spec, buckets, clustering in (
+        (gold.dim_insurer(inputs[0][0]), names.dim_insurer, gold.DIM_INSURER, FEW_KEYS, None),
+        (gold.dim_municipality(inputs[1][0]), names.dim_municipality, gold.DIM_MUNICIPALITY, FEW_KEYS, None),
+        (gold.dim_plan(inputs[2][0]), names.dim_plan, gold.DIM_PLAN, FEW_KEYS, BY_PLAN),
+        (gold.dim_profile(batch_movement), names.dim_profile, gold.DIM_PROFILE, FEW_KEYS, None),
     ):
-        tables.merge_table(frame, name, [spec.sk], storage=storage, buckets=buckets)
+        tables.merge_table(frame, name, [spec.sk], storage=storage, buckets=buckets, clustering=clustering)
     fact = gold.fact_movement(batch_movement)
     if full_snapshot:
-        tables.replace_table(fact, names.fact, ["id_cmpt_movel"], storage=storage)
+        tables.replace_table(fact, names.fact, ["id_cmpt_movel"], storage=storage, clustering=BY_PLAN)
     else:
-        tables.merge_table(fact, names.fact, gold.FACT_KEY, partition_by=["id_cmpt_movel"], storage=storage)
+        tables.merge_table(fact, names.fact, gold.FACT_KEY, partition_by=["id_cmpt_movel"], storage=storage, clustering=BY_PLAN)
     return batch_id

@@ -87,7 +87,18 @@ def _gathered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
-def create_table(df: DataFrame, name: str, partition_by: list[str] | None = None, storage: Storage = PARQUET) -> None:
+@dataclass(frozen=True)
+class Clustering:
+    """Files cut and sorted by a hash of ``columns``; tables that share it join on them without a shuffle."""
+
+    columns: tuple[str, ...]
+    n: int
+
+
+def create_table(
+    df: DataFrame, name: str, partition_by: list[str] | None = None, storage: Storage = PARQUET, clustering: Clustering | None = None
+) -> None:
+    """``clustering`` is kept by later writes of a Parquet table; a catalog with row-level operations has its own means."""
     ensure_table_namespace(df.sparkSession, name, storage.location)
     rows = _gathered(df, partition_by)
     if storage.row_level:
@@ -95,6 +106,8 @@ def create_table(df: DataFrame, name: str, partition_by: list[str] | None = None
         (writer.partitionedBy(*map(F.col, partition_by)) if partition_by else writer).create()
         return
     writer = rows.write.format(storage.format).mode("errorifexists")
+    if clustering:
+        writer = writer.bucketBy(clustering.n, *clustering.columns).sortBy(*clustering.columns)
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
 
 
@@ -220,10 +233,11 @@ def _bucketing(spark: SparkSession, name: str, keys: list[str]) -> int:
     return n
 
 
-def _create_bucketed(source: DataFrame, name: str, keys: list[str], n: int, storage: Storage) -> None:
+def _create_bucketed(source: DataFrame, name: str, keys: list[str], n: int, storage: Storage, clustering: Clustering | None) -> None:
     """An empty table in buckets; the merge that follows fills it."""
     spark = source.sparkSession
-    create_table(spark.createDataFrame([], source.schema).withColumn(BUCKET, _bucket(keys, n)), name, [BUCKET], storage)
+    empty = spark.createDataFrame([], source.schema).withColumn(BUCKET, _bucket(keys, n))
+    create_table(empty, name, [BUCKET], storage, clustering)
     spark.sql(f"ALTER TABLE IDENTIFIER(:name) SET TBLPROPERTIES ('{BUCKETED_BY}' = '{json.dumps([n, *keys])}')", args={"name": name})
 
 
@@ -256,17 +270,18 @@ def merge_table(
     partition_by: list[str] | None = None,
     storage: Storage = PARQUET,
     buckets: int | None = None,
+    clustering: Clustering | None = None,
 ) -> None:
-    """SCD1 upsert of ``source`` into table ``name`` (created on first use, in ``buckets`` if their number is given)."""
+    """SCD1 upsert of ``source`` into table ``name``, created on first use: in ``buckets`` if their number is given, and clustered."""
     spark = source.sparkSession
     if missing := sorted(set(keys) - set(source.columns)):
         raise ValueError(f"key columns missing in source: {missing}")
     recover(spark, name)
     if not table_exists(spark, name):
         if not buckets or storage.row_level:
-            create_table(unique_by(source, keys), name, partition_by, storage)
+            create_table(unique_by(source, keys), name, partition_by, storage, clustering)
             return
-        _create_bucketed(source, name, keys, buckets, storage)
+        _create_bucketed(source, name, keys, buckets, storage, clustering)
     if storage.row_level:
         merge_into(source, name, keys, compare_hash, non_update or [])
         return
@@ -319,6 +334,7 @@ def replace_table(
     partition_by: list[str],
     values: list[dict] | None = None,
     storage: Storage = PARQUET,
+    clustering: Clustering | None = None,
 ) -> None:
     """Replace every partition of ``name`` whose values occur in ``source``, in one commit.
 
@@ -331,7 +347,7 @@ def replace_table(
     if missing := sorted(set(partition_by) - set(source.columns)):
         raise ValueError(f"partition columns missing in source: {missing}")
     if not table_exists(spark, name):
-        create_table(source, name, partition_by, storage)
+        create_table(source, name, partition_by, storage, clustering)
         return
     if not storage.row_level and partition_columns(spark, name) != list(partition_by):
         raise ValueError(f"{name} is partitioned by {partition_columns(spark, name)}, not by {partition_by}")

@@ -113,3 +113,28 @@ def test_latest_month_reports_prune_partitions(spark):
     assert any("id_cmpt_movel" in f.split("PartitionFilters:")[1] and "subquery" in f for f in filters)
     months = tables_of.fact_table.select(F.max("id_cmpt_movel")).first()[0]
     assert report.first()["id_cmpt_movel"] == months
+
+
+def test_the_plan_dimension_joins_the_fact_without_a_shuffle(spark, tmp_path):
+    own = names()
+    for k, (month, plan) in enumerate([("202401", "7"), ("202401", "8"), ("202402", "8"), ("202402", "9")]):
+        write(tmp_path / "raw", f"{k}.csv", ID_CMPT_MOVEL=month, CD_PLANO=plan, DE_SEGMENTACAO_PLANO=f"S{plan}")
+    for _ in range(2):  # created, then replaced and merged
+        layers.load_bronze(spark, f"file://{tmp_path}/raw", own)
+        layers.load_silver(spark, own)
+        layers.load_gold(spark, own)
+        write(tmp_path / "raw", "again.csv", ID_CMPT_MOVEL="202402", CD_PLANO="9", DE_SEGMENTACAO_PLANO="NEW", DT_CARGA="2024-03-01")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        fact, plans = spark.table(own.fact), tables.rows_of(spark, own.dim_plan)
+        joined = fact.join(plans, "sk_plano").select("id_cmpt_movel", "cd_plano", "de_segmentacao_plano")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Join" in plan and "Exchange" not in plan
+        report = reports.plan_distribution(fact, plans)
+        shuffles = report._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[1]
+        assert "Exchange hashpartitioning(sk_plano" not in shuffles
+        assert {(r.de_segmentacao_plano, r.beneficiarios_ativos) for r in report.collect()} == {("NEW", 5)}  # its month was replaced
+        assert sorted((r[0], r[1]) for r in joined.collect()) == [("202401", "7"), ("202401", "8"), ("202402", "9")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
