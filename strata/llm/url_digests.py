@@ -33,6 +33,9 @@ from strata.operators.staging import stage
 
 SEED = 42  # the seed of Spark's xxhash64
 
+#: Bytes of a shard: strings, and 16 for each entry's digest and offset.
+SHARD_BYTES = 8 << 20
+
 
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end; A-Z lower-cased."""
@@ -72,8 +75,8 @@ def best_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Colum
 def digest_shards(entries: DataFrame, shards: int) -> DataFrame:
     """The list as ``shards`` sorted arrays: ``shard int``, ``content binary``.
 
-    ``entries`` has one column, ``entry``.  Choose ``shards`` for a few hundred
-    thousand entries each: a shard is built and probed in one task's memory.
+    ``entries`` has one column, ``entry``.  A shard is built and probed in one
+    task's memory: ``shards_for`` tells how many that takes.
     """
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
@@ -86,11 +89,17 @@ def digest_shards(entries: DataFrame, shards: int) -> DataFrame:
         content = b"".join(p.tobytes() for p in parts) + b"".join(strings)
         return pd.DataFrame({"shard": [group["shard"].iloc[0]], "content": [content]})
 
-    keyed = entries.select(F.col("entry").cast("string").alias("entry")).where("entry is not null").distinct()
+    keyed = entries.select(F.col("entry").cast("string").alias("entry")).where("entry is not null").distinct()  # an entry has one digest
     keyed = keyed.withColumn("digest", F.xxhash64("entry")).withColumn("shard", _shard("digest", shards))
     return keyed.groupBy("shard").applyInPandas(build, "shard int, content binary")
 
 
+def shards_for(entries: DataFrame, shard_bytes: int | None = None) -> int:
+    """As many shards as leave each about ``shard_bytes`` (``SHARD_BYTES``) of the list; digests deal entries evenly."""
+    held = entries.agg(F.sum(F.octet_length("entry") + 16)).first()[0] or 0
+    return max(1, -(-held // (shard_bytes or SHARD_BYTES)))
+
+
 def _shard(digest: str, shards: int) -> Column:
     return F.pmod(F.col(digest), F.lit(shards)).cast("int")
 
@@ -168,9 +177,14 @@ def listed(probes: DataFrame, shards: DataFrame, n_shards: int) -> DataFrame:
 
 
 def judge_urls(
-    pages: DataFrame, rules: list[tuple[str, str]], entries: DataFrame, n_shards: int = 64
+    pages: DataFrame, rules: list[tuple[str, str]], entries: DataFrame, n_shards: int | None = None
 ) -> DataFrame:
-    """``page_id, host, path, rule, verdict`` for every row of ``pages(page_id, url)``."""
+    """``page_id, host, path, rule, verdict`` for every row of ``pages(page_id, url)``.
+
+    The list is cut into ``n_shards``, by default as many as its bytes take.
+    """
+    entries = stage(entries.select(F.col("entry").cast("string").alias("entry")).where("entry is not null").distinct(), "url-list")
+    n_shards = n_shards or shards_for(entries)
     verdicts = dict((text, verdict) for verdict, text in rules)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
     parsed = rows.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))

@@ -1,5 +1,6 @@
 import numpy as np
 
+from strata.llm import url_digests
 from strata.llm.url_digests import DigestArray, digest_shards, judge_urls
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -65,3 +66,17 @@ def test_shards_are_sorted_arrays_of_all_entries(spark):
     for s in shards:
         keys = DigestArray(bytes(s["content"])).keys
         assert (keys[1:] >= keys[:-1]).all()
+
+
+def test_shards_grow_with_the_list(spark, monkeypatch):
+    entries = spark.range(2000).selectExpr("concat('host', id, '.example/path') as entry")
+    assert url_digests.shards_for(entries) == 1
+    assert url_digests.shards_for(entries.limit(0)) == 1
+    monkeypatch.setattr(url_digests, "SHARD_BYTES", 4096)
+    n = url_digests.shards_for(entries)
+    assert 15 <= n <= 25
+    sizes = [len(r["content"]) for r in url_digests.digest_shards(entries, n).collect()]
+    assert len(sizes) == n and max(sizes) < 2 * 4096
+    pages = spark.range(0, 3000, 7).selectExpr("id as page_id", "concat('http://host', id, '.example/path') as url")
+    judged = url_digests.judge_urls(pages, [("allow", "org/")], entries)
+    assert {r.page_id: r.verdict for r in judged.collect()} == {i: "block" if i < 2000 else "allow" for i in range(0, 3000, 7)}
