@@ -77,8 +77,8 @@ def overlap(part: list[int], around: set[tuple], words: set[int]) -> float:
 class BlockMaxIndex:
     """Postings of normalised BM25 weights with the maximum of every block of items."""
 
-    def __init__(self, parts: list[tuple[int | None, list[str], dict[str, float]]], texts: dict):
-        """``parts``: key into ``texts``, words and weights; ``texts``: (item id, all its words)."""
+    def __init__(self, parts: list[tuple[int | None, list[str] | None, dict[str, float]]], texts: dict):
+        """``parts``: key into ``texts``, words (not needed) and weights; ``texts``: (item id, all its words)."""
         self.vocabulary: dict[str, int] = {}
         for _, words in texts.values():
             for word in words:
@@ -238,7 +238,10 @@ class Finder:
 
 
 def index_parts(items: DataFrame, half: int) -> DataFrame:
-    """``item_id, item, part, words, weights`` of ``items(item_id, text)``; weights sum to 1."""
+    """``item_id, item, part, words, weights`` of ``items(item_id, text)``; weights sum to 1.
+
+    An item's words come with its first part alone, so that the index is as large as the items are.
+    """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -249,10 +252,13 @@ def index_parts(items: DataFrame, half: int) -> DataFrame:
         F.col("item_id").cast("string").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).withColumn("item", F.xxhash64("item_id", "text"))
     cut_items = rows.mapInPandas(cut, "item_id string, item long, words array<string>").where(F.size("words") > 0)
-    parts = stage(
-        cut_items.select("item_id", "item", "words", F.explode(F.expr(f"sequence(0, (size(words) - 1) div {half})")).alias("part")),
-        "benchmark-parts",
-    ).withColumn("part_words", F.slice("words", F.col("part") * half + 1, half))
+    pieces = F.transform(
+        F.expr(f"sequence(0, (size(words) - 1) div {half})"),
+        lambda p: F.struct(
+            p.alias("part"), F.slice("words", p * half + 1, half).alias("part_words"), F.when(p == 0, F.col("words")).alias("words")
+        ),
+    )
+    parts = stage(cut_items.select("item_id", "item", F.explode(pieces).alias("p")).select("item_id", "item", "p.*"), "benchmark-parts")
     totals = parts.agg(F.count("*").alias("n"), F.avg(F.size("part_words")).alias("mean")).first()
     n, mean = totals["n"], totals["mean"] or 1.0
     counted = parts.select("item", "part", F.size("part_words").alias("size"), F.explode("part_words").alias("word"))
@@ -299,8 +305,8 @@ def find_items(
         mine = parts.where(F.pmod("item", F.lit(sets)) == number).orderBy("item", "part").collect()
         if mine:
             index = BlockMaxIndex(
-                [((r["item"], r["item_id"]), r["words"], r["weights"]) for r in mine],
-                {(r["item"], r["item_id"]): (None if r["item_id"] is None else int(r["item_id"]), r["words"]) for r in mine},
+                [((r["item"], r["item_id"]), None, r["weights"]) for r in mine],
+                {(r["item"], r["item_id"]): (None if r["item_id"] is None else int(r["item_id"]), r["words"]) for r in mine if not r["part"]},
             )
             shared = spark.sparkContext.broadcast(index)
             found = found.unionByName(rows.mapInPandas(_searcher(shared, half, threshold, min_question, min_answer), RESULT))

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from strata.llm.decontamination import BlockMaxIndex, core_of, find_items
+from strata.llm.decontamination import BlockMaxIndex, core_of, find_items, index_parts
 
 
 def small_index(items):
@@ -120,3 +120,15 @@ def test_exact_copies_are_found_whatever_separates_their_words(spark):
     got = find_items(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
     assert sorted((r.doc_id, r.item_id) for r in got) == sorted((d, d % 10) for d, _ in docs)
     assert all(r.question_overlap == r.answer_overlap == 1 and r.score > 0.999 for r in got)
+
+
+def test_a_very_long_item_is_stored_once(spark):
+    """Its words come with its first part; parts grow with its length, not with its square."""
+    n = 20_000
+    text = " ".join(f"w{i}" for i in range(n))
+    items = spark.createDataFrame([(1, text), (2, "a short one")], "item_id long, text string")
+    parts = index_parts(items, 64).selectExpr("item_id", "part", "coalesce(size(words), 0) as held", "size(weights) as own").collect()
+    assert sum(r.held for r in parts if r.item_id == "1") == n and {r.held for r in parts if r.part} == {0}
+    assert sum(r.own for r in parts if r.item_id == "1") == n
+    docs = spark.createDataFrame([(1, f"before {text} after"), (2, "nothing here")], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in find_items(docs, items).collect()] == [(1, 1)]
