@@ -600,9 +600,9 @@ def proposed_pairs(nodes: DataFrame, similarity: Similarity) -> DataFrame:
     """
     bins = nodes.select("node", "n", F.posexplode("bins").alias("bin", "least")).where("least is not null")
     shared = bins.groupBy("bin", "least").agg(F.count("*").alias("copies")).where("copies > 1")
-    met = bins.join(shared, ["bin", "least"])
-    central = met.groupBy("node").agg(F.sum("copies").alias("copies")).select("node", F.col("copies").alias("weight"))
-    weighed = met.join(central, "node")
+    met = bins.join(shared, ["bin", "least"]).groupBy("node", "n")  # a node has BINS rows at most
+    held = met.agg(F.sum("copies").alias("weight"), F.collect_list(F.struct("bin", "least")).alias("bins"))
+    weighed = held.select("node", "n", "weight", F.inline("bins"))
     order = F.struct("weight", (-F.col("node")).alias("place"))
     first = weighed.groupBy("bin", "least").agg(F.max_by(F.struct("node", "n"), order).alias("first"))
     asked = weighed.join(first, ["bin", "least"]).where("node <> first.node")
