@@ -1,3 +1,4 @@
+import math
 from fractions import Fraction
 
 import pytest
@@ -79,3 +80,35 @@ def test_more_sources_than_a_period(spark):
     mixed = mix_sources(docs, block_rows=1).collect()
     assert sorted(r.slot for r in mixed) == list(range(2400))
     assert all(r.release_slot <= r.slot < r.deadline_slot for r in mixed)
+
+
+def test_query_equals_a_plain_schedule_of_the_given_table(spark):
+    """Documents sorted by hash and cut by source; each slot runs the released block that is due first."""
+    from pyspark.sql import functions as F
+
+    from strata.llm.queries import queries
+
+    sf_dir = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", F.xxhash64(F.lit(7), "doc_id").alias("h")).collect()
+    by_source = {}
+    for r in sorted(rows, key=lambda r: (r.h, r.doc_id)):
+        by_source.setdefault(r.source, []).append(r.doc_id)
+    weights = {s: Fraction(len(own) ** 0.5) for s, own in by_source.items()}
+    blocks = {s: -(-len(own) // 64) for s, own in by_source.items()}
+    names = sorted(blocks)
+
+    def at(s, k):
+        """Slot time at which the fluid has given ``s`` its first ``k`` blocks."""
+        inner = Fraction(k) / weights[s]
+        return sum(min(weights[t] * inner, blocks[t]) for t in names)
+
+    waiting = {(s, k): (math.floor(at(s, k)), math.ceil(at(s, k + 1))) for s in names for k in range(blocks[s])}
+    place = {}
+    for slot in range(sum(blocks.values())):
+        due, _, _, s, k = min((due, names.index(s), k, s, k) for (s, k), (release, due) in waiting.items() if release <= slot)
+        assert due > slot
+        del waiting[s, k]
+        for i, doc_id in enumerate(by_source[s][64 * k : 64 * k + 64]):
+            place[doc_id] = 64 * slot + i
+    found = queries()["op8_pfair_mixture"](spark, sf_dir).collect()
+    assert {r.doc_id: r.place for r in found} == place and len(found) == len(rows)
