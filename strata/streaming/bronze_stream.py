@@ -64,16 +64,17 @@ def start_bronze_stream(
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
         batch_id = f"stream_{stream}_{epoch:012d}"
-        if tables.table_exists(spark, files):
-            others = spark.table(files).where(F.col("_batch_id") != batch_id).select("_source_path")
+        session = batch.sparkSession  # the stream's own: it knows what files the writes below replace
+        if tables.table_exists(session, files):
+            others = session.table(files).where(F.col("_batch_id") != batch_id).select("_source_path")
             batch = batch.join(others, "_source_path", "left_anti")
         bronze = bronze_from_files(batch, batch_id, columns, source_system)
         tables.replace_table(bronze, table, ["_batch_id"])
         # the epoch's partition: an epoch that comes again finds what it wrote before, whichever attempt that was
-        mine = spark.table(table).where(F.col("_batch_id") == batch_id)
+        mine = session.table(table).where(F.col("_batch_id") == batch_id)
         tables.replace_table(mine.select("_source_path", "_batch_id").distinct(), files, ["_batch_id"])
         n_files, n_rows = mine.agg(F.countDistinct("_source_path"), F.count(F.lit(1))).first()
-        ledger.record(spark, loads, batch_id, ledger.FINISHED, tables.PARQUET, files=n_files, rows=n_rows, malformed=0)
+        ledger.record(session, loads, batch_id, ledger.FINISHED, tables.PARQUET, files=n_files, rows=n_rows, malformed=0)
 
     writer = raw_stream(spark, folder, header).writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
