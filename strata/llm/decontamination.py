@@ -40,7 +40,7 @@ from strata.operators.staging import stage
 K1, B = 1.2, 0.75
 
 #: Bytes of text that are looked through at once; a longer text goes alone.
-AT_ONCE = 2 << 20
+AT_ONCE = 1 << 20
 
 #: Blocks of an index at most, and parts of items in a block at least.
 MOST_BLOCKS = 64
