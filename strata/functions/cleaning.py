@@ -1,7 +1,6 @@
 """Scalar cleaning functions: each returns a Spark ``Column`` expression.
 
-All of them stay inside Catalyst (no Python UDF), so they fuse into
-whole-stage codegen with the scan that feeds them.  Under ANSI mode the
+All of them stay inside Catalyst (no Python UDF).  Under ANSI mode the
 lenient ``try_*`` forms are used wherever a bad value must become NULL
 instead of failing the job.
 """
@@ -25,8 +24,11 @@ def as_column(c) -> Column:
 def clean_string(c, null_tokens: list[str] | None = None) -> Column:
     """Cast to string, trim spaces, and map null tokens (case-insensitive) to NULL."""
     tokens = NULL_TOKENS if null_tokens is None else null_tokens
-    value = F.trim(as_column(c).cast("string"))
-    return F.when(F.upper(value).isin(tokens), F.lit(None).cast("string")).otherwise(value)
+    absent = F.array(*map(F.lit, tokens)).cast("array<string>")
+    trimmed = F.array(F.trim(as_column(c).cast("string")))
+    # a lambda binds the trimmed value once, and a projection with one is no part of a whole
+    # stage's method, which grows with the columns beyond the 8,000 bytes that the JVM compiles
+    return F.get(F.transform(trimmed, lambda v: F.when(~F.array_contains(absent, F.upper(v)), v)), F.lit(0))
 
 
 def clean_upper(c) -> Column:
@@ -36,12 +38,13 @@ def clean_upper(c) -> Column:
 
 def only_digits(c) -> Column:
     """Keep the digits of the cleaned value; NULL when none remain."""
-    return F.nullif(F.regexp_replace(clean_string(c), r"[^0-9]", ""), F.lit(""))
+    # a null token has no digit, so it needs no test of its own
+    return F.nullif(F.regexp_replace(as_column(c).cast("string"), r"[^0-9]", ""), F.lit(""))
 
 
 def parse_long(c) -> Column:
     """Keep digits and '-', then read a signed 64-bit integer; NULL if malformed or out of range."""
-    kept = F.regexp_replace(clean_string(c), r"[^0-9-]", "")
+    kept = F.regexp_replace(as_column(c).cast("string"), r"[^0-9-]", "")  # null tokens have no digit
     return F.when(kept.rlike(r"^-?[0-9]+$"), kept.try_cast("long")).otherwise(
         F.lit(None).cast("long")
     )
@@ -67,7 +70,7 @@ def parse_date(c, formats: list[str] | None = None) -> Column:
     never fails (a failed parse costs an exception per row) and layouts stay
     strict (no one-digit months or five-digit years).
     """
-    value = clean_string(c)
+    value = F.trim(as_column(c).cast("string"))  # no layout has the shape of a null token
     return F.coalesce(
         *[F.when(value.rlike(_layout_regex(fmt)), F.try_to_date(value, fmt)) for fmt in (formats or DATE_FORMATS)]
     )

@@ -60,8 +60,13 @@ def rejection_reason(required: list[str], rules: list[Rule]) -> Column:
 
 
 def classify(df: DataFrame, required: list[str], rules: list[Rule]) -> DataFrame:
-    """Add ``_rejection_reason`` (NULL = valid).  One projection for every rule."""
-    return df.withColumn(REASON_COLUMN, rejection_reason(required, rules))
+    """Add ``_rejection_reason`` (NULL = valid).  One pass for every rule.
+
+    The reason is generated, one per row, since a filter on a generated column stays above it.
+    On a projected one the optimizer copies all rules, and the cleaning that they read, into the filter.
+    """
+    reason = rejection_reason(required, rules)
+    return df.select(*[c for c in df.columns if c != REASON_COLUMN], F.explode(F.array(reason)).alias(REASON_COLUMN))
 
 
 def valid_part(classified: DataFrame) -> DataFrame:
