@@ -38,9 +38,14 @@ def _sums(names: list[str]) -> list[Column]:
     return [F.sum(MEASURES[n]).alias(n) for n in names]
 
 
-def latest_period(fact: DataFrame, month_column: str = "id_cmpt_movel") -> DataFrame:
-    """Fact rows of the greatest month, via a scalar subquery."""
-    latest = fact.select(F.max(month_column)).scalar()
+def latest_period(
+    fact: DataFrame, month_column: str = "id_cmpt_movel", months: DataFrame | None = None
+) -> DataFrame:
+    """Fact rows of the greatest month, via a scalar subquery.
+
+    ``months`` has the fact's months, repeated or not, where less is to be done for them than for the fact.
+    """
+    latest = (fact if months is None else months).select(F.max(month_column)).scalar()
     return fact.where(F.col(month_column) == latest)
 
 
@@ -60,9 +65,9 @@ def available_periods(fact: DataFrame) -> DataFrame:
     )
 
 
-def latest_summary(fact: DataFrame) -> DataFrame:
+def latest_summary(fact: DataFrame, months: DataFrame | None = None) -> DataFrame:
     return (
-        latest_period(fact)
+        latest_period(fact, months=months)
         .groupBy("id_cmpt_movel", "ds_competencia")
         .agg(
             F.count(F.lit(1)).alias(FACT_ROWS),
@@ -72,30 +77,30 @@ def latest_summary(fact: DataFrame) -> DataFrame:
     )
 
 
-def active_by_state(fact: DataFrame, dim_municipality: DataFrame) -> DataFrame:
+def active_by_state(fact: DataFrame, dim_municipality: DataFrame, months: DataFrame | None = None) -> DataFrame:
     return _by_dimension(
-        latest_period(fact), dim_municipality, "sk_municipio", ["sg_uf"], [ACTIVE, JOINED, CANCELLED]
+        latest_period(fact, months=months), dim_municipality, "sk_municipio", ["sg_uf"], [ACTIVE, JOINED, CANCELLED]
     ).orderBy(F.col(ACTIVE).desc(), F.col("sg_uf"))
 
 
-def top_insurers(fact: DataFrame, dim_insurer: DataFrame, k: int = 20) -> DataFrame:
+def top_insurers(fact: DataFrame, dim_insurer: DataFrame, k: int = 20, months: DataFrame | None = None) -> DataFrame:
     groups = ["cd_operadora", "nm_razao_social", "modalidade_operadora"]
     return (
-        _by_dimension(latest_period(fact), dim_insurer, "sk_operadora", groups, [ACTIVE, JOINED, CANCELLED])
+        _by_dimension(latest_period(fact, months=months), dim_insurer, "sk_operadora", groups, [ACTIVE, JOINED, CANCELLED])
         .orderBy(F.col(ACTIVE).desc(), *groups)
         .limit(k)
     )
 
 
-def profile_sex_age(fact: DataFrame, dim_profile: DataFrame) -> DataFrame:
+def profile_sex_age(fact: DataFrame, dim_profile: DataFrame, months: DataFrame | None = None) -> DataFrame:
     return _by_dimension(
-        latest_period(fact), dim_profile, "sk_perfil_beneficiario", ["tp_sexo", "de_faixa_etaria"], [ACTIVE]
+        latest_period(fact, months=months), dim_profile, "sk_perfil_beneficiario", ["tp_sexo", "de_faixa_etaria"], [ACTIVE]
     ).orderBy("tp_sexo", "de_faixa_etaria")
 
 
-def by_relationship(fact: DataFrame, dim_profile: DataFrame) -> DataFrame:
+def by_relationship(fact: DataFrame, dim_profile: DataFrame, months: DataFrame | None = None) -> DataFrame:
     return _by_dimension(
-        latest_period(fact), dim_profile, "sk_perfil_beneficiario", ["tipo_vinculo"], [ACTIVE, JOINED, CANCELLED]
+        latest_period(fact, months=months), dim_profile, "sk_perfil_beneficiario", ["tipo_vinculo"], [ACTIVE, JOINED, CANCELLED]
     ).orderBy(F.col(ACTIVE).desc(), "tipo_vinculo")
 
 
@@ -110,17 +115,17 @@ def monthly_evolution(fact: DataFrame) -> DataFrame:
     )
 
 
-def plan_distribution(fact: DataFrame, dim_plan: DataFrame) -> DataFrame:
+def plan_distribution(fact: DataFrame, dim_plan: DataFrame, months: DataFrame | None = None) -> DataFrame:
     groups = ["de_contratacao_plano", "de_segmentacao_plano"]
-    return _by_dimension(latest_period(fact), dim_plan, "sk_plano", groups, [ACTIVE]).orderBy(
+    return _by_dimension(latest_period(fact, months=months), dim_plan, "sk_plano", groups, [ACTIVE]).orderBy(
         F.col(ACTIVE).desc(), *groups
     )
 
 
-def top_municipalities(fact: DataFrame, dim_municipality: DataFrame, k: int = 50) -> DataFrame:
+def top_municipalities(fact: DataFrame, dim_municipality: DataFrame, k: int = 50, months: DataFrame | None = None) -> DataFrame:
     groups = ["sg_uf", "nm_municipio"]
     return (
-        _by_dimension(latest_period(fact), dim_municipality, "sk_municipio", groups, [ACTIVE])
+        _by_dimension(latest_period(fact, months=months), dim_municipality, "sk_municipio", groups, [ACTIVE])
         .orderBy(F.col(ACTIVE).desc(), *groups)
         .limit(k)
     )
