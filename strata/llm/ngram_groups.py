@@ -18,6 +18,9 @@ threshold.  The steps, each a Spark job over all documents:
    component's at all.  All sets have their tokens below a common cut in the matrix, so that
    two groups share no more of them than either has met cells there: with the tokens above the cut and the
    sizes that bounds their links, and groups that cannot link make no pair.
+   Two groups of one node each are also held apart by the parities of their sets: each set has ``PARITIES`` bits, flipped
+   by its tokens, and sets differ in at least as many tokens as bits.  Copies of one text that are edited too much to
+   link share most of its tokens, and only this tells them apart before they are paired.
    So texts that share some passages or chance phrases cost no pairs, however many there are.
    Then groups are paired, but for those of one component; in a long column, cells outside the index prefixes are not paired
    with each other, only counted.  For two groups, the number of shared
@@ -56,6 +59,9 @@ BLANKS = b" \t\n\x0b\x0c\r"
 #: Bytes of text that are shingled at once; a longer text goes in pieces.
 AT_ONCE = 1 << 20
 
+#: Documents of a batch whose sets a Python worker holds at once.
+SLICE = 1000
+
 #: Bins of the sketch that proposes first comparisons, and how many must agree.
 BINS, AGREED = 8, 3
 
@@ -77,6 +83,9 @@ LONG_COLUMN = 64
 #: Pairs that a task holds before it sums them up.
 HELD_PAIRS = 4_000_000
 
+#: Bits of a set's parities, a multiple of 64.
+PARITIES = 192
+
 CHUNK_BITS = 24  # of a group's number: its place in the component
 
 
@@ -149,6 +158,10 @@ def _sets(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
         yield _set(hashes[low:high], shingles[low : max(low, high - width + 1)], width)
 
 
+def _sliced(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    return (batch.iloc[k : k + SLICE] for k in range(0, len(batch), SLICE))
+
+
 def set_key(tokens: np.ndarray) -> str | None:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).hexdigest() if len(tokens) else None
 
@@ -162,6 +175,10 @@ class Similarity:
     def links(self, shared: int, a: int, b: int) -> bool:
         return (100 + self.percent) * shared >= self.percent * (a + b)
 
+    def too_different(self, least: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Where two sets that differ in at least so many tokens cannot link; ``sizes`` is the sum of theirs."""
+        return (100 + self.percent) * least > (100 - self.percent) * sizes
+
     def needed(self, size: int) -> int:
         """The least overlap of a set of this size with any set it links with."""
         return -(-self.percent * size // 100)
@@ -183,6 +200,12 @@ class Similarity:
         return min(size, self.prefix(size) + size // 16 + 4)
 
 
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """``PARITIES`` bits, each telling whether an odd number of the set's tokens falls on it."""
+    odd = np.bincount((tokens >> np.uint64(32)) % np.uint64(PARITIES), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(bool)).view(np.uint64)
+
+
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
     """Shared values of two sorted arrays without repeats."""
     if len(a) > len(b):
@@ -231,17 +254,20 @@ def sketch_documents(docs: DataFrame, similarity: Similarity, width: int, bucket
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows, first = [], []
-            for doc_id, text_hash, tokens in zip(batch["doc_id"], batch["text_hash"], shingle_sets(batch["text"], width)):
-                n = len(tokens)
-                bins: list = [None] * BINS
-                found, at = np.unique(tokens & np.uint64(BINS - 1), return_index=True)
-                for b, i in zip(found.tolist(), at.tolist()):
-                    bins[b] = int(tokens[i].view(np.int64))
-                rows.append((doc_id, text_hash, n, set_key(tokens), bins, None, None, None))
-                first.append(tokens[: similarity.counted(n)])
-            yield pd.DataFrame(rows, columns=names).astype({"bucket": "Int32"})
-            if first and len(joined := np.concatenate(first)):
+            counted = []
+            for part in _sliced(batch):
+                rows, first = [], []
+                for doc_id, text_hash, tokens in zip(part["doc_id"], part["text_hash"], shingle_sets(part["text"], width)):
+                    n = len(tokens)
+                    bins: list = [None] * BINS
+                    found, at = np.unique(tokens & np.uint64(BINS - 1), return_index=True)
+                    for b, i in zip(found.tolist(), at.tolist()):
+                        bins[b] = int(tokens[i].view(np.int64))
+                    rows.append((doc_id, text_hash, n, set_key(tokens), bins, None, None, None))
+                    first.append(tokens[: similarity.counted(n)])
+                yield pd.DataFrame(rows, columns=names).astype({"bucket": "Int32"})
+                counted.append(np.concatenate(first))
+            if counted and len(joined := np.concatenate(counted)):
                 tokens, counts = np.unique(joined, return_counts=True)
                 packed = [
                     (None, 0, 0, None, None, number, *parts)
@@ -293,7 +319,7 @@ def count_further(docs: DataFrame, frequent, similarity: Similarity, width: int,
             for tokens in shingle_sets(batch["text"], width):
                 part = tokens[: similarity.counted(len(tokens))]
                 if np.count_nonzero(~_is_in(part, frequent.value)) < similarity.prefix(len(tokens)):
-                    further.append(tokens[len(part) :])
+                    further.append(tokens[len(part) :].copy())
             if further and len(joined := np.concatenate(further)):
                 tokens, counts = np.unique(joined, return_counts=True)
                 rows = [(number, *parts) for number, parts in _packed(buckets, tokens, counts.astype(np.uint32))]
@@ -330,15 +356,21 @@ def emitted_tokens(sets: list[np.ndarray], frequent: np.ndarray, similarity: Sim
 
 
 def matrix_columns(texts: DataFrame, frequent, similarity: Similarity, width: int, buckets: int) -> DataFrame:
-    """Packed cells of the token-group matrix from ``texts(set_key, grp, text)``."""
+    """Packed cells of the token-group matrix from ``texts(set_key, grp, alone, text)``.
+
+    Beside them are the parities of sets that are a group ``alone``, dealt to as many owners.
+    """
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets, groups = [], []
-            for key, group, tokens in zip(batch["set_key"], batch["grp"], shingle_sets(batch["text"], width)):
+        for part in (part for batch in batches for part in _sliced(batch)):
+            sets, groups, single, odd = [], [], [], []
+            for key, group, alone, tokens in zip(part["set_key"], part["grp"], part["alone"], shingle_sets(part["text"], width)):
                 if set_key(tokens) == key:  # rows may repeat an id with another text
                     sets.append(tokens)
                     groups.append(group << 2)
+                    if alone:
+                        single.append(group)
+                        odd.append(parities(tokens))
             chosen, beyond = emitted_tokens(sets, frequent.value, similarity)
             if chosen:
                 # a cell's lowest bit tells whether it lies in the index prefix, the next whether its token is a rare one below the cut
@@ -347,10 +379,21 @@ def matrix_columns(texts: DataFrame, frequent, similarity: Similarity, width: in
                 under = [np.arange(len(c)) < len(s) - n for c, s, n in zip(chosen, sets, beyond)]
                 cells = np.repeat(np.array(groups, np.int64), lengths) | np.concatenate(inside) | np.concatenate(under).astype(np.int64) << 1
                 sizes, rest = (np.repeat(np.array(x, np.uint32), lengths) for x in ([len(s) for s in sets], beyond))
-                rows = [(number, *parts) for number, parts in _packed(buckets, np.concatenate(chosen), cells, sizes, rest)]
-                yield pd.DataFrame(rows, columns=["bucket", *CELLS])
+                rows = dict(_packed(buckets, np.concatenate(chosen), cells, sizes, rest))
+                known = {}
+                if single:
+                    numbers = np.array(single, np.int64)
+                    known = {k: parts[1:] for k, parts in _packed(buckets, mix(numbers.view(np.uint64)), numbers, np.array(odd))}
+                yield _rows("bucket", rows, CELLS, known)
+
+    return texts.select("set_key", "grp", "alone", "text").mapInPandas(emit, "bucket int, " + _binaries([*CELLS, *PARITY]))
+
 
-    return texts.select("set_key", "grp", "text").mapInPandas(emit, "bucket int, " + _binaries(CELLS))
+def _rows(number: str, rows: dict[int, list[bytes]], names: Iterable[str], known: dict[int, list[bytes]]) -> pd.DataFrame:
+    """Packed rows with the parities that go the same way."""
+    names = list(names)
+    found = [(k, *rows.get(k, [b""] * len(names)), *known.get(k, [b""] * len(PARITY))) for k in sorted(rows.keys() | known.keys())]
+    return pd.DataFrame(found, columns=[number, *names, *PARITY])
 
 
 #: A token's cell of a group, the size of the set that has it, and how many tokens of the set are not rare ones below the cut.
@@ -359,15 +402,19 @@ CELLS = {"tokens": np.uint64, "cells": np.int64, "sizes": np.uint32, "beyond": n
 #: The same for all members of the group that have the token.
 COLUMNS = {"tokens": np.uint64, "cells": np.int64, "low": np.uint32, "high": np.uint32, "beyond": np.uint32}
 
+#: Groups of one set, and the parities of each.
+PARITY = {"single": np.int64, "odd": np.uint64}
+
 
 def _binaries(names: Iterable[str]) -> str:
     return ", ".join(f"{name} binary" for name in names)
 
 
-def met_cells(columns: DataFrame, owners: int) -> DataFrame:
+def met_cells(columns: DataFrame, buckets: int) -> DataFrame:
     """The cells whose columns have a cell of another component, packed by the group they belong to.
 
     One cell a token and group, with the smallest and the largest set of the members that have it.
+    Owners are as many as buckets, and the parities in a bucket are those of its owner.
     """
 
     def met(group: pd.DataFrame) -> pd.DataFrame:
@@ -383,10 +430,11 @@ def met_cells(columns: DataFrame, owners: int) -> DataFrame:
         kept = component[starts] != component[ends - 1]
         # dealt out by a hash of the group
         keys = mix((cells[kept] >> 2).view(np.uint64))
-        packed = _packed(owners, keys, *(x[kept] for x in (tokens, cells, low, high, beyond)))
-        return pd.DataFrame([(number, *parts[1:]) for number, parts in packed], columns=["owner", *COLUMNS])
+        packed = _packed(buckets, keys, *(x[kept] for x in (tokens, cells, low, high, beyond)))
+        known = {int(group["bucket"].iloc[0]): [b"".join(group[name]) for name in PARITY]}
+        return _rows("owner", {owner: parts[1:] for owner, parts in packed}, COLUMNS, known)
 
-    return columns.groupBy("bucket").applyInPandas(met, "owner int, " + _binaries(COLUMNS))
+    return columns.groupBy("bucket").applyInPandas(met, "owner int, " + _binaries([*COLUMNS, *PARITY]))
 
 
 def bound_groups(cells: DataFrame, buckets: int) -> DataFrame:
@@ -396,9 +444,11 @@ def bound_groups(cells: DataFrame, buckets: int) -> DataFrame:
     without any shares no token of its prefix, and so links with nothing outside.
     Below the cut every set has all its rare tokens in the matrix: ``under`` is how many of them
     met another component's, and no member shares more of them; ``beyond`` is how many other tokens a member has at most.
+    The cell's second bit now tells whether ``odd`` has the parities of the group's only set.
     """
 
     def bound(group: pd.DataFrame) -> pd.DataFrame:
+        single, odd = (_unpacked(group[k], t) for k, t in PARITY.items())
         tokens, cells, low, high, beyond = (_unpacked(group[k], t) for k, t in COLUMNS.items())
         order = np.argsort(cells >> 2, kind="stable")
         tokens, cells = tokens[order], cells[order]
@@ -406,10 +456,24 @@ def bound_groups(cells: DataFrame, buckets: int) -> DataFrame:
         met = np.diff(np.append(at, len(cells)))
         bounds = [f.reduceat(x[order], at) if len(at) else x for f, x in ((np.minimum, low), (np.maximum, high), (np.maximum, beyond))]
         bounds.append(np.add.reduceat(cells >> 1 & 1, at).astype(np.uint32) if len(at) else beyond)
-        packed = _packed(buckets, tokens, cells, *(np.repeat(x, met) for x in bounds))
-        return pd.DataFrame([(number, *parts) for number, parts in packed], columns=["bucket", "tokens", "cells", *BOUNDS])
+        alone, bits = _looked_up(cells[at] >> 2, single, odd.reshape(-1, PARITIES // 64))
+        cells = cells & ~2 | np.repeat(alone.astype(np.int64) << 1, met)
+        packed = _packed(buckets, tokens, cells, *(np.repeat(x, met) for x in bounds), np.repeat(bits, met, axis=0))
+        return pd.DataFrame([(number, *parts) for number, parts in packed], columns=["bucket", "tokens", "cells", *BOUNDS, "odd"])
+
+    return cells.groupBy("owner").applyInPandas(bound, "bucket int, " + _binaries(["tokens", "cells", *BOUNDS, "odd"]))
 
-    return cells.groupBy("owner").applyInPandas(bound, "bucket int, " + _binaries(["tokens", "cells", *BOUNDS]))
+
+def _looked_up(keys: np.ndarray, known: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys are known, and each one's row of ``values``; zeros for others."""
+    found = np.zeros((len(keys), values.shape[1]), values.dtype)
+    if not len(known):
+        return np.zeros(len(keys), bool), found
+    order = np.argsort(known)
+    at = order[np.minimum(np.searchsorted(known, keys, sorter=order), len(known) - 1)]
+    same = known[at] == keys
+    found[same] = values[at[same]]
+    return same, found
 
 
 #: What bounds the links of a group.
@@ -435,7 +499,10 @@ def shared_tokens(columns: DataFrame, similarity: Similarity) -> DataFrame:
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         cells = _unpacked(group["cells"], np.int64)
         bounds = [_unpacked(group[k], np.uint32).astype(np.int64) for k in BOUNDS]
-        pairs, unpaired = group_pairs(_unpacked(group["tokens"], np.uint64), cells >> 2, cells & 1 == 1, similarity, bounds)
+        odd = _unpacked(group["odd"], np.uint64).reshape(-1, PARITIES // 64)
+        pairs, unpaired = group_pairs(
+            _unpacked(group["tokens"], np.uint64), cells >> 2, cells & 1 == 1, similarity, bounds, cells & 2 == 2, odd
+        )
         found = pd.DataFrame(dict(zip(("a", "b", "shared"), pairs))).astype({"b": "Int64"})
         alone, n = np.unique(unpaired, return_counts=True)
         return pd.concat([found, pd.DataFrame({"a": alone, "b": pd.array([None] * len(alone), "Int64"), "shared": n})])
@@ -445,13 +512,20 @@ def shared_tokens(columns: DataFrame, similarity: Similarity) -> DataFrame:
 
 
 def group_pairs(
-    tokens: np.ndarray, groups: np.ndarray, index: np.ndarray, similarity: Similarity | None = None, bounds: list[np.ndarray] | None = None
+    tokens: np.ndarray,
+    groups: np.ndarray,
+    index: np.ndarray,
+    similarity: Similarity | None = None,
+    bounds: list[np.ndarray] | None = None,
+    alone: np.ndarray | None = None,
+    odd: np.ndarray | None = None,
 ) -> tuple[tuple, np.ndarray]:
     """Pairs of groups of different components with the tokens they share, and groups of unpaired cells.
 
     In columns of more than ``LONG_COLUMN`` cells, those outside the index
     prefixes are paired with those inside only.  With ``bounds`` of each cell's group (``bound_groups``), groups
-    whose sizes are too far apart, or that cannot share as many tokens as a link takes, make no pair.  As a group has
+    whose sizes are too far apart, or that cannot share as many tokens as a link takes, make no pair, and with the parities
+    ``odd`` of groups that are ``alone`` those whose sets differ in too many.  As a group has
     the same bounds in all its cells, a pair is made in all its columns or in none.
     """
     order = np.lexsort((~index, groups, tokens))
@@ -460,6 +534,7 @@ def group_pairs(
     new[1:] = (tokens[1:] != tokens[:-1]) | (groups[1:] != groups[:-1])
     tokens, groups, index = tokens[new], groups[new], index[order][new]
     small, large, beyond, under = (x[order][new] for x in bounds) if bounds else [None] * 4
+    alone, odd = (None, None) if odd is None else (alone[order][new], odd[order][new])
     column_ends = _run_ends(tokens)
     column_starts = len(tokens) - _run_ends(tokens[::-1])[::-1]
     long = column_ends - column_starts > LONG_COLUMN
@@ -487,6 +562,10 @@ def group_pairs(
             once &= (p * small[left] <= 100 * large[right]) & (p * small[right] <= 100 * large[left])
             most = np.minimum(under[left], under[right]) + np.minimum(beyond[left], beyond[right])
             once &= (100 + p) * most >= p * (small[left] + small[right])
+            if odd is not None:
+                left, right = left[once], right[once]
+                differ = np.bitwise_count(odd[left] ^ odd[right]).sum(axis=1, dtype=np.int64)
+                once = ~(alone[left] & alone[right] & similarity.too_different(differ, small[left] + small[right]))
         left, right = groups[left[once]], groups[right[once]]
         kept.append(_summed(np.minimum(left, right), np.maximum(left, right), np.ones(len(left), np.int64)))
         held += len(kept[-1][0])
@@ -638,8 +717,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataF
         more = frequent_tokens(count_further(rows, spark.sparkContext.broadcast(often), similarity, width, buckets))
         often = np.union1d(often, more)
     frequent = spark.sparkContext.broadcast(often)
-    known = groups.select("rep", "set_key", "grp").hint("shuffle_hash")
-    texts = rows.alias("d").join(known.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.rep"))).select("g.set_key", "g.grp", "d.text")
+    known = groups.select("rep", "set_key", "grp", "alone").hint("shuffle_hash")
+    texts = rows.alias("d").join(known.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.rep"))).select("g.set_key", "g.grp", "g.alone", "d.text")
     met = met_cells(matrix_columns(texts, frequent, similarity, width, buckets), buckets)
     shared = stage(shared_tokens(bound_groups(met, buckets), similarity), "shared-tokens")
     opened = stage(qualifying_groups(shared, groups, similarity), "opened")
@@ -669,7 +748,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataF
 
 
 def token_groups(nodes: DataFrame, components: DataFrame) -> DataFrame:
-    """``node, rep, set_key, n, component, grp``: components cut into groups of about ``GROUP`` nodes."""
+    """``node, rep, set_key, n, component, grp, alone``: components cut into groups of about ``GROUP`` nodes."""
     sizes = components.groupBy("component").agg(F.count("*").alias("size"))
     placed = nodes.join(components.join(sizes, "component"), "node", "left")
     parts = F.ceil(F.coalesce("size", F.lit(1)) / GROUP)
@@ -681,6 +760,7 @@ def token_groups(nodes: DataFrame, components: DataFrame) -> DataFrame:
         "n",
         component.alias("component"),
         F.shiftleft(component, CHUNK_BITS).bitwiseOR(F.pmod(F.xxhash64("node"), parts).cast("long")).alias("grp"),
+        F.col("size").isNull().alias("alone"),
     )
 
 

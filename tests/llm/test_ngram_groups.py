@@ -6,7 +6,7 @@ from hypothesis import given, settings, strategies as st
 
 from strata.llm import ngram_groups
 from strata.llm.components import connected_components
-from strata.llm.ngram_groups import Similarity, emitted_tokens, group_pairs, near_duplicates, prefixes, shingle_sets
+from strata.llm.ngram_groups import Similarity, emitted_tokens, group_pairs, near_duplicates, parities, prefixes, shingle_sets
 
 
 def plain_set(text, width=5):
@@ -207,3 +207,41 @@ def test_connected_components(spark, seed):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {x: root(x) for x in parent}
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+@given(st.sets(st.integers(0, 2**64 - 1)), st.sets(st.integers(0, 2**64 - 1)), st.sets(st.integers(0, 2**64 - 1)), st.sampled_from([50, 75, 90]))
+def test_parities_never_hold_linked_sets_apart(both, a, b, percent):
+    a, b = both | a, both | b
+    odd = [parities(np.array(sorted(s), np.uint64)) for s in (a, b)]
+    differ = int(np.bitwise_count(odd[0] ^ odd[1]).sum())
+    assert differ <= len(a ^ b)
+    similarity = Similarity(percent)
+    if similarity.links(len(a & b), len(a), len(b)):
+        assert not similarity.too_different(np.array([differ]), np.array([len(a) + len(b)]))[0]
+
+
+def test_copies_that_are_edited_too_much_to_link_are_not_paired(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(150)]
+    rows = [(k, " ".join(mutated(rng, base, 0.08))) for k in range(150)]
+    made = []
+    real = ngram_groups.qualifying_groups
+
+    def counted(shared, *args):
+        made.append(shared.where("b is not null").count())
+        return real(shared, *args)
+
+    monkeypatch.setattr(ngram_groups, "qualifying_groups", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((tuple(r) for r in near_duplicates(df).select("doc_id", "n_shingles", "component_id").collect()), key=str)
+    assert found == brute(rows)
+    assert len({c for _, _, c in found}) > 100  # most link with nothing
+    assert made[0] < 150 * 149 / 2 / 20, made
+
+
+def test_slices_of_a_batch_give_the_same_groups(spark, monkeypatch):
+    rows = corpus(11)
+    monkeypatch.setattr(ngram_groups, "SLICE", 7)
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = near_duplicates(df).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted((tuple(r) for r in found), key=str) == brute(rows)
