@@ -47,6 +47,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from strata.llm.components import connected_components
@@ -59,7 +60,7 @@ BLANKS = b" \t\n\x0b\x0c\r"
 #: Bytes of text that are shingled at once; a longer text goes in pieces.
 AT_ONCE = 1 << 20
 
-#: Documents of a batch whose sets a Python worker holds at once.
+#: Documents of a batch whose texts, as strings, and sets a Python worker holds at once.
 SLICE = 1000
 
 #: Bins of the sketch that proposes first comparisons, and how many must agree.
@@ -158,8 +159,19 @@ def _sets(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
         yield _set(hashes[low:high], shingles[low : max(low, high - width + 1)], width)
 
 
-def _sliced(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    return (batch.iloc[k : k + SLICE] for k in range(0, len(batch), SLICE))
+def _sliced(batch: pa.RecordBatch) -> Iterator[list[list]]:
+    """The columns of ``SLICE`` rows after ``SLICE``."""
+    for k in range(0, batch.num_rows, SLICE):
+        yield [column.to_pylist() for column in batch.slice(k, SLICE).columns]
+
+
+def _record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, field.type) for c, field in zip(columns, schema)], schema=schema)
+
+
+def _binary_schema(names: Iterable[str]) -> pa.Schema:
+    return pa.schema([("bucket", pa.int32()), *((name, pa.binary()) for name in names)])
 
 
 def set_key(tokens: np.ndarray) -> str | None:
@@ -239,7 +251,19 @@ def _unpacked(column: pd.Series, dtype) -> np.ndarray:
 
 # --- steps --------------------------------------------------------------------------------------
 
-SKETCH = "doc_id string, text_hash long, n long, set_key string, bins array<long>, bucket int, tokens binary, counts binary"
+SKETCH = pa.schema(
+    {
+        "doc_id": pa.string(),
+        "text_hash": pa.int64(),
+        "n": pa.int64(),
+        "set_key": pa.string(),
+        "bins": pa.list_(pa.int64()),
+        "bucket": pa.int32(),
+        "tokens": pa.binary(),
+        "counts": pa.binary(),
+    }
+)
+SKETCH_DDL = "doc_id string, text_hash long, n long, set_key string, bins array<long>, bucket int, tokens binary, counts binary"
 
 
 def sketch_documents(docs: DataFrame, similarity: Similarity, width: int, buckets: int) -> DataFrame:
@@ -250,14 +274,12 @@ def sketch_documents(docs: DataFrame, similarity: Similarity, width: int, bucket
     leave it.
     """
 
-    names = [field.split()[0] for field in SKETCH.split(", ")]
-
-    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counted = []
-            for part in _sliced(batch):
+            for doc_ids, text_hashes, texts in _sliced(batch):
                 rows, first = [], []
-                for doc_id, text_hash, tokens in zip(part["doc_id"], part["text_hash"], shingle_sets(part["text"], width)):
+                for doc_id, text_hash, tokens in zip(doc_ids, text_hashes, shingle_sets(texts, width)):
                     n = len(tokens)
                     bins: list = [None] * BINS
                     found, at = np.unique(tokens & np.uint64(BINS - 1), return_index=True)
@@ -265,7 +287,7 @@ def sketch_documents(docs: DataFrame, similarity: Similarity, width: int, bucket
                         bins[b] = int(tokens[i].view(np.int64))
                     rows.append((doc_id, text_hash, n, set_key(tokens), bins, None, None, None))
                     first.append(tokens[: similarity.counted(n)])
-                yield pd.DataFrame(rows, columns=names).astype({"bucket": "Int32"})
+                yield _record_batch(rows, SKETCH)
                 counted.append(np.concatenate(first))
             if counted and len(joined := np.concatenate(counted)):
                 tokens, counts = np.unique(joined, return_counts=True)
@@ -273,10 +295,10 @@ def sketch_documents(docs: DataFrame, similarity: Similarity, width: int, bucket
                     (None, 0, 0, None, None, number, *parts)
                     for number, parts in _packed(buckets, tokens, counts.astype(np.uint32))
                 ]
-                yield pd.DataFrame(packed, columns=names)
+                yield _record_batch(packed, SKETCH)
 
     texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return texts.mapInPandas(sketch, SKETCH)
+    return texts.mapInArrow(sketch, SKETCH_DDL)
 
 
 def frequent_tokens(counted: DataFrame) -> np.ndarray:
@@ -313,19 +335,21 @@ def count_further(docs: DataFrame, frequent, similarity: Similarity, width: int,
     part would else pass for rare.
     """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = _binary_schema(["tokens", "counts"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             further = []
-            for tokens in shingle_sets(batch["text"], width):
+            for tokens in (tokens for (texts,) in _sliced(batch) for tokens in shingle_sets(texts, width)):
                 part = tokens[: similarity.counted(len(tokens))]
                 if np.count_nonzero(~_is_in(part, frequent.value)) < similarity.prefix(len(tokens)):
                     further.append(tokens[len(part) :].copy())
             if further and len(joined := np.concatenate(further)):
                 tokens, counts = np.unique(joined, return_counts=True)
                 rows = [(number, *parts) for number, parts in _packed(buckets, tokens, counts.astype(np.uint32))]
-                yield pd.DataFrame(rows, columns=["bucket", "tokens", "counts"])
+                yield _record_batch(rows, schema)
 
-    return docs.select("text").mapInPandas(count, "bucket int, tokens binary, counts binary")
+    return docs.select("text").mapInArrow(count, "bucket int, tokens binary, counts binary")
 
 
 def prefixes(sets: list[np.ndarray], frequent: np.ndarray, similarity: Similarity) -> list[np.ndarray]:
@@ -361,10 +385,12 @@ def matrix_columns(texts: DataFrame, frequent, similarity: Similarity, width: in
     Beside them are the parities of sets that are a group ``alone``, dealt to as many owners.
     """
 
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in (part for batch in batches for part in _sliced(batch)):
+    schema = _binary_schema([*CELLS, *PARITY])
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, numbers, lone, some in (part for batch in batches for part in _sliced(batch)):
             sets, groups, single, odd = [], [], [], []
-            for key, group, alone, tokens in zip(part["set_key"], part["grp"], part["alone"], shingle_sets(part["text"], width)):
+            for key, group, alone, tokens in zip(keys, numbers, lone, shingle_sets(some, width)):
                 if set_key(tokens) == key:  # rows may repeat an id with another text
                     sets.append(tokens)
                     groups.append(group << 2)
@@ -382,18 +408,17 @@ def matrix_columns(texts: DataFrame, frequent, similarity: Similarity, width: in
                 rows = dict(_packed(buckets, np.concatenate(chosen), cells, sizes, rest))
                 known = {}
                 if single:
-                    numbers = np.array(single, np.int64)
-                    known = {k: parts[1:] for k, parts in _packed(buckets, mix(numbers.view(np.uint64)), numbers, np.array(odd))}
-                yield _rows("bucket", rows, CELLS, known)
+                    owned = np.array(single, np.int64)
+                    known = {k: parts[1:] for k, parts in _packed(buckets, mix(owned.view(np.uint64)), owned, np.array(odd))}
+                yield _record_batch(_rows(rows, CELLS, known), schema)
 
-    return texts.select("set_key", "grp", "alone", "text").mapInPandas(emit, "bucket int, " + _binaries([*CELLS, *PARITY]))
+    return texts.select("set_key", "grp", "alone", "text").mapInArrow(emit, "bucket int, " + _binaries([*CELLS, *PARITY]))
 
 
-def _rows(number: str, rows: dict[int, list[bytes]], names: Iterable[str], known: dict[int, list[bytes]]) -> pd.DataFrame:
+def _rows(rows: dict[int, list[bytes]], names: Iterable[str], known: dict[int, list[bytes]]) -> list[tuple]:
     """Packed rows with the parities that go the same way."""
     names = list(names)
-    found = [(k, *rows.get(k, [b""] * len(names)), *known.get(k, [b""] * len(PARITY))) for k in sorted(rows.keys() | known.keys())]
-    return pd.DataFrame(found, columns=[number, *names, *PARITY])
+    return [(k, *rows.get(k, [b""] * len(names)), *known.get(k, [b""] * len(PARITY))) for k in sorted(rows.keys() | known.keys())]
 
 
 #: A token's cell of a group, the size of the set that has it, and how many tokens of the set are not rare ones below the cut.
@@ -432,7 +457,8 @@ def met_cells(columns: DataFrame, buckets: int) -> DataFrame:
         keys = mix((cells[kept] >> 2).view(np.uint64))
         packed = _packed(buckets, keys, *(x[kept] for x in (tokens, cells, low, high, beyond)))
         known = {int(group["bucket"].iloc[0]): [b"".join(group[name]) for name in PARITY]}
-        return _rows("owner", {owner: parts[1:] for owner, parts in packed}, COLUMNS, known)
+        found = _rows({owner: parts[1:] for owner, parts in packed}, COLUMNS, known)
+        return pd.DataFrame(found, columns=["owner", *COLUMNS, *PARITY])
 
     return columns.groupBy("bucket").applyInPandas(met, "owner int, " + _binaries([*COLUMNS, *PARITY]))
 
@@ -625,14 +651,13 @@ class Corpus:
         roles = stage(queries.unionByName(held), "roles")
         dealt = roles.join(self.texts(roles.select("node")), "node").repartition("grp", "copy")
 
-        def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, group, union = None, {}, None
-            for batch in batches:
+            for *known, texts in (part for batch in batches for part in _sliced(batch)):
                 links = []
-                sets = shingle_sets(batch["text"], width)
-                for grp, copy, kind, node, key, tokens in zip(
-                    batch["grp"], batch["copy"], batch["kind"], batch["node"], batch["set_key"], sets
-                ):
+                for grp, copy, kind, node, key, tokens in zip(*known, shingle_sets(texts, width)):
                     if set_key(tokens) != key:
                         continue
                     if (grp, copy) != at:
@@ -649,10 +674,10 @@ class Corpus:
                                 if other != node and similarity.links(overlap(tokens, its), len(tokens), len(its)):
                                     links.append((node, other))
                                     break
-                yield pd.DataFrame(links, columns=["u", "v"], dtype="int64")
+                yield _record_batch(links, found)
 
         ordered = dealt.sortWithinPartitions("grp", "copy", "kind", "node")
-        return ordered.select("grp", "copy", "kind", "node", "set_key", "text").mapInPandas(compare, "u long, v long")
+        return ordered.select("grp", "copy", "kind", "node", "set_key", "text").mapInArrow(compare, "u long, v long")
 
 
 def distinct_sets(sketched: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -245,3 +247,15 @@ def test_slices_of_a_batch_give_the_same_groups(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     found = near_duplicates(df).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted((tuple(r) for r in found), key=str) == brute(rows)
+
+
+def test_a_batch_of_texts_is_never_held_as_strings(spark):
+    batch = pa.RecordBatch.from_arrays([pa.array(["word " * 200] * 20_000)], names=["text"])
+    tracemalloc.start()
+    assert sum(len(texts) for (texts,) in ngram_groups._sliced(batch)) == 20_000
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 5_000_000  # of 20 MB
+    df = spark.createDataFrame(corpus(3, 5), "doc_id long, text string")
+    plan = ngram_groups.sketch_documents(df, Similarity(75), 5, 8)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "MapInPandas" not in plan
