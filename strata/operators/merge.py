@@ -113,8 +113,8 @@ def replace_frames(
     """Drop every target row whose partition values occur in ``source`` (or in
     the optional explicit ``values``), then append ``source``.
 
-    The anti-join's other side is the distinct values; AQE broadcasts it by
-    its measured size, or splits a hot value's rows.
+    The anti-join's other side is the distinct values, each a partition of the
+    table, so they are broadcast: the target's rows stay where they are.
     """
     missing = sorted(set(partition_columns) - set(source.columns))
     if missing:
@@ -123,6 +123,6 @@ def replace_frames(
     if values is not None:
         keys = keys.unionByName(values.select(*partition_columns))
     t = target.alias("t")
-    k = keys.distinct().alias("k")
+    k = F.broadcast(keys.distinct()).alias("k")
     kept = t.join(k, _null_safe_match(t, k, partition_columns), "left_anti")
     return kept.unionByName(source.select(*target.columns))

@@ -84,6 +84,10 @@ def test_latest_rows_are_shuffled_once_and_without_unread_columns(spark, shuffli
     assert re.search(r"Project \[[^\]]*\]", plan.split("Exchange")[1]) and "max_by" not in plan
 
 
+def test_replaced_partitions_are_broadcast(spark, sf_dir, shuffling):
+    assert re.search(r"BroadcastHashJoin [^\n]*LeftAnti", plan_of(queries()["partition_replace"](spark, sf_dir)))
+
+
 @pytest.mark.parametrize("name", ["silver_movement", "silver_rejected", "dim_plan"])
 def test_generated_methods_are_small_enough_to_be_compiled(spark, sf_dir, shuffling, name):
     execution = queries()[name](spark, sf_dir)._jdf.queryExecution()
