@@ -210,7 +210,7 @@ def build_entity(valid: DataFrame, spec: EntitySpec) -> DataFrame:
     keyed = valid
     for k in spec.keys:
         keyed = keyed.where(F.col(k).isNotNull())
-    latest = latest_per_key(keyed, spec.keys, DEDUPE_ORDER)
+    latest = latest_per_key(keyed, spec.keys, DEDUPE_ORDER, digest="_bronze_record_hash")
     return add_record_hash(latest.select(*spec.columns), spec.hash_columns)
 
 
@@ -228,7 +228,7 @@ def silver_plan(valid: DataFrame) -> DataFrame:
 
 def silver_movement(valid: DataFrame) -> DataFrame:
     # Every key column is already non-null in a valid row (a NULL key rejects it).
-    latest = latest_per_key(valid, MOVEMENT.keys, DEDUPE_ORDER)
+    latest = latest_per_key(valid, MOVEMENT.keys, DEDUPE_ORDER, digest="_bronze_record_hash")
     return add_record_hash(latest.select(*MOVEMENT.columns), MOVEMENT.hash_columns)
 
 

@@ -84,6 +84,19 @@ def test_latest_rows_are_shuffled_once_and_without_unread_columns(spark, shuffli
     assert re.search(r"Project \[[^\]]*\]", plan.split("Exchange")[1]) and "max_by" not in plan
 
 
+def test_digests_travel_as_bytes(spark, shuffling):
+    one, two = "0a" * 32, "ff" * 32
+    rows = [("k", 1, two), ("k", 1, one), ("k", 0, "z"), ("l", 1, "z"), ("l", 1, "é"), ("m", 1, None), ("m", 1, one), ("n", 1, None), ("o", 1, "0A" * 32), ("p", 1, "0a1")]
+    df = spark.createDataFrame(rows, "k string, o int, h string")
+    latest = latest_per_key(df, ["k"], ["o", "h"], digest="h")
+    found = {tuple(r) for r in latest.collect()}
+    assert found == {("k", 1, two), ("l", 1, "é"), ("m", 1, one), ("n", 1, None), ("o", 1, "0A" * 32), ("p", 1, "0a1")}
+    assert found == {tuple(r) for r in latest_per_key(df, ["k"], ["o", "h"]).collect()}
+    below = plan_of(latest).split("Exchange")[1]
+    sent = re.search(r"Project \[(.*)\]", below)[1]
+    assert "unhex" in sent and re.match(r"k#\d+, o#\d+, CASE", sent), sent  # not the digest itself
+
+
 def test_replaced_partitions_are_broadcast(spark, sf_dir, shuffling):
     assert re.search(r"BroadcastHashJoin [^\n]*LeftAnti", plan_of(queries()["partition_replace"](spark, sf_dir)))
 
