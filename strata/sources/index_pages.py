@@ -146,8 +146,13 @@ def page_file_links(pages: DataFrame, id_column: str = "page_id", html_column: s
 
 
 def periods_in_range(links: DataFrame, link_column: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Distinct periods named by the links, within the inclusive [start, end] range."""
-    periods = links.select(period_of(F.col(link_column)).alias("period")).where(F.col("period").isNotNull())
+    """Distinct periods named by the links, within the inclusive [start, end] range.
+
+    A link is read once, however often it comes: periods are generated, as a filter on a generated column stays
+    above it. On a projected one the optimizer copies the reading of links into the filters, and these below ``distinct``.
+    """
+    named = links.select(F.col(link_column).alias("link")).distinct()
+    periods = named.select(F.explode(F.array(period_of(F.col("link")))).alias("period")).where(F.col("period").isNotNull())
     if start is not None:
         periods = periods.where(F.col("period") >= start)
     if end is not None:

@@ -61,6 +61,16 @@ def test_bronze_queries_read_only_what_they_need(spark, sf_dir, shuffling, name)
     assert read["part"] == {"p_partkey"} and read["supplier"] == {"s_suppkey"}
 
 
+@pytest.mark.parametrize("name", ["latest_source_period", "periods_in_range"])
+def test_periods_are_read_by_link_not_by_row(spark, sf_dir, shuffling, name):
+    query = queries()[name](spark, sf_dir)
+    lines = plan_of(query).splitlines()
+    reading = [n for n, line in enumerate(lines) if "UrlCodec" in line]
+    assert len(reading) == 1 and "Generate explode" in lines[reading[0]], lines
+    assert "HashAggregate(keys=[link" in lines[reading[0] + 1], lines
+    assert max(r["period"] for r in query.collect()) == "199603"
+
+
 def test_the_latest_month_reaches_the_scan(spark, sf_dir, shuffling):
     layers = Layers(spark, sf_dir)
     report = reports.latest_summary(layers.fact, months=layers.months)
