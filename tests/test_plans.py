@@ -82,6 +82,14 @@ def test_allowed_names_are_read_by_file_not_by_row(spark, sf_dir, shuffling):
     assert sorted(r["file_name"] for r in query.collect()) == ["one.csv", "part-1.csv", "part-2.csv"]
 
 
+@pytest.mark.parametrize("name", ["silver_rejected", "silver_metadata", "reject_reason_counts", "clean_string", "clean_upper", "batch_audit"])
+def test_rows_are_derived_once_and_no_layer_is_staged(spark, sf_dir, shuffling, name):
+    plan = plan_of(queries()[name](spark, sf_dir))
+    read = re.findall(r"Location: [^\[]*\[file:([^\],]*)/(\w+)\.parquet\]", plan)
+    assert len(read) == plan.count("FileScan") and {f"file://{folder}" for folder, _ in read} == {sf_dir}, plan
+    assert sorted(t for _, t in read) == ["customer", "lineitem", "nation", "orders", "part", "supplier"]
+
+
 def test_the_latest_month_reaches_the_scan(spark, sf_dir, shuffling):
     layers = Layers(spark, sf_dir)
     report = reports.latest_summary(layers.fact, months=layers.months)
