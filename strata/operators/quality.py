@@ -39,6 +39,11 @@ def any_null(columns: list[str]) -> Column:
     return reduce(or_, (F.isnull(c) for c in columns), F.lit(False))
 
 
+def any_fails(rules: list[Rule]) -> Column:
+    """Whether one of ``rules`` is sure to fail; one that is null has not failed."""
+    return reduce(or_, (F.coalesce(rule.fails, F.lit(False)) for rule in rules), F.lit(False))
+
+
 def _joined(reasons: list[Column]) -> Column:
     """The reasons that apply, in order; NULL when none does."""
     text = F.array_join(F.array(*reasons).cast("array<string>"), REASON_SEPARATOR)  # skips nulls

@@ -117,12 +117,17 @@ def clean_movement(bronze: DataFrame, batch_id: str | None = None, as_of=None) -
     return add_silver_metadata(cleaned, batch_id=batch_id, as_of=as_of)
 
 
-def movement_rules() -> list[Rule]:
+def month_rules() -> list[Rule]:
     month = F.col("id_cmpt_movel")
     six_digits = month.rlike(r"^[0-9]{6}$")
-    rules = [
+    return [
         Rule(month.isNotNull() & ~six_digits, REASON_MONTH_FORMAT),
         Rule(six_digits & ~F.substring(month, 5, 2).try_cast("int").between(1, 12), REASON_MONTH_VALUE),
+    ]
+
+
+def movement_rules() -> list[Rule]:
+    rules = month_rules() + [
         Rule(F.col("cd_operadora").isNotNull() & ~F.col("cd_operadora").rlike(r"^[0-9]+$"), REASON_INSURER),
         Rule(
             F.col("cd_municipio").isNotNull() & ~F.col("cd_municipio").rlike(r"^[0-9]{6,7}$"),

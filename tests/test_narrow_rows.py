@@ -87,6 +87,31 @@ def test_packed_latest_rows_are_the_same_rows(spark):
             latest_per_key(df, ["a", "b"], ["o", "h"], packed=[unfit])
 
 
+@pytest.mark.parametrize("name", ["silver_movement", "all_string_cast", "fact_movement", "dedupe_latest", "partition_replace"])
+def test_keys_of_latest_rows_travel_as_one_text(spark, sf_dir, shuffling, name):  # noqa: F811
+    plan = plan_of(queries()[name](spark, sf_dir))
+    assert "row_number" in plan
+    for by in re.findall(r"Exchange hashpartitioning\(([^\n]*)ENSURE_REQUIREMENTS", plan):
+        assert not re.search(r"\b(cd_plano|de_faixa_etaria)#", by), by
+
+
 def test_the_latest_digests_of_a_dedupe_travel_as_bytes(spark, sf_dir, shuffling):  # noqa: F811
     sent = [p for p in plan_of(queries()["dedupe_latest"](spark, sf_dir)).split("Exchange") if "__bytes" in p]
     assert sent and "unhex(_bronze_record_hash" in sent[-1]
+
+
+def test_latest_values_look_at_the_greatest_first(spark):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("d",), ("d",)], "m string")
+    among = spark.createDataFrame([(c,) for c in "abcdefgz"] + [(None,)], "m string")
+    for n, found in ((1, ["d"]), (2, ["d", "b"]), (3, ["d", "b", "a"]), (9, ["d", "b", "a"])):
+        assert latest_values(df, "m", n, among) == found
+    assert latest_values(df.where("m is null"), "m", 2, among) == [] == latest_values(df, "m", 1, among.where("m is null"))
+
+
+def test_latest_months_and_batches_are_those_of_valid_rows(spark, sf_dir):
+    layers = Layers(spark, sf_dir)
+    for column in ("id_cmpt_movel", "_batch_id"):
+        known = sorted({r[0] for r in layers.valid.select(column).collect()}, reverse=True)
+        assert len(known) > 1 and layers.latest(column, 2) == known[:2]
+    loads = {tuple(r) for r in raw_loads(spark, sf_dir).collect()}
+    assert {tuple(r) for r in raw_movement(spark, sf_dir).select("id_cmpt_movel", "_batch_id").collect()} < loads
