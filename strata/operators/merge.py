@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 
 def _null_safe_match(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+    """Equality where nulls are equal; plain where a side has no nulls, so that rows which lie by the key need no shuffle."""
+    nullable = {k: left.schema[k].nullable and right.schema[k].nullable for k in keys}
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) if nullable[k] else left[k] == right[k] for k in keys])
 
 
 def unique_by(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -68,12 +70,13 @@ def merge_frames(
     """SCD type-1 merge: insert new keys, overwrite changed rows, keep the rest.
 
     Keys match null-safely (``<=>``), which Catalyst plans as an equi-join on
-    (coalesced value, is-null flag), not a nested loop.  A matched row is
+    (coalesced value, is-null flag), not a nested loop; keys that the schema of a
+    side holds non-null match by plain equality.  A matched row is
     updated only when the hashes differ; a NULL hash on either side compares
     as "no update", as SQL ``<>`` does.  ``non_update`` columns keep the
     target's value on update.  With nothing updatable the merge only inserts.
-    The full outer join shuffles both sides once on the keys; each key occurs
-    at most once per side, so no key can be hot.
+    The full outer join shuffles both sides once on the keys, or only the source
+    where the target lies by them; each key occurs at most once per side, so no key can be hot.
     """
     non_update = list(non_update or [])
     missing = sorted(set(keys) - set(source.columns))

@@ -215,6 +215,8 @@ def build_entity(valid: DataFrame, spec: EntitySpec) -> DataFrame:
     keyed = valid
     for k in spec.keys:
         keyed = keyed.where(F.col(k).isNotNull())
+    # not null by schema too, so that a merge matches by plain equality and leaves the rows where the window has them
+    keyed = keyed.withColumns({k: F.coalesce(k, F.lit("")) for k in spec.keys})
     latest = latest_per_key(keyed, spec.keys, DEDUPE_ORDER, digest="_bronze_record_hash")
     return add_record_hash(latest.select(*spec.columns), spec.hash_columns)
 

@@ -115,3 +115,32 @@ def test_latest_months_and_batches_are_those_of_valid_rows(spark, sf_dir):
         assert len(known) > 1 and layers.latest(column, 2) == known[:2]
     loads = {tuple(r) for r in raw_loads(spark, sf_dir).collect()}
     assert {tuple(r) for r in raw_movement(spark, sf_dir).select("id_cmpt_movel", "_batch_id").collect()} < loads
+
+
+@pytest.mark.parametrize("name", ["scd1_merge", "scd1_merge_insert_only"])
+def test_a_merge_leaves_the_latest_rows_where_they_are(spark, sf_dir, shuffling, name):  # noqa: F811
+    merged = queries()[name](spark, sf_dir)
+    plan = plan_of(merged)
+    assert not re.search(r"hashpartitioning\((coalesce|isnull)\([^\n]*\n[^\n]*\n?[^\n]*Window \[row_number", plan)
+    # lines, orders and customers, parts of target and source, their latest rows, and the source's once more
+    by_plan = [e for e in re.findall(r"Exchange hashpartitioning\(([^\n]*)ENSURE", plan) if "cd_plano" in e]
+    assert len(by_plan) == 3, by_plan
+    valid = Layers(spark, sf_dir).valid
+    keys = {(r["cd_operadora"], r["cd_plano"]) for r in valid.collect()}
+    assert {(r["cd_operadora"], r["cd_plano"]) for r in merged.collect()} == keys and merged.count() == len(keys)
+
+
+def test_keys_that_one_side_holds_non_null_match_alike(spark):
+    schema = "k string, v string, _record_hash string"
+    target = spark.createDataFrame([("a", "1", "x"), ("", "2", "y")], schema)
+    source = spark.createDataFrame([("a", "3", "z"), (None, "4", "w"), ("", "5", "y")], schema)
+    held = target.withColumn("k", F.coalesce("k", F.lit("")))
+    assert not held.schema["k"].nullable
+    assert rows(merge_frames(held, source, ["k"])) == rows(merge_frames(target, source, ["k"]))
+    assert len(rows(merge_frames(held, source, ["k"]))) == 3
+
+
+def test_entities_hold_their_keys_non_null(spark, sf_dir):
+    layers = Layers(spark, sf_dir)
+    for spec, entity in ((silver.PLAN, layers.s_plan), (silver.INSURER, layers.s_insurer)):
+        assert [entity.schema[k].nullable for k in spec.keys] == [False] * len(spec.keys)
