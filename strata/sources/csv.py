@@ -20,8 +20,10 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from strata.functions.names import normalize_column_name
+from strata.functions.packing import pack, unpack
 
 PATH = "_source_path"
 CORRUPT = "_corrupt"
@@ -150,15 +152,27 @@ def folders_to_list(spark: SparkSession, root: str, closed: set[str]) -> list[st
     return [re.sub(SPECIAL, r"\\\1", p.toString()) for p in kept if not p.getName().startswith(("_", "."))]
 
 
-def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, sep: str = ";") -> None:
+#: Rows of a compressed file, which one task reads.
+ROWS_OF_A_COMPRESSED_FILE = 1_000_000
+
+
+def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, sep: str = ";", compression: str | None = None) -> None:
     """Header + separator, values written verbatim (no whitespace trimming).
 
     Rows are grouped by partition before the write, so that each folder gets
-    few files; AQE splits a large one.
+    few files; AQE splits a large one.  On their way, and while they are sorted
+    by partition, a row's texts are one.  ``compression`` is the writer's, e.g. ``"gzip"``.
     """
     if partition_by:
-        df = df.hint("rebalance", *partition_by)
+        names = df.columns
+        texts = [f.name for f in df.schema.fields if f.dataType == StringType() and f.name not in partition_by]
+        if texts:
+            df = df.select(*[c for c in names if c not in texts], pack(texts).alias("__texts"))
+        df = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by)
+        df = unpack(df, "__texts", texts).select(*names) if texts else df
     writer = df.write.mode("errorifexists").options(
         header="true", sep=sep, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
     )
+    if compression:
+        writer = writer.options(compression=compression, maxRecordsPerFile=ROWS_OF_A_COMPRESSED_FILE)
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)

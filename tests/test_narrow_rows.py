@@ -144,3 +144,17 @@ def test_entities_hold_their_keys_non_null(spark, sf_dir):
     layers = Layers(spark, sf_dir)
     for spec, entity in ((silver.PLAN, layers.s_plan), (silver.INSURER, layers.s_insurer)):
         assert [entity.schema[k].nullable for k in spec.keys] == [False] * len(spec.keys)
+
+
+def test_compressed_files_hold_what_plain_ones_do(spark, tmp_path):
+    data = [(i, a, b, f"p{i % 2}") for i, (a, b) in enumerate((a, b) for a in ["", None, " a ", 'q"x', "a;b", "é", "\u0002"] for b in ["1", None])]
+    df = spark.createDataFrame(data, "n int, a string, `B ç` string, part string")
+    write_csv(df, f"file://{tmp_path}/plain", ["part"])
+    write_csv(df, f"file://{tmp_path}/small", ["part"], compression="gzip")
+    plain = read_csv(spark, f"file://{tmp_path}/plain").drop("_source_path")
+    small = read_csv(spark, f"file://{tmp_path}/small", glob="*.csv.gz").drop("_source_path")
+    assert plain.columns == small.columns == ["n", "a", "b_c"] and rows(plain) == rows(small) and plain.count() == len(data)
+    assert rows(plain) == sorted(repr((str(n), a or None, b)) for n, a, b, _ in data)  # an empty cell is null
+    files = [p.name for p in (tmp_path / "small").rglob("part-*")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    assert {p.name for p in (tmp_path / "small").iterdir() if p.is_dir()} == {"part=p0", "part=p1"}
